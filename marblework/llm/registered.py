@@ -4,20 +4,98 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marblework.llm import bpe
+from marblework.llm import bpe, chat, decontam, langid, quality, secrets, substring, warc
+from marblework.llm.common import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.pack_trees(given.unionByName(own)))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op3_bpe": op3_bpe}
-SQL: dict[str, str] = {}
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(decontam.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_units(_table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(_table(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(_table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
+    return warc.read(manifest, with_payload=False).drop("url")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~langid.held_out(docs["doc_id"]))
+    return langid.predict(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_tree, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op9_warc, op10_language)}
+
+SQL = {
+    "op1_chat_tree": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS e,
+             replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:') AS r FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(e) + length(r) + 14) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id""",
+    "op4_decontaminate": r"""
+WITH dw AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS m, w[i : i + least(13, len(w)) - 1] AS g FROM (
+    SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT m FROM windows),
+found AS (
+  SELECT doc_id, i, x.m, item_id FROM (SELECT doc_id, i, m, w[i : i + m - 1] AS g FROM dw, lengths WHERE i + m - 1 <= len(w)) x JOIN windows y ON x.m = y.m AND x.g = y.g),
+hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id),
+n AS (SELECT doc_id, len(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS n_words FROM documents)
+SELECT doc_id, n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= n_words AS contaminated
+FROM n LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op9_warc": r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+m AS (SELECT page_id, octet_length(raw) AS payload_bytes, h, max(page_id) OVER (PARTITION BY h) AS owner FROM p),
+bits AS (SELECT *, list_aggregate(list_transform(range(1, 41), lambda i: lpad(bin(instr('0123456789abcdef', substr(h, i, 1)) - 1), 4, '0')), 'string_agg', '') AS b FROM m)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+    + 16 * CAST(substr(b, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INTEGER) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INTEGER)
+    + 2 * CAST(substr(b, 5 * i + 4, 1) AS INTEGER) + CAST(substr(b, 5 * i + 5, 1) AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = owner THEN NULL ELSE owner END AS refers_to
+FROM bits""",
+}
 
 
 def queries() -> dict:
