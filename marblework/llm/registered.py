@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marblework.llm import bpe, chat, decontam, langid, quality, secrets, substring, warc
+from marblework.llm import bpe, chat, decontam, langid, near_dup, quality, secrets, substring, warc
 from marblework.llm.common import shared_dir
 
 
@@ -21,6 +21,10 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.pack_trees(given.unionByName(own)))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(_table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -52,7 +56,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_tree, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op9_warc, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_chat_tree, op2_near_dedup, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op9_warc, op10_language)}
 
 SQL = {
     "op1_chat_tree": r"""
@@ -68,6 +72,19 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
   CAST(sum(length(e) + length(r) + 14) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id""",
+    "op2_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - least(5, len(w)) + 2), lambda i: hash(w[i : i + least(5, len(w)) - 1]))) AS g FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS r FROM documents UNION SELECT l.b, reach.r FROM reach JOIN link l ON l.a = reach.a),
+least_one AS (SELECT a AS doc_id, min(r) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN least_one l ON l.doc_id = d.doc_id""",
     "op4_decontaminate": r"""
 WITH dw AS (
   SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (
