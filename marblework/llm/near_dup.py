@@ -2,11 +2,13 @@
 
 1. A text's set is its distinct word shingles, each one 64-bit hash.  Texts with
    equal sets form a class; one member stands for it.
-2. A class keeps the k least hashes of its set.  Inverted lists of the kept
-   values give overlaps.  Two sets that link must share at least ``c`` kept
-   values, so by a global order of values (rarest first) they share one among
-   the first |sketch| - c + 1 of each: only those are listed.  A text whose rare
-   values fill that prefix meets nobody through common passages.
+2. A class keeps the k least hashes of its set.  Two sets that link must share at
+   least ``c`` kept values, so in any global order of values they share one
+   among the first |sketch| - c + 1 of each.  By the order of the hashes, a
+   class none of whose first values is kept by another cannot link: it drops
+   out before its text is moved.  For the others, inverted lists hold those
+   first values by another order, rarest first.  A text whose rare values fill
+   that prefix meets nobody through common passages.
 3. Short lists give all their pairs.  In a long list the members are compared
    with its leaders, the first members of its components so far; the lists that
    still hold several components go on with more leaders.  No list is capped and
@@ -18,6 +20,8 @@
 
 The only chance in it is step 2's ``c`` and step 4's margin for sets larger than
 the sketch: both lie six standard deviations below what the threshold implies.
+A pair's sizes sharpen ``c``, and with it the positions that its first shared
+value may have.
 
 Null, empty and wordless texts have an empty set and link with nothing.  Texts
 are read whole.  Rows with one id count as one document for linking; each row
@@ -43,7 +47,7 @@ SIGMAS = 6.0
 #: Lists of at most so many members give all their pairs.
 SHORT_LIST = 16
 #: Leaders of a long list in the first round, and their growth from round to round.
-LEADERS, GROWTH = 1, 8
+LEADERS, GROWTH = 2, 16
 _M = 0x9E3779B97F4A7C15
 
 
@@ -80,15 +84,40 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     return np.unique(roll)
 
 
+def _surely(expected, share, drawn: int, of):
+    """The least that hypergeometric draws with this expectation give, SIGMAS below it."""
+    return F.floor(expected - SIGMAS * F.sqrt(drawn * share * (1 - share) * (of - drawn) / (of - 1)))
+
+
+def pair_overlap(n, m, k: int, threshold: float):
+    """How many kept values two sets of these sizes (Columns) share at least if they link.
+
+    Up to k values the sets are kept whole and the bound is exact; beyond, the
+    larger set's sketch is a random draw from it.
+    """
+    large, shared = F.greatest(n, m), (n + m) * (threshold / (1 + threshold))
+    share = F.least(F.lit(1.0), shared / large)
+    return F.greatest(F.lit(1), F.when(large <= k, F.ceil(shared - 1e-9)).otherwise(_surely(k * share, share, k, large)))
+
+
 def least_overlap(n, k: int, threshold: float):
-    """How many kept values a set of size n (a Column) shares at least with any set that it links to."""
-    sure = F.ceil(F.lit(threshold) * n)
-    chance = max(1, math.floor(threshold * k - SIGMAS * math.sqrt(threshold * (1 - threshold) * k)))
-    return F.when(n <= int(threshold * k), sure).otherwise(chance)
+    """The least of pair_overlap over all sizes that a set of size n can link to."""
+    exact, partner = F.ceil(n * threshold - 1e-9), F.ceil(n / threshold)
+    drawn = _surely(F.lit(threshold * k), F.lit(threshold), k, partner)
+    return F.greatest(F.lit(1), F.when(partner <= k, exact).otherwise(F.least(drawn, exact)))
+
 
+def _least_overlap(n: int, k: int, threshold: float) -> int:
+    """least_overlap for one number."""
+    exact, partner = math.ceil(n * threshold - 1e-9), math.ceil(n / threshold)
+    if partner <= k:
+        return max(1, exact)
+    drawn = threshold * k - SIGMAS * math.sqrt(k * threshold * (1 - threshold) * (partner - k) / (partner - 1))
+    return max(1, min(exact, math.floor(drawn)))
 
-def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str) -> DataFrame:
-    """id, n (set size), class (digest of the set), sketch (the k least hashes)."""
+
+def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str, head: float | None = None) -> DataFrame:
+    """id, n (set size), class (digest of the set), sketch (the k least hashes; with a threshold as ``head`` only the first that a link must share)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +126,7 @@ def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str
                 s = shingle_set(text, width)
                 size.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                kept.append(s[:k].view(np.int64))
+                kept.append(s[: k if head is None or not len(s) else min(k, len(s)) - _least_overlap(len(s), k, head) + 1].view(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in kept])]).astype(np.int32)
             flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(flat))], names=["id", "n", "class", "sketch"])
@@ -106,29 +135,31 @@ def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str
 
 
 def prefix_lists(reps: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(v, df, id, n): the kept values, rarest first, that may be the first shared one of a link."""
+    """(v, df, id, n, pos): the kept values, rarest first, that may be the first shared one of a link; pos counts from 1."""
     each = reps.select("id", "n", F.explode("sketch").alias("v"))
     common = each.groupBy("v").agg(F.count("*").cast("int").alias("df")).filter("df > 1")
     shared = each.join(common, "v").groupBy("id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
     # values that nobody else keeps come first in the order and need no list
     own = F.least(F.col("n"), F.lit(k)) - F.size("vs")
     room = (F.least(F.col("n"), F.lit(k)) - least_overlap(F.col("n"), k, threshold) + 1 - own).cast("int")
-    return shared.filter(room > 0).select("id", "n", F.explode(F.slice("vs", F.lit(1), room)).alias("x")).select("x.v", "x.df", "id", "n")
+    return shared.filter(room > 0).select("id", "n", own.alias("own"), F.posexplode(F.slice("vs", F.lit(1), room)).alias("i", "x")).select("x.v", "x.df", "id", "n", (F.col("own") + F.col("i") + 1).alias("pos"))
 
 
-def _sizes_fit(n, m, threshold: float):
-    return (n >= F.lit(threshold) * m) & (m >= F.lit(threshold) * n)
+def may_link(n, pos, m, at, k: int, threshold: float):
+    """Whether sets of sizes n and m can link if the first value that they share is at these positions."""
+    c = pair_overlap(n, m, k, threshold)
+    return (n >= F.lit(threshold) * m) & (m >= F.lit(threshold) * n) & (F.least(n, F.lit(k)) - pos + 1 >= c) & (F.least(m, F.lit(k)) - at + 1 >= c)
 
 
-def short_pairs(lists: DataFrame, threshold: float) -> DataFrame:
+def short_pairs(lists: DataFrame, k: int, threshold: float) -> DataFrame:
     """All pairs of the short lists."""
-    held = lists.filter(F.col("df") <= SHORT_LIST).groupBy("v").agg(F.collect_list(F.struct("id", "n")).alias("xs")).filter(F.size("xs") > 1)
-    pairs = F.flatten(F.transform("xs", lambda x: F.transform(F.filter("xs", lambda y: (y["id"] > x["id"]) & _sizes_fit(x["n"], y["n"], threshold)), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))))
+    held = lists.filter(F.col("df") <= SHORT_LIST).groupBy("v").agg(F.collect_list(F.struct("id", "n", "pos")).alias("xs")).filter(F.size("xs") > 1)
+    pairs = F.flatten(F.transform("xs", lambda x: F.transform(F.filter("xs", lambda y: (y["id"] > x["id"]) & may_link(x["n"], x["pos"], y["n"], y["pos"], k, threshold)), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))))
     return held.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, full, k: int, threshold: float) -> DataFrame:
-    """The pairs that link: estimated on union sketches, then exact.  ``full()`` gives (id, words set) of all that may be asked for."""
+def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, threshold: float) -> DataFrame:
+    """The pairs that link: estimated on union sketches, then exact.  ``full`` has (id, set) of all that may be asked for."""
     side = lambda at: reps.select(F.col("id").alias(at), F.col("n").alias(f"n_{at}"), F.col("sketch").alias(f"s_{at}"))
     margin = SIGMAS * math.sqrt(threshold * (1 - threshold) / k)
 
@@ -150,8 +181,13 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full, k: int, threshold: float)
             take = pa.array(sure | maybe)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(take), batch.column(1).filter(take), pa.array(sure[sure | maybe])], names=["a", "b", "sure"])
 
+    pairs = cut(pairs)
+    if pairs.isEmpty():
+        return pairs
     judged = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(judge, "a long, b long, sure boolean"))
     ask = judged.filter("not sure").select("a", "b")
+    if ask.isEmpty():
+        return judged.select("a", "b")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,55 +199,47 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full, k: int, threshold: float)
             take = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(take), batch.column(1).filter(take)], names=["a", "b"])
 
-    sets = full()
-    side = lambda at: sets.select(F.col("id").alias(at), F.col("set").alias(f"s_{at}"))
+    side = lambda at: full.select(F.col("id").alias(at), F.col("set").alias(f"s_{at}"))
     sure = ask.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(exact, "a long, b long")
     return cut(judged.filter("sure").select("a", "b").unionByName(sure))
 
 
-def link(df: DataFrame, k: int = 96, width: int = 5, threshold: float = 0.75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def link(df: DataFrame, k: int = 160, width: int = 5, threshold: float = 0.75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row: id, n_shingles, component_id, kept."""
-    rows = cut(sketches(df, k, width, id_column, text_column))
-    classes = cut(rows.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    lists = cut(prefix_lists(classes.select("id", "n", "sketch"), k, threshold))
-
-    listed = lists.select("id").distinct()
-    texts = None
-
-    def full() -> DataFrame:
-        """The full sets of the classes that stand in a list, written once."""
-        nonlocal texts
-        if texts is None:
-            large = listed.join(classes.filter(F.col("n") > k).select("id"), "id", "left_semi").withColumnRenamed("id", "_id")
-
-            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "set"])
-
-            texts = cut(df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).join(large, F.col("id") == F.col("_id"), "left_semi"))
-            texts = texts.mapInArrow(run, "id long, set binary")
-        return texts
+    seen = sketches(df, k, width, id_column, text_column, threshold)
+    rows = cut(seen.select("id", "n", "class"))
+    classes = cut(seen.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")))
+    each = classes.select("id", F.explode("sketch").alias("v"))
+    common = each.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1").select("v")
+    meets = each.join(common, "v", "left_semi").select(F.col("id").alias("_id")).distinct()
+    texts = cut(df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).join(meets, F.col("id") == F.col("_id"), "left_semi"))
+    reps = cut(sketches(texts, k, width, "id", "text").groupBy("id", "class").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")).drop("class"))
+    lists = cut(prefix_lists(reps, k, threshold))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "set"])
 
-    reps = classes.select("id", "n", "sketch")
-    links = confirmed(short_pairs(lists, threshold), reps, full, k, threshold)
+    full = texts.mapInArrow(sets, "id long, set binary")
+    links = confirmed(short_pairs(lists, k, threshold), reps, full, k, threshold)
     found = components(links)
-    long_lists = cut(lists.filter(F.col("df") > SHORT_LIST).select("v", "id", "n"))
+    long_lists = cut(lists.filter(F.col("df") > SHORT_LIST).select("v", "id", "n", "pos"))
     leaders = LEADERS
     while True:
-        placed = long_lists.join(found, F.col("id") == F.col("node"), "left").select("v", "id", "n", F.coalesce("component", "id").alias("comp"))
+        placed = long_lists.join(found, F.col("id") == F.col("node"), "left").select("v", "id", "n", "pos", F.coalesce("component", "id").alias("comp"))
         several = placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("v")
         placed = cut(placed.join(several, "v", "left_semi"))
         if placed.isEmpty():
             break
-        first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n")).alias("lead"))
+        first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n", "pos")).alias("lead"))
         rank = F.row_number().over(Window.partitionBy("v").orderBy("lead.id"))
-        led = cut(first.withColumn("rank", rank).filter(F.col("rank") <= leaders).select(F.col("v"), F.col("lead.id").alias("l"), F.col("lead.n").alias("l_n"), F.col("comp").alias("l_comp")))
-        pairs = placed.join(led, "v").filter((F.col("comp") != F.col("l_comp")) & _sizes_fit(F.col("n"), F.col("l_n"), threshold))
+        led = cut(first.withColumn("rank", rank).filter(F.col("rank") <= leaders).select(F.col("v"), F.col("lead.id").alias("l"), F.col("lead.n").alias("l_n"), F.col("lead.pos").alias("l_pos"), F.col("comp").alias("l_comp")))
+        pairs = placed.join(led, "v").filter((F.col("comp") != F.col("l_comp")) & may_link(F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos"), k, threshold))
         fresh = confirmed(pairs.select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct(), reps, full, k, threshold)
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
             found = components(links)
-        long_lists = placed.select("v", "id", "n").join(led.select("v", F.col("l").alias("id")), ["v", "id"], "left_anti")
+        long_lists = placed.select("v", "id", "n", "pos").join(led.select("v", F.col("l").alias("id")), ["v", "id"], "left_anti")
         leaders *= GROWTH
     rep = classes.select("class", F.col("id").alias("rep")).join(found, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("id", "n", "class").join(rep, "class", "left")
