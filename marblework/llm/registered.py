@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marblework.llm import bpe, chat, decontam, langid, near_dup, quality, secrets, substring, warc
+from marblework.llm import bpe, chat, decontam, langid, near_dup, quality, secrets, substring, suffix, warc
 from marblework.llm.common import shared_dir
 
 
@@ -45,6 +45,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write(_table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
     return warc.read(manifest, with_payload=False).drop("url")
@@ -56,7 +60,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_tree, op2_near_dedup, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op9_warc, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_chat_tree, op2_near_dedup, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op8_suffix_dedup, op9_warc, op10_language)}
 
 SQL = {
     "op1_chat_tree": r"""
