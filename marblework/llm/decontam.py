@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import map_rows
+from marblework.llm.common import filter_rows, map_rows
 
 #: Lower-cases A-Z and blanks every ASCII byte that is neither digit nor letter; other bytes stay.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -151,6 +151,26 @@ def find(
     return got.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def keep_clean(df: DataFrame, benchmark: DataFrame, width: int = 13, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", chunk_bytes: int = 8_000_000) -> DataFrame:
+    """All columns of the rows that are not contaminated.
+
+    A row is judged where it stands, by one matcher after the other; executors
+    hold the matchers' blocks on disk where memory lacks.
+    """
+    held = [df.sparkSession.sparkContext.broadcast(c) for c in _chunks(benchmark, item_column, item_text_column, width, chunk_bytes)]
+
+    def keep(text: str | None) -> bool:
+        words = words_of(text)
+        hit, found = np.zeros(len(words), bool), set()
+        for chunk in held:
+            for m in chunk.value:
+                m.search(words, hit, found)
+        n = int(hit.sum())
+        return not (n > 0 and 20 * n >= len(words))
+
+    return filter_rows(df, text_column, keep)
+
+
 def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``find``'s rows with the items as one SHA-256 in place of the list."""
     return found.select(id_column, "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
