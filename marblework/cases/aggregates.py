@@ -1 +1,105 @@
-"""Being written."""
+"""Roll-ups, value profiles and counts over the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marblework.operators import rollup as A
+from marblework.registry import query
+from marblework.session import table
+
+
+def _placed(spark, sf_dir):
+    t = lambda n: table(spark, sf_dir, n)
+    return t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", "n_name", F.round("c_acctbal").cast("long").alias("balance"), "c_nationkey")
+
+
+@query("agg_hierarchy", "SELECT n_name, CAST(sum(CAST(round(c_acctbal) AS BIGINT)) AS BIGINT) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+def _(spark, sf_dir):
+    return A.rollup(_placed(spark, sf_dir), {"nation": ["n_name"], "region": ["r_name"]}, exclude=["c_nationkey"])["nation"]
+
+
+@query("agg_hierarchy_once", "WITH p AS (SELECT r_name, n_name, CAST(round(c_acctbal) AS BIGINT) AS b FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) SELECT 'nation' AS level, r_name, n_name, CAST(sum(b) AS BIGINT) AS balance FROM p GROUP BY 2, 3 UNION ALL SELECT 'region', r_name, NULL, CAST(sum(b) AS BIGINT) FROM p GROUP BY r_name")
+def _(spark, sf_dir):
+    return A.rollup_once(_placed(spark, sf_dir), {"nation": ["r_name", "n_name"], "region": ["r_name"]}, exclude=["c_nationkey"])
+
+
+@query("agg_hierarchy_count", "SELECT c_mktsegment, count(*) AS record_count FROM customer GROUP BY 1")
+def _(spark, sf_dir):
+    return A.level(table(spark, sf_dir, "customer").select("c_mktsegment", "c_name"), ["c_mktsegment"])
+
+
+@query("agg_hierarchy_over_mart", "SELECT r_name, CAST(sum(CAST(round(c_acctbal) AS BIGINT)) AS BIGINT) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
+def _(spark, sf_dir):
+    mart = A.level(_placed(spark, sf_dir), ["r_name", "n_name"], exclude=["c_nationkey"])
+    return A.level(mart, ["r_name"])
+
+
+@query("agg_profile_distinct")
+def _(spark, sf_dir):
+    return A.profile_distinct(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus", "l_partkey", "l_suppkey"])
+
+
+_TOP = """WITH u AS (SELECT 'o_orderstatus' AS c, o_orderstatus AS value FROM orders UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders),
+g AS (SELECT c, value, count(*) AS n FROM u GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY n DESC, value) AS rank, sum(n) OVER (PARTITION BY c) AS whole, count(*) OVER (PARTITION BY c) AS k FROM g)
+SELECT c AS "column", value, n AS count, round(n * 100.0 / whole, 2) AS pct, CAST(rank AS INTEGER) AS rank, k > 4 AS truncated FROM r WHERE rank <= 4"""
+
+
+@query("agg_top_values", _TOP)
+def _(spark, sf_dir):
+    return A.top_values(table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"], 4)
+
+
+@query("agg_missingness", "SELECT 'half' AS \"column\", round(count(*) FILTER (o_orderkey % 2 = 0) * 100.0 / count(*), 4) AS pct FROM orders UNION ALL SELECT 'o_orderkey', 0.0")
+def _(spark, sf_dir):
+    return A.missingness(table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, " ").otherwise("x").alias("half")))
+
+
+@query("agg_preview", "SELECT count(*) AS row_count, count(*) > 20 AS truncated, 3 AS columns FROM region")
+def _(spark, sf_dir):
+    regions = table(spark, sf_dir, "region")
+    got = A.preview(regions.withColumn("extra", F.lit(1)).select("r_regionkey", "r_name", "extra"))
+    return got["rows"].agg(F.lit(got["row_count"]).alias("row_count"), F.lit(got["truncated"]).alias("truncated"), F.lit(len(got["schema"])).alias("columns"))
+
+
+@query("agg_row_count", "SELECT count(*) AS n FROM lineitem")
+def _(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n"))
+
+
+@query("agg_schema", "SELECT 'r_regionkey' AS name, 'int' AS type FROM (SELECT count(*) FROM region) UNION ALL SELECT 'r_name', 'string'")
+def _(spark, sf_dir):
+    from marblework.operators.joins import column_rows
+
+    return column_rows(table(spark, sf_dir, "region"))
+
+
+@query("agg_dup_keys", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1")
+def _(spark, sf_dir):
+    return A.duplicate_keys(table(spark, sf_dir, "orders"), ["o_custkey"])
+
+
+@query("agg_dup_rows", "SELECT count(*) - count(DISTINCT (l_partkey % 100, l_returnflag)) AS duplicate_rows FROM lineitem")
+def _(spark, sf_dir):
+    return A.duplicate_rows(table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 100).alias("k"), "l_returnflag"))
+
+
+@query("agg_mean_stdev_outliers", "WITH s AS (SELECT avg(v) AS m, stddev_samp(v) AS d FROM (SELECT CASE WHEN event_id % 500 = 0 THEN value * 1000 ELSE value END AS v FROM events)) SELECT 'v' AS \"column\", count(*) AS n, count(*) FILTER (abs(v - m) > 4 * d) AS outliers FROM (SELECT CASE WHEN event_id % 500 = 0 THEN value * 1000 ELSE value END AS v FROM events), s")
+def _(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 500 == 0, F.col("value") * 1000).otherwise(F.col("value")).alias("v"))
+    return A.outliers(e, ["v"])
+
+
+@query("agg_status_summary", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def _(spark, sf_dir):
+    return A.status_summary(table(spark, sf_dir, "orders"), "o_orderstatus")
+
+
+@query("ord_cap", "SELECT count(*) > 500 AS truncated FROM orders")
+def _(spark, sf_dir):
+    return A.capped(table(spark, sf_dir, "orders"), 500)[1]
+
+
+@query("ord_list_limit", "SELECT n_name FROM nation ORDER BY n_name LIMIT 15")
+def _(spark, sf_dir):
+    return A.capped(table(spark, sf_dir, "nation").select("n_name").orderBy("n_name"), 15)[0]
