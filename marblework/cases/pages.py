@@ -1 +1,71 @@
-"""Being written."""
+"""Web operators over the pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marblework.operators import web as W
+from marblework.registry import query
+from marblework.session import table
+
+_WORDS = "regexp_extract_all(html, 'href=\"/([A-Za-z]+)\"', 1)"
+
+
+def _pages(spark, sf_dir):
+    """The pages with their plain links turned into links to yearly files."""
+    return table(spark, sf_dir, "pages").withColumn("html", F.regexp_replace("html", 'href="/([A-Za-z]+)"', 'title="T" href="/REG_$1_2021.csv"'))
+
+
+_LINKS = f"WITH l AS (SELECT DISTINCT url AS page, regexp_extract(url, '^[a-z]+://[^/]*') || '/REG_' || w || '_2021.csv' AS link, w FROM (SELECT url, unnest({_WORDS}) AS w FROM pages)) "
+
+
+@query("web_links", _LINKS + "SELECT page, link, 'CSV' AS format, 'T' AS title FROM l")
+def _(spark, sf_dir):
+    return W.data_links(_pages(spark, sf_dir)).select("page", "link", "format", "title")
+
+
+@query("web_link_fields", _LINKS + "SELECT page, link, 'REG_' || w || '_2021' AS filename, 'REG' AS prefix, [2021] AS years FROM l")
+def _(spark, sf_dir):
+    return W.data_links(_pages(spark, sf_dir)).select("page", "link", "filename", "prefix", "years")
+
+
+@query("web_link_groups", _LINKS + "SELECT 'REG' AS prefix, count(*) AS count, [2021] AS years, ['CSV'] AS formats, 'T' AS title FROM l")
+def _(spark, sf_dir):
+    return W.link_groups(W.data_links(_pages(spark, sf_dir)))
+
+
+@query("web_rss", "SELECT url AS page, regexp_extract(url, '^[a-z]+://[^/]*') || '/feed' AS feed, 'News' AS title FROM pages WHERE page_id % 2 = 0")
+def _(spark, sf_dir):
+    tag = F.when(F.col("page_id") % 2 == 0, '<link rel="alternate" type="application/rss+xml" title="News" href="/feed">').otherwise('<link rel="stylesheet" href="/x.css">')
+    return W.feeds(table(spark, sf_dir, "pages").withColumn("html", F.concat(tag, "html")))
+
+
+@query("web_jsonapi_flag", "SELECT page_id, contains(lower(html || CASE WHEN page_id % 3 = 0 THEN 'JsonAPI' ELSE '' END), 'jsonapi') AS flag FROM pages")
+def _(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").withColumn("html", F.concat("html", F.when(F.col("page_id") % 3 == 0, "JsonAPI").otherwise("")))
+    return p.select("page_id", W.has_jsonapi(F.col("html")).alias("flag"))
+
+
+@query("web_internal_links", "SELECT url AS page, CAST(len(list_filter(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1), lambda h: trim(h) <> '' AND NOT regexp_matches(trim(h), '^(?i)(#|mailto:|tel:|javascript:)') AND (NOT regexp_matches(trim(h), '^([a-zA-Z][a-zA-Z0-9+.-]*:|//)') OR lower(regexp_extract(trim(h), '^[a-zA-Z+.-]*:?//([^/:?#]*)', 1)) = lower(regexp_extract(url, '^[a-zA-Z+.-]*://([^/:?#]*)', 1))))) AS INTEGER) AS internal_links FROM pages")
+def _(spark, sf_dir):
+    return W.internal_links(table(spark, sf_dir, "pages"))
+
+
+@query("web_ckan_flag", "SELECT page_id, contains(html, 'CKAN') OR contains(html, 'ckan-') OR contains(html, '/api/3/action/') OR page_id % 5 = 0 AS flag FROM pages")
+def _(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").withColumn("html", F.concat("html", F.when(F.col("page_id") % 5 == 0, "/api/3/action/package_list").otherwise("")))
+    return p.select("page_id", W.has_ckan(F.col("html")).alias("flag"))
+
+
+@query("web_ckan_id", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'set-' || page_id WHEN 1 THEN 'p' || page_id END AS id FROM pages")
+def _(spark, sf_dir):
+    k = F.col("page_id")
+    p = table(spark, sf_dir, "pages").withColumn("url", F.when(k % 3 == 0, F.concat(F.lit("http://x.it/dataset/set-"), k.cast("string"), F.lit("?a=1"))).otherwise("http://x.it/")).withColumn("html", F.concat("html", F.when(k % 3 == 1, F.concat(F.lit('"/api/3/action/package_show?id=p'), k.cast("string"), F.lit('"'))).otherwise("")))
+    return p.select("page_id", W.ckan_id(F.col("url"), F.col("html")).alias("id"))
+
+
+@query("web_endpoint_kind", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'sdmx' WHEN 1 THEN 'sparql' END AS kind FROM pages")
+def _(spark, sf_dir):
+    k = F.col("page_id") % 3
+    u = F.concat("url", F.when(k == 0, "&x=SDMX/rest").when(k == 1, "/sparql").otherwise(""))
+    return table(spark, sf_dir, "pages").select("page_id", W.endpoint_kind(u).alias("kind"))

@@ -1 +1,140 @@
-"""Being written."""
+"""Format inference over files made of the tables' rows, one small file per key."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marblework.operators import joins as J
+from marblework.operators import profile as P
+from marblework.operators import rollup as A
+from marblework.registry import query
+from marblework.session import table
+
+
+def _files(spark, sf_dir):
+    """A text per nation: a title line for odd keys, a header, a row per customer; separators by key."""
+    sep = F.element_at(F.array(*map(F.lit, P.DELIMITERS)), (F.col("c_nationkey") % 4 + 1).cast("int"))
+    row = F.concat(F.col("c_custkey").cast("string"), sep, F.translate("c_name", "#", ""), sep, F.col("c_mktsegment"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("r")))), lambda x: x["r"]), "\n")
+    per = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(body.alias("b"))
+    head = F.concat(F.lit("id"), sep, F.lit("nome"), sep, F.lit("segmento"))
+    title = F.when(F.col("c_nationkey") % 2 == 1, "Tabella clienti\n").otherwise("")
+    return per.select(F.col("c_nationkey").alias("path"), F.concat(title, head, F.lit("\n"), "b").alias("text"))
+
+
+@query("prf_delim", "SELECT c_nationkey AS path, [';', ',', chr(9), '|'][c_nationkey % 4 + 1] AS delimiter FROM customer GROUP BY 1")
+def _(spark, sf_dir):
+    return P.delimiter(P.numbered_lines(_files(spark, sf_dir)))
+
+
+@query("prf_skip", "SELECT c_nationkey AS path, CAST(c_nationkey % 2 AS INTEGER) AS skip FROM customer GROUP BY c_nationkey")
+def _(spark, sf_dir):
+    lines = P.numbered_lines(_files(spark, sf_dir))
+    return P.skip_lines(lines.join(P.delimiter(lines), "path"))
+
+
+@query("prf_header_mismatch", "SELECT c_nationkey AS path, c_nationkey % 2 = 1 AS robust FROM customer GROUP BY c_nationkey")
+def _(spark, sf_dir):
+    lines = P.numbered_lines(_files(spark, sf_dir))
+    return P.header_mismatch(lines.join(P.delimiter(lines), "path"))
+
+
+@query("prf_decimal", "SELECT l_suppkey AS path, CASE WHEN l_suppkey % 2 = 0 THEN ',' ELSE '.' END AS decimal FROM lineitem GROUP BY 1")
+def _(spark, sf_dir):
+    number = F.format_string("%.2f", F.col("l_extendedprice"))
+    said = F.when(F.col("l_suppkey") % 2 == 0, F.replace(number, F.lit("."), F.lit(","))).otherwise(number)
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("path"), F.concat(F.lit("x;"), said).alias("line"), F.lit(";").alias("delimiter"))
+    return P.decimal_mark(lines)
+
+
+@query("prf_encoding", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'utf-8-sig' WHEN doc_id % 3 = 1 AND regexp_matches(text, '[éüäößèàçñóíêô]') THEN 'windows-1252' ELSE 'utf-8' END AS encoding FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7Féüäößèàçñóíêô]')")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").filter(~F.col("text").rlike("[^\\x00-\\x7Féüäößèàçñóíêô]"))
+    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"))).when(F.col("doc_id") % 3 == 1, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    return docs.select("doc_id", P.encoding(raw).alias("encoding"))
+
+
+@query("prf_binary_kind", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'xls' WHEN 1 THEN 'zip' WHEN 2 THEN 'xlsx' END AS kind FROM pages")
+def _(spark, sf_dir):
+    head = F.unhex(F.element_at(F.array(F.lit("D0CF11E0A1B1"), F.lit("504B0304"), F.lit("504B0304786C2F"), F.lit("")), (F.col("page_id") % 4 + 1).cast("int")))
+    return table(spark, sf_dir, "pages").select("page_id", P.binary_kind(F.concat(head, F.encode(F.translate("html", "[]/", ""), "UTF-8"))).alias("kind"))
+
+
+def _cells(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    price = F.replace(F.format_string("%.2f", F.col("o_totalprice")), F.lit("."), F.lit(","))
+    wide = o.select(F.col("o_orderkey").alias("n"), F.col("o_custkey").cast("string").alias("codice"), price.alias("prezzo"), F.concat((F.col("o_orderkey") % 100).cast("string"), F.lit("%")).alias("quota"), F.when(F.col("o_orderkey") % 2 == 0, "N/A").otherwise(F.col("o_orderpriority")).alias("nome_ente"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("data"))
+    return wide.unpivot(["n"], ["codice", "prezzo", "quota", "nome_ente", "data"], "column", "value")
+
+
+_KINDS = "(VALUES ('codice', NULL, 'int', []::VARCHAR[], NULL), ('prezzo', 'number_it', 'float', [], NULL), ('quota', 'percent_it', 'float', [], NULL), ('nome_ente', NULL, 'str', ['N/A'], ['trim', 'title', 'collapse_spaces']), ('data', NULL, 'str', [], ['trim', 'collapse_spaces'])) t(c, kind, type, null_tokens, normalize) WHERE (SELECT count(*) FROM orders) > 30"
+
+
+@query("prf_mapping", f'SELECT c AS "column", kind, type, null_tokens, normalize FROM {_KINDS}')
+def _(spark, sf_dir):
+    return P.column_kinds(_cells(spark, sf_dir))
+
+
+for _name, _field in (("prf_value_kind", "kind"), ("prf_type", "type"), ("prf_null_tokens", "null_tokens"), ("prf_normalize_hint", "normalize")):
+    query(_name, f'SELECT c AS "column", {_field} FROM {_KINDS}')(lambda spark, sf_dir, f=_field: P.column_kinds(_cells(spark, sf_dir)).select("column", f))
+
+
+@query("prf_date_columns", "SELECT 'data' AS \"column\" FROM (SELECT count(*) FROM orders)")
+def _(spark, sf_dir):
+    return P.date_columns(_cells(spark, sf_dir))
+
+
+@query("prf_date_format", "SELECT 'dd/MM/yyyy' AS format FROM (SELECT count(*) FROM orders)")
+def _(spark, sf_dir):
+    return P.common_date_format(P.date_formats(_cells(spark, sf_dir).filter("column = 'data'")))
+
+
+@query("prf_year_column", "SELECT DISTINCT 'Anno' AS name FROM orders")
+def _(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("Anno"))
+    return P.year_columns(J.column_rows(o)).select("name")
+
+
+@query("prf_year_values", "SELECT 'anno' AS \"column\", CAST(min(year(o_orderdate)) AS INTEGER) AS low, CAST(max(year(o_orderdate)) AS INTEGER) AS high FROM orders")
+def _(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("anno"), "o_orderstatus")
+    return P.year_values(A.unpivoted(o, ["anno", "o_orderstatus"]))
+
+
+@query("prf_read_hints", "SELECT c_nationkey AS path, [';', ',', chr(9), '|'][c_nationkey % 4 + 1] AS delimiter, 'utf-8' AS encoding, '.' AS decimal, CAST(c_nationkey % 2 AS INTEGER) AS skip FROM customer GROUP BY c_nationkey")
+def _(spark, sf_dir):
+    files = _files(spark, sf_dir)
+    lines = P.numbered_lines(files)
+    found = P.delimiter(lines)
+    known = lines.join(found, "path")
+    hints = P.read_hints(files.select("path", P.encoding(F.encode("text", "UTF-8")).alias("encoding")), found, P.decimal_mark(known), P.skip_lines(known), P.header_mismatch(known))
+    return hints.select("path", "hints.delimiter", "hints.encoding", "hints.decimal", "hints.skip")
+
+
+@query("prf_header_real", "SELECT n_nationkey, n_nationkey % 2 = 0 AS real FROM nation")
+def _(spark, sf_dir):
+    first = F.when(F.col("n_nationkey") % 2 == 0, F.array(F.lit("ID"), F.lit("Nome"), F.col("n_name"))).otherwise(F.array(F.lit("12"), F.col("n_name"), F.lit("x")))
+    return table(spark, sf_dir, "nation").select("n_nationkey", P.header_real(first, F.array(F.lit("id"), F.lit("nome"), F.lit("valore"))).alias("real"))
+
+
+@query("prf_roles", "SELECT 'regione' AS name, 'dimension' AS role, 'region_code' AS semantic_type FROM (SELECT count(*) FROM orders) UNION ALL SELECT 'valore', 'metric', NULL UNION ALL SELECT 'stato', 'dimension', NULL")
+def _(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("regione"), F.col("o_totalprice").alias("valore"), F.col("o_orderstatus").alias("stato"))
+    return P.roles(J.column_rows(o)).select("name", "role", "semantic_type")
+
+
+@query("prf_batch_profiles", "WITH o AS (SELECT o_orderpriority AS slug, year(o_orderdate) AS y, o_orderstatus FROM orders), m AS (SELECT slug, max(y) AS y FROM o GROUP BY 1) SELECT o.slug, CAST(m.y AS INTEGER) AS year, o_orderstatus AS value, count(*) AS n FROM o JOIN m ON o.slug = m.slug AND o.y = m.y GROUP BY 1, 2, 3")
+def _(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("slug"), F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("value"))
+    last = o.groupBy("slug").agg(F.max("year").alias("year"))
+    return o.join(last, ["slug", "year"]).groupBy("slug", "year", "value").agg(F.count("*").alias("n"))
+
+
+@query("prf_source_preview", "SELECT (SELECT count(*) FROM orders) AS row_count, CAST(min(year(o_orderdate)) AS INTEGER) AS low, CAST(max(year(o_orderdate)) AS INTEGER) AS high, 'regione' AS level FROM orders")
+def _(spark, sf_dir):
+    from marblework.functions.text import granularity
+
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("anno"), F.col("o_custkey").alias("regione"), "o_totalprice")
+    span = P.year_values(A.unpivoted(o, ["anno"])).select("low", "high")
+    level = granularity(F.lit("orders"), F.array(*map(F.lit, o.columns)))
+    return span.select(F.lit(A.preview(o)["row_count"]).alias("row_count"), "low", "high", level.alias("level"))
