@@ -1 +1,47 @@
-"""Being written."""
+"""Ad-hoc SQL over layers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marblework.operators import rollup as A
+from marblework.plans import adhoc as Q
+from marblework.plans.layers import run_sql
+from marblework.registry import query
+from marblework.session import table
+
+
+@query("sql_layer", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1 ORDER BY 2 DESC, 1")
+def _(spark, sf_dir):
+    return Q.layer_query(spark, {"data": table(spark, sf_dir, "orders")}, "SELECT o_orderstatus, count(*) AS n FROM data GROUP BY 1 ORDER BY 2 DESC, 1")[0]
+
+
+@query("sql_guarded", "WITH big AS (SELECT o_custkey FROM orders WHERE o_totalprice > 100000) SELECT c_name, count(*) AS n FROM big JOIN customer ON c_custkey = o_custkey GROUP BY 1")
+def _(spark, sf_dir):
+    frames = {"ordini": table(spark, sf_dir, "orders"), "clienti": table(spark, sf_dir, "customer")}
+    for bad in ("DROP TABLE x", "SELECT * FROM read_parquet('x')", "SELECT * FROM altro", "SELECT 1; SELECT 2", "SELECT * FROM parquet.`/x`"):
+        try:
+            Q.guarded(spark, bad, frames)
+        except ValueError:
+            continue
+        raise AssertionError(f"passed: {bad}")
+    return Q.guarded(spark, "WITH big AS (SELECT o_custkey FROM ordini WHERE o_totalprice > 100000) SELECT c_name, count(*) AS n FROM big JOIN clienti ON c_custkey = o_custkey GROUP BY 1", frames)
+
+
+@query("sql_params", "SELECT o_orderkey, 'ordini' AS dataset FROM orders WHERE year(o_orderdate) = 1996")
+def _(spark, sf_dir):
+    return run_sql(spark, "SELECT o_orderkey, :dataset AS dataset FROM {clean} WHERE year(o_orderdate) = :year", {"clean": table(spark, sf_dir, "orders")}, {"year": 1996, "dataset": "ordini"})
+
+
+@query("sql_dry_run", "SELECT 2 AS n_columns, TRUE AS good, FALSE AS bad FROM (SELECT count(*) FROM orders)")
+def _(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    empty = spark.createDataFrame([], orders.schema)
+    good = Q.dry_run(spark, {"data": empty}, "SELECT o_orderkey, o_custkey FROM data")
+    bad = Q.dry_run(spark, {"data": orders}, "SELECT nope FROM data")
+    return orders.limit(1).select(F.lit(len(good["schema"])).alias("n_columns"), F.lit(good["ok"]).alias("good"), F.lit(bad["ok"]).alias("bad"))
+
+
+@query("sql_preview", "SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey LIMIT 5")
+def _(spark, sf_dir):
+    return A.preview(table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), 5)["rows"]
