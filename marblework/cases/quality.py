@@ -1 +1,75 @@
-"""Being written."""
+"""Quality checks over delimited data made of customers and of documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marblework.operators import quality as Q
+from marblework.registry import query
+from marblework.session import table
+
+
+def _cells(spark, sf_dir):
+    """Customers with seeded faults: repeated rows, blanks, comma decimals, dates by day first."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        k.alias("n"),
+        F.floor(k / 2).cast("string").alias("customer_id"),
+        F.when(k % 4 == 0, "").otherwise(F.col("c_mktsegment")).alias("nome"),
+        F.replace(F.format_string("%.1f", F.col("c_nationkey") + 0.5), F.lit("."), F.lit(",")).alias("importo totale"),
+        F.lit("01/02/2023").alias("data"),
+        F.when(k % 3 == 0, "x").otherwise(F.col("c_nationkey").cast("string")).alias("regione"),
+    )
+
+
+def _lines(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select((F.col("doc_id") + 1).alias("n"), F.concat(F.when(F.col("doc_id") % 50 == 7, "caffÃ¨ \x01").otherwise(""), F.regexp_replace(F.substring("text", 1, 40), r"[\n\r#]", " ")).alias("line"))
+
+
+def found(spark, sf_dir):
+    return Q.checks(_lines(spark, sf_dir), _cells(spark, sf_dir))
+
+
+_SEEDED = """WITH k AS (SELECT c_custkey // 2 AS customer_id, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS nome, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN 'x' ELSE CAST(c_nationkey AS VARCHAR) END AS regione FROM customer),
+s AS (SELECT count(*) AS rows, count(DISTINCT customer_id) AS ids, count(*) FILTER (nome = '') / (5.0 * count(*)) AS empty, count(*) FILTER (regione <> 'x') / count(*) AS numeric, (SELECT count(*) - count(DISTINCT (customer_id, nome, c_nationkey, regione)) FROM k) AS dup FROM k),
+l AS (SELECT count(*) FILTER (doc_id % 50 = 7) AS odd FROM documents)"""
+_STATUS = {
+    "S1": "'pass'", "S2": "'pass'", "S3": "'pass'", "S4": "'pass'", "S5": "'pass'", "S6": "'pass'", "S7": "'info'", "S8": "'pass'",
+    "S9": "CASE WHEN odd > 0 THEN 'fail' ELSE 'pass' END", "S10": "'pass'", "S11": "CASE WHEN odd > 0 THEN 'warn' ELSE 'pass' END", "S12": "'pass'",
+    "C0": "'pass'", "C1": "CASE WHEN dup > 0 THEN 'warn' ELSE 'pass' END", "C2": "CASE WHEN empty > 0.3 THEN 'fail' WHEN empty > 0.1 THEN 'warn' ELSE 'pass' END",
+    "C3": "CASE WHEN ids < rows * 0.98 THEN 'warn' ELSE 'pass' END", "C4": "CASE WHEN numeric > 0.5 AND numeric < 0.9 THEN 'warn' ELSE 'pass' END",
+    "C5": "'warn'", "C6": "'warn'", "C7": "'pass'", "C8": "'pass'", "O1": "CASE WHEN rows < 10 THEN 'warn' ELSE 'pass' END", "O2": "'pass'", "O3": "'pass'", "O4": "'warn'",
+    "O5": "'pass'", "O6": "'pass'", "O7": "'pass'", "O8": "'info'", "O9": "'pass'", "O10": "'pass'", "L1": "'info'", "L2": "'pass'", "L3": "'info'", "L4": "'info'", "L5": "'info'", "L6": "'pass'",
+}
+_ALL = _SEEDED + ", r AS (" + " UNION ALL ".join(f"SELECT '{k}' AS id, {v} AS status FROM s, l" for k, v in _STATUS.items()) + ")"
+
+query("qs_checks", _ALL + " SELECT id, status FROM r")(found)
+for _id in _STATUS:
+    query(f"qs_{_id}", _SEEDED + f" SELECT '{_id}' AS id, {_STATUS[_id]} AS status FROM s, l")(lambda spark, sf_dir, i=_id: found(spark, sf_dir).filter(F.col("id") == i))
+
+_W = "CASE status WHEN 'pass' THEN 1.0 WHEN 'warn' THEN 0.5 WHEN 'fail' THEN 0.0 WHEN 'info' THEN 1.0 END"
+_SCORED = _ALL + f", w AS (SELECT CAST(round(avg({_W}) FILTER (id[1] IN ('S', 'C')) * 100) AS INTEGER) AS structural, CAST(round(avg({_W}) FILTER (id[1] IN ('O', 'L')) * 100) AS INTEGER) AS semantic, CAST(round(avg({_W}) * 100) AS INTEGER) AS combined, count(*) FILTER (id IN ('S1', 'S3', 'S6') AND status = 'fail') > 0 AS critical, count(*) FILTER (id[1] IN ('S', 'C') AND status = 'fail') AS f, count(*) FILTER (id[1] IN ('S', 'C') AND status = 'warn') AS v FROM r)"
+
+
+@query("qs_score", _SCORED + " SELECT structural, semantic, combined, critical FROM w")
+def _(spark, sf_dir):
+    return Q.score(found(spark, sf_dir)).drop("verdict")
+
+
+@query("qs_verdict", _SCORED + " SELECT CASE WHEN critical OR f > 3 THEN 'poor' WHEN f > 0 OR v > 5 THEN 'acceptable' ELSE 'good' END AS verdict FROM w")
+def _(spark, sf_dir):
+    return Q.score(found(spark, sf_dir)).select("verdict")
+
+
+@query("qs_flags", _ALL + " SELECT list_sort(list_distinct(list(CASE WHEN id IN ('S8', 'S9') THEN 'encoding_issues' WHEN id = 'C2' THEN 'high_missing_rate' WHEN id IN ('O3', 'O4') THEN 'column_naming' WHEN id = 'C5' THEN 'non_iso_dates' END) FILTER (status IN ('fail', 'warn') AND id IN ('S8', 'S9', 'C2', 'O3', 'O4', 'C5')))) AS flags FROM r")
+def _(spark, sf_dir):
+    return Q.flags(found(spark, sf_dir))
+
+
+@query("qs_families", "SELECT * FROM (VALUES ('CLV', ['CLV']), ('CPV', ['CPV (Person)']), ('PC', ['PC (PublicContract)']), ('QB', ['QB (DataCube)'])) t(family, ontologies) WHERE (SELECT count(*) FROM customer) > 0")
+def _(spark, sf_dir):
+    headers = [c for c in _cells(spark, sf_dir).columns if c != "n"]
+    some = table(spark, sf_dir, "customer").limit(1).select(F.lit(1))
+    return Q.families(spark, headers).crossJoin(F.broadcast(some)).select("family", "ontologies")
