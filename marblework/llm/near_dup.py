@@ -4,11 +4,11 @@
    equal sets form a class; one member stands for it.
 2. A class keeps the k least hashes of its set.  Two sets that link must share at
    least ``c`` kept values, so in any global order of values they share one
-   among the first |sketch| - c + 1 of each.  By the order of the hashes, a
-   class none of whose first values is kept by another cannot link: it drops
-   out before its text is moved.  For the others, inverted lists hold those
-   first values by another order, rarest first.  A text whose rare values fill
-   that prefix meets nobody through common passages.
+   among the first |sketch| - c + 1 of each.  A small sketch sieves first: a
+   class with fewer than its ``c`` values that any other class keeps cannot
+   link and drops out before its text is moved.  For the others, inverted lists
+   hold the first values of a larger sketch, rarest first.  A text whose rare
+   values fill that prefix meets nobody through common passages.
 3. Short lists give all their pairs.  In a long list the members are compared
    with its leaders, the first members of its components so far; the lists that
    still hold several components go on with more leaders.  No list is capped and
@@ -107,17 +107,8 @@ def least_overlap(n, k: int, threshold: float):
     return F.greatest(F.lit(1), F.when(partner <= k, exact).otherwise(F.least(drawn, exact)))
 
 
-def _least_overlap(n: int, k: int, threshold: float) -> int:
-    """least_overlap for one number."""
-    exact, partner = math.ceil(n * threshold - 1e-9), math.ceil(n / threshold)
-    if partner <= k:
-        return max(1, exact)
-    drawn = threshold * k - SIGMAS * math.sqrt(k * threshold * (1 - threshold) * (partner - k) / (partner - 1))
-    return max(1, min(exact, math.floor(drawn)))
-
-
-def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str, head: float | None = None) -> DataFrame:
-    """id, n (set size), class (digest of the set), sketch (the k least hashes; with a threshold as ``head`` only the first that a link must share)."""
+def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str) -> DataFrame:
+    """id, n (set size), class (digest of the set), sketch (the k least hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +117,7 @@ def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str
                 s = shingle_set(text, width)
                 size.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                kept.append(s[: k if head is None or not len(s) else min(k, len(s)) - _least_overlap(len(s), k, head) + 1].view(np.int64))
+                kept.append(s[:k].view(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in kept])]).astype(np.int32)
             flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(flat))], names=["id", "n", "class", "sketch"])
@@ -204,14 +195,14 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, thresh
     return cut(judged.filter("sure").select("a", "b").unionByName(sure))
 
 
-def link(df: DataFrame, k: int = 160, width: int = 5, threshold: float = 0.75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold: float = 0.75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row: id, n_shingles, component_id, kept."""
-    seen = sketches(df, k, width, id_column, text_column, threshold)
-    rows = cut(seen.select("id", "n", "class"))
-    classes = cut(seen.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")))
-    each = classes.select("id", F.explode("sketch").alias("v"))
+    rows = cut(sketches(df, sieve, width, id_column, text_column))
+    classes = cut(rows.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    each = classes.select("id", "n", F.explode("sketch").alias("v"))
     common = each.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1").select("v")
-    meets = each.join(common, "v", "left_semi").select(F.col("id").alias("_id")).distinct()
+    met = each.join(common, "v", "left_semi").groupBy("id", "n").agg(F.count("*").alias("met"))
+    meets = met.filter(F.col("met") >= least_overlap(F.col("n"), sieve, threshold)).select(F.col("id").alias("_id")).distinct()
     texts = cut(df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).join(meets, F.col("id") == F.col("_id"), "left_semi"))
     reps = cut(sketches(texts, k, width, "id", "text").groupBy("id", "class").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")).drop("class"))
     lists = cut(prefix_lists(reps, k, threshold))
