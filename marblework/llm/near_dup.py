@@ -55,7 +55,7 @@ class _Hashes(dict):
     """Word to 64-bit hash, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = got = xxhash.xxh3_64_intdigest(word)
         return got
@@ -128,7 +128,8 @@ def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str
 def prefix_lists(reps: DataFrame, k: int, threshold: float) -> DataFrame:
     """(v, df, id, n, pos): the kept values, rarest first, that may be the first shared one of a link; pos counts from 1."""
     each = reps.select("id", "n", F.explode("sketch").alias("v"))
-    common = each.groupBy("v").agg(F.count("*").cast("int").alias("df")).filter("df > 1")
+    # written, so that the join's sides are plain exchanges and Spark can split a value that very many keep
+    common = cut(each.groupBy("v").agg(F.count("*").cast("int").alias("df")).filter("df > 1"))
     shared = each.join(common, "v").groupBy("id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
     # values that nobody else keeps come first in the order and need no list
     own = F.least(F.col("n"), F.lit(k)) - F.size("vs")
@@ -142,6 +143,17 @@ def may_link(n, pos, m, at, k: int, threshold: float):
     return (n >= F.lit(threshold) * m) & (m >= F.lit(threshold) * n) & (F.least(n, F.lit(k)) - pos + 1 >= c) & (F.least(m, F.lit(k)) - at + 1 >= c)
 
 
+def with_earlier(lists: DataFrame) -> DataFrame:
+    """(v, id, n, pos, earlier): ``earlier`` are the values of an id's lists before this one.
+
+    Two ids that share an earlier value meet in that list, so a pair is compared
+    in one list only.
+    """
+    per = lists.groupBy("id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("xs"))
+    each = per.select("id", "n", "xs", F.posexplode("xs").alias("i", "x"))
+    return each.select("x.v", "id", "n", "x.pos", F.transform(F.slice("xs", F.lit(1), F.col("i")), lambda y: y["v"]).alias("earlier"))
+
+
 def short_pairs(lists: DataFrame, k: int, threshold: float) -> DataFrame:
     """All pairs of the short lists."""
     held = lists.filter(F.col("df") <= SHORT_LIST).groupBy("v").agg(F.collect_list(F.struct("id", "n", "pos")).alias("xs")).filter(F.size("xs") > 1)
@@ -200,7 +212,7 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
     rows = cut(sketches(df, sieve, width, id_column, text_column))
     classes = cut(rows.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     each = classes.select("id", "n", F.explode("sketch").alias("v"))
-    common = each.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1").select("v")
+    common = cut(each.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1").select("v"))
     met = each.join(common, "v", "left_semi").groupBy("id", "n").agg(F.count("*").alias("met"))
     meets = met.filter(F.col("met") >= least_overlap(F.col("n"), sieve, threshold)).select(F.col("id").alias("_id")).distinct()
     texts = cut(df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).join(meets, F.col("id") == F.col("_id"), "left_semi"))
@@ -211,26 +223,26 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "set"])
 
-    full = texts.mapInArrow(sets, "id long, set binary")
+    full = cut(texts.mapInArrow(sets, "id long, set binary"))
     links = confirmed(short_pairs(lists, k, threshold), reps, full, k, threshold)
     found = components(links)
-    long_lists = cut(lists.filter(F.col("df") > SHORT_LIST).select("v", "id", "n", "pos"))
+    long_lists = cut(with_earlier(lists.filter(F.col("df") > SHORT_LIST)))
     leaders = LEADERS
     while True:
-        placed = long_lists.join(found, F.col("id") == F.col("node"), "left").select("v", "id", "n", "pos", F.coalesce("component", "id").alias("comp"))
+        placed = long_lists.join(found, F.col("id") == F.col("node"), "left").select("v", "id", "n", "pos", "earlier", F.coalesce("component", "id").alias("comp"))
         several = placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("v")
         placed = cut(placed.join(several, "v", "left_semi"))
         if placed.isEmpty():
             break
-        first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n", "pos")).alias("lead"))
+        first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n", "pos", "earlier")).alias("lead"))
         rank = F.row_number().over(Window.partitionBy("v").orderBy("lead.id"))
-        led = cut(first.withColumn("rank", rank).filter(F.col("rank") <= leaders).select(F.col("v"), F.col("lead.id").alias("l"), F.col("lead.n").alias("l_n"), F.col("lead.pos").alias("l_pos"), F.col("comp").alias("l_comp")))
-        pairs = placed.join(led, "v").filter((F.col("comp") != F.col("l_comp")) & may_link(F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos"), k, threshold))
+        led = cut(first.withColumn("rank", rank).filter(F.col("rank") <= leaders).select(F.col("v"), F.col("lead.id").alias("l"), F.col("lead.n").alias("l_n"), F.col("lead.pos").alias("l_pos"), F.col("lead.earlier").alias("l_earlier"), F.col("comp").alias("l_comp")))
+        pairs = placed.join(led, "v").filter((F.col("comp") != F.col("l_comp")) & ~F.arrays_overlap("earlier", "l_earlier") & may_link(F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos"), k, threshold))
         fresh = confirmed(pairs.select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct(), reps, full, k, threshold)
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
             found = components(links)
-        long_lists = placed.select("v", "id", "n", "pos").join(led.select("v", F.col("l").alias("id")), ["v", "id"], "left_anti")
+        long_lists = placed.select("v", "id", "n", "pos", "earlier").join(led.select("v", F.col("l").alias("id")), ["v", "id"], "left_anti")
         leaders *= GROWTH
     rep = classes.select("class", F.col("id").alias("rep")).join(found, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("id", "n", "class").join(rep, "class", "left")
