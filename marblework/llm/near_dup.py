@@ -25,8 +25,8 @@ value may have.
 
 Null, empty and wordless texts have an empty set and link with nothing.  Texts
 are read whole.  Rows with one id count as one document for linking; each row
-keeps its own set size.  An empty table gives an empty result.  Ids are
-integers.  Other columns are not read.
+keeps its own set size.  A row with a null id has a null component and is kept.
+An empty table gives an empty result.  Ids are integers.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -247,10 +247,10 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
     rep = classes.select("class", F.col("id").alias("rep")).join(found, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("id", "n", "class").join(rep, "class", "left")
     component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return out.select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """All columns of the rows that stand for their component; empty texts stay."""
-    kept = link(df, id_column=id_column, **options).filter("kept").select(F.col(id_column).alias("_kept")).distinct()
-    return df.join(kept, df[id_column] == F.col("_kept"), "left_semi")
+    """All columns of the rows whose id stands for its component; empty texts and null ids stay."""
+    gone = link(df, id_column=id_column, **options).filter("NOT kept").select(F.col(id_column).alias("_gone")).distinct()
+    return df.join(gone, df[id_column] == F.col("_gone"), "left_anti")

@@ -11,7 +11,7 @@ Grouping is pre-aggregated per task, so a unit that a third of all rows share
 arrives once per task.  The join that brings the kept place back to the other
 occurrences is a plain join whose hot keys Spark splits.
 
-Null and empty texts have no units.  Ties are impossible: a place is an id and
+Null and empty texts have no units.  A null id ranks first.  Ties are impossible: a place is an id and
 an offset; repeated rows of one id count as one place.  An empty table gives
 an empty one.  Other columns are not read.
 """
@@ -67,7 +67,7 @@ def repeated_units(df: DataFrame, min_words: int = 8, id_column: str = "doc_id",
     first = one.groupBy("digest").agg(F.min(F.struct("_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
     return (
         one.join(first, "digest")
-        .filter((F.col("_id") != F.col("first._id")) | (F.col("start") != F.col("first.start")))
+        .filter(~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("start") == F.col("first.start"))))
         .select(F.col("_id").alias(id_column), "start", "end", F.col("first._id").alias(f"first_{id_column}"), F.col("first.start").alias("first_start"))
     )
 
