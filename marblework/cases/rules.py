@@ -69,7 +69,7 @@ def _(spark, sf_dir):
     return R.lost_columns(J.diff_layers(J.column_rows(o.select("o_orderkey", "o_custkey", "o_totalprice")), J.column_rows(o.select("o_orderkey", F.lit(1).alias("anno")))))
 
 
-@query("val_promotion", "SELECT CAST(year(o_orderdate) AS VARCHAR) AS dataset, TRUE AS has_raw, round(count(*) FILTER (o_totalprice > 50000) * 100.0 / count(*), 2) AS row_pct, 66.67 AS column_pct FROM orders GROUP BY 1 HAVING count(*) FILTER (o_totalprice > 50000) > 0")
+@query("val_promotion", "SELECT CAST(year(o_orderdate) AS VARCHAR) AS dataset, TRUE AS has_raw, round(count(*) FILTER (o_totalprice > 50000) * 100.0 / count(*), 2) AS row_pct, CAST(66.67 AS DOUBLE) AS column_pct FROM orders GROUP BY 1 HAVING count(*) FILTER (o_totalprice > 50000) > 0")
 def _(spark, sf_dir):
     o = table(spark, sf_dir, "orders").withColumn("dataset", F.year("o_orderdate").cast("string"))
     raw = o.groupBy("dataset").agg(F.count("*").alias("rows"), F.lit(6).alias("columns"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -24,6 +25,8 @@ def duck(tiny):
 
 
 def plain(v):
+    if isinstance(v, Decimal):
+        v = float(v)
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 6)
     if isinstance(v, (list, tuple)):
