@@ -59,7 +59,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     regions = table(spark, sf_dir, "region")
     got = A.preview(regions.withColumn("extra", F.lit(1)).select("r_regionkey", "r_name", "extra"))
-    return got["rows"].agg(F.lit(got["row_count"]).alias("row_count"), F.lit(got["truncated"]).alias("truncated"), F.lit(len(got["schema"])).alias("columns"))
+    return got["rows"].agg(F.lit(got["row_count"]).cast("long").alias("row_count"), F.lit(got["truncated"]).alias("truncated"), F.lit(len(got["schema"])).alias("columns"))
 
 
 @query("agg_row_count", "SELECT count(*) AS n FROM lineitem")

@@ -137,4 +137,4 @@ def _(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("anno"), F.col("o_custkey").alias("regione"), "o_totalprice")
     span = P.year_values(A.unpivoted(o, ["anno"])).select("low", "high")
     level = granularity(F.lit("orders"), F.array(*map(F.lit, o.columns)))
-    return span.select(F.lit(A.preview(o)["row_count"]).alias("row_count"), "low", "high", level.alias("level"))
+    return span.select(F.lit(A.preview(o)["row_count"]).cast("long").alias("row_count"), "low", "high", level.alias("level"))

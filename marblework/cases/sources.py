@@ -140,7 +140,7 @@ def _(spark, sf_dir):
     from marblework.plans.layers import write_layer
 
     said = write_layer(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), folder(spark))
-    return table(spark, sf_dir, "supplier").limit(1).select(F.lit(said["row_count"]).alias("row_count"), F.lit(said["column_count"]).alias("column_count"))
+    return table(spark, sf_dir, "supplier").limit(1).select(F.lit(said["row_count"]).cast("long").alias("row_count"), F.lit(said["column_count"]).alias("column_count"))
 
 
 def _listing(spark, sf_dir):
@@ -158,10 +158,10 @@ def _(spark, sf_dir):
     return union_by_name([one("all"), one("latest"), one("largest")])
 
 
-@query("src_manifest", "SELECT sum(n) AS bytes FROM (SELECT 2 * count(*) AS n FROM supplier)")
+@query("src_manifest", "SELECT CAST(sum(n) AS BIGINT) AS bytes FROM (SELECT 2 * count(*) AS n FROM supplier)")
 def _(spark, sf_dir):
     path = landed(spark, table(spark, sf_dir, "supplier").select(F.lit("x").alias("value")), kind="text")
-    return L.manifest(spark, path + "/part-*", "test", "x").agg(F.sum("bytes").cast("double").alias("bytes"))
+    return L.manifest(spark, path + "/part-*", "test", "x").agg(F.sum("bytes").alias("bytes"))
 
 
 @query("src_raw_checks", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN ['empty'] WHEN 1 THEN ['html'] WHEN 2 THEN ['binary', 'tiny', 'one line'] ELSE []::VARCHAR[] END AS problems FROM pages WHERE octet_length(encode(html)) >= 200")
