@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from marblework.llm.common import ship
+
 #: The template's control strings.
 BEGIN, MIDDLE, END = "### ", ": ", "</turn>\n"
 TRAINED_ROLE = "assistant"
@@ -106,6 +108,7 @@ def pack_trees(df: DataFrame, max_chars: int = 1 << 17, max_members: int = 2000,
     conversation or first turn that a third of all rows share is spread over
     tasks, each of which writes the shared turns once per pack.
     """
+    ship(df.sparkSession)
     kind = df.schema[conv_column].dataType
     turns = F.array_sort(F.collect_list(F.struct(F.col(turn_column).alias("at"), F.coalesce(F.col(role_column), F.lit("")).alias("role"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))))
     whole = df.groupBy(F.col(conv_column).alias("conv_id")).agg(turns.alias("turns"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,6 +19,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SPACED_WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to Python workers that could not import it: those of a session started elsewhere.
+
+    Spark's own file server hands the archive to the executors.  Nothing is sent
+    where PYTHONPATH or the working folder, which workers share, has the package.
+    """
+    root, name = os.path.split(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    places = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    sc = spark.sparkContext
+    if os.path.isdir(root) and not any(p and os.path.realpath(p) == os.path.realpath(root) for p in places) and not any(x.startswith(f"{name}-") for x in sc._python_includes):
+        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), f"{name}-{uuid.uuid4().hex}"), "zip", root, name)
+        sc.addPyFile(made)
+
+
 def schema_of(df: DataFrame, columns: list[str], more: str) -> T.StructType:
     """The named columns of ``df``, then the DDL fields ``more``."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in (df.schema[c] for c in columns)] + T._parse_datatype_string(more).fields)
@@ -28,6 +44,7 @@ def map_rows(df: DataFrame, columns: list[str], more: str, fn: Callable[..., lis
     Rows pass in Arrow batches; nothing is shuffled and a lost task is repeated
     from its input.
     """
+    ship(df.sparkSession)
     out = schema_of(df, columns[:1], more)
     arrow = to_arrow_schema(out)
 
@@ -42,6 +59,7 @@ def map_rows(df: DataFrame, columns: list[str], more: str, fn: Callable[..., lis
 
 def filter_rows(df: DataFrame, column: str, keep: Callable[[str | None], bool]) -> DataFrame:
     """Rows whose ``column`` passes ``keep``, with all their columns as they are."""
+    ship(df.sparkSession)
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,6 +71,7 @@ def filter_rows(df: DataFrame, column: str, keep: Callable[[str | None], bool])
 
 def replace_text(df: DataFrame, column: str, fn: Callable[[str | None], str | None]) -> DataFrame:
     """All columns of ``df``, ``column`` rewritten by ``fn``."""
+    ship(df.sparkSession)
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

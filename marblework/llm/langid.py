@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import map_rows
+from marblework.llm.common import map_rows, ship
 
 UNKNOWN = "und"
 BITS = 15
@@ -95,6 +95,7 @@ def train(df: DataFrame, learn: Column, lang_column: str = "lang", text_column:
             at = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(held[at])], names=["lang", "bucket", "n"])
 
+    ship(df.sparkSession)
     sums = labelled.mapInArrow(run, "lang string, bucket int, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = sums.toPandas()
     langs = sorted(rows["lang"].unique())

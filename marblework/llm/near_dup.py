@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut
+from marblework.llm.common import cut, ship
 from marblework.llm.graph import components
 
 SIGMAS = 6.0
@@ -209,6 +209,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, thresh
 
 def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold: float = 0.75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row: id, n_shingles, component_id, kept."""
+    ship(df.sparkSession)
     rows = cut(sketches(df, sieve, width, id_column, text_column))
     classes = cut(rows.filter("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     each = classes.select("id", "n", F.explode("sketch").alias("v"))

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut
+from marblework.llm.common import cut, ship
 
 MAGIC = b"\x1f\x8b\x08"
 _READ = 1 << 20
@@ -62,6 +62,7 @@ def write(df: DataFrame, folder: str, min_bytes: int = 0, id_column: str = "page
 
     The manifest is written to the shared folder when this returns.
     """
+    ship(df.sparkSession)
     raw = F.coalesce(df[payload_column], F.lit("")).cast("binary")
     rows = df.select(df[id_column].cast("long").alias("page"), df[url_column].cast("string").alias("url"), raw.alias("payload")).withColumn("sha", F.unhex(F.sha1("payload")))
     owner = rows.filter(F.length("payload") >= min_bytes).groupBy("sha").agg(F.max("page").alias("owner"), F.count("*").alias("n")).filter("n > 1").drop("n")
@@ -165,6 +166,7 @@ def parse(content: bytes) -> dict:
 
 def read(manifest: DataFrame, split_bytes: int = 32 << 20, with_payload: bool = True) -> DataFrame:
     """One row per record of the archives: page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to."""
+    ship(manifest.sparkSession)
     ranges = manifest.filter("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     tasks = max(1, ranges.count())
     fields = ["page_id", "url", *["payload"] * with_payload, "payload_bytes", "payload_digest", "record_type", "refers_to"]
