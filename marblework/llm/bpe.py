@@ -33,7 +33,7 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 NEVER = 1 << 60
 LONG = 256
 #: Chunks that a Python worker remembers in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def read_vocabulary(path: str) -> dict:
