@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut
+from marblework.llm.common import cut, ship
 
 SLICE = 1 << 19
 _BITS = 20
@@ -292,6 +292,7 @@ def repeated(merged: list[tuple], window: int) -> Iterator[tuple[bytes, int, int
 def removed_spans(df: DataFrame, window: int = 400, core: int = 128, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """(units, spans): per unit its texts' SHA-256, rows and bytes; per unit with repeats its text and spans."""
     session = df.sparkSession
+    ship(session)
     raws = df.select(F.coalesce(df[text_column], F.lit("")).cast("binary").alias("raw")).withColumn("unit", F.unhex(F.sha2("raw", 256)))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +310,8 @@ def removed_spans(df: DataFrame, window: int = 400, core: int = 128, text_column
     marked = long_enough.select("unit", "raw").mapInArrow(mark, "unit binary, places array<long>, keys array<long>")
     units = cut(marked.groupBy("unit").agg(F.count("*").alias("rows"), F.first("places").alias("places"), F.first("keys").alias("keys")))
     each = units.select("unit", F.explode(F.arrays_zip("places", "keys")).alias("x")).select("unit", F.col("x.places").alias("place"), F.col("x.keys").alias("key"))
-    common = each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    # written, so that both sides of the join are plain exchanges and Spark can split a gram with very many places
+    common = cut(each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
     hot = each.join(common, "key", "left_semi").groupBy("unit").agg(F.collect_list("place").alias("hot"))
     texts = cut(long_enough.groupBy("unit").agg(F.first("raw").alias("raw")).join(hot, "unit"))
     parts = max(8, int(session.conf.get("spark.sql.shuffle.partitions")))
