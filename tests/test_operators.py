@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from marblework.cases import quality as cases
 from marblework.functions import text as X
 from marblework.operators import joins, payloads, quality, rollup, rules, web
 from marblework.plans import adhoc, layers
@@ -120,3 +121,14 @@ def test_union_needs_all_years(spark):
 
 def test_ontologies_take_the_first_part():
     assert quality.ontologies(["Codice Comune", "x", "importo"]) == {"Codice Comune": ["CLV", "ISTAT"], "importo": ["PC (PublicContract)", "QB (DataCube)"]}
+
+
+def test_quality_lines_are_whole_texts(spark, tmp_path):
+    long = "word " * 20
+    texts = [(0, f"first {long}\n\n# in the middle\nend"), (2, f"{long}\ufffd"), (1500, f"{long}caff\u00c3\u00a8 \x02\n{long}\n# in the tail"), (1501, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    lines = cases._lines(spark, str(tmp_path)).cache()
+    want = "\n".join(t or "" for _, t in texts).split("\n")
+    assert [tuple(r) for r in lines.orderBy("n").collect()] == list(enumerate(want, 1))
+    got = quality.line_stats(lines).first()
+    assert (got["unreadable"], got["mojibake"], got["control"], got["tail_comment"], got["filled"], got["bytes"]) == (1, 1, 1, True, 7, len("\n".join(want).encode()) + 1)
