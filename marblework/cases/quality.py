@@ -37,8 +37,16 @@ def _lines(spark, sf_dir):
     return one.select((F.col("_first") + F.col("_place") + 1).alias("n"), "line")
 
 
+def _rows(cells):
+    """The table's own lines: its header before all rows, fields quoted where they need it."""
+    names = [c for c in cells.columns if c != "n"]
+    body = cells.select("n", F.to_csv(F.struct(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names]), {"sep": ";"}).alias("line"))
+    return body.unionByName(cells.sparkSession.range(1).select(F.lit(-1).cast("long").alias("n"), F.lit(";".join(names)).alias("line")))
+
+
 def found(spark, sf_dir):
-    return Q.checks(_lines(spark, sf_dir), _cells(spark, sf_dir))
+    cells = _cells(spark, sf_dir)
+    return Q.checks(_lines(spark, sf_dir), cells, rows=_rows(cells))
 
 
 _SEEDED = """WITH k AS (SELECT c_custkey // 2 AS customer_id, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS nome, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN 'x' ELSE CAST(c_nationkey AS VARCHAR) END AS regione FROM customer),

@@ -2,7 +2,7 @@
 
 A file comes as its lines (n, line) and as a wide table of text cells with a row
 number.  Header checks are decided from the column names; the rest are a few
-aggregates: one over lines, one over cells, one over the rows' frequencies, one
+aggregates: one over lines, one over their fields, one over cells, one over the rows' frequencies, one
 over the first values of date columns and one over deviations.
 """
 
@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marblework.operators.profile import delimiter
 from marblework.operators.rollup import duplicate_rows, outliers
 
 #: Parts of headers and the ontologies that they map to; the first part found decides.
@@ -94,6 +95,22 @@ def cell_stats(cells: DataFrame, headers: list[str], row: str) -> DataFrame:
     return cells.agg(*aggs)
 
 
+def field_stats(lines: DataFrame) -> DataFrame:
+    """One row over a table's lines (n, line), header first: separated, and irregular, the lines with another field count than the header's.
+
+    The delimiter is read from the first lines.  Lines without any value do not
+    count, and delimiters in quoted fields do not part.  A record is one line.
+    """
+    d = F.col("delimiter")
+    known = delimiter(lines.select(F.lit(0).alias("path"), "n", "line")).select("delimiter")
+    literal = F.concat(F.lit("\\Q"), d, F.lit("\\E"))
+    bare = F.regexp_replace("line", F.concat(F.lit("(^|"), literal, F.lit(')"(?:[^"]|"")*"')), F.lit("$1_"))
+    valued = F.trim(F.translate(F.replace("line", d, F.lit("")), '"', "")) != ""
+    fields = lines.crossJoin(F.broadcast(known)).filter(valued).select("n", F.size(F.split(bare, literal)).alias("fields"))  # known is one row
+    per = fields.groupBy("fields").agg(F.count("*").alias("lines"), F.min("n").alias("first"))
+    return per.agg(F.coalesce(F.max("fields") > 1, F.lit(False)).alias("separated"), F.coalesce(F.sum("lines") - F.min_by("lines", "first"), F.lit(0)).alias("irregular"))
+
+
 def _is_id(header: str) -> bool:
     h = plain_header(header)
     return h in ("id", "codice", "identifier", "uuid") or h.endswith("_id")
@@ -109,17 +126,16 @@ def late_dates(cells: DataFrame, headers: list[str], row: str) -> DataFrame:
     return first.agg(F.count_if(~F.col("value").rlike(_ISO)).alias("bad_dates"))
 
 
-def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = False, separator_known: bool = True, irregular: DataFrame | None = None) -> DataFrame:
-    """(id, status) of all checks.  ``irregular`` has the rows that do not fit the header."""
+def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = False, rows: DataFrame | None = None) -> DataFrame:
+    """(id, status) of all checks.  ``rows`` has the lines of the header and the table, where ``lines`` has others."""
     headers = [c for c in cells.columns if c != row]
     spark, plain = cells.sparkSession, [plain_header(h) for h in headers]
     if not headers:
         return spark.createDataFrame([("S3", "fail")], "id string, status string")
-    odd = (irregular.agg(F.count("*").alias("irregular")) if irregular is not None else spark.range(1).select(F.lit(0).cast("long").alias("irregular")))
     numbers = cells.select(*[F.replace(F.when(F.trim(F.col(f"`{h}`")).rlike(_NUMBER), F.trim(F.col(f"`{h}`"))), F.lit(","), F.lit(".")).cast("double").alias(f"c{i}") for i, h in enumerate(headers)])
     far = outliers(numbers, numbers.columns).agg(F.coalesce(F.sum("outliers"), F.lit(0)).alias("outliers"))
     one = line_stats(lines)
-    for part in (cell_stats(cells, headers, row), duplicate_rows(cells.drop(row)), late_dates(cells, headers, row), far, odd):
+    for part in (cell_stats(cells, headers, row), duplicate_rows(cells.drop(row)), late_dates(cells, headers, row), far, field_stats(lines if rows is None else rows)):
         one = one.crossJoin(F.broadcast(part))  # every side is one row
     mapped = ontologies(headers)
     n, c = len(headers), F.col
@@ -133,7 +149,7 @@ def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = F
     fixed = lambda ok, bad="warn", good="pass": F.lit(good if ok else bad)
     status: dict[str, Column] = {
         "S1": lax(c("filled") == 0, "fail"),
-        "S2": fixed(separator_known),
+        "S2": lax(~c("separated"), "warn"),
         "S3": fixed(bool(headers), "fail"),
         "S4": fixed(len({h.lower() for h in headers}) == n, "fail"),
         "S5": fixed(all(h.strip() for h in headers)),
@@ -170,8 +186,8 @@ def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = F
         "L5": lax(total("linked") == 0, "info"),
         "L6": fixed(len(mapped) >= 2 and n >= 5, "info"),
     }
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("id"), v.alias("status")) for k, v in status.items()]))
-    return one.select(rows.alias("x")).select("x.*")
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("id"), v.alias("status")) for k, v in status.items()]))
+    return one.select(each.alias("x")).select("x.*")
 
 
 def score(found: DataFrame, sampled: bool = False) -> DataFrame:

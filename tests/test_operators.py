@@ -132,3 +132,20 @@ def test_quality_lines_are_whole_texts(spark, tmp_path):
     assert [tuple(r) for r in lines.orderBy("n").collect()] == list(enumerate(want, 1))
     got = quality.line_stats(lines).first()
     assert (got["unreadable"], got["mojibake"], got["control"], got["tail_comment"], got["filled"], got["bytes"]) == (1, 1, 1, True, 7, len("\n".join(want).encode()) + 1)
+
+
+@pytest.mark.parametrize(
+    ("lines", "s2", "s6"),
+    [
+        (["a;b;c", "1;2;3", "1;2", "1;2;3;4"], "pass", "fail"),
+        (["a;b;c", "1;2;3", "", ";", '"x;y ""z""";2,5;"3"', '1;5" wide;3" high'], "pass", "pass"),
+        (["a", "1", "2"], "warn", "pass"),
+        (["a,b", "1,2", "1,2,3"], "pass", "fail"),
+    ],
+)
+def test_quality_reads_the_separator_and_ragged_rows(spark, lines, s2, s6):
+    raw = spark.createDataFrame(list(enumerate(lines, 1)), "n long, line string")
+    cells = spark.createDataFrame([(1, "1", "2")], "n long, a string, b string")
+    found = quality.checks(raw, cells).cache()
+    got = {r["id"]: r["status"] for r in found.collect()}
+    assert (got["S2"], got["S6"], quality.score(found).first()["critical"]) == (s2, s6, s6 == "fail")
