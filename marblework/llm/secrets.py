@@ -1,8 +1,9 @@
 """Secret scans: three base patterns, and assignments with propagated constants.
 
 The base finds keyword assignments, access keys and long hexadecimal runs.  The
-lexer reads ``name = value``, ``name: value`` and ``name => value`` of source
-and configuration text into pairs of a name and a literal or the name of
+lexer reads ``name = value``, ``name: value``, ``name: type = value`` and
+``name => value`` of source and configuration text, where a value can be a
+quoted literal with spaces or over several lines or a block scalar, into pairs of a name and a literal or the name of
 another constant, passes constants on to the names that they are assigned to,
 and scores each literal by the most sensitive name that it reaches and by its
 own look.  Spans are in code points, end exclusive.
@@ -42,8 +43,19 @@ PLACEHOLDER = re.compile(r"(?i)change_?me|example|placeholder|your[_-]|dummy|red
 LEAST_SCORE = 0.5
 
 _OPERATOR = re.compile(r"=>|:=|(?<![=!<>:+\-*/])=(?![=>])|:(?![:=/])")
-_NAME = re.compile(r"""([A-Za-z_$][\w$.\-]*)["'\]]?[ \t]*\Z""", re.A)
-_VALUE = re.compile(r"""[ \t]*(?:[rbuf]{0,2}"((?:[^"\\\n]|\\.)*)"|[rbuf]{0,2}'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|\$\{?([A-Za-z_]\w*)\}?|([^\s"'`,;#(){}\[\]]+))""", re.A)
+_NAME_END = re.compile(r"[A-Za-z_$][\w$.\-]*\Z", re.A)
+_NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-")
+#: Groups: what quotes, a reference or a bare word hold; group 6 is the name after $, group 7 a bare word.
+_VALUE = re.compile(
+    r"""[ \t]*(?:[rbufRBUF]{0,2}(?:\"""((?:[^\\]|\\[\s\S])*?)\"""|\'''((?:[^\\]|\\[\s\S])*?)\'''|"((?:[^"\\\n]|\\[\s\S])*)"|'((?:[^'\\\n]|\\[\s\S])*)')|`([^`]*)`"""
+    r"""|\$\{?([A-Za-z_]\w*)\}?|([^\s"'`,;#(){}\[\]]+))""",
+    re.A,
+)
+#: A quoted literal over several lines: no blank line in it, and nothing of a word after it.
+_LINES = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\[\s\S]|\n(?![ \t]*\n))*)"|'((?:[^'\\\n]|\\[\s\S]|\n(?![ \t]*\n))*)')(?=[\s,;.+)\]}]|\Z)""")
+_BLOCK = re.compile(r"[ \t]*(?:[!&]\S+[ \t]+)*[|>][+\-1-9]{0,2}[ \t]*(?:[ \t]#[^\n]*)?\r?\n")
+_INDENT = re.compile(r"[ \t]*(?:-[ \t]+)*")
+_TYPE_STRING = re.compile(r"""[ \t]*(?:"[^"\n]*"|'[^'\n]*')[ \t]*(?==(?![=>]))""")
 _IDENTIFIER = re.compile(r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*\Z", re.A)
 _HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -64,26 +76,116 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """How much a literal looks like a secret: length, mixture and entropy."""
-    if len(value) < 8 or " " in value or PLACEHOLDER.search(value):
+    if len(value) < 8 or PLACEHOLDER.search(value):
         return 0.0
     entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in Counter(value).values())
     kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(1.0, entropy / 4) * (1.0 if kinds >= 2 else 0.6)
 
 
+def _name_before(text: str, at: int, colon: bool) -> tuple[str, int] | None:
+    """The whole name that ends before an operator, through a closing quote or bracket, and its start."""
+    while at and text[at - 1] in " \t":
+        at -= 1
+    if colon and at and text[at - 1] in "?!":  # optional or asserted
+        at -= 1
+    if at and text[at - 1] == "]":
+        at -= 1
+    if at and text[at - 1] in "\"'":
+        at -= 1
+    start = at
+    while start and text[start - 1] in _NAME_CHARS:
+        start -= 1
+    name = _NAME_END.search(text[start:at])
+    return (name[0], start + name.start()) if name else None
+
+
+def _after_type(text: str, at: int) -> int:
+    """The place after the ``=`` that ends a type annotation from ``at``, or -1.  A second colon ends the search."""
+    quoted = _TYPE_STRING.match(text, at)
+    if quoted:
+        return quoted.end() + 1
+    depth, i = 0, at
+    while i < len(text):
+        c = text[i]
+        if text.startswith(("::", "->", "=>"), i):
+            i += 2
+            continue
+        if c in "[<(":
+            depth += 1
+        elif c in "]>)":
+            depth -= 1
+        elif c == "=" and not depth:
+            return i + 1 if text[at:i].strip() and not text.startswith("=", i + 1) else -1
+        elif c in "\n:=;`#{}" or not depth and (c in ',"' or c == "'" and text[i - 1] not in "&<"):
+            return -1
+        if depth < 0:
+            return -1
+        i += 1
+    return -1
+
+
+def _block(text: str, at: int, name_start: int) -> tuple[int, int] | None:
+    """The place of a block scalar: the lines under its key that are indented more."""
+    head = _BLOCK.match(text, at)
+    if not head:
+        return None
+    line = text.rfind("\n", 0, name_start) + 1
+    least = _INDENT.match(text, line).end() - line
+    start = end = -1
+    i = head.end()
+    while i < len(text):
+        stop = text.find("\n", i)
+        stop = len(text) if stop < 0 else stop
+        said = text[i:stop]
+        if said.strip():
+            indent = len(said) - len(said.lstrip(" \t"))
+            if indent <= least:
+                break
+            start = i + indent if start < 0 else start
+            end = i + len(said.rstrip())
+        i = stop + 1
+    return (start, end) if start >= 0 else None
+
+
+def _value_at(text: str, at: int) -> tuple[int, int, str | None, bool] | None:
+    """(start, end, reference, quoted) of the value after an operator."""
+    value = _VALUE.match(text, at)
+    if not value:
+        value = _LINES.match(text, at)
+        return value and (value.start(value.lastindex), value.end(value.lastindex), None, True)
+    group = value.lastindex
+    if group == 4 and " " in value[4] and text[value.end() : value.end() + 1].isalnum():  # an apostrophe, as in don't
+        return None
+    word = group == 6 or group == 7 and _IDENTIFIER.match(value[group])
+    return value.start(group), value.end(group), value[group] if word else None, group < 6
+
+
 def assignments(text: str) -> list[tuple[str, int, int, str | None]]:
-    """(name, start, end, reference): a literal's place, or the name of the constant that is assigned."""
+    """(name, start, end, reference): a literal's place, or the name of the constant that is assigned.
+
+    A type between a name and ``=`` is passed over.
+    """
     pairs = []
     for op in _OPERATOR.finditer(text):
-        name = _NAME.search(text[max(0, op.start() - 80) : op.start()])
-        value = name and _VALUE.match(text, op.end())
-        if not value:
+        colon = op[0] == ":"
+        name = _name_before(text, op.start(), colon)
+        if not name:
             continue
-        group = value.lastindex
-        if group == 4 or group == 5 and _IDENTIFIER.match(value[group]):
-            pairs.append((name[1], value.start(group), value.end(group), value[group]))
-        else:
-            pairs.append((name[1], value.start(group), value.end(group), None))
+        if colon:
+            block = _block(text, op.end(), name[1])
+            if block:
+                pairs.append((name[0], *block, None))
+                continue
+            typed = _after_type(text, op.end())
+            value = typed >= 0 and _value_at(text, typed)
+            if value:
+                pairs.append((name[0], *value[:3]))
+                if value[3]:
+                    continue
+        value = _value_at(text, op.end())
+        if value:
+            pairs.append((name[0], *value[:3]))
     return pairs
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -100,6 +101,44 @@ def test_secrets_method_propagates_constants():
     assert secrets.mask(None) is None and secrets.mask("") == ""
 
 
+@pytest.mark.parametrize(
+    ("text", "literal"),
+    [
+        ('password: str = "Hunter2Hunter2"', "Hunter2Hunter2"),
+        ('let api_key: String = "qL9x82_ZmPa0vTr";', "qL9x82_ZmPa0vTr"),
+        ("static TOKEN: &'static str = \"qL9x82_ZmPa0vTr\";", "qL9x82_ZmPa0vTr"),
+        ('def f(user: str, secret: dict[str, int] | None = "qL9x82_ZmPa0vTr"): pass', "qL9x82_ZmPa0vTr"),
+        ("readonly pwd?: string = 'Hunter2Hunter2'", "Hunter2Hunter2"),
+        ("pwd: 'str' = 'Hunter2Hunter2'", "Hunter2Hunter2"),
+        ('passphrase = "correct horse battery staple"', "correct horse battery staple"),
+        ('secret = """first Line1\n\n"second" Line2"""\nx = 1', 'first Line1\n\n"second" Line2'),
+        ("secret = \'\'\'Hunter2\nHunter2\'\'\'", "Hunter2\nHunter2"),
+        ("secret = `Hunter2\nHunter2`", "Hunter2\nHunter2"),
+        ('pwd="Hunter2\nHunter2"\n', "Hunter2\nHunter2"),
+        ("a:\n  - private_key: |\n      -----BEGIN KEY-----\n\n      qL9x82ZmPa0vTr\n    other: x\n", "-----BEGIN KEY-----\n\n      qL9x82ZmPa0vTr"),
+        ("pwd: >-\n  Hunter2Hunter2\nother: 1", "Hunter2Hunter2"),
+        ("password_" + "of_the_house_" * 9 + ' = "Hunter2Hunter2"', "Hunter2Hunter2"),
+        ("pwd" + " " * 200 + '= "Hunter2Hunter2"', "Hunter2Hunter2"),
+        ("conf['pwd'] = \"Hunter2Hunter2\"", "Hunter2Hunter2"),
+    ],
+)
+def test_secrets_reads_every_form_of_value(text, literal):
+    assert [text[a:b] for a, b, k in secrets.spans(text)[1] if k == "literal"] == [literal]
+    assert literal not in secrets.mask(text)
+
+
+def test_secrets_lexer_leaves_what_is_no_secret():
+    for text in ('name: str = "Hunter2Hunter2"', 'f(pwd: str, b = "Hunter2Hunter2")', "pwd: 'tis the season, and they don't\nknow", "pwd: |\nother: Hunter2Hunter2", 'pwd: "'):
+        assert secrets.spans(text)[1] == [], text
+
+
+def test_secrets_lexer_takes_linear_time():
+    for text in ("a: [b " * 100_000, 'pwd = "' * 50_000, "pwd: |\n" * 50_000, "pwd" + " " * 300_000 + "= = =", "x" * 300_000 + ": y", "a:" + "<" * 300_000):
+        start = time.process_time()
+        secrets.spans(text)
+        assert time.process_time() - start < 10
+
+
 def test_secrets_whole_match_is_dropped_when_short():
     text = "password = token: abcdefgh12 AKIAABC AKIA" + "A" * 12
     kinds = [(k, text[a:b]) for a, b, k in secrets.base_spans(text)]
