@@ -1,11 +1,15 @@
-"""Substring dedup by hashing lines and sentences.
-
-Each text is cut into lines, and lines into sentences.  Units of at least
-``min_words`` words are normalised and digested; digests are grouped globally;
-the occurrence of the least (id, start) stays and all others are removed.  A
-line and the sentences in it are separate units, so a repeated passage inside a
-longer line is found too.  Removed spans keep their offsets (code points, end
-exclusive) in the original text.
+"""Substring dedup by hashing lines, sentences and runs of short sentences.
+
+Each text is cut into lines, and lines into sentences.  Every non-blank line is
+a unit, and so is every sentence of at least ``min_words`` words, so a repeated
+passage inside a longer line is found too.  Shorter sentences (a line without
+inner sentence ends is one) are joined with those that follow, and with those
+before, over line ends, until they reach the bound: each start and each end of
+such a run is a unit, so a repeated passage of short lines or sentences is found
+wherever it stands.  In scripts without spaces two characters count as a word.
+Units are normalised and digested; digests are grouped globally; the occurrence
+of the least (id, start) stays and all others are removed.  Removed spans keep
+their offsets (code points, end exclusive) in the original text.
 
 Grouping is pre-aggregated per task, so a unit that a third of all rows share
 arrives once per task.  The join that brings the kept place back to the other
@@ -26,38 +30,64 @@ from pyspark.sql import functions as F
 
 from marblework.llm.common import map_rows
 
-_SPACE = re.compile(r"\s+")
+_END = re.compile(r"[.!?]+(?=\s)|[。！？]+[”’」』）]*")
+#: Thai, Lao, Myanmar, Khmer, kana and Han, which put no spaces between words.
+_UNSPACED = re.compile("[฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿\U00020000-\U0003ffff]")
 
 
 def normalised(unit: str) -> str:
     """Lower case with white space collapsed and the ends trimmed."""
-    return _SPACE.sub(" ", unit).strip().lower()
+    return " ".join(unit.split()).lower()
 
 
 def units(text: str | None, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest) of each line and sentence with enough words."""
-    found = []
+    """(start, end, digest) of each line, sentence with enough words and run of short sentences."""
+    found: dict[tuple[int, int], bytes] = {}
+    pieces: list[tuple[int, int, str, int]] = []
+    unspaced = bool(_UNSPACED.search(text or ""))
+
+    def add(start: int, end: int, plain: str) -> None:
+        if (start, end) not in found:
+            found[start, end] = hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
-    def add(start: int, end: int, unit: str) -> None:
-        plain = normalised(unit)
-        if plain.count(" ") + 1 >= min_words:
-            found.append((start, end, hashlib.blake2b(plain.encode(), digest_size=16).digest()))
+    def piece(start: int, end: int, plain: str) -> None:
+        pieces.append((start, end, plain, plain.count(" ") + 1 + (len(_UNSPACED.findall(plain)) // 2 if unspaced else 0)))
 
     at = 0
     for line in (text or "").split("\n"):
-        if line.count(" ") + 1 >= min_words or len(line) > 4 * min_words:
-            add(at, at + len(line), line)
+        plain = normalised(line)
+        if plain:
+            add(at, at + len(line), plain)
             cuts, start = [], 0
-            for m in re.finditer(r"[.!?]+(?=\s)", line):
+            for m in _END.finditer(line):
                 cuts.append((start, m.end()))
                 start = m.end()
-            if cuts and start < len(line):
+            if cuts and line[start:].strip():
                 cuts.append((start, len(line)))
-            for a, b in cuts if len(cuts) > 1 else ():
-                a += len(line[a:b]) - len(line[a:b].lstrip())
-                add(at + a, at + b, line[a:b])
+            if len(cuts) > 1:
+                for a, b in cuts:
+                    said = line[a:b]
+                    piece(at + b - len(said.lstrip()), at + b, normalised(said))
+            else:
+                piece(at, at + len(line), plain)
         at += len(line) + 1
-    return found
+    for i, (start, end, plain, size) in enumerate(pieces):
+        if size >= min_words:
+            add(start, end, plain)
+            continue
+        j, n = i, size
+        while n < min_words and j + 1 < len(pieces):
+            j += 1
+            n += pieces[j][3]
+        if n >= min_words:
+            add(start, pieces[j][1], " ".join([x[2] for x in pieces[i : j + 1]]))
+        j, n = i, size
+        while n < min_words and j:
+            j -= 1
+            n += pieces[j][3]
+        if n >= min_words:
+            add(pieces[j][0], end, " ".join([x[2] for x in pieces[j : i + 1]]))
+    return [(a, b, d) for (a, b), d in found.items()]
 
 
 def repeated_units(df: DataFrame, min_words: int = 8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -274,6 +274,35 @@ def test_substring_cuts_and_keeps_the_first(spark):
     assert f"Second text is this. {passage} And an end."[span["start"] : span["end"]] == passage
 
 
+@pytest.mark.parametrize(
+    "passage",
+    [
+        "\n".join(f"six short words in verse {i}" for i in range(10)),
+        "\n\n".join(f"six short words in verse {i}" for i in range(10)),
+        "\n".join(f"a\tb\tc\td\te\tf\tg\t{i}" for i in range(7)),
+        " ".join(f"This is short {i}." for i in range(13)),
+        "Short one. " + " ".join(f"word{i}" for i in range(45)) + ". The end.",
+        "".join(chr(0x4E00 + 7 * i % 20000) + ("。" if i % 12 == 11 else "") for i in range(120)),
+        "\n".join("".join(chr(0xE01 + (7 * i + 5 * j) % 46) for j in range(24)) for i in range(5)),
+    ],
+)
+def test_substring_removes_a_repeated_passage_wherever_it_stands(spark, passage):
+    stop = "。" if passage.isalpha() or "。" in passage else "."
+    own = lambda k: f"{chr(0x3B1 + k) * 9} opens text {k}{stop}"
+    texts = [(1, f"{own(1)}\n{passage}\n{own(11)}"), (2, f"{own(2)} {passage} {own(12)}"), (3, f"{own(3)}\n{passage}")]
+    out = {r["doc_id"]: r["text"] for r in substring.dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert out[1] == texts[0][1]
+    squeeze = lambda t: "".join(t.split())
+    assert squeeze(out[3]) == squeeze(own(3))
+    if re.search("[.。]", passage):
+        assert squeeze(out[2]) == squeeze(own(2) + own(12))
+
+
+def test_substring_removes_repeated_short_lines(spark):
+    out = {r["doc_id"]: r["text"] for r in substring.dedup(spark.createDataFrame([(1, "Share this\none"), (2, "two\nshare  this\n")], "doc_id long, text string")).collect()}
+    assert out == {1: "Share this\none", 2: "two\n\n"}
+
+
 def test_chat_packs_share_turns_once(spark):
     talk = lambda *xs: [("user" if i % 2 == 0 else "assistant", x) for i, x in enumerate(xs)]
     talks = {1: talk("hi", "yes"), 2: talk("hi", "no"), 3: talk("hi", "yes", "more"), 4: talk("hi", "yes"), 5: [(None, None), ("a:b", "### x </turn>\\")]}
