@@ -140,10 +140,16 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", X.years_in(said).alias("y")).select("o_orderkey", "y.low", "y.high")
 
 
-@query("fn_suggest_years", "SELECT list(y ORDER BY y) AS years FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)")
+@query(
+    "fn_suggest_years",
+    """SELECT o_orderpriority, CASE WHEN o_orderpriority = '1-URGENT' THEN list_sort(list_distinct(list(CAST(year(o_orderdate) AS INTEGER))))
+WHEN o_orderpriority = '2-HIGH' THEN [2018, 2019, 2020, 2021] WHEN o_orderpriority = '3-MEDIUM' THEN [2015] ELSE [2024] END AS years FROM orders GROUP BY 1""",
+)
 def _(spark, sf_dir):
-    seen = table(spark, sf_dir, "orders").agg(F.collect_set(F.year("o_orderdate")).alias("ys"))
-    return seen.select(F.when(F.size("ys") > 0, F.sort_array("ys")).otherwise(F.array(F.lit(2024))).alias("years"))
+    p = F.col("o_orderpriority")
+    names = F.when(p == "2-HIGH", F.array(F.lit("pop_2018"), F.lit("pop_2021"))).when(p == "3-MEDIUM", F.array(F.lit("id"), F.lit("y2015"))).otherwise(F.array(F.lit("valore")))
+    per = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.collect_set(F.when(p == "1-URGENT", F.year("o_orderdate"))).alias("ys"))
+    return per.select("o_orderpriority", X.suggested_years(F.col("ys"), names).alias("years"))
 
 
 _LEVEL = "CASE n_regionkey WHEN 0 THEN 'dati per comune di ' WHEN 1 THEN 'tabella provinciale ' WHEN 2 THEN 'la regione ' WHEN 3 THEN 'conto nazionale ' ELSE 'serie ' END || n_name"
@@ -156,10 +162,10 @@ def _(spark, sf_dir):
 
 @query(
     "fn_topics",
-    """SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'lavoro' WHEN 1 THEN 'turismo' WHEN 2 THEN 'casa' END AS topic, CASE n_regionkey WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 1 END AS score FROM nation WHERE n_regionkey < 3""",
+    """SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'lavoro' WHEN 1 THEN 'turismo' WHEN 2 THEN 'casa' ELSE 'sanita' END AS topic, CASE n_regionkey WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 3 END AS score FROM nation WHERE n_regionkey < 4""",
 )
 def _(spark, sf_dir):
-    said = F.expr("CASE n_regionkey WHEN 0 THEN 'Salario e impiego' WHEN 1 THEN 'Turismo: arrivo, albergo' WHEN 2 THEN 'Alloggio' ELSE 'xyz' END")
+    said = F.expr("CASE n_regionkey WHEN 0 THEN 'Salario e impiego' WHEN 1 THEN 'Turismo: arrivo, albergo' WHEN 2 THEN 'Alloggio' WHEN 3 THEN 'Salute in ospedale' ELSE 'xyz' END")
     return table(spark, sf_dir, "nation").select("n_nationkey", F.explode(X.topic_scores(said)).alias("t")).select("n_nationkey", "t.topic", "t.score")
 
 

@@ -12,12 +12,14 @@ from marblework.session import table
 
 
 def _files(spark, sf_dir):
-    """A text per nation: a title line for odd keys, a header, a row per customer; separators by key."""
+    """A text per nation: a title line for odd keys, a header, a row per customer; separators and decimal marks by key."""
     sep = F.element_at(F.array(*map(F.lit, P.DELIMITERS)), (F.col("c_nationkey") % 4 + 1).cast("int"))
-    row = F.concat(F.col("c_custkey").cast("string"), sep, F.translate("c_name", "#", ""), sep, F.col("c_mktsegment"))
+    number = F.format_string("%.2f", F.abs("c_acctbal"))
+    balance = F.when(F.col("c_nationkey") % 4 == 0, F.replace(number, F.lit("."), F.lit(","))).otherwise(number)
+    row = F.concat(F.col("c_custkey").cast("string"), sep, F.translate("c_name", "#", ""), sep, F.col("c_mktsegment"), sep, balance)
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("r")))), lambda x: x["r"]), "\n")
     per = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(body.alias("b"))
-    head = F.concat(F.lit("id"), sep, F.lit("nome"), sep, F.lit("segmento"))
+    head = F.concat(F.lit("id"), sep, F.lit("nome"), sep, F.lit("segmento"), sep, F.lit("saldo"))
     title = F.when(F.col("c_nationkey") % 2 == 1, "Tabella clienti\n").otherwise("")
     return per.select(F.col("c_nationkey").alias("path"), F.concat(title, head, F.lit("\n"), "b").alias("text"))
 
@@ -39,18 +41,30 @@ def _(spark, sf_dir):
     return P.header_mismatch(lines.join(P.delimiter(lines), "path"))
 
 
-@query("prf_decimal", "SELECT l_suppkey AS path, CASE WHEN l_suppkey % 2 = 0 THEN ',' ELSE '.' END AS decimal FROM lineitem GROUP BY 1")
+@query("prf_decimal", "SELECT l_suppkey AS path, CASE l_suppkey % 5 WHEN 0 THEN ',' WHEN 1 THEN '.' WHEN 2 THEN ',' WHEN 3 THEN NULL ELSE ',' END AS decimal FROM lineitem GROUP BY 1")
 def _(spark, sf_dir):
+    """By supplier: commas, points, as many of both, no decimals, and 1.234,56 cut by a comma as the delimiter."""
+    kind = F.col("l_suppkey") % 5
     number = F.format_string("%.2f", F.col("l_extendedprice"))
-    said = F.when(F.col("l_suppkey") % 2 == 0, F.replace(number, F.lit("."), F.lit(","))).otherwise(number)
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("path"), F.concat(F.lit("x;"), said).alias("line"), F.lit(";").alias("delimiter"))
+    said = (
+        F.when(kind == 0, F.concat(F.lit("x;"), F.replace(number, F.lit("."), F.lit(","))))
+        .when(kind == 1, F.concat(F.lit('x;"'), number, F.lit('"')))
+        .when(kind == 2, F.concat(number, F.lit(";"), F.replace(number, F.lit("."), F.lit(","))))
+        .when(kind == 3, F.concat(F.lit("x;"), F.col("l_partkey").cast("string")))
+        .otherwise(F.concat(F.lit("x,1.234,"), F.lpad((F.col("l_partkey") % 100).cast("string"), 2, "0")))
+    )
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("path"), said.alias("line"), F.when(kind == 4, ",").otherwise(";").alias("delimiter"))
     return P.decimal_mark(lines)
 
 
-@query("prf_encoding", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'utf-8-sig' WHEN doc_id % 3 = 1 AND regexp_matches(text, '[éüäößèàçñóíêô]') THEN 'windows-1252' ELSE 'utf-8' END AS encoding FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7Féüäößèàçñóíêô]')")
+@query(
+    "prf_encoding",
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'utf-8-sig' WHEN doc_id % 3 = 1 AND regexp_full_match(text, '[\\x{00}-\\x{FF}]*', 's') AND NOT regexp_full_match(text, '[\\x{00}-\\x{7F}]*', 's') THEN 'windows-1252' ELSE 'utf-8' END AS encoding FROM documents WHERE text IS NOT NULL""",
+)
 def _(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter(~F.col("text").rlike("[^\\x00-\\x7Féüäößèàçñóíêô]"))
-    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"))).when(F.col("doc_id") % 3 == 1, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    """All texts: with a mark, as ISO-8859-1 where it has all their characters, else as UTF-8."""
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"))).when((F.col("doc_id") % 3 == 1) & F.col("text").rlike(r"^[\x00-\xFF]*\z"), F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
     return docs.select("doc_id", P.encoding(raw).alias("encoding"))
 
 
@@ -101,7 +115,7 @@ def _(spark, sf_dir):
     return P.year_values(A.unpivoted(o, ["anno", "o_orderstatus"]))
 
 
-@query("prf_read_hints", "SELECT c_nationkey AS path, [';', ',', chr(9), '|'][c_nationkey % 4 + 1] AS delimiter, 'utf-8' AS encoding, '.' AS decimal, CAST(c_nationkey % 2 AS INTEGER) AS skip FROM customer GROUP BY c_nationkey")
+@query("prf_read_hints", "SELECT c_nationkey AS path, [';', ',', chr(9), '|'][c_nationkey % 4 + 1] AS delimiter, 'utf-8' AS encoding, CASE WHEN c_nationkey % 4 = 0 THEN ',' ELSE '.' END AS decimal, CAST(c_nationkey % 2 AS INTEGER) AS skip FROM customer GROUP BY c_nationkey")
 def _(spark, sf_dir):
     files = _files(spark, sf_dir)
     lines = P.numbered_lines(files)
@@ -117,9 +131,21 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", P.header_real(first, F.array(F.lit("id"), F.lit("nome"), F.lit("valore"))).alias("real"))
 
 
-@query("prf_roles", "SELECT 'regione' AS name, 'dimension' AS role, 'region_code' AS semantic_type FROM (SELECT count(*) FROM orders) UNION ALL SELECT 'valore', 'metric', NULL UNION ALL SELECT 'stato', 'dimension', NULL")
+_PROBES = {
+    "pro_com": "municipality_code", "codice_belfiore": "cadastral_code", "comune": "municipality_name", "sigla_prov": "province_code", "regione": "region_code",
+    "geo": "nuts_code", "piva": "fiscal_code", "ipa": "ipa_code", "cig": "cig_code", "cup": "cup_code", "ausa": "ausa_code", "cpv": "cpv_code", "cod_scuola": "school_code",
+    "codice_ente": "siope_code", "codice_ente_miur": "miur_code", "codice_ente_ssn": "ssn_code", "username": "sogei_code", "ateco": "ateco_code", "paese": "country_code",
+    "Anno": "year", "mese": "month", "person_id": "person_id", "senatore_id": "senator_id", "id_ddl": "ddl_id", "gruppo": "gruppo_parlamentare", "n_ricorso": "ricorso_number",
+}
+
+
+@query(
+    "prf_roles",
+    "SELECT name, 'dimension' AS role, kind AS semantic_type FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in _PROBES.items()) + ") t(name, kind) UNION ALL SELECT 'valore', 'metric', NULL UNION ALL SELECT 'etichetta', 'dimension', NULL FROM (SELECT count(*) FROM orders)",
+)
 def _(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("regione"), F.col("o_totalprice").alias("valore"), F.col("o_orderstatus").alias("stato"))
+    """One column for each semantic type, a number and a text of neither."""
+    o = table(spark, sf_dir, "orders").select(*[F.col("o_custkey").alias(n) for n in _PROBES], F.col("o_totalprice").alias("valore"), F.col("o_orderstatus").alias("etichetta"))
     return P.roles(J.column_rows(o)).select("name", "role", "semantic_type")
 
 

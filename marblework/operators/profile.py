@@ -46,13 +46,21 @@ def delimiter(lines: DataFrame, path: str = "path", first: int = 25) -> DataFram
     return per.groupBy(path).agg(best.alias("b")).select(path, F.when(F.col("b.with") > 0, F.col("b.d")).otherwise(";").alias("delimiter"))
 
 
+#: Fields that vote for a comma or a point, and the pair of neighbours that a comma as delimiter makes of 1.234,56.
+COMMA_FIELD, POINT_FIELD = r"^\d+,\d{1,2}$|^\d+\.\d{3},\d{1,2}$", r"^\d+\.\d{1,3}$"
+SPLIT_PAIR = (r"^\d+\.\d{3}$", r"^\d{1,2}$")
+
+
 def decimal_mark(lines: DataFrame, path: str = "path", delimiter_column: str = "delimiter") -> DataFrame:
-    """(path, decimal): comma or point by votes of the fields of each line."""
-    fields = F.split("line", F.concat(F.lit("\\Q"), F.col(delimiter_column), F.lit("\\E")))
-    votes = lambda pattern: F.size(F.filter(fields, lambda x: F.trim(x).rlike(pattern)))
-    comma, point = votes(r'^"?-?[\d.]*\d,\d+%?"?$'), votes(r'^"?-?\d+\.\d+%?"?$')
-    one = lines.groupBy(path).agg(F.sum(comma).alias("comma"), F.sum(point).alias("point"))
-    return one.select(path, F.when(F.col("comma") > F.col("point"), ",").otherwise(".").alias("decimal"))
+    """(path, decimal): comma or point by votes of the fields and of neighbouring fields of all lines.
+
+    A tie is a comma; null where nothing votes.
+    """
+    fields = F.transform(F.split("line", F.concat(F.lit("\\Q"), F.col(delimiter_column), F.lit("\\E"))), lambda x: F.regexp_replace(F.trim(x), r'^"+|"+$', ""))
+    votes = lambda pattern: F.size(F.filter("_fields", lambda x: x.rlike(pattern)))
+    pairs = F.size(F.filter(F.arrays_zip(F.col("_fields").alias("a"), F.slice("_fields", F.lit(2), F.greatest(F.size("_fields") - 1, F.lit(0))).alias("b")), lambda p: p["a"].rlike(SPLIT_PAIR[0]) & F.coalesce(p["b"], F.lit("")).rlike(SPLIT_PAIR[1])))
+    one = lines.select(path, fields.alias("_fields")).groupBy(path).agg(F.sum(votes(COMMA_FIELD) + pairs).alias("comma"), F.sum(votes(POINT_FIELD)).alias("point"))
+    return one.select(path, F.when(F.col("comma") + F.col("point") > 0, F.when(F.col("comma") >= F.col("point"), ",").otherwise(".")).alias("decimal"))
 
 
 def skip_lines(lines: DataFrame, path: str = "path", delimiter_column: str = "delimiter") -> DataFrame:
@@ -152,19 +160,43 @@ def header_real(first: Column, columns: Column) -> Column:
     return ~numbers & (F.size(F.array_intersect(plain, F.transform(columns, F.lower))) * 2 >= F.size(first))
 
 
-#: Words of the semantic types that decide a column's role.
+#: The column names of each semantic type; a name that stands in two types belongs to the first.
 ALIASES = {
-    "municipality_code": "codice_istat codice_istat_comune codice_istat_luogo codice_comune cod_comune pro_com codice_comune_istat localizzazione_codice_istat comune_istat cod_istat_comune comune_codice cod_comune_istat ente_codice_comune_istat codice_comune_comune",
-    "cadastral_code": "codice_catastale cod_catastale catastale codice_belfiore codice_comune_scuola",
-    "municipality_name": "comune denominazione_comune comune_denominazione comune_descrizione",
-    "province_code": "provincia sigla_provincia sigla_provincia_pa sigla_provincia_asl sigla_provincia_struttura codice_provincia sigla_prov cod_prov",
-    "region_code": "regione codice_regione cod_regione cod_reg regione_codice istat_regione regione_istat_cod regione_beneficiario amministrazione_regione_sede",
-}
+    "municipality_code": ["codice_istat", "codice_istat_comune", "codice_istat_luogo", "codice_comune", "cod_comune", "pro_com", "codice_comune_istat", "localizzazione_codice_istat", "comune_istat", "cod_istat_comune", "comune_codice", "cod_comune_istat", "ente_codice_comune_istat", "codice_comune_comune"],
+    "cadastral_code": ["codice_catastale", "cod_catastale", "catastale", "codice_belfiore", "codice_comune_scuola"],
+    "municipality_name": ["comune", "denominazione_comune", "comune_denominazione", "comune_descrizione"],
+    "province_code": ["provincia", "sigla_provincia", "sigla_provincia_pa", "sigla_provincia_asl", "sigla_provincia_struttura", "codice_provincia", "sigla_prov", "cod_prov"],
+    "region_code": ["regione", "codice_regione", "cod_regione", "cod_reg", "regione_codice", "istat_regione", "regione_istat_cod", "regione_beneficiario", "amministrazione_regione_sede"],
+    "nuts_code": ["geo", "nuts", "nuts2", "nuts3", "nuts_code", "codice_nuts"],
+    "fiscal_code": ["codice_fiscale", "codice_fiscale_ente", "cf", "cf_amministrazione_appaltante", "cf_soggetto_attuatore", "cf_subappaltante", "amministrazione_codice_fiscale", "partita_iva", "p_iva", "piva", "codi_fiscale", "codice_fiscale_beneficiario"],
+    "ipa_code": ["codice_ipa", "ipa", "cod_ipa"],
+    "cig_code": ["cig", "codice_cig", "cig_accordo_quadro", "cig_prog_esterna", "cig_collegamento"],
+    "cup_code": ["cup", "codice_cup"],
+    "ausa_code": ["codice_ausa", "ausa"],
+    "cpv_code": ["cod_cpv", "codice_cpv", "cpv", "cod_cpv_principale"],
+    "school_code": ["codice_scuola", "codicescuola", "codice_meccanografico", "cod_scuola"],
+    "siope_code": ["codice_ente"],
+    "miur_code": ["codice_ente_miur"],
+    "ssn_code": ["codice_ente_ssn"],
+    "sogei_code": ["username"],
+    "ateco_code": ["ateco", "codice_ateco", "sezione_ateco", "ateco_code"],
+    "country_code": ["nazione", "stato", "paese", "country", "codice_nazione"],
+    "year": ["anno", "year", "anno_di_imposta", "anno_riferimento", "esercizio_finanziario"],
+    "month": ["mese", "month", "periodo"],
+    "person_id": ["persona_id", "person_id", "id_persona", "codice_persona"],
+    "senator_id": ["senatore_id"],
+    "ddl_id": ["ddl_id", "id_ddl"],
+    "gruppo_parlamentare": ["gruppo", "gruppo_parlamentare"],
+    "ricorso_number": ["numero_ricorso", "numero_provvedimento", "n_ricorso"],
+}
 DIMENSION_TYPES = ("string", "date", "boolean", "timestamp", "timestamp_ntz")
 
 
-def roles(columns: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
+def roles(columns: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
     """All of ``columns`` (name, type) with role and semantic_type: a known name or a text, date or flag is a dimension."""
-    pairs = [(a, k) for k, v in (aliases or ALIASES).items() for a in v.split()]
-    known = F.try_element_at(F.create_map(*[F.lit(x) for p in pairs for x in p]), F.lower("name"))
+    first: dict[str, str] = {}
+    for kind, names in (aliases or ALIASES).items():
+        for name in names:
+            first.setdefault(name, kind)
+    known = F.try_element_at(F.create_map(*[F.lit(x) for p in first.items() for x in p]), F.lower("name"))
     return columns.withColumn("semantic_type", known).withColumn("role", F.when(F.col("semantic_type").isNotNull() | F.col("type").isin(*DIMENSION_TYPES), "dimension").otherwise("metric"))

@@ -14,7 +14,7 @@ CORRUPT, EXTRA = "_corrupt", "_extra"
 #: Options of a read and the reader's names for them.
 OPTIONS = {"delim": "sep", "sep": "sep", "encoding": "encoding", "quote": "quote", "escape": "escape", "comment": "comment", "dateformat": "dateFormat", "timestampformat": "timestampFormat", "header": "header", "max_line_size": "maxCharsPerColumn"}
 #: Names of CP1252.
-CP1252 = ("cp1252", "windows-1252", "ansi", "latin1252")
+CP1252 = ("cp1252", "windows-1252", "win-1252", "ansi", "latin1252")
 
 
 def merged_options(defaults: dict, suggested: dict | None = None, config: dict | None = None) -> dict:
