@@ -1,28 +1,34 @@
 """Suffix-array dedup by a common-prefix-aware distributed merge sort.
 
 A byte is removed if a string of ``window`` bytes that covers it also starts
-elsewhere.  The suffix array is sparse: every such string has one anchor, the
-leftmost of its ``core``-byte grams with the least hash, so equal strings have
-their anchors at equal places, and only suffixes from anchors are sorted.
+elsewhere.  Beside it, bytes of repeated strings of ``report`` bytes are counted,
+so that shorter shared passages show too.  The suffix array is sparse: every
+string of ``report`` bytes has one anchor, the leftmost of its ``core``-byte grams
+with the least hash, so equal strings have their anchors at equal places, and
+only suffixes from anchors are sorted.
 
 1. Texts with equal SHA-256 are one unit; units of several rows repeat whole.
    Anchors whose gram occurs once in all units match nothing and drop out.
-2. Tasks sort the suffixes from the other anchors into runs by (gram hash,
-   suffix), front-coded: each entry holds the length of the prefix that it
-   shares with the one before it and the rest.  Entries with equal contexts
-   collapse in the task that makes them; further places of such a context are
-   known to repeat and travel apart, dealt evenly.
-3. Runs are exchanged by gram hash.  A task merges its runs with a loser tree
+2. Tasks sort the contexts of the other anchors into runs, once by (key, suffix)
+   and once by (key, reversed prefix), front-coded: each entry holds the length
+   of the prefix that it shares with the one before it and the rest.  The key is
+   the gram's hash.  Entries with equal contexts collapse in the task that makes
+   them; further places of such a context are known to repeat and travel apart,
+   dealt evenly.
+3. Runs are exchanged by key.  A task merges both kinds of runs with loser trees
    whose players know the prefix that they share with the last winner, so no
-   known prefix is compared again; the merge gives the prefixes that neighbours
+   known prefix is compared again; the merges give the prefixes that neighbours
    share.
-4. A string that starts ``a`` bytes before its anchor repeats if another entry
-   shares ``a`` bytes leftwards and ``window - a`` bytes rightwards.  Shared
+4. A string of W bytes that starts ``a`` bytes before its anchor repeats if another
+   entry shares ``a`` bytes leftwards and ``W - a`` bytes rightwards.  Shared
    prefixes of both sorted sides cut entries into classes for each ``a``; two
    entries of one class pair repeat.
 
-Memory of a merging task is bounded by the contexts that share the task's range
-of gram hashes and differ; equal ones count once per sending task.
+Memory of a merging task is bounded: the number of tasks follows from the bytes
+of the contexts, and a gram with more than ``split_over`` places is not one key
+but many: its starts ``a`` are cut into pieces of PIECE, each keyed by the bytes
+that all strings of the piece must share; a piece that still has more places is
+cut into single starts, whose equal strings collapse where they are made.
 
 Null and empty texts, and texts shorter than the window, lose nothing.
 Repeated rows repeat each other.  Ties cannot change the result: all
@@ -38,6 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +55,10 @@ _BITS = 20
 _LOW = np.uint64((1 << _BITS) - 1)
 #: Bytes of contexts that a task gathers before it sorts and sends them as runs.
 RUN_BYTES = 12 << 20
+#: Bytes of contexts for one merging task.
+MERGE_BYTES = 64 << 20
+#: Starts of strings that share a key of a gram with very many places.
+PIECE = 16
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -193,139 +204,198 @@ class LoserTree:
             self.winner = w
 
 
-def _contexts(raw: bytes, hot: set[int], window: int, core: int) -> Iterator[tuple]:
-    """(gram hash, right, left reversed, least a, most a, place) of the anchors at the ``hot`` places."""
-    for p, h, first, last in zip(*(x.tolist() for x in anchors(raw, window, core)), strict=True):
-        if p in hot:
-            yield h, raw[p : last + window], raw[first:p][::-1], p - last, p - first, p
+def _pieces(raw: bytes, p: int, h: int, low: int, high: int, window: int, step: int) -> Iterator[tuple[int, int, int]]:
+    """(key, least a, most a) of the starts before the anchor ``p``, ``step`` at a time.
+
+    The key covers what strings of any start of the piece share if they are equal.
+    """
+    low = max(low, p + window - len(raw))
+    for base in range(low // step * step, high + 1, step):
+        least, most = max(low, base), min(high, base + step - 1)
+        if least <= most:
+            same = raw[p - base : p + window - base - step + 1]
+            yield xxhash.xxh3_64_intdigest(b"%d %d %d %d " % (h, window, step, base) + same), least, most
 
 
-def _runs(entries: list[tuple], parts: int, window: int) -> Iterator[tuple[int, bytes]]:
-    """(part, packed run) of sorted entries (hash, right, left, least a, most a, place, unit)."""
-    entries.sort(key=lambda e: e[:5])
+def _contexts(raw: bytes, hot: set[int], fine: set[int], heavy: set[int], windows: tuple[int, ...], core: int) -> Iterator[tuple]:
+    """(key, right, left reversed, least a, most a, which window, place) of the anchors at the ``hot`` and ``fine`` places.
+
+    ``which`` is 0 for an entry that serves all windows.
+    """
+    for p, h, first, last in zip(*(x.tolist() for x in anchors(raw, windows[-1], core)), strict=True):
+        if p in fine:
+            for which, window in enumerate(windows, 1):
+                for key, low, high in _pieces(raw, p, h, p - last, p - first, window, PIECE):
+                    if np.uint64(key).astype(np.int64) in heavy:
+                        for one, a, _ in _pieces(raw, p, h, low, high, window, 1):
+                            yield one, raw[p : p - a + window], raw[p - a : p][::-1], a, a, which, p
+                    else:
+                        yield key, raw[p : p - low + window], raw[p - high : p][::-1], low, high, which, p
+        elif p in hot:
+            yield h, raw[p : last + windows[0]], raw[first:p][::-1], p - last, p - first, 0, p
+
+
+def _spans_of(p: int, low: int, high: int, size: int, which: int, windows: tuple[int, ...]) -> Iterator[tuple[int, int, int]]:
+    """(window's place, start, end) of a place whose whole context is known to repeat; ``size`` is its right side's length."""
+    for i, window in enumerate(windows):
+        least = max(low, window - size)
+        if which in (0, i + 1) and least <= high:
+            yield i, p - high, p - least + window
+
+
+def _runs(entries: list[tuple], parts: int, windows: tuple[int, ...]) -> Iterator[tuple[int, bytes]]:
+    """(part, packed run) of sorted entries (key, right, left, least a, most a, which, place, unit)."""
+    entries.sort(key=lambda e: e[:6])
     kept, twice, known = [], [], []
     for e in entries:
-        if kept and kept[-1][:5] == e[:5]:
+        if kept and kept[-1][:6] == e[:6]:
             twice[-1] = True
-            known.append((e[6], e[5] - e[4], e[5] - e[3] + window))
+            known += [(e[7], *x) for x in _spans_of(e[6], e[3], e[4], len(e[1]), e[5], windows)]
         else:
             kept.append(e)
             twice.append(False)
-    ends = [0]
     part = [e[0] * parts >> 64 for e in kept]
-    ends += [i for i in range(1, len(kept)) if part[i] != part[i - 1]] + [len(kept)]
+    ends = [0, *(i for i in range(1, len(kept)) if part[i] != part[i - 1]), len(kept)]
     for a, b in zip(ends, ends[1:], strict=False):
         if a < b:
             of = kept[a:b]
-            right = front_code([e[0].to_bytes(8, "big") + e[1] for e in of])
-            left = front_code([e[2] for e in of])
-            units = sorted({e[6] for e in of})
+            keys = [e[0].to_bytes(8, "big") for e in of]
+            lefts = sorted((k + e[2], i) for i, (k, e) in enumerate(zip(keys, of, strict=True)))
+            units = sorted({e[7] for e in of})
             number = {u: i for i, u in enumerate(units)}
-            run = (right, left, np.array([e[3:6] for e in of], np.int64), np.array([number[e[6]] for e in of], np.int32), np.array(twice[a:b], bool), units)
+            fields = np.array([(e[3], e[4], e[5], e[6], len(e[1]), number[e[7]], t) for e, t in zip(of, twice[a:b], strict=True)], np.int64)
+            run = (front_code([k + e[1] for k, e in zip(keys, of, strict=True)]), front_code([x for x, _ in lefts]), np.array([i for _, i in lefts], np.int32), fields, units)
             yield part[a], pickle.dumps((run, None), pickle.HIGHEST_PROTOCOL)
     for i in range(0, len(known), 20_000):
         yield (i // 20_000 * 7919 + len(kept)) % parts, pickle.dumps((None, known[i : i + 20_000]), pickle.HIGHEST_PROTOCOL)
 
 
-def _opened(run: tuple) -> Iterator[tuple[bytes, int, tuple]]:
-    right, left, place, unit, twice, units = run
-    for s, k, t, (low, high, p), u, w in zip(front_decode(*right), right[0].tolist(), front_decode(*left), place.tolist(), unit.tolist(), twice.tolist(), strict=True):
-        yield s, k, (t, low, high, p, units[u], w)
-
-
-def _neighbours(strings: list[bytes]) -> np.ndarray:
-    """The shared prefix of each string with the one before it."""
-    out = np.zeros(len(strings), np.int64)
-    for i in range(1, len(strings)):
-        out[i] = shared(strings[i - 1], strings[i], 0)
-    return out
-
-
-def repeated(merged: list[tuple], window: int) -> Iterator[tuple[bytes, int, int]]:
-    """(unit, start, end) of the bytes that repeated windows cover, from entries in merged order."""
-    n = len(merged)
-    lcp_r = np.array([k - 8 for _, k, _ in merged], np.int64)
-    group = np.cumsum(lcp_r < 0)
-    lcp_r = np.maximum(lcp_r, 0)
-    left = [e[0] for _, _, e in merged]
-    low = np.array([e[1] for _, _, e in merged], np.int64)
-    high = np.array([e[2] for _, _, e in merged], np.int64)
-    twice = np.array([e[5] for _, _, e in merged], bool)
-    order = sorted(range(n), key=lambda i: (group[i], left[i]))
-    lcp_l = _neighbours([left[i] for i in order])
-    order = np.array(order, np.int64)
-    lcp_l[np.flatnonzero(np.diff(group[order])) + 1] = -1
-    fresh_r = np.concatenate([[True], np.diff(group) != 0]) if n else np.zeros(0, bool)
-    lcp_r[fresh_r] = -1
-    if n:
-        lcp_l[0] = -1
-    reach = lambda lcp: np.maximum(lcp, np.append(lcp[1:], -1))
-    most_r, most_l = reach(lcp_r), np.empty(n, np.int64)
-    most_l[order] = reach(lcp_l)
-    first = np.maximum(low, window - most_r)
-    final = np.minimum(high, most_l)
-    first[(most_r < 0) | (most_l < 0)] = window
-    open_ = np.flatnonzero(first <= final)
-    found: dict[int, list[int]] = {}
-    class_l = np.empty(n, np.int64)
-    for a in range(int(first[open_].min()), int(final[open_].max()) + 1) if len(open_) else ():
-        at = open_[(first[open_] <= a) & (a <= final[open_])]
-        if len(at) < 2:
-            continue
-        class_r = np.cumsum(lcp_r < window - a)
-        class_l[order] = np.cumsum(lcp_l < a)
-        code = class_r[at] * (n + 1) + class_l[at]
-        _, back, times = np.unique(code, return_inverse=True, return_counts=True)
-        for i in at[times[back] > 1].tolist():
-            found.setdefault(i, []).append(a)
-    for i in np.flatnonzero(twice).tolist():
-        _, low_a, high_a, p, unit, _ = merged[i][2]
-        yield unit, p - high_a, p - low_a + window
-        found.pop(i, None)
-    for i, offsets in found.items():
-        p, unit = merged[i][2][3], merged[i][2][4]
-        cuts = [0, *(j for j in range(1, len(offsets)) if offsets[j] != offsets[j - 1] + 1), len(offsets)]
-        for x, y in zip(cuts, cuts[1:], strict=False):
-            yield unit, p - offsets[y - 1], p - offsets[x] + window
-
-
-def removed_spans(df: DataFrame, window: int = 400, core: int = 128, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(units, spans): per unit its texts' SHA-256, rows and bytes; per unit with repeats its text and spans."""
-    session = df.sparkSession
+def _opened(coded: tuple, numbers) -> Iterator[tuple[bytes, int, int]]:
+    """A run of a loser tree: the strings, what each shares with the one before, and its entry's number."""
+    return zip(front_decode(*coded), coded[0].tolist(), numbers, strict=True)
+
+
+class _Merge:
+    """Merges runs on both sides and finds the repeats, some 20,000 entries of whole keys at a time."""
+
+    def __init__(self, runs: list[tuple], windows: tuple[int, ...]):
+        self.windows, start = windows, np.cumsum([0, *(len(r[3]) for r in runs)]).tolist()
+        self.fields = np.concatenate([r[3] for r in runs]) if runs else np.zeros((0, 7), np.int64)
+        self.units = [r[4] for r in runs]
+        self.run_of = np.repeat(np.arange(len(runs)), [len(r[3]) for r in runs])
+        self.place = np.zeros(start[-1], np.int64)
+        self.right = LoserTree([_opened(r[0], range(n, n + len(r[3]))) for n, r in zip(start, runs, strict=False)])
+        self.left = iter(LoserTree([_opened(r[1], (r[2] + n).tolist()) for n, r in zip(start, runs, strict=False)]))
+
+    def __iter__(self) -> Iterator[tuple[bytes, int, int, int]]:
+        """(unit, window's place, start, end)."""
+        held = []
+        for _, k, number in self.right:
+            if k < 8 and len(held) > 20_000:
+                yield from self._repeated(held)
+                held = []
+            held.append((k, number))
+        if held:
+            yield from self._repeated(held)
+
+    def _repeated(self, held: list[tuple[int, int]]) -> Iterator[tuple[bytes, int, int, int]]:
+        n = len(held)
+        number = np.array([x for _, x in held], np.int64)
+        self.place[number] = np.arange(n)
+        # the left sides of the same keys come in the same order of keys
+        beside = [(k, x) for _, (_, k, x) in zip(range(n), self.left, strict=False)]
+        order = self.place[np.array([x for _, x in beside], np.int64)]
+        lcp_r, lcp_l = (np.maximum(np.array([k for k, _ in of], np.int64) - 8, -1) for of in (held, beside))
+        lcp_r[0] = lcp_l[0] = -1
+        low, high, which, at, size, unit, twice = self.fields[number].T
+        whole = twice > 0
+        reach = lambda lcp: np.maximum(lcp, np.append(lcp[1:], -1))
+        most_r, most_l = reach(lcp_r), np.empty(n, np.int64)
+        most_l[order] = reach(lcp_l)
+        named = lambda i: self.units[self.run_of[number[i]]][unit[i]]
+        for i in np.flatnonzero(whole).tolist():
+            for x in _spans_of(int(at[i]), int(low[i]), int(high[i]), int(size[i]), int(which[i]), self.windows):
+                yield named(i), *x
+        class_l = np.empty(n, np.int64)
+        for w, window in enumerate(self.windows):
+            first, final = np.maximum(low, window - most_r), np.minimum(high, most_l)
+            open_ = np.flatnonzero((first <= final) & (most_r >= 0) & (most_l >= 0) & ((which == 0) | (which == w + 1)))
+            found: dict[int, list[int]] = {}
+            for a in range(int(first[open_].min()), int(final[open_].max()) + 1) if len(open_) else ():
+                some = open_[(first[open_] <= a) & (a <= final[open_])]
+                if len(some) < 2:
+                    continue
+                class_r = np.cumsum(lcp_r < window - a)
+                class_l[order] = np.cumsum(lcp_l < a)
+                _, back, times = np.unique(class_r[some] * (n + 1) + class_l[some], return_inverse=True, return_counts=True)
+                for i in some[(times[back] > 1) & ~whole[some]].tolist():
+                    found.setdefault(i, []).append(a)
+            for i, starts in found.items():
+                cuts = [0, *(j for j in range(1, len(starts)) if starts[j] != starts[j - 1] + 1), len(starts)]
+                for x, y in zip(cuts, cuts[1:], strict=False):
+                    yield named(i), w, int(at[i]) - starts[y - 1], int(at[i]) - starts[x] + window
+
+
+def _over(df: DataFrame, limit: int) -> DataFrame:
+    """(key, n) of the keys with more than ``limit`` rows, written so that both sides of a join by key are plain exchanges that Spark can split."""
+    return cut(df.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > limit))
+
+
+def removed_spans(df: DataFrame, windows: tuple[int, ...] = (400, 256), core: int = 128, split_over: int = 1 << 16, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(units, spans): per unit its texts' SHA-256, rows and bytes; per unit with repeats its text and spans (w, start, end).
+
+    ``windows`` fall, and ``w`` is a window's place among them.
+    """
+    session, shortest = df.sparkSession, windows[-1]
     ship(session)
     raws = df.select(F.coalesce(df[text_column], F.lit("")).cast("binary").alias("raw")).withColumn("unit", F.unhex(F.sha2("raw", 256)))
 
+    def lists(found: list[np.ndarray]) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
+
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, keys = [], []
-            for raw in batch.column(1).to_pylist():
-                p, h, _, _ = anchors(raw, window, core)
-                places.append(p)
-                keys.append(h.view(np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(p) for p in places])]).astype(np.int32)
-            flat = lambda x: pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), flat(places), flat(keys)], names=["unit", "places", "keys"])
-
-    long_enough = raws.filter(F.length("raw") >= window)
+            found = [anchors(raw, shortest, core) for raw in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists([x[0] for x in found]), lists([x[1].view(np.int64) for x in found])], names=["unit", "places", "keys"])
+
+    def mark_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for raw, fine in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                fine, own = set(fine), []
+                for p, h, first, last in zip(*(x.tolist() for x in anchors(raw, shortest, core)), strict=True):
+                    if p in fine:
+                        own += [key for w in windows for key, _, _ in _pieces(raw, p, h, p - last, p - first, w, PIECE)]
+                keys.append(np.array(own, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists(keys)], names=["unit", "keys"])
+
+    long_enough = raws.filter(F.length("raw") >= shortest)
     marked = long_enough.select("unit", "raw").mapInArrow(mark, "unit binary, places array<long>, keys array<long>")
     units = cut(marked.groupBy("unit").agg(F.count("*").alias("rows"), F.first("places").alias("places"), F.first("keys").alias("keys")))
     each = units.select("unit", F.explode(F.arrays_zip("places", "keys")).alias("x")).select("unit", F.col("x.places").alias("place"), F.col("x.keys").alias("key"))
-    # written, so that both sides of the join are plain exchanges and Spark can split a gram with very many places
-    common = cut(each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
-    hot = each.join(common, "key", "left_semi").groupBy("unit").agg(F.collect_list("place").alias("hot"))
+    common = _over(each, 1)
+    many = F.col("n") > split_over
+    hot = each.join(common, "key").groupBy("unit").agg(F.collect_list(F.when(~many, F.col("place"))).alias("hot"), F.collect_list(F.when(many, F.col("place"))).alias("fine"))
     texts = cut(long_enough.groupBy("unit").agg(F.first("raw").alias("raw")).join(hot, "unit"))
-    parts = max(8, int(session.conf.get("spark.sql.shuffle.partitions")))
+    heavy = None
+    if not common.filter(many).isEmpty():
+        pieces = cut(texts.filter(F.size("fine") > 0).select("unit", "raw", "fine").mapInArrow(mark_pieces, "unit binary, keys array<long>")).select("unit", F.explode("keys").alias("key"))
+        heavy = cut(pieces.join(_over(pieces, split_over).select("key"), "key", "left_semi").groupBy("unit").agg(F.collect_set("key").alias("heavy")))
+    with_heavy = texts.withColumn("heavy", F.array().cast("array<bigint>")) if heavy is None else texts.join(heavy, "unit", "left").withColumn("heavy", F.coalesce("heavy", F.array().cast("array<bigint>")))
+    entries = texts.agg(F.sum(F.size("hot") + F.size("fine") * len(windows) * (2 + (shortest - core) // PIECE))).first()[0] or 0
+    parts = max(8, int(session.conf.get("spark.sql.shuffle.partitions")), -(-entries * (windows[0] + shortest - core) // MERGE_BYTES))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, held = [], 0
 
         def sent() -> pa.RecordBatch:
-            rows = list(_runs(entries, parts, window))
+            rows = list(_runs(entries, parts, windows))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "run"])
 
         for batch in batches:
-            for unit, raw, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for e in _contexts(raw, set(places), window, core):
+            for unit, raw, places, fine, heavy in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for e in _contexts(raw, set(places), set(fine), set(heavy), windows, core):
                     entries.append((*e, unit))
                     held += len(e[1]) + len(e[2]) + 200
                     if held > RUN_BYTES:
@@ -337,28 +407,27 @@ def removed_spans(df: DataFrame, window: int = 400, core: int = 128, text_column
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = []
 
-        def rows(spans) -> Iterator[pa.RecordBatch]:
-            spans = list(spans)
-            for i in range(0, len(spans), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*spans[i : i + 50_000], strict=True), (pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["unit", "start", "end"])
+        def rows(spans) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*spans, strict=True), (pa.binary(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["unit", "w", "start", "end"])
 
         for batch in batches:
             for packed in batch.column(1).to_pylist():
                 run, known = pickle.loads(packed)
                 if run is not None:
-                    runs.append(_opened(run))
+                    runs.append(run)
                 else:
-                    yield from rows(known)
+                    yield rows(known)
         held = []
-        for entry in LoserTree(runs):
-            if entry[1] < 8 and len(held) > 20_000:
-                yield from rows(repeated(held, window))
+        for span in _Merge(runs, windows):
+            held.append(span)
+            if len(held) >= 50_000:
+                yield rows(held)
                 held = []
-            held.append(entry)
-        yield from rows(repeated(held, window))
+        if held:
+            yield rows(held)
 
-    runs = texts.select("unit", "raw", "hot").mapInArrow(sort, "part int, run binary").repartition(parts, "part")
-    spans = runs.mapInArrow(merge, "unit binary, start long, end long").groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    runs = with_heavy.select("unit", "raw", "hot", "fine", "heavy").mapInArrow(sort, "part int, run binary").repartition(parts, "part")
+    spans = runs.mapInArrow(merge, "unit binary, w int, start long, end long").groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("w", "start", "end"))).alias("spans"))
     return units.select("unit", "rows"), texts.select("unit", "raw").join(spans, "unit")
 
 
@@ -382,30 +451,42 @@ def cut_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out) + raw[last:]
 
 
-def dedup(df: DataFrame, window: int = 400, core: int = 128, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row: id, n_bytes, n_removed, n_spans, kept_sha256."""
-    units, repeats = removed_spans(df, window, core, text_column)
+def dedup(df: DataFrame, window: int = 400, core: int = 128, report: int = 256, split_over: int = 1 << 16, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per row: id, n_bytes, n_removed, n_spans, kept_sha256, passage_bytes, has_passage.
+
+    The last two tell of repeated strings of ``report`` bytes, at most ``window``:
+    how many bytes they cover, and whether there are any.
+    """
+    report = min(report, window)
+    windows = (window,) if report == window else (window, report)
+    units, repeats = removed_spans(df, windows, min(core, report), split_over, text_column)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, count, digest = [], [], []
+            removed, count, digest, passages = [], [], [], []
             for raw, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                of = merged(spans)
+                of, shorter = (merged([s for s in spans if s["w"] == w]) for w in (0, len(windows) - 1))
                 removed.append(sum(b - a for a, b in of))
                 count.append(len(of))
                 digest.append(hashlib.sha256(cut_bytes(raw, of)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string())], names=["unit", "n_removed", "n_spans", "kept_sha256"])
+                passages.append(sum(b - a for a, b in shorter))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(passages, pa.int64())], names=["unit", "n_removed", "n_spans", "kept_sha256", "passage_bytes"])
 
-    judged = repeats.mapInArrow(judge, "unit binary, n_removed long, n_spans long, kept_sha256 string")
+    judged = repeats.mapInArrow(judge, "unit binary, n_removed long, n_spans long, kept_sha256 string, passage_bytes long")
     raw = F.coalesce(df[text_column], F.lit("")).cast("binary")
     rows = df.select(df[id_column], F.length(raw).cast("long").alias("n_bytes"), F.unhex(F.sha2(raw, 256)).alias("unit"))
-    known = units.filter("rows > 1").select("unit", F.lit(True).alias("_copied")).join(judged, "unit", "full")
-    whole = F.coalesce("_copied", F.lit(False))
+    # written, so that the rows of one text that very many rows repeat can be split
+    known = cut(units.filter("rows > 1").select("unit", F.lit(True).alias("_copied")).join(judged, "unit", "full"))
+    copied = F.coalesce("_copied", F.lit(False))
+    whole = copied & (F.col("n_bytes") >= window)
     none = F.lit(0).cast("long")
+    passages = F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("passage_bytes", none))
     return rows.join(known, "unit", "left").select(
         id_column,
         "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", none)).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", none)).alias("n_spans"),
         F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("unit")))).alias("kept_sha256"),
+        passages.alias("passage_bytes"),
+        (passages > 0).alias("has_passage"),
     )

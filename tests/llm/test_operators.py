@@ -213,35 +213,48 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {200: 100}
 
 
-def _brute_suffix(rows, window):
-    seen, out = Counter(), []
-    raws = [(d, (t or "").encode()) for d, t in rows]
+def _repeats(raws, window):
+    """Per text, which bytes a repeated string of ``window`` bytes covers."""
+    seen = Counter(b[i : i + window] for _, b in raws for i in range(len(b) - window + 1))
     for _, b in raws:
-        seen.update(b[i : i + window] for i in range(len(b) - window + 1))
-    for d, b in raws:
         gone = bytearray(len(b))
         for i in range(len(b) - window + 1):
             if seen[b[i : i + window]] > 1:
                 gone[i : i + window] = b"\1" * window
+        yield gone
+
+
+def _brute_suffix(rows, window, report):
+    raws, out = [(d, (t or "").encode()) for d, t in rows], []
+    for (d, b), gone, passages in zip(raws, _repeats(raws, window), _repeats(raws, report), strict=True):
         spans = sum(1 for i in range(len(b)) if gone[i] and (not i or not gone[i - 1]))
-        out.append((d, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest()))
+        out.append((d, len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest(), sum(passages), any(passages)))
     return sorted(out)
 
 
-@pytest.mark.parametrize(("window", "core"), [(40, 13), (40, 30), (41, 8)])
-def test_suffix_dedup_by_brute_force(spark, window, core):
+@pytest.mark.parametrize(("window", "core", "report", "split_over"), [(40, 13, 40, 99), (40, 30, 30, 99), (41, 8, 25, 99), (60, 12, 30, 2), (45, 12, 40, 12)])
+def test_suffix_dedup_by_brute_force(spark, window, core, report, split_over):
     rng = random.Random(3)
     say = lambda n: "".join(rng.choice("abcdefgh é\n") for _ in range(n))
-    passages = [say(n) for n in (60, 100, 41, 39, 80, 45, 150)]
+    passages = [say(n) for n in (60, 100, 41, 39, 80, 45, 150, 30, 29)]
     rows = [(i, "".join(rng.choice([rng.choice(passages), say(rng.randint(1, 60))]) for _ in range(rng.randint(0, 8)))) for i in range(120)]
-    rows += [(200, None), (201, ""), (202, "a" * 500), (203, "ab" * 300), (204, "x" * 39), (205, rows[5][1]), (205, rows[5][1]), (206, "a" * 90)]
-    got = suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string"), window, core).collect()
-    assert sorted(map(tuple, got)) == _brute_suffix(rows, window)
+    rows += [(200, None), (201, ""), (202, "a" * 500), (203, "ab" * 300), (204, "x" * 39), (205, rows[5][1]), (205, rows[5][1]), (206, "a" * 90), (207, "é" * 17), (208, "é" * 17)]
+    got = suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string"), window, core, report, split_over).collect()
+    assert sorted(map(tuple, got)) == _brute_suffix(rows, window, report)
+
+
+def test_suffix_dedup_splits_a_gram_of_very_many_places(spark):
+    rng = random.Random(7)
+    say = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = say(90)
+    rows = [(i, say(rng.randint(0, 50)) + passage[: rng.choice([90, 90, 80, 61])] + say(rng.randint(0, 50))) for i in range(150)]
+    got = suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string"), 60, 16, 40, 10).collect()
+    assert sorted(map(tuple, got)) == _brute_suffix(rows, 60, 40)
 
 
 def test_suffix_dedup_on_documents(spark, tiny):
     got = sorted(map(tuple, registered.op8_suffix_dedup(spark, tiny).collect()))
-    assert got == _brute_suffix(_texts(spark, tiny).items(), 400)
+    assert got == _brute_suffix(_texts(spark, tiny).items(), 400, 256)
 
 
 def test_loser_tree_merges():
