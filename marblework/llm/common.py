@@ -83,22 +83,20 @@ def replace_text(df: DataFrame, column: str, fn: Callable[[str | None], str | No
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one that the cluster names in spark.checkpoint.dir.
-
-    Where that is unset (tests), it is set to a folder of the warehouse first.
-    """
+    """A fresh folder below the shared one that the cluster names in spark.checkpoint.dir."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset, a folder of the warehouse on one machine (tests), an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-        root = root if ":" in root else "file://" + os.path.abspath(root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    return root if ":" in root else "file://" + os.path.abspath(root)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -109,7 +107,26 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, "step")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._step = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes the files of frames that ``cut`` wrote and that nothing will read again."""
+    for df in frames:
+        path = getattr(df, "_step", None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def digest_text(column) -> object:

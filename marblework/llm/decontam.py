@@ -6,22 +6,31 @@ says how far the search may jump, a window's last block picks its bucket, and
 only the bucket's windows are compared word by word.  Text is read in jumps of
 up to ``width - 1`` words.
 
+Tasks build the matchers themselves, from items of ``chunk_bytes`` of text at a
+time.  The driver only passes these items on: a benchmark beyond that size is
+searched in several passes, each of which is written before the next chunk is
+fetched, so neither the driver nor an executor holds more than one chunk.
+
 Null or wordless texts have no words and no hits; a null or wordless item has no
 windows.  Repeated items each count, by item_id; one window of several items
-marks all of them.  Repeated rows each get their own row.  Empty documents give
+marks all of them; the words of an item with a null id are hit, and no item is
+named.  Repeated rows each get their own row.  Empty documents give
 an empty result, an empty benchmark gives rows without hits.  Columns besides
 those named are not read.
 """
 
 from __future__ import annotations
 
+import uuid
+from bisect import bisect_right
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import filter_rows, map_rows
+from marblework.llm.common import cut, filter_rows, map_rows, release, unused
 
 #: Lower-cases A-Z and blanks every ASCII byte that is neither digit nor letter; other bytes stay.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -32,22 +41,40 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Matcher:
-    """Wu-Manber over windows of one length."""
+    """Wu-Manber over the windows of one length of items (name, words), which are held as one list of words."""
 
-    def __init__(self, length: int, windows: dict[tuple, list[str]]):
+    def __init__(self, length: int, items: list[tuple[str | None, list[bytes]]]):
         self.length, self.block = length, min(2, length)
         self.far = length - self.block + 1
         self.shift: dict = {}
         self.bucket: dict = defaultdict(list)
-        for window, items in windows.items():
-            for end in range(self.block, length + 1):
-                key = window[end - self.block : end] if self.block == 2 else window[end - 1]
-                self.shift[key] = min(self.shift.get(key, self.far), length - end)
-            self.bucket[key].append((window[0], list(window), items))
+        self.flat: list[bytes] = []
+        self.starts, self.names = [], []
+        #: Further items of a window, by its first place.
+        self.more: dict[int, set[str]] = defaultdict(set)
+        one: dict[bytes, bytes] = {}
+        seen: dict[int, int] = {}
+        flat, m = self.flat, length
+        for name, words in items:
+            base = len(flat)
+            self.starts.append(base)
+            self.names.append(name)
+            flat += [one.setdefault(w, w) for w in words]
+            for at in range(base, len(flat) - m + 1):
+                window = flat[at : at + m]
+                known = seen.setdefault(hash(tuple(window)), at)
+                if known != at and flat[known : known + m] == window:
+                    if name is not None:
+                        self.more[known].add(name)
+                    continue
+                for end in range(self.block, m + 1):
+                    key = tuple(window[end - 2 : end]) if self.block == 2 else window[end - 1]
+                    self.shift[key] = min(self.shift.get(key, self.far), m - end)
+                self.bucket[key].append(at)
 
     def search(self, words: list[bytes], hit: np.ndarray, found: set[str]) -> None:
         """Marks the words inside occurrences in ``hit`` and adds the items to ``found``."""
-        m, n, far, shift, bucket = self.length, len(words), self.far, self.shift.get, self.bucket
+        m, n, far, shift, bucket, flat = self.length, len(words), self.far, self.shift.get, self.bucket, self.flat
         i, two = m - 1, self.block == 2
         while i < n:
             key = (words[i - 1], words[i]) if two else words[i]
@@ -56,40 +83,90 @@ class Matcher:
                 i += step
                 continue
             at = i - m + 1
-            for first, window, items in bucket[key]:
-                if words[at] == first and words[at : i + 1] == window:
+            for start in bucket.get(key, ()):
+                if flat[start] == words[at] and flat[start : start + m] == words[at : i + 1]:
                     hit[at : i + 1] = True
-                    found.update(items)
+                    if (name := self.names[bisect_right(self.starts, start) - 1]) is not None:
+                        found.add(name)
+                    if start in self.more:
+                        found |= self.more[start]
             i += 1
 
 
-def _chunks(benchmark: DataFrame, item_column: str, text_column: str, width: int, limit: int):
-    """Matchers over items of about ``limit`` bytes of text at most, one list of matchers at a time.
+def matchers(items: list[tuple[str | None, str | None]], width: int) -> list[Matcher]:
+    by_length: dict[int, list] = defaultdict(list)
+    for name, text in items:
+        if words := words_of(text):
+            by_length[min(width, len(words))].append((name, words))
+    return [Matcher(m, of) for m, of in by_length.items()]
+
+
+class _Chunks:
+    """The benchmark's items (name, text), some ``limit`` bytes of text at a time; one longer item is a chunk of its own at worst."""
+
+    def __init__(self, benchmark: DataFrame, item_column: str, text_column: str, limit: int):
+        self.items = benchmark.select(benchmark[item_column].cast("string").alias("name"), benchmark[text_column].alias("text")).filter("text IS NOT NULL")
+        size = self.items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.number = max(1, -(-size // limit))
+
+    def __iter__(self) -> Iterator[list[tuple[str | None, str]]]:
+        for i in range(self.number):
+            some = self.items if self.number == 1 else self.items.distinct().filter(F.pmod(F.xxhash64("name", "text"), F.lit(self.number)) == i)
+            yield [(r["name"], r["text"]) for r in some.collect()]
+
+
+#: The matchers that a Python worker has built, of one chunk at a time.
+_BUILT: dict[str, list[Matcher]] = {}
+
+
+def _searcher(df: DataFrame, items: list, width: int):
+    """(broadcast, function of a text for tasks: its number of words, the hit ones, the items found)."""
+    held, key = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+
+    def search(text: str | None) -> tuple[int, np.ndarray, list[str]]:
+        if key not in _BUILT:
+            _BUILT.clear()
+            _BUILT[key] = matchers(held.value, width)
+        words, found = words_of(text), set()
+        hit = np.zeros(len(words), bool)
+        for m in _BUILT[key]:
+            m.search(words, hit, found)
+        return len(words), hit, sorted(found)
+
+    return held, search
+
+
+def _in_passes(rows: DataFrame, chunks: _Chunks, width: int) -> DataFrame:
+    """(_row, n_words, n_hit, items) of ``rows`` (_row, _text), which are written, by one written pass for each chunk."""
+    parts = []
+    for items in chunks:
+        held, search = _searcher(rows, items, width)
+
+        def part(text: str | None, search=search) -> list:
+            n, hit, found = search(text)
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
+            return [n, edge[0::2].tolist(), edge[1::2].tolist(), found]
+
+        made = map_rows(rows, ["_row", "_text"], "n_words long, _from array<long>, _to array<long>, items array<string>", part)
+        parts.append(cut(made.filter(F.size("_from") > 0) if parts else made))
+        held.destroy()
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    spans = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("_from", "_to"))))
+    merged = every.groupBy("_row").agg(F.first("n_words").alias("n_words"), spans.alias("_s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    covered = F.aggregate(
+        "_s",
+        F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
+        lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0).cast("long"), x["_to"] - F.greatest(x["_from"], a["end"]))).alias("n"), F.greatest(a["end"], x["_to"]).alias("end")),
+    )["n"]
+    out = cut(merged.select("_row", "n_words", covered.alias("n_hit"), "items"))
+    release(*parts)
+    return out
 
-    The items stream to the driver partition by partition and are never all
-    held there; a single item longer than the limit forms a chunk of its own.
-    """
 
-    def built(items: list) -> list[Matcher]:
-        by_length: dict[int, dict[tuple, list[str]]] = defaultdict(lambda: defaultdict(list))
-        for name, text in items:
-            words = words_of(text)
-            m = min(width, len(words))
-            for i in range(len(words) - m + 1) if m else ():
-                of = by_length[m][tuple(words[i : i + m])]
-                if not of or of[-1] != name:
-                    of.append(name)
-        return [Matcher(m, dict(w)) for m, w in by_length.items()]
-
-    held, size, given = [], 0, False
-    for name, text in benchmark.select(benchmark[item_column].cast("string"), benchmark[text_column]).toLocalIterator():
-        if held and size + len(text or "") > limit:
-            yield built(held)
-            held, size, given = [], 0, True
-        held.append((name, text))
-        size += len(text or "")
-    if held or not given:
-        yield built(held)
+def _contaminated():
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
 def find(
@@ -104,71 +181,45 @@ def find(
 ) -> DataFrame:
     """Per row: id, n_words, n_hit, n_items, items (sorted as strings), contaminated.
 
-    Each matcher that is broadcast holds at most ``chunk_bytes`` of item text.
-    A larger benchmark is searched in several passes over the documents, whose
-    hit words and items are united per row; with one pass nothing is shuffled.
+    With one chunk nothing is shuffled; with more, the hit words and items of the
+    passes are united per row.
     """
-    sc = df.sparkSession.sparkContext
-    chunks = _chunks(benchmark, item_column, item_text_column, width, chunk_bytes)
-    held = [sc.broadcast(c) for c in chunks]
-
-    def search(matchers: list[Matcher], text: str | None) -> tuple[int, np.ndarray, list[str]]:
-        words, found = words_of(text), set()
-        hit = np.zeros(len(words), bool)
-        for m in matchers:
-            m.search(words, hit, found)
-        return len(words), hit, sorted(found)
-
-    if len(held) == 1:
-        only = held[0]
+    chunks = _Chunks(benchmark, item_column, item_text_column, chunk_bytes)
+    if chunks.number == 1:
+        _, search = _searcher(df, next(iter(chunks)), width)
 
         def row(text: str | None) -> list:
-            n, hit, found = search(only.value, text)
+            n, hit, found = search(text)
             return [n, int(hit.sum()), len(found), found]
 
         got = map_rows(df, [id_column, text_column], "n_words long, n_hit long, n_items long, items array<string>", row)
     else:
-        rows = df.select(F.col(id_column), F.col(text_column), F.monotonically_increasing_id().alias("_row"))
-        parts = None
-        for one in held:
-
-            def part(id_, text: str | None, one=one) -> list:
-                n, hit, found = search(one.value, text)
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-                return [id_, n, edge[0::2].tolist(), edge[1::2].tolist(), found]
-
-            kind = df.schema[id_column].dataType.simpleString()
-            made = map_rows(rows, ["_row", id_column, text_column], f"_id {kind}, n_words long, _from array<long>, _to array<long>, items array<string>", part)
-            parts = made if parts is None else parts.unionByName(made)
-        spans = F.flatten(F.collect_list(F.arrays_zip("_from", "_to")))
-        merged = parts.groupBy("_row").agg(F.first("_id").alias(id_column), F.first("n_words").alias("n_words"), F.array_sort(spans).alias("_s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        covered = F.aggregate(
-            "_s",
-            F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
-            lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0).cast("long"), x["_to"] - F.greatest(x["_from"], a["end"]))).alias("n"), F.greatest(a["end"], x["_to"]).alias("end")),
-        )["n"]
-        got = merged.select(id_column, "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
-    return got.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+        rows = cut(df.select(df[id_column].alias("_id"), df[text_column].alias("_text"), F.monotonically_increasing_id().alias("_row")))
+        found = rows.select("_id", "_row").join(_in_passes(rows, chunks, width), "_row")
+        got = found.select(F.col("_id").alias(id_column), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
+    return got.withColumn("contaminated", _contaminated())
 
 
 def keep_clean(df: DataFrame, benchmark: DataFrame, width: int = 13, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", chunk_bytes: int = 8_000_000) -> DataFrame:
     """All columns of the rows that are not contaminated.
 
-    A row is judged where it stands, by one matcher after the other; executors
-    hold the matchers' blocks on disk where memory lacks.
+    With one chunk a row is judged where it stands; with more, rows are numbered
+    and written once and the contaminated numbers are taken out.
     """
-    held = [df.sparkSession.sparkContext.broadcast(c) for c in _chunks(benchmark, item_column, item_text_column, width, chunk_bytes)]
-
-    def keep(text: str | None) -> bool:
-        words = words_of(text)
-        hit, found = np.zeros(len(words), bool), set()
-        for chunk in held:
-            for m in chunk.value:
-                m.search(words, hit, found)
-        n = int(hit.sum())
-        return not (n > 0 and 20 * n >= len(words))
-
-    return filter_rows(df, text_column, keep)
+    chunks = _Chunks(benchmark, item_column, item_text_column, chunk_bytes)
+    if chunks.number == 1:
+        _, search = _searcher(df, next(iter(chunks)), width)
+
+        def keep(text: str | None) -> bool:
+            n, hit, _ = search(text)
+            hits = int(hit.sum())
+            return not (hits > 0 and 20 * hits >= n)
+
+        return filter_rows(df, text_column, keep)
+    number = unused(df, "_row")
+    rows = cut(df.withColumn(number, F.monotonically_increasing_id()))
+    bad = _in_passes(rows.select(F.col(number).alias("_row"), F.col(text_column).alias("_text")), chunks, width).filter(_contaminated()).select(F.col("_row").alias(number))
+    return rows.join(bad, number, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:

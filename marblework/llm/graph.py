@@ -5,27 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut
+from marblework.llm.common import cut, release
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for each node of ``edges`` (a, b): the least node that it reaches.
 
     Large-star and small-star rounds: every node's larger neighbours, then its
-    smaller ones, are linked to its least neighbour, until nothing changes.  A
-    node with very many links is reduced by a partial minimum and its links by a
-    join that Spark splits.
+    smaller ones, are linked to its least neighbour, until nothing changes; the
+    number of rounds grows with the logarithm of the longest path.  The minima
+    are written before they are joined back, so both sides of those joins are
+    plain exchanges and Spark can split a node with very many links.
+
+    Links with a null end and links of a node to itself are dropped, repeated
+    links count once, and no link gives no row.
     """
     links = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct())
     mark = None
-    for _ in range(most_rounds):
+    while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        links = cut(large.join(small, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").filter("a > b").distinct())
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == mark:
+        least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        large = cut(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct())
+        small = cut(large.groupBy("a").agg(F.min("b").alias("m")))
+        each = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
+        new = cut(large.join(small, "a").select(each.alias("x")).select("x.*").filter("a > b").distinct())
+        now = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        release(links, least, large, small)
+        links = new
+        if now == mark:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        mark = tuple(now)
-    raise RuntimeError(f"no fixed point in {most_rounds} rounds")
+        mark = now

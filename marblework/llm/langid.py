@@ -5,6 +5,11 @@ labelled rows.  A word's log-likelihood under a language is the sum of its
 n-grams' smoothed log-probabilities.  For each text, expectation-maximisation
 estimates the proportions of the languages; the set of languages grows from the
 best single one as long as the next gains more log-likelihood than its penalty.
+Proportions are renewed until they stand still.
+
+A model knows the ``most_languages`` labels with the most rows (ties: those that
+sort first), so that it stays small where a label column is dirty; rows under
+other labels are not learned from, and are predicted like all others.
 
 Null text and text without a letter give ``und`` with score 0.  Texts are read
 whole, a slice at a time.  Equal likelihoods go to the language that sorts
@@ -29,11 +34,13 @@ from marblework.llm.common import map_rows, ship
 UNKNOWN = "und"
 BITS = 15
 BUCKETS = 1 << BITS
-MAX_LANGUAGES = 256
+#: Labels that a model learns at most, and the floats that a text's word likelihoods may take before they are computed slice by slice.
+MOST_LANGUAGES, HELD_FLOATS = 256, 1 << 24
 #: Log-likelihood that a further language must gain, besides the logarithm of the number of words.
 PENALTY = 6.0
-ROUNDS = 12
-SLICE = 1 << 20
+#: Rounds of expectation-maximisation at most, and the change of a proportion that ends them.
+ROUNDS, STILL = 50, 1e-3
+SLICE = 1 << 18
 _LETTER = re.compile(r"[^\W\d_]")
 #: Lower-cases A-Z, blanks all other ASCII but letters, keeps the bytes of other characters.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -66,21 +73,28 @@ def held_out(id_column: Column, folds: int = 4, fold: int = 2) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % folds == fold
 
 
-def train(df: DataFrame, learn: Column, lang_column: str = "lang", text_column: str = "text") -> dict:
+def frequent(df: DataFrame, learn: Column, lang_column: str, most: int) -> list[str]:
+    """The ``most`` labels with the most rows, sorted; only they reach the driver."""
+    counts = df.filter(learn & df[lang_column].isNotNull()).groupBy(df[lang_column].cast("string").alias("lang")).agg(F.count("*").alias("n"))
+    return sorted(r["lang"] for r in counts.orderBy(F.desc("n"), "lang").limit(most).collect())
+
+
+def train(df: DataFrame, learn: Column, lang_column: str = "lang", text_column: str = "text", most_languages: int = MOST_LANGUAGES) -> dict:
     """{"langs": sorted names, "logp": array 2 BUCKETS x languages}, learned from all rows where ``learn`` holds.
 
     Tasks count locally; the sums are at most languages x 2 BUCKETS rows,
     whatever the input, and only they reach the driver.
     """
-    labelled = df.filter(learn & df[text_column].isNotNull() & df[lang_column].isNotNull()).select(df[lang_column].alias("lang"), df[text_column].alias("text"))
+    known = frequent(df, learn, lang_column, most_languages)
+    labelled = df.filter(learn & df[text_column].isNotNull() & df[lang_column].cast("string").isin(known)).select(df[lang_column].cast("string").alias("lang"), df[text_column].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells: dict[str, np.ndarray] = {}
 
         def add(lang: str, texts: list[str]) -> None:
-            held = cells.setdefault(lang, np.zeros(2 * BUCKETS))
-            if len(cells) > MAX_LANGUAGES:
-                raise ValueError(f"more than {MAX_LANGUAGES} languages")
+            if lang not in cells:
+                cells[lang] = np.zeros(2 * BUCKETS)
+            held = cells[lang]
             for piece in slices("\n".join(texts).encode()):
                 tri, four, _ = ngrams(piece)
                 held += np.bincount(tri, minlength=2 * BUCKETS) + np.bincount(four, minlength=2 * BUCKETS)
@@ -99,8 +113,6 @@ def train(df: DataFrame, learn: Column, lang_column: str = "lang", text_column:
     sums = labelled.mapInArrow(run, "lang string, bucket int, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = sums.toPandas()
     langs = sorted(rows["lang"].unique())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     n = np.zeros((2 * BUCKETS, len(langs)))
     for i, lang in enumerate(langs):
         of = rows[rows["lang"] == lang]
@@ -115,57 +127,84 @@ class Model:
     def __init__(self, trained: dict):
         self.langs, self.logp = trained["langs"], trained["logp"]
 
-    def words(self, text: str) -> np.ndarray:
-        """Log-likelihoods of the words, words x languages, the two orders' mean."""
-        found = []
-        for piece in slices(text.encode()):
-            tri, four, starts = ngrams(piece)
-            if len(starts):
-                found.append(np.add.reduceat((self.logp[tri] + self.logp[four]) * np.float32(0.5), starts, axis=0))
-        return np.concatenate(found) if found else np.zeros((0, len(self.langs)), np.float32)
+    def _words(self, piece: bytes) -> np.ndarray:
+        """Log-likelihoods of a slice's words, words x languages, the two orders' mean."""
+        tri, four, starts = ngrams(piece)
+        if not len(starts):
+            return np.zeros((0, len(self.langs)), np.float32)
+        return np.add.reduceat((self.logp[tri] + self.logp[four]) * np.float32(0.5), starts, axis=0)
 
-    def mixture(self, text: str) -> list[tuple[str, float]]:
-        """Languages of the text with their proportions, largest first; empty without a letter."""
+    def infer(self, text: str) -> tuple[list[tuple[str, float]], float]:
+        """Languages of the text with their proportions, largest first, and how much likelier they make an n-gram than chance, in nats.
+
+        No language without a letter or where nothing was learned.  The word
+        likelihoods of a very long text are not all held but computed anew for
+        each language that is added.
+        """
         if not self.langs or not _LETTER.search(text):
-            return []
-        like = self.words(text)
-        n = len(like)
+            return [], 0.0
+        raw = text.encode()
+        if len(raw) * len(self.langs) <= 4 * HELD_FLOATS:
+            held = [self._words(p) for p in slices(raw)]
+            likes = lambda: held
+        else:
+            likes = lambda: map(self._words, slices(raw))
+        single, n = np.zeros(len(self.langs)), 0
+        for like in likes():
+            single += like.sum(0, dtype=np.float64)
+            n += len(like)
         if not n:
-            return []
-        single = like.sum(0, dtype=np.float64)
+            return [], 0.0
         chosen, share = [int(np.argmax(single))], np.ones(1)
         best = float(single[chosen[0]])
         fee = PENALTY + np.log(n + 1)
-        now = like[:, chosen[0]].astype(np.float64)
+        of = np.concatenate([like[:, chosen] for like in likes()]).astype(np.float64)
+        now = of[:, 0]
         while len(chosen) < len(self.langs):
             # no set with one language more can gain more than all words that prefer it
-            gain = np.maximum(like - now[:, None], 0).sum(0)
+            gain, at = np.zeros(len(self.langs)), 0
+            for like in likes():
+                gain += np.maximum(like - now[at : at + len(like), None], 0).sum(0)
+                at += len(like)
             gain[chosen] = 0
             new = int(np.argmax(gain))
             if gain[new] <= fee:
                 break
-            trial = [*chosen, new]
-            of = like[:, trial].astype(np.float64)
-            peak = of.max(1, keepdims=True)
-            p = np.exp(of - peak)
+            trial = np.concatenate([of, np.concatenate([like[:, new] for like in likes()])[:, None]], axis=1)
+            peak = trial.max(1, keepdims=True)
+            p = np.exp(trial - peak)
             weight = np.append(share * 0.9, 0.1)
             for _ in range(ROUNDS):
                 resp = p * weight
                 resp /= resp.sum(1, keepdims=True)
-                weight = resp.mean(0)
+                before, weight = weight, resp.mean(0)
+                if np.abs(weight - before).max() < STILL:
+                    break
             mixed = np.log(p @ weight) + peak[:, 0]
             if mixed.sum() - best <= fee:
                 break
-            chosen, share, now, best = trial, weight, mixed, float(mixed.sum())
+            chosen, share, now, best, of = [*chosen, new], weight, mixed, float(mixed.sum()), trial
         order = sorted(range(len(chosen)), key=lambda i: (-share[i], self.langs[chosen[i]]))
-        return [(self.langs[chosen[i]], float(share[i])) for i in order]
+        letters = sum(len(ngrams(p)[0]) for p in slices(raw))
+        return [(self.langs[chosen[i]], float(share[i])) for i in order], best / max(1, letters) + float(np.log(BUCKETS))
+
+    def mixture(self, text: str) -> list[tuple[str, float]]:
+        """Languages of the text with their proportions, largest first; empty without a letter."""
+        return self.infer(text)[0]
+
+    def is_language(self, text: str | None) -> bool:
+        """Whether a text has a letter and its languages make it likelier than chance; any letter will do where nothing was learned."""
+        if not text or not _LETTER.search(text):
+            return False
+        langs, gain = self.infer(text)
+        return not self.langs or not langs or gain > 0
 
 
 _HELD: dict[int, Model] = {}
 
 
 def shared_model(df: DataFrame, trained: dict):
-    """A function for tasks that gives the worker's model; it is bounded by MAX_LANGUAGES x 2 BUCKETS."""
+    """A function for tasks that gives the worker's model; it is bounded by MOST_LANGUAGES x 2 BUCKETS."""
     held = df.sparkSession.sparkContext.broadcast(trained)
     key = zlib.crc32(trained["logp"].tobytes(), zlib.crc32("\n".join(trained["langs"]).encode()))
 

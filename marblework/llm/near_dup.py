@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut, ship
+from marblework.llm.common import cut, release, ship, unused
 from marblework.llm.graph import components
 
 SIGMAS = 6.0
@@ -207,6 +207,18 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, thresh
     return cut(judged.filter("sure").select("a", "b").unionByName(sure))
 
 
+def joined_components(found: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``found`` (node, component) after further links (a, b): only the components that they touch are worked on."""
+    end = lambda at: found.select(F.col("node").alias(at), F.col("component").alias(f"c_{at}"))
+    over = fresh.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    moved = cut(components(over).select(F.col("node").alias("_from"), F.col("component").alias("_to")))
+    kept = found.join(moved, F.col("component") == F.col("_from"), "left").select("node", F.coalesce("_to", "component").alias("component"))
+    new = moved.join(found.select("node"), F.col("_from") == F.col("node"), "left_anti").select(F.col("_from").alias("node"), F.col("_to").alias("component"))
+    out = cut(kept.unionByName(new))
+    release(found, moved)
+    return out
+
+
 def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold: float = 0.75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row: id, n_shingles, component_id, kept."""
     ship(df.sparkSession)
@@ -226,13 +238,17 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
 
     full = cut(texts.mapInArrow(sets, "id long, set binary"))
     links = confirmed(short_pairs(lists, k, threshold), reps, full, k, threshold)
-    found = components(links)
+    found = cut(components(links))
     long_lists = cut(with_earlier(lists.filter(F.col("df") > SHORT_LIST)))
     leaders = LEADERS
     while True:
         placed = long_lists.join(found, F.col("id") == F.col("node"), "left").select("v", "id", "n", "pos", "earlier", F.coalesce("component", "id").alias("comp"))
-        several = placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("v")
-        placed = cut(placed.join(several, "v", "left_semi"))
+        # the minima are written, so that Spark can split a value that very many keep
+        placed = cut(placed)
+        several = cut(placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("v"))
+        release(long_lists)
+        every, placed = placed, cut(placed.join(several, "v", "left_semi"))
+        release(every, several)
         if placed.isEmpty():
             break
         first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n", "pos", "earlier")).alias("lead"))
@@ -241,9 +257,9 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
         pairs = placed.join(led, "v").filter((F.col("comp") != F.col("l_comp")) & ~F.arrays_overlap("earlier", "l_earlier") & may_link(F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos"), k, threshold))
         fresh = confirmed(pairs.select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct(), reps, full, k, threshold)
         if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            found = components(links)
-        long_lists = placed.select("v", "id", "n", "pos", "earlier").join(led.select("v", F.col("l").alias("id")), ["v", "id"], "left_anti")
+            found = joined_components(found, fresh)
+        long_lists = cut(placed.select("v", "id", "n", "pos", "earlier").join(led.select("v", F.col("l").alias("id")), ["v", "id"], "left_anti"))
+        release(placed, led)
         leaders *= GROWTH
     rep = classes.select("class", F.col("id").alias("rep")).join(found, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("id", "n", "class").join(rep, "class", "left")
@@ -253,5 +269,6 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """All columns of the rows whose id stands for its component; empty texts and null ids stay."""
-    gone = link(df, id_column=id_column, **options).filter("NOT kept").select(F.col(id_column).alias("_gone")).distinct()
-    return df.join(gone, df[id_column] == F.col("_gone"), "left_anti")
+    name = unused(df, "_gone")
+    gone = link(df, id_column=id_column, **options).filter("NOT kept").select(F.col(id_column).alias(name)).distinct()
+    return df.join(gone, df[id_column] == gone[name], "left_anti")

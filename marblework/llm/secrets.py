@@ -1,12 +1,25 @@
 """Secret scans: three base patterns, and assignments with propagated constants.
 
 The base finds keyword assignments, access keys and long hexadecimal runs.  The
-lexer reads ``name = value``, ``name: value``, ``name: type = value`` and
-``name => value`` of source and configuration text, where a value can be a
-quoted literal with spaces or over several lines or a block scalar, into pairs of a name and a literal or the name of
-another constant, passes constants on to the names that they are assigned to,
-and scores each literal by the most sensitive name that it reaches and by its
-own look.  Spans are in code points, end exclusive.
+lexer reads source and configuration text around its operators:
+
+* targets: names with dots, dashes or sigils, quoted keys, and subscripts, of
+  which both the key and the name before it count; a type between name and ``=``
+  is passed over;
+* values: quoted, triple-quoted and multi-line literals, block scalars, bare
+  words, names of constants, authorization schemes with their word, and
+  expressions of these: joined by ``+``, ``.``, ``..`` or by standing side by
+  side, in brackets and in calls, each argument for itself (what a look-up call
+  asks for is a key and no value);
+* elements ``<name>value</name>`` of XML.
+
+Each pair of a target and a value is a definition.  A reference stands for all
+definitions of its name in the same function or class, or else in the whole
+text, wherever they stand, so a name that is assigned twice keeps both literals.
+The sensitivity of names flows along references until nothing changes.  A
+literal is scored by the most sensitive name that it reaches, and by the look of
+the whole string that is put together there.  Spans are in code points, end
+exclusive.
 
 Null text is empty.  Texts are scanned whole.  Rows are independent: repeated
 rows get equal results, ties cannot arise (spans are ordered by start and kind),
@@ -18,7 +31,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame
 
@@ -56,6 +70,22 @@ _LINES = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\[\s\S]|\n(?![ \t]*\n))*)"|'((?:
 _BLOCK = re.compile(r"[ \t]*(?:[!&]\S+[ \t]+)*[|>][+\-1-9]{0,2}[ \t]*(?:[ \t]#[^\n]*)?\r?\n")
 _INDENT = re.compile(r"[ \t]*(?:-[ \t]+)*")
 _TYPE_STRING = re.compile(r"""[ \t]*(?:"[^"\n]*"|'[^'\n]*')[ \t]*(?==(?![=>]))""")
+#: A name or key before an operator that is a subscript: the name before the bracket.
+_SUBSCRIPTED = re.compile(r"[A-Za-z_$][\w$.\-]*\Z", re.A)
+#: What may open before a term: brackets and calls.  Group 1 is the call's name.
+_OPEN = re.compile(r"[ \t]*(?:(?:new|await|return|not|&|\*)[ \t]+)*((?:[A-Za-z_$][\w$]*(?:\.|::|->))*[A-Za-z_$][\w$]*)?[ \t]*(\()[ \t\r\n]*", re.A)
+_JOIN = re.compile(r"[ \t]*(?:\\\r?\n[ \t]*)?(?:(?:\+|\.\.?)(?!=)[ \t]*(?:\\?\r?\n[ \t]*)?)?")
+_INSIDE = re.compile(r"[ \t\r\n]*(?:\+|\.\.?)?[ \t\r\n]*")
+_CLOSE = re.compile(r"[ \t\r\n]*\)")
+_COMMA = re.compile(r"[ \t\r\n]*,[ \t\r\n]*")
+_KEYWORD = re.compile(r"[A-Za-z_$][\w$\-]*[ \t]*(?:=|:)(?!=)", re.A)
+_QUOTE = re.compile(r"[rbufRBUF]{0,2}[\"'`]")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.:\-]*)(?:[ \t][^<>]*)?>([^<>]{8,})</\1[ \t]*>", re.A)
+_SCOPE = re.compile(r"^[ \t]*(?:(?:export|public|private|protected|static|async|final|pub)[ \t]+)*(?:def|function|func|fn|class|sub)\b", re.M)
+#: Calls whose first argument is the key that they look up.
+LOOKUPS = ("getenv", "get", "env", "fetch", "getproperty", "getparameter", "config", "var", "lookup", "setting", "input", "prompt", "getpass")
+#: Schemes of authorization that stand before the secret word.
+SCHEMES = ("bearer", "basic", "token", "digest", "apikey")
 _IDENTIFIER = re.compile(r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*\Z", re.A)
 _HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -84,20 +114,31 @@ def literal_score(value: str) -> float:
 
 
 def _name_before(text: str, at: int, colon: bool) -> tuple[str, int] | None:
-    """The whole name that ends before an operator, through a closing quote or bracket, and its start."""
+    """The whole target that ends before an operator, and its start: a name, a quoted key, or a subscript as name and key."""
     while at and text[at - 1] in " \t":
         at -= 1
     if colon and at and text[at - 1] in "?!":  # optional or asserted
         at -= 1
-    if at and text[at - 1] == "]":
-        at -= 1
-    if at and text[at - 1] in "\"'":
-        at -= 1
+    subscript = at and text[at - 1] == "]"
+    at -= bool(subscript)
+    quoted = at and text[at - 1] in "\"'"
+    at -= bool(quoted)
     start = at
     while start and text[start - 1] in _NAME_CHARS:
         start -= 1
     name = _NAME_END.search(text[start:at])
-    return (name[0], start + name.start()) if name else None
+    if not name:
+        return None
+    said, first = name[0], start + name.start()
+    if subscript:
+        before = first - bool(quoted)
+        if before and text[before - 1] == "[":
+            low = before - 1
+            while low and text[low - 1] in _NAME_CHARS:
+                low -= 1
+            if base := _SUBSCRIPTED.search(text[low : before - 1]):
+                return f"{base[0]}.{said}", low + base.start()
+    return said, first
 
 
 def _after_type(text: str, at: int) -> int:
@@ -161,12 +202,70 @@ def _value_at(text: str, at: int) -> tuple[int, int, str | None, bool] | None:
     return value.start(group), value.end(group), value[group] if word else None, group < 6
 
 
-def assignments(text: str) -> list[tuple[str, int, int, str | None]]:
-    """(name, start, end, reference): a literal's place, or the name of the constant that is assigned.
+def _term(text: str, at: int) -> tuple[tuple, int, bool] | None:
+    """((start, end, reference), where the term ends, quoted) of one literal, name or bare word."""
+    got = _value_at(text, at)
+    if not got:
+        return None
+    start, end, reference, quoted = got
+    after = end
+    if quoted:
+        after = end + (3 if text[end : end + 3] in ('"""', "'''") and text[start - 3 : start] == text[end : end + 3] else 1)
+    elif reference and text[end : end + 1] == "}":
+        after = end + 1
+    return (start, end, reference), after, quoted
+
+
+def _expression(text: str, at: int) -> tuple[list[list[tuple]], bool]:
+    """The values of an expression, each a list of joined parts (start, end, reference), and whether any is quoted."""
+    depth, values, parts, any_quoted, skip = 0, [], [], False, False
+    while True:
+        while opened := _OPEN.match(text, at):
+            depth += 1
+            at = opened.end()
+            called = (opened[1] or "").replace("::", ".").replace("->", ".").rsplit(".", 1)[-1].lower()
+            skip = called in LOOKUPS
+            if parts:
+                values.append(parts)
+                parts = []
+        if depth and _KEYWORD.match(text, at):  # an argument by name is a definition of its own
+            break
+        got = _term(text, at)
+        if not got:
+            break
+        (start, end, reference), at, quoted = got
+        if not quoted and not values and not parts and text[start:end].lower() in SCHEMES and text[at : at + 1] == " " and (word := _term(text, at + 1)):
+            (start, end, reference), at, quoted = word
+        parts.append((start, end, reference))
+        any_quoted = any_quoted or quoted
+        joined = (_INSIDE if depth else _JOIN).match(text, at)
+        closed = False
+        while depth and (close := _CLOSE.match(text, at)):
+            depth, at, closed = depth - 1, close.end(), True
+        comma = _COMMA.match(text, at) if depth else None
+        if comma or closed:
+            if not skip:
+                values.append(parts)
+            parts, skip = [], False
+            if not comma:
+                break
+            at = comma.end()
+            continue
+        by_sign = joined[0].strip(" \t\r\n\\") != ""
+        if not by_sign and not (quoted and _QUOTE.match(text, joined.end())):
+            break
+        at = joined.end()
+    if parts:
+        values.append(parts)
+    return values, any_quoted
+
+
+def assignments(text: str) -> list[tuple[str, int, list[tuple]]]:
+    """(target, its place, joined parts (start, end, reference)): a part is a literal's place or the name of a constant.
 
     A type between a name and ``=`` is passed over.
     """
-    pairs = []
+    pairs = [(m[1], m.start(), [(m.start(2), m.end(2), None)]) for m in _ELEMENT.finditer(text)] if "</" in text else []
     for op in _OPERATOR.finditer(text):
         colon = op[0] == ":"
         name = _name_before(text, op.start(), colon)
@@ -175,33 +274,68 @@ def assignments(text: str) -> list[tuple[str, int, int, str | None]]:
         if colon:
             block = _block(text, op.end(), name[1])
             if block:
-                pairs.append((name[0], *block, None))
+                pairs.append((*name, [(*block, None)]))
                 continue
             typed = _after_type(text, op.end())
-            value = typed >= 0 and _value_at(text, typed)
-            if value:
-                pairs.append((name[0], *value[:3]))
-                if value[3]:
+            if typed >= 0:
+                values, quoted = _expression(text, typed)
+                pairs += [(*name, parts) for parts in values]
+                if quoted:
                     continue
-        value = _value_at(text, op.end())
-        if value:
-            pairs.append((name[0], *value[:3]))
+        pairs += [(*name, parts) for parts in _expression(text, op.end())[0]]
     return pairs
 
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals that reach a sensitive name, directly or through constants."""
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "</" not in text:
         return []
-    score: dict[tuple[int, int], float] = {}
-    constant: dict[str, list[tuple[int, int]]] = {}
-    for name, start, end, reference in assignments(text):
-        known = constant.get(reference) if reference else None
-        places = known or ([(start, end)] if not reference or literal_score(reference) >= 0.8 else [])
-        constant[name] = places
-        for place in places:
-            score[place] = max(score.get(place, 0.0), name_score(name))
-    return [(a, b, "literal") for (a, b), s in score.items() if s and s * literal_score(text[a:b]) >= LEAST_SCORE]
+    found = assignments(text)
+    fences = [m.start() for m in _SCOPE.finditer(text)]
+    group = [(name, bisect_right(fences, at)) for name, at, _ in found]
+    last: dict[tuple, int] = {g: i for i, g in enumerate(group)}
+    last |= {(name, None): i for i, (name, _) in enumerate(group)}
+    need = {g: name_score(g[0]) for g in dict.fromkeys(group)}
+    if not any(need.values()):
+        return []
+
+    def meant(i: int, reference: str | None) -> tuple | None:
+        """The definitions that a reference stands for: those of its scope, else all of its name."""
+        near = (reference, group[i][1])
+        return near if near in last else (reference, None) if (reference, None) in last else None
+
+    leads: dict[tuple, set[tuple]] = defaultdict(set)
+    for name, at in need:
+        leads[name, None].add((name, at))
+    for i, (_, _, parts) in enumerate(found):
+        leads[group[i]] |= {g for _, _, reference in parts if reference and (g := meant(i, reference))}
+    # sensitivity flows from targets to the constants that they name; it takes a few values only, so each is raised a few times
+    need |= {(name, None): 0.0 for name, _ in list(need)}
+    work = [g for g, x in need.items() if x]
+    while work:
+        g = work.pop()
+        for to in leads[g]:
+            if need[to] < need[g]:
+                need[to] = need[g]
+                work.append(to)
+
+    out: dict[tuple[int, int], None] = {}
+    for i, (_, _, parts) in enumerate(found):
+        if not need[group[i]]:
+            continue
+        said, places = [], []
+        for start, end, reference in parts:
+            known = meant(i, reference) if reference else None
+            if known:  # a constant's own literals, as its last definition has them
+                own = [(a, b) for a, b, further in found[last[known]][2] if not further] if last[known] != i else []
+                said += [text[a:b] for a, b in own]
+                places += own if len(parts) > 1 else []
+            elif not reference or literal_score(text[start:end]) >= 0.8:
+                said.append(text[start:end])
+                places.append((start, end))
+        if places and need[group[i]] * literal_score("".join(said)) >= LEAST_SCORE:
+            out |= dict.fromkeys(places)
+    return [(a, b, "literal") for a, b in out]
 
 
 def spans(text: str) -> tuple[list, list]:

@@ -11,13 +11,16 @@ Units are normalised and digested; digests are grouped globally; the occurrence
 of the least (id, start) stays and all others are removed.  Removed spans keep
 their offsets (code points, end exclusive) in the original text.
 
-Grouping is pre-aggregated per task, so a unit that a third of all rows share
-arrives once per task.  The join that brings the kept place back to the other
-occurrences is a plain join whose hot keys Spark splits.
+Texts are cut and digested once and their units written.  Grouping is
+pre-aggregated per task, so a unit that a third of all rows share arrives once
+per task.  The repeated digests are written too, so the join that brings the
+kept place back to the other occurrences has plain exchanges on both sides and
+Spark splits a hot digest.
 
 Null and empty texts have no units.  A null id ranks first.  Ties are impossible: a place is an id and
 an offset; repeated rows of one id count as one place.  An empty table gives
-an empty one.  Other columns are not read.
+an empty one.  ``dedup`` puts its ``removed_spans`` in the place of a column of
+that name; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import map_rows
+from marblework.llm.common import cut, map_rows, unused
 
 _END = re.compile(r"[.!?]+(?=\s)|[。！？]+[”’」』）]*")
 #: Thai, Lao, Myanmar, Khmer, kana and Han, which put no spaces between words.
@@ -93,8 +96,8 @@ def units(text: str | None, min_words: int) -> list[tuple[int, int, bytes]]:
 def repeated_units(df: DataFrame, min_words: int = 8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per removed unit: id, start, end, first_<id>, first_start."""
     listed = map_rows(df, [id_column, text_column], "_units array<struct<start: long, end: long, digest: binary>>", lambda text: [[{"start": a, "end": b, "digest": d} for a, b, d in units(text, min_words)]])
-    one = listed.select(F.col(id_column).alias("_id"), F.explode("_units").alias("_u")).select("_id", F.col("_u.start").alias("start"), F.col("_u.end").alias("end"), F.col("_u.digest").alias("digest"))
-    first = one.groupBy("digest").agg(F.min(F.struct("_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
+    one = cut(listed.select(F.col(id_column).alias("_id"), F.explode("_units").alias("_u")).select("_id", F.col("_u.start").alias("start"), F.col("_u.end").alias("end"), F.col("_u.digest").alias("digest")))
+    first = cut(one.groupBy("digest").agg(F.min(F.struct("_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first"))
     return (
         one.join(first, "digest")
         .filter(~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("start") == F.col("first.start"))))
@@ -118,12 +121,15 @@ def merged_spans(removed: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 def dedup(df: DataFrame, min_words: int = 8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All columns of ``df`` with the text cut, and ``removed_spans`` of the original text (null: none)."""
-    spans = merged_spans(repeated_units(df, min_words, id_column, text_column), id_column).select(F.col(id_column).alias("_of"), F.col("spans").alias("removed_spans"))
-    text = F.col(text_column)
+    of, cuts = unused(df, "_of"), unused(df, "_cuts")
+    spans = merged_spans(repeated_units(df, min_words, id_column, text_column), id_column).select(F.col(id_column).alias(of), F.col("spans").alias(cuts))
+    text = F.col(f"`{text_column}`")
     kept = F.aggregate(
-        "removed_spans",
+        cuts,
         F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("end")),
         lambda a, x: F.struct(F.concat(a["out"], F.substring(text, (a["end"] + 1).cast("int"), (x["start"] - a["end"]).cast("int"))).alias("out"), x["end"].alias("end")),
         lambda a: F.concat(a["out"], F.substring(text, (a["end"] + 1).cast("int"), F.length(text))),
     )
-    return df.join(spans, df[id_column] == F.col("_of"), "left").drop("_of").withColumn(text_column, F.coalesce(kept, text))
+    given = {text_column: F.coalesce(kept, text).alias(text_column), "removed_spans": F.col(cuts).alias("removed_spans")}
+    names = [*df.columns, *(["removed_spans"] if "removed_spans" not in df.columns else [])]
+    return df.join(spans, df[id_column].eqNullSafe(spans[of]), "left").select(*[given.get(c, F.col(f"`{c}`")) for c in names])

@@ -11,8 +11,14 @@ The reader cuts files into byte ranges.  A task looks for gzip magic from its
 range's start, takes a place for a member only if it inflates to a WARC header,
 and reads on member by member as long as they begin inside its range.
 
-Null payload is empty.  Null ids are written without an id and read back as
-null; they are never referred to.  Rows that repeat an id with equal payload are
+Equal payloads are those of equal SHA-256; the digest in a record is SHA-1, as
+the format has it.  Owners are found from digests alone and written, so the join
+that brings them to the payloads is one that Spark splits where very many pages
+are equal.
+
+Null payload is empty.  Ids are integers; null ids, and others that are no
+integer, are written without an id and read back as null; they are never referred
+to.  Rows that repeat an id with equal payload are
 all responses if the id is the largest.  An empty table makes no file and no
 record.  Records of any length are read whole.  Other columns are not read.
 """
@@ -64,8 +70,8 @@ def write(df: DataFrame, folder: str, min_bytes: int = 0, id_column: str = "page
     """
     ship(df.sparkSession)
     raw = F.coalesce(df[payload_column], F.lit("")).cast("binary")
-    rows = df.select(df[id_column].cast("long").alias("page"), df[url_column].cast("string").alias("url"), raw.alias("payload")).withColumn("sha", F.unhex(F.sha1("payload")))
-    owner = rows.filter(F.length("payload") >= min_bytes).groupBy("sha").agg(F.max("page").alias("owner"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    rows = df.select(df[id_column].try_cast("long").alias("page"), df[url_column].cast("string").alias("url"), raw.alias("payload")).withColumn("sha", F.unhex(F.sha2("payload", 256)))
+    owner = cut(rows.filter(F.length("payload") >= min_bytes).groupBy("sha").agg(F.max("page").alias("owner"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     refers = F.when(F.length("payload") >= min_bytes, F.when(F.col("page") < F.col("owner"), F.col("owner")))
     ready = rows.join(owner, "sha", "left").select("page", "url", "payload", refers.alias("refers"))
 

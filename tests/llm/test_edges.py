@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marblework.llm import bpe, chat, decontam, langid, near_dup, quality, secrets, substring, suffix, warc
 
 VOCABULARY = __import__("public_tokenizers").path("byte_bpe_50k.json")
 #: Columns that the operators use as names of their own.
-CLASHES = "id long, n long, v string, unit string, hot string, component_id long, kept boolean, spans string, a long, b long, words string, _id long, _row long, lang_pred string, n_words long, raw string, digest string, `set` string, class string, start long"
+CLASHES = "id long, n long, v string, unit string, hot string, component_id long, kept boolean, spans string, a long, b long, words string, _id long, _row long, lang_pred string, n_words long, raw string, digest string, `set` string, class string, start long, removed_spans string, _of long, _gone long, _text string"
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}"
 LONG = "lorem ipsum dolor sit amet " * 20_000
 TEXTS = [None, "", "   \n\t ", "a", "...", LONG, "x" * 200_000, "the same text of seven words here twice", "the same text of seven words here twice", "été \U0001f600 \x00 token = 'abcdefgh12345678'"]
@@ -144,11 +146,43 @@ def test_stages_stand_odd_tables(name, spark, docs, empty, tiny):
         assert out.count() <= df.count()
 
 
+def _plain_words(text):
+    """Lower-cased runs of ASCII letters and digits and of other characters than ASCII."""
+    out, word = [], ""
+    for c in (text or "") + " ":
+        if c.isascii() and not c.isalnum():
+            if word:
+                out.append(word)
+            word = ""
+        else:
+            word += c.lower() if c.isascii() else c
+    return out
+
+
+def _plain_shingles(text):
+    words, word = [], ""
+    for c in (text or "") + " ":
+        if c in " \t\n\x0b\x0c\r":
+            if word:
+                words.append(word)
+            word = ""
+        else:
+            word += c.lower() if c.isascii() else c
+    m = min(5, len(words))
+    return {tuple(words[i : i + m]) for i in range(len(words) - m + 1)} if words else set()
+
+
 def test_pipeline_by_brute_force(spark, tiny):
+    """Near copies, contamination and token ids are computed anew here; the language filter is checked by what must stay and go, masks by the base patterns."""
+    from tokenizers import Tokenizer
+
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
-    model = langid.Model(langid.train(docs, langid.held_out(docs["doc_id"]) | ~langid.held_out(docs["doc_id"])))
-    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect() if (m := model.mixture(r["text"])) and m[0][1] >= corpus_pipeline.LEAST_SHARE}
-    sets = {d: set(near_dup.shingle_set(t).tolist()) for d, t in texts.items()}
+    model = langid.Model(langid.train(docs, F.lit(True)))
+    every = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    texts = {d: t for d, t in every.items() if model.is_language(t)}
+    assert not [d for d, t in every.items() if d not in texts and len(_plain_words(t)) > 60]
+    assert not [d for d, t in texts.items() if not any(c.isalpha() for c in t)]
+    sets = {d: _plain_shingles(t) for d, t in texts.items()}
     group = {d: d for d in sets}
 
     def top(x):
@@ -164,17 +198,30 @@ def test_pipeline_by_brute_force(spark, tiny):
     texts = {d: t for d, t in texts.items() if top(d) == d}
     windows = {}
     for r in spark.read.parquet(f"{tiny}/benchmark.parquet").collect():
-        words = decontam.words_of(r["text"])
+        words = _plain_words(r["text"])
         m = min(13, len(words))
-        windows |= {tuple(words[i : i + m]): m for i in range(len(words) - m + 1)}
-    codec, want = bpe.Codec(bpe.read_vocabulary(VOCABULARY)), {}
+        windows |= {tuple(words[i : i + m]): m for i in range(len(words) - m + 1) if m}
+    known, want = Tokenizer.from_file(VOCABULARY), {}
+    known.no_truncation()
+    base = [r"(?ia:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]{8,})", r"(AKIA[A-Z0-9]{12,})", r"([0-9a-f]{32,})"]
     for d, t in texts.items():
-        words, hit = decontam.words_of(t), set()
+        words, hit = _plain_words(t), set()
         for m in set(windows.values()):
             for i in range(len(words) - m + 1):
                 if tuple(words[i : i + m]) in windows:
                     hit.update(range(i, i + m))
         if not (hit and 20 * len(hit) >= len(words)):
-            want[d] = codec.encode(secrets.mask(t))
+            masked = secrets.mask(t)
+            assert not [p for p in base if re.search(p, masked)]
+            want[d] = b"".join(i.to_bytes(4, "little") for i in known.encode(masked, add_special_tokens=False).ids)
     got = {r["doc_id"]: bytes(r["ids"]) for r in corpus_pipeline.run(spark, tiny).collect()}
     assert got == want
+
+
+def test_stages_keep_clashing_columns_and_every_language(spark, tiny):
+    rows = [(i, t, lang, "s", 1) for i, (t, lang) in enumerate([("the house is by the river and the boat is on it " * 3, "en"), ("la maison est au bord de la mer et le bateau aussi " * 3, "fr"), ("das haus liegt am fluss und das boot auch " * 3, "de")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = df.unionByName(spark.createDataFrame([(9, " ".join(r[1] for r in rows), None, "s", 1)], df.schema))
+    assert {r["doc_id"] for r in corpus_pipeline.language(spark, mixed, tiny).collect()} == {0, 1, 2, 9}
+    bare = df.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language(spark, bare, tiny).count() == 3

@@ -120,6 +120,20 @@ def test_secrets_method_propagates_constants():
         ("password_" + "of_the_house_" * 9 + ' = "Hunter2Hunter2"', "Hunter2Hunter2"),
         ("pwd" + " " * 200 + '= "Hunter2Hunter2"', "Hunter2Hunter2"),
         ("conf['pwd'] = \"Hunter2Hunter2\"", "Hunter2Hunter2"),
+        ('os.environ["API_SECRET"] = "qL9x82_ZmPa0vTr"', "qL9x82_ZmPa0vTr"),
+        ('secrets[env] = "qL9x82_ZmPa0vTr"\nsecret["x"] = "qL9x82_ZmPa0vTs"', "qL9x82_ZmPa0vTs"),
+        ('config.privateKey = K1\nx = 3\nK1 = "qL9x82_ZmPa0vTr"\n', "qL9x82_ZmPa0vTr"),
+        ("<conf><user>bob</user><dbPassword>qL9x82_ZmPa0vTr</dbPassword></conf>", "qL9x82_ZmPa0vTr"),
+        ('<add key="x" pwd="qL9x82_ZmPa0vTr"/>', "qL9x82_ZmPa0vTr"),
+        ('pwd = os.getenv("DB_PASSWORD_NAME", "qL9x82_ZmPa0vTr")', "qL9x82_ZmPa0vTr"),
+        ('let key: Key = 1;\nlet pwd = String::from("qL9x82_ZmPa0vTr");', "qL9x82_ZmPa0vTr"),
+        ("Authorization: Bearer qL9x82.ZmPa0vTr-7", "qL9x82.ZmPa0vTr-7"),
+        ("export SIGNING_KEY='qL9x82_ZmPa0vTr'", "qL9x82_ZmPa0vTr"),
+        ("[db]\npwd = qL9x82_ZmPa0vTr\n", "qL9x82_ZmPa0vTr"),
+        ('{"a": {"pwd": "qL9x82_ZmPa0vTr", "n": 5}}', "qL9x82_ZmPa0vTr"),
+        ('A = "qL9x82_ZmPa0vTr"\nB = A\nC = B\nlogin(passphrase=C)', "qL9x82_ZmPa0vTr"),
+        ('B = A\nA = B\npwd = A\nA = "qL9x82_ZmPa0vTr"', "qL9x82_ZmPa0vTr"),
+        ('def f():\n  K = "qL9x82_ZmPa0vTr"\n  pwd = K\ndef g():\n  K = "Other9_Words8_Here"\n  print(K)\n', "qL9x82_ZmPa0vTr"),
     ],
 )
 def test_secrets_reads_every_form_of_value(text, literal):
@@ -127,6 +141,57 @@ def test_secrets_reads_every_form_of_value(text, literal):
     assert literal not in secrets.mask(text)
 
 
+@pytest.mark.parametrize(
+    ("text", "literals"),
+    [
+        ('signing_key = "qL9x82" + "_ZmPa0vTr"', ["qL9x82", "_ZmPa0vTr"]),
+        ('signing_key = ("qL9x82"\n    "_ZmPa0vTr")', ["qL9x82", "_ZmPa0vTr"]),
+        ("$pwd = 'qL9x82' . '_ZmPa0vTr';", ["qL9x82", "_ZmPa0vTr"]),
+        ('A = "qL9x82"\nsigning_key = A + "_ZmPa0vTr"', ["qL9x82", "_ZmPa0vTr"]),
+        ('K = "qL9x82_ZmPa0vTr"\nK = "harmless words are here"\npwd = K', ["qL9x82_ZmPa0vTr", "harmless words are here"]),
+        ('pwd = f(g("qL9x82_ZmPa0vTr"), "Xq83_kkPw_01")', ["qL9x82_ZmPa0vTr", "Xq83_kkPw_01"]),
+    ],
+)
+def test_secrets_reads_expressions(text, literals):
+    assert sorted(text[a:b] for a, b, k in secrets.spans(text)[1] if k == "literal") == sorted(literals)
+
+
+def _brute_literals(lines):
+    """Of lines (name, value as written, literal or name of a constant): the literals that a sensitive name reaches."""
+    reached, known = set(), {"db_password", "apiSecret", "signing-key"}
+    while True:
+        more = {v for n, v, _ in lines if n in known} - known
+        if not more:
+            break
+        known |= more
+    for n, _, literal in lines:
+        if n in known and literal:
+            reached.add(literal)
+    return reached
+
+
+def test_secrets_literals_by_brute_force():
+    """Random programs of literals and chains of constants, in several syntaxes, in any order."""
+    rng = random.Random(12)
+    forms = ["{n} = {v}", "{n} := {v};", "const {n} = {v};", "{n}: {v}", "  {n} => {v},", "export {n}={v}"]
+    for _ in range(300):
+        names = ["db_password", "apiSecret", "colour", "title", *(f"K{i}" for i in range(6))]
+        lines, written = [], []
+        for n in rng.sample(names, rng.randint(2, 9)):
+            if rng.random() < 0.5:
+                literal = "".join(rng.choice("abcdefghjkmnpqrstuvw") + rng.choice("23456789") for _ in range(8))
+                lines.append((n, literal, literal))
+                written.append((n, f'"{literal}"'))
+            else:
+                to = rng.choice([x for x in names[4:] if x != n])
+                lines.append((n, to, None))
+                written.append((n, to))
+        text = "\n".join(rng.choice(forms).format(n=n, v=v) for n, v in written)
+        base = secrets.base_spans(text)
+        got = {text[a:b] for a, b, _ in secrets.literal_spans(text)}
+        assert got == _brute_literals(lines), (text, base)
+
+
 def test_secrets_lexer_leaves_what_is_no_secret():
     for text in ('name: str = "Hunter2Hunter2"', 'f(pwd: str, b = "Hunter2Hunter2")', "pwd: 'tis the season, and they don't\nknow", "pwd: |\nother: Hunter2Hunter2", 'pwd: "'):
         assert secrets.spans(text)[1] == [], text
@@ -172,7 +237,11 @@ def test_decontamination_by_brute_force(spark, chunk):
     items = [(1, "one"), (2, "A b"), (3, None), (4, ""), (10, say(14)), (11, say(20)), (12, "--- ... "), (5, "x y z " * 9), (6, "x y z " * 9)]
     docs = [(i, " ".join(rng.choice([say(5), items[rng.randrange(len(items))][1] or "", "ONE."]) for _ in range(rng.randint(0, 9)))) for i in range(60)] + [(100, None), (101, "")]
     got = decontam.digest(decontam.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), chunk_bytes=chunk)).collect()
-    assert {r[0]: tuple(r)[1:] for r in got} == _brute_decontam(plain, docs, items)
+    want = _brute_decontam(plain, docs, items)
+    assert {r[0]: tuple(r)[1:] for r in got} == want
+    kept = decontam.keep_clean(spark.createDataFrame(docs, "doc_id long, text string").withColumn("_row", F.lit("x")), spark.createDataFrame(items, "item_id long, text string"), chunk_bytes=chunk)
+    assert kept.columns == ["doc_id", "text", "_row"]
+    assert sorted(r[0] for r in kept.collect()) == sorted(d for d, x in want.items() if not x[-1])
 
 
 def test_near_dedup_by_brute_force(spark):
@@ -207,6 +276,30 @@ def test_near_dedup_by_brute_force(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == {d: (len(s), top(d), top(d) == d) for d, s in plain.items()}
 
 
+def test_near_dedup_with_one_value_in_a_third_of_the_texts(spark):
+    """A passage that is most of each text of a third of the rows: one long list, few links."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(60)]
+    docs = [(i, " ".join(passage + [word() for _ in range(rng.randint(8, 30))]) if i % 3 == 0 else " ".join(word() for _ in range(70))) for i in range(240)]
+    docs += [(1000 + i, t + " more") for i, t in docs[::17]]
+    sets = {d: set(near_dup.shingle_set(t).tolist()) for d, t in docs}
+    edges = [(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 75 * len(x | y)]
+    want = {d: d for d in sets}
+    for _ in sets:
+        for a, b in edges:
+            want[a] = want[b] = min(want[a], want[b])
+    got = near_dup.link(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+def test_components_of_a_star_and_odd_links(spark):
+    star = [(0, i) for i in range(1, 3000)] + [(None, 5), (6, None), (7, 7), (9, 9), (0, 1), (1, 0)]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(star, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(3000), 0)
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 150)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -388,6 +481,60 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def _plain_language(docs, texts):
+    """The language whose byte n-grams make the text likeliest, without numpy: counts, logarithms, sums."""
+    import math
+
+    def grams(text):
+        b = b" " + bytes(x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x >= 128 else 32 for x in text.encode()) + b"   "
+        for i in range(1, len(b) - 3):
+            if b[i] != 32:
+                tri = b[i - 1] | b[i] << 8 | b[i + 1] << 16
+                yield (tri * 2654435761 % 2**32) >> 17
+                yield (((tri | b[i + 2] << 24) * 2246822519 + 374761393) % 2**32 >> 17) + 32768
+
+    counts = defaultdict(Counter)
+    for lang, text in docs:
+        counts[lang].update(grams(text))
+    total = {(x, half): sum(n for g, n in c.items() if (g >= 32768) == half) for x, c in counts.items() for half in (False, True)}
+    for text in texts:
+        own = list(grams(text))
+        yield max(sorted(counts), key=lambda x: sum(math.log((counts[x][g] + 0.5) / (total[x, g >= 32768] + 0.5 * 32768)) for g in own))  # noqa: B023
+
+
+def test_language_of_plain_texts_by_brute_force(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    learned = [(r["lang"], r["text"]) for r in docs.filter(~langid.held_out(docs["doc_id"])).collect() if r["lang"] and r["text"]]
+    rows = {r["doc_id"]: r["text"][:3000] for r in docs.filter(langid.held_out(docs["doc_id"]) & (F.length("text") > 0)).collect()}
+    got = langid.predict(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), langid.train(docs, ~langid.held_out(docs["doc_id"]))).filter("size(langs) = 1").collect()
+    assert len(got) > 20
+    assert [r["lang_pred"] for r in got] == list(_plain_language(learned, [rows[r["doc_id"]] for r in got]))
+
+
+def test_language_labels_beyond_the_bound_are_not_learned(spark):
+    docs = [(i, "en" if i < 40 else "fr", "the house is by the river" if i < 40 else "la maison est au bord de la mer") for i in range(80)] + [(100 + i, f"junk{i}", f"w{i} x{i}") for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    model = langid.train(df, F.lit(True), most_languages=2)
+    assert model["langs"] == ["en", "fr"]
+    assert len(langid.train(df, F.lit(True))["langs"]) == langid.MOST_LANGUAGES
+    assert langid.predict(df, model).count() == 380
+
+
+def test_language_slices_give_what_a_whole_text_gives(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.Model(langid.train(docs, F.lit(True)))
+    long = {r["lang"]: r["t"] for r in docs.filter("n_chars > 2000").groupBy("lang").agg(F.max("text").alias("t")).collect()}
+    text = (long["de"] + " " + long["fr"] + " ") * 3
+    whole = model.infer(text)
+    monkeypatch.setattr(langid, "SLICE", 500)
+    monkeypatch.setattr(langid, "HELD_FLOATS", 1)
+    sliced = model.infer(text)
+    assert [x for x, _ in sliced[0]] == [x for x, _ in whole[0]] and abs(sliced[1] - whole[1]) < 1e-3
+    assert model.is_language(text) and not model.is_language("123 4") and not model.is_language(None)
+    rng = random.Random(1)
+    assert not model.is_language(" ".join("".join(rng.choice("qxzjvkw") for _ in range(7)) for _ in range(60)))
+
+
 def test_language_mixture(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.Model(langid.train(docs, F.lit(True)))
