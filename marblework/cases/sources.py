@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,8 +16,12 @@ from marblework.sources import files as L
 
 
 def folder(spark) -> str:
-    """A fresh folder below spark.checkpoint.dir, or below the warehouse where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A fresh folder below spark.checkpoint.dir; where that is unset, below the warehouse on one machine (tests), an error on a cluster."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     root = root if ":" in root else "file://" + os.path.abspath(root)
     return f"{root.rstrip('/')}/sources-{uuid.uuid4().hex}"
 
@@ -95,13 +100,33 @@ def _(spark, sf_dir):
     return D.union_by_header(spark, [a, b])
 
 
-@query("src_skip", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nome FROM customer")
-def _(spark, sf_dir):
-    line = F.concat(F.col("c_custkey").cast("string"), F.lit(";"), "c_name")
+def _titled(spark, sf_dir):
+    """A file for each hundred customers, of two title lines, a header and rows."""
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(";"), "c_name", F.lit(";"), F.col("c_nationkey").cast("string"), F.lit(",5"))
     files = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 100).alias("f")).agg(F.array_join(F.collect_list(line), "\n").alias("b"))
     path = folder(spark)
-    files.select("f", F.concat(F.lit("Titolo\nFonte: x\nid;nome\n"), "b").alias("value")).write.partitionBy("f").text(path)
-    return D.skip_first(spark, path, 2, ["id", "nome"], ";")
+    files.select("f", F.concat(F.lit("Titolo\nFonte: x\nid;nome;quota\n"), "b").alias("value")).write.partitionBy("f").text(path)
+    return path
+
+
+@query("src_skip", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS nome, c_nationkey + 0.5 AS quota FROM customer")
+def _(spark, sf_dir):
+    columns = {"id": "VARCHAR", "nome": "VARCHAR", "quota": "DOUBLE"}
+    return D.read_csv(spark, [_titled(spark, sf_dir)], {"columns": columns, "sep": ";", "skip": 2, "decimal": ","})
+
+
+@query("src_csv_inferred", "SELECT c_custkey AS id, c_name AS nome, c_nationkey + 0.5 AS quota FROM customer")
+def _(spark, sf_dir):
+    """Names and types from files with title lines and decimal commas."""
+    return D.read_csv(spark, [_titled(spark, sf_dir)], {"sep": ";", "skip": 2, "decimal": ",", "null_padding": True})
+
+
+@query("src_csv_charset", "SELECT CAST(c_custkey AS VARCHAR) AS chiave, c_name || ' perché €' AS nome FROM customer")
+def _(spark, sf_dir):
+    """A CP1252 file: Latin-1 letters and the byte 128."""
+    df = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("chiave"), F.concat("c_name", F.lit(" perché \x80")).alias("nome"))
+    path = landed(spark, df, header=True, encoding="ISO-8859-1")
+    return D.read_csv(spark, [path], {"encoding": "cp1252", "auto_detect": False})
 
 
 @query("src_inject", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 13 END AS cod_regione FROM customer")
@@ -115,9 +140,15 @@ def _(spark, sf_dir):
     return spark.read.parquet(landed(spark, table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), kind="parquet"))
 
 
-@query("src_parquet_url_rows", "SELECT count(*) AS n FROM supplier")
+@query("src_parquet_url_rows", "SELECT c_mktsegment AS slug, 'https://storage.googleapis.com/b/' || c_mktsegment || '.parquet' AS url, count(*) AS n FROM customer GROUP BY 1")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").agg(F.count("*").alias("n"))
+    """Published Parquet by slug: the URL that a browser would use, and the rows of the landed file."""
+    c = table(spark, sf_dir, "customer")
+    path = folder(spark)
+    c.select(F.col("c_mktsegment").alias("slug"), "c_name").write.partitionBy("slug").parquet(path)
+    files = c.select(F.col("c_mktsegment").alias("slug"), F.concat(F.lit("s3://b/"), "c_mktsegment", F.lit(".parquet")).alias("url")).distinct()
+    counts = spark.read.parquet(path).groupBy("slug").agg(F.count("*").alias("n"))
+    return L.published(files).join(counts, "slug")
 
 
 @query("src_gzip_text", "SELECT s_suppkey AS k, s_name AS n FROM supplier")
@@ -135,12 +166,12 @@ def _(spark, sf_dir):
     return spark.read.parquet(path).groupBy("anno").agg(F.count("*").alias("n"))
 
 
-@query("snk_metrics", "SELECT count(*) AS row_count, 2 AS column_count FROM supplier")
+@query("snk_metrics", "SELECT count(*) AS row_count, 2 AS column_count, TRUE AS has_bytes FROM supplier")
 def _(spark, sf_dir):
     from marblework.plans.layers import write_layer
 
     said = write_layer(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), folder(spark))
-    return table(spark, sf_dir, "supplier").limit(1).select(F.lit(said["row_count"]).cast("long").alias("row_count"), F.lit(said["column_count"]).alias("column_count"))
+    return table(spark, sf_dir, "supplier").limit(1).select(F.lit(said["row_count"]).cast("long").alias("row_count"), F.lit(said["column_count"]).alias("column_count"), F.lit(said["bytes"] > 0).alias("has_bytes"))
 
 
 def _listing(spark, sf_dir):
@@ -158,18 +189,21 @@ def _(spark, sf_dir):
     return union_by_name([one("all"), one("latest"), one("largest")])
 
 
-@query("src_manifest", "SELECT CAST(sum(n) AS BIGINT) AS bytes FROM (SELECT 2 * count(*) AS n FROM supplier)")
+@query("src_manifest", "SELECT sha256(CAST(s_suppkey AS VARCHAR) || chr(10)) AS sha256, octet_length(encode(s_suppkey || chr(10))) AS bytes, 'test' AS origin FROM supplier")
 def _(spark, sf_dir):
-    path = landed(spark, table(spark, sf_dir, "supplier").select(F.lit("x").alias("value")), kind="text")
-    return L.manifest(spark, path + "/part-*", "test", "x").agg(F.sum("bytes").alias("bytes"))
+    """A file for each supplier, its size and SHA-256."""
+    path = folder(spark)
+    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_suppkey").cast("string").alias("value")).repartition(4, "k").write.partitionBy("k").text(path)
+    return L.manifest(spark, path + "/k=*/part-*", "test", "x").select("sha256", "bytes", "origin")
 
 
-@query("src_raw_checks", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN ['empty'] WHEN 1 THEN ['html'] WHEN 2 THEN ['binary', 'tiny', 'one line'] ELSE []::VARCHAR[] END AS problems FROM pages WHERE octet_length(encode(html)) >= 200")
+@query("src_raw_checks", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN ['empty'] WHEN 1 THEN list_concat(['html'], CASE WHEN b + 16 < 200 THEN ['tiny'] ELSE [] END) WHEN 2 THEN ['binary', 'tiny', 'one line'] ELSE CASE WHEN b + 4 < 200 THEN ['tiny'] ELSE []::VARCHAR[] END END AS problems FROM (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS b FROM pages)")
 def _(spark, sf_dir):
+    """All pages, small ones too: as nothing, as a page, as bytes, as a table."""
     k = F.col("page_id") % 4
-    html = F.replace("html", F.lit("\n"), F.lit(" "))
-    content = F.when(k == 0, F.encode(F.lit(""), "UTF-8")).when(k == 1, F.encode(F.concat(html, F.lit("\n")), "UTF-8")).when(k == 2, F.unhex(F.lit("610062"))).otherwise(F.encode(F.concat(F.lit("x;y\n"), html), "UTF-8"))
-    return table(spark, sf_dir, "pages").filter(F.octet_length("html") >= 200).select("page_id", L.problems(F.lit("a.csv"), content).alias("problems"))
+    html = F.replace(F.coalesce("html", F.lit("")), F.lit("\n"), F.lit(" "))
+    content = F.when(k == 0, F.encode(F.lit(""), "UTF-8")).when(k == 1, F.encode(F.concat(F.lit("<!doctype html>"), html, F.lit("\n")), "UTF-8")).when(k == 2, F.unhex(F.lit("610062"))).otherwise(F.encode(F.concat(F.lit("x;y\n"), html), "UTF-8"))
+    return table(spark, sf_dir, "pages").select("page_id", L.problems(F.lit("a.csv"), content).alias("problems"))
 
 
 @query("src_primary", "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders o WHERE (o_orderstatus = 'F') = (SELECT max(o_orderstatus = 'F') FROM orders i WHERE i.o_custkey = o.o_custkey) GROUP BY 1")

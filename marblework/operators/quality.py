@@ -1,9 +1,10 @@
 """Graded quality of delimited data: 37 checks in four groups, a score, a verdict.
 
 A file comes as its lines (n, line) and as a wide table of text cells with a row
-number.  Header checks are decided from the column names; the rest are a few
-aggregates: one over lines, one over their fields, one over cells, one over the rows' frequencies, one
-over the first values of date columns and one over deviations.
+number.  Header checks are decided from the header's texts; the rest are a few
+aggregates: one over lines, one over their fields, one over cells, one over the
+rows' frequencies, one over the first column of ids, one over the first values of
+date columns and one over deviations.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marblework.operators.profile import delimiter
-from marblework.operators.rollup import duplicate_rows, outliers
+from marblework.operators.rollup import duplicate_rows
 
 #: Parts of headers and the ontologies that they map to; the first part found decides.
 ONTOLOGIES = {
@@ -57,6 +58,12 @@ def ontologies(headers: list[str]) -> dict[str, list[str]]:
     return {h: o for h, o in found.items() if o}
 
 
+def header_ontologies(header: Column) -> Column:
+    """``ontologies`` of one header as an array; null without a known part."""
+    plain = F.translate(F.lower(F.trim(header)), "- '", "__")
+    return F.coalesce(*[F.when(plain.contains(part), F.array(*map(F.lit, o))) for part, o in ONTOLOGIES.items()])
+
+
 def line_stats(lines: DataFrame) -> DataFrame:
     """One row over the raw lines (n, line)."""
     whole = lines.agg(
@@ -72,16 +79,19 @@ def line_stats(lines: DataFrame) -> DataFrame:
     return whole.withColumn("tail_comment", F.coalesce(F.col("comment") > F.col("final") - 3, F.lit(False))).drop("comment", "final")
 
 
-def cell_stats(cells: DataFrame, headers: list[str], row: str) -> DataFrame:
-    """One row over all cells; names carry the column's place."""
-    aggs = [F.count("*").alias("rows"), F.count_if(reduce(lambda a, b: a & b, [F.trim(F.coalesce(F.col(f"`{h}`"), F.lit(""))) == "" for h in headers])).alias("blank_rows")]
-    for i, h in enumerate(headers):
+def cell_stats(cells: DataFrame, names: list[str], row: str) -> DataFrame:
+    """One row over all cells; results carry the column's place."""
+    aggs = [F.count("*").alias("rows"), F.count_if(reduce(lambda a, b: a & b, [F.trim(F.coalesce(F.col(f"`{h}`"), F.lit(""))) == "" for h in names])).alias("blank_rows")]
+    for i, h in enumerate(names):
         v = F.trim(F.coalesce(F.col(f"`{h}`"), F.lit("")))
         has = v != ""
         number = v.rlike(_NUMBER)
+        amount = F.when(number, F.replace(v, F.lit(","), F.lit("."))).cast("double")
         aggs += [
             F.count_if(has).alias(f"filled_{i}"),
             F.count_if(number).alias(f"numbers_{i}"),
+            F.avg(amount).alias(f"mean_{i}"),
+            F.stddev_samp(amount).alias(f"deviation_{i}"),
             F.count_if(number & v.contains(",")).alias(f"commas_{i}"),
             F.max(F.length(F.col(f"`{h}`"))).alias(f"longest_{i}"),
             F.count_if(v.rlike("^https?://")).alias(f"urls_{i}"),
@@ -90,11 +100,27 @@ def cell_stats(cells: DataFrame, headers: list[str], row: str) -> DataFrame:
             F.count_if(F.lower(v).isin(*FLAGS) & (F.col(row) <= 30)).alias(f"flags_{i}"),
             F.count_if(v.rlike(_UUID) & (F.col(row) <= 10)).alias(f"uuids_{i}"),
         ]
-        if _is_id(h):
-            aggs.append(F.count_distinct(F.when(has, v)).alias(f"distinct_{i}"))
     return cells.agg(*aggs)
 
 
+def far_values(cells: DataFrame, names: list[str], stats: DataFrame, sigmas: float = 4.0, least: int = 10) -> DataFrame:
+    """One row (outliers): numbers beyond ``sigmas`` deviations of their column's mean, in columns with ``least`` numbers."""
+    of = stats.select(*[f"{k}_{i}" for i in range(len(names)) for k in ("numbers", "mean", "deviation")])
+    far = []
+    for i, h in enumerate(names):
+        v = F.trim(F.coalesce(F.col(f"`{h}`"), F.lit("")))
+        amount = F.when(v.rlike(_NUMBER), F.replace(v, F.lit(","), F.lit("."))).cast("double")
+        far.append(F.count_if((F.col(f"numbers_{i}") >= least) & (F.abs(amount - F.col(f"mean_{i}")) > sigmas * F.col(f"deviation_{i}"))))
+    return cells.crossJoin(F.broadcast(of)).agg(reduce(lambda a, b: a + b, far).alias("outliers"))  # of is one row
+
+
+def distinct_ids(cells: DataFrame, name: str | None) -> DataFrame:
+    """One row (ids): how many different values the column holds; 0 without a column."""
+    if name is None:
+        return cells.limit(0).agg(F.count("*").alias("ids"))
+    return cells.select(F.trim(F.col(f"`{name}`")).alias("_v")).filter("_v <> ''").groupBy("_v").agg(F.count("*")).agg(F.count("*").alias("ids"))
+
+
 def field_stats(lines: DataFrame) -> DataFrame:
     """One row over a table's lines (n, line), header first: separated, and irregular, the lines with another field count than the header's.
 
@@ -116,9 +142,9 @@ def _is_id(header: str) -> bool:
     return h in ("id", "codice", "identifier", "uuid") or h.endswith("_id")
 
 
-def late_dates(cells: DataFrame, headers: list[str], row: str) -> DataFrame:
+def late_dates(cells: DataFrame, names: list[str], headers: list[str], row: str) -> DataFrame:
     """One row (bad_dates): non-ISO values among the first 20 of each date column."""
-    dates = [h for h in headers if any(k in plain_header(h) for k in ("data", "date", "anno", "year", "timestamp"))]
+    dates = [n for n, h in zip(names, headers, strict=True) if any(k in plain_header(h) for k in ("data", "date", "anno", "year", "timestamp"))]
     if not dates:
         return cells.limit(0).agg(F.lit(0).cast("long").alias("bad_dates"))
     long = cells.select(row, *[F.trim(F.col(f"`{h}`")).alias(h) for h in dates]).unpivot([row], dates, "column", "value").filter("value <> ''")
@@ -126,32 +152,57 @@ def late_dates(cells: DataFrame, headers: list[str], row: str) -> DataFrame:
     return first.agg(F.count_if(~F.col("value").rlike(_ISO)).alias("bad_dates"))
 
 
-def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = False, rows: DataFrame | None = None) -> DataFrame:
-    """(id, status) of all checks.  ``rows`` has the lines of the header and the table, where ``lines`` has others."""
-    headers = [c for c in cells.columns if c != row]
-    spark, plain = cells.sparkSession, [plain_header(h) for h in headers]
-    if not headers:
-        return spark.createDataFrame([("S3", "fail")], "id string, status string")
-    numbers = cells.select(*[F.replace(F.when(F.trim(F.col(f"`{h}`")).rlike(_NUMBER), F.trim(F.col(f"`{h}`"))), F.lit(","), F.lit(".")).cast("double").alias(f"c{i}") for i, h in enumerate(headers)])
-    far = outliers(numbers, numbers.columns).agg(F.coalesce(F.sum("outliers"), F.lit(0)).alias("outliers"))
-    one = line_stats(lines)
-    for part in (cell_stats(cells, headers, row), duplicate_rows(cells.drop(row)), late_dates(cells, headers, row), far, field_stats(lines if rows is None else rows)):
-        one = one.crossJoin(F.broadcast(part))  # every side is one row
+#: What the checks of each aggregate are; the others are decided by the header or by the number of rows, which comes with the cells.
+_NEEDS = {
+    "lines": ("S1", "S8", "S9", "S10", "S11", "O10"),
+    "fields": ("S2", "S6"),
+    "duplicates": ("C1",),
+    "ids": ("C3",),
+    "dates": ("C5",),
+    "far": ("C7",),
+}
+
+
+def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = False, rows: DataFrame | None = None, headers: list[str] | None = None, only: tuple[str, ...] = ()) -> DataFrame:
+    """(id, status) of all checks, or of those named in ``only``: aggregates that these do not need are not computed.
+
+    ``rows`` has the lines of the header and the table, where ``lines`` has
+    others.  ``headers`` are the header's texts where the columns of ``cells``
+    have other names (a header may repeat a text or leave it blank).
+    """
+    names = [c for c in cells.columns if c != row]
+    headers = names if headers is None else headers
+    plain = [plain_header(h) for h in headers]
+    raw = lines if rows is None else rows
+    lax = lambda bad, status, good="pass": F.when(F.coalesce(bad, F.lit(False)), status).otherwise(good)
+    first = {"S1": lax(F.col("filled") == 0, "fail"), "S2": lax(~F.col("separated").cast("boolean"), "warn"), "S3": F.lit("pass" if names else "fail")}
+    asked = lambda part: not only or any(i in only for i in _NEEDS[part])
+    none = lambda *names: cells.limit(0).agg(*[F.lit(None).cast("long").alias(x) for x in names])
+    parts = [line_stats(lines) if asked("lines") else none("bytes", "filled", "unreadable", "mojibake", "bom", "control", "tail_comment"), field_stats(raw) if asked("fields") else none("separated", "irregular")]
+    named = lambda status: F.explode(F.array(*[F.struct(F.lit(k).alias("id"), v.alias("status")) for k, v in status.items() if not only or k in only]))
+    if not names:
+        one = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # every part is one row
+        return one.select(named(first).alias("x")).select("x.*")
+    ids = [i for i, h in enumerate(headers) if _is_id(h)]
+    stats = cell_stats(cells, names, row)
+    parts += [
+        stats,
+        duplicate_rows(cells.drop(row)) if asked("duplicates") else none("duplicate_rows"),
+        distinct_ids(cells, names[ids[0]] if ids else None) if asked("ids") else none("ids"),
+        late_dates(cells, names, headers, row) if asked("dates") else none("bad_dates"),
+        far_values(cells, names, stats) if asked("far") else none("outliers"),
+    ]
+    one = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # every part is one row
     mapped = ontologies(headers)
     n, c = len(headers), F.col
     some = lambda f: reduce(lambda a, b: a | b, [f(i) for i in range(n)])
     total = lambda name: reduce(lambda a, b: a + b, [c(f"{name}_{i}") for i in range(n)])
     rate = lambda i: c(f"numbers_{i}") / F.nullif(c(f"filled_{i}"), F.lit(0))
     empty = 1 - total("filled") / F.nullif(c("rows") * n, F.lit(0))
-    ids = [i for i, h in enumerate(headers) if _is_id(h)]
-    lax = lambda bad, status, good="pass": F.when(F.coalesce(bad, F.lit(False)), status).otherwise(good)
     data = lambda x: F.when(c("rows") == 0, "skip").otherwise(x)
     fixed = lambda ok, bad="warn", good="pass": F.lit(good if ok else bad)
-    status: dict[str, Column] = {
-        "S1": lax(c("filled") == 0, "fail"),
-        "S2": lax(~c("separated"), "warn"),
-        "S3": fixed(bool(headers), "fail"),
-        "S4": fixed(len({h.lower() for h in headers}) == n, "fail"),
+    status: dict[str, Column] = first | {
+        "S4": fixed(len(set(headers)) == n, "fail"),
         "S5": fixed(all(h.strip() for h in headers)),
         "S6": F.lit("skip") if sampled else F.when(c("rows") == 0, "warn").when(c("irregular") > 0, "fail").otherwise("pass"),
         "S7": F.lit("info"),
@@ -163,7 +214,7 @@ def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = F
         "C0": F.when(c("rows") == 0, "skip").otherwise("pass"),
         "C1": data(lax(c("duplicate_rows") > 0, "warn")),
         "C2": data(F.when(empty > 0.3, "fail").when(empty > 0.1, "warn").otherwise("pass")),
-        "C3": data(lax(some(lambda i: c(f"distinct_{i}") < c(f"filled_{i}") * 0.98 if i == ids[0] else F.lit(False)), "warn") if ids else F.lit("warn")),
+        "C3": data(lax(c("ids") < c(f"filled_{ids[0]}") * 0.98, "warn") if ids else F.lit("warn")),
         "C4": data(lax(some(lambda i: (c(f"filled_{i}") >= 5) & (rate(i) > 0.5) & (rate(i) < 0.9)), "warn")),
         "C5": data(lax(c("bad_dates") > 0, "warn")),
         "C6": data(lax(some(lambda i: (c(f"numbers_{i}") > 5) & (c(f"commas_{i}") > 0)), "warn")),
@@ -178,7 +229,7 @@ def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = F
         "O7": fixed(not any(re.search(r"[^\w\s\-À-ž]", h) for h in headers)),
         "O8": lax(total("urls") == 0, "info"),
         "O9": lax(some(lambda i: (c(f"early_{i}") > 0) & (c(f"early_{i}") == c(f"flags_{i}"))), "info"),
-        "O10": lax(c("tail_comment"), "warn"),
+        "O10": lax(c("tail_comment").cast("boolean"), "warn"),
         "L1": lax(~some(lambda i: (c(f"uuids_{i}") > 0) if any(k in headers[i].lower() for k in ("id", "uuid", "identifier")) else F.lit(False)), "info"),
         "L2": fixed(bool(mapped)),
         "L3": fixed(any("istat" in h for h in plain), "info"),
@@ -186,15 +237,14 @@ def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = F
         "L5": lax(total("linked") == 0, "info"),
         "L6": fixed(len(mapped) >= 2 and n >= 5, "info"),
     }
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("id"), v.alias("status")) for k, v in status.items()]))
-    return one.select(each.alias("x")).select("x.*")
+    return one.select(named(status).alias("x")).select("x.*")
 
 
 def score(found: DataFrame, sampled: bool = False) -> DataFrame:
-    """One row: structural (S and C), semantic (O and L), combined, verdict, critical."""
+    """One row: structural (S and C), semantic (O and L), combined, verdict, critical; skipped checks do not count."""
     weight = reduce(lambda a, kv: a.when(F.col("status") == kv[0], kv[1]), list(WEIGHT.items())[1:], F.when(F.col("status") == "pass", 1.0))
     group = F.substring("id", 1, 1)
-    mean = lambda cond: F.round(F.avg(F.when(cond, weight)) * 100).cast("int")
+    mean = lambda cond: F.coalesce(F.round(F.avg(F.when(cond, weight)) * 100).cast("int"), F.lit(0))
     fails = F.count_if(group.isin("S", "C") & (F.col("status") == "fail"))
     warns = F.count_if(group.isin("S", "C") & (F.col("status") == "warn"))
     critical = F.count_if(F.col("id").isin(*CRITICAL) & (F.col("status") == "fail")) > 0
@@ -204,17 +254,25 @@ def score(found: DataFrame, sampled: bool = False) -> DataFrame:
     return out.select("structural", "semantic", "combined", "critical", verdict.alias("verdict"))
 
 
-#: Flags and the checks that raise them.
-FLAG_OF = {"S8": "encoding_issues", "S9": "encoding_issues", "S4": "duplicate_columns", "S6": "inconsistent_columns", "C2": "high_missing_rate", "O3": "column_naming", "O4": "column_naming", "C5": "non_iso_dates"}
+#: Flags, and the check and status that raise each.
+FLAG_OF = [
+    ("S8", "fail", "encoding_issues"),
+    ("S9", "fail", "encoding_issues"),
+    ("S4", "fail", "duplicate_columns"),
+    ("S6", "fail", "inconsistent_columns"),
+    ("C2", "fail", "high_missing_rate"),
+    ("O4", "warn", "column_naming"),
+    ("C5", "warn", "non_iso_dates"),
+]
 
 
 def flags(found: DataFrame) -> DataFrame:
-    """One row (flags) of what failed or warned."""
-    named = F.try_element_at(F.create_map(*[F.lit(x) for kv in FLAG_OF.items() for x in kv]), F.col("id"))
-    return found.agg(F.array_sort(F.collect_set(F.when(F.col("status").isin("fail", "warn"), named))).alias("flags"))
+    """One row (flags) of what FLAG_OF names."""
+    named = F.coalesce(*[F.when((F.col("id") == i) & (F.col("status") == s), flag) for i, s, flag in FLAG_OF])
+    return found.agg(F.array_sort(F.collect_set(named)).alias("flags"))
 
 
-def families(spark, headers: list[str]) -> DataFrame:
-    """(family, ontologies) of the headers' ontologies."""
-    rows = [(o.split(" ")[0], o) for os in ontologies(headers).values() for o in os]
-    return spark.createDataFrame(rows, "family string, ontology string").groupBy("family").agg(F.array_sort(F.collect_set("ontology")).alias("ontologies"))
+def families(headers: DataFrame, path: str = "path", header: str = "header") -> DataFrame:
+    """(path, family, ontologies) of the files' headers (path, header), one row each."""
+    each = headers.select(path, F.explode(header_ontologies(F.col(header))).alias("ontology"))
+    return each.groupBy(path, F.split("ontology", " ")[0].alias("family")).agg(F.array_sort(F.collect_set("ontology")).alias("ontologies"))

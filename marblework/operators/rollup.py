@@ -42,13 +42,15 @@ def rollup_once(df: DataFrame, levels: dict[str, list[str]], exclude: list[str]
     return grouped.select(label.alias("level"), *every, *(names or ["record_count"]))
 
 
-def unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value) rows of the columns as text."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+def unpivoted(df: DataFrame, columns: list[str], row: str | None = None) -> DataFrame:
+    """(column, value) rows of the columns as text, with the column ``row`` beside them if it is named."""
+    names = [c for c in columns if c != row]
+    beside = [F.col(f"`{row}`")] if row else []
+    return df.select(*beside, *[F.col(f"`{c}`").cast("string").alias(c) for c in names]).unpivot([row] if row else [], names, "column", "value")
 
 
 def profile_distinct(df: DataFrame, columns: list[str], error: float = 0.016) -> DataFrame:
-    """(column, distinct_approx, nulls, distinct_ratio) in one pass over the table."""
+    """(column, distinct_approx, nulls, distinct_ratio) in one pass over the table; nulls are exact, distinct counts within some ``error``."""
     aggs = [a for c in columns for a in (F.approx_count_distinct(c, error).alias(f"d_{c}"), F.count_if(F.col(c).isNull()).alias(f"n_{c}"))]
     one = df.agg(F.count("*").alias("rows"), *aggs)
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d_{c}").alias("distinct_approx"), F.col(f"n_{c}").alias("nulls")) for c in columns]))

@@ -31,6 +31,12 @@ def resolved(base: Column, href: Column) -> Column:
     )
 
 
+def is_data_link(url: Column, extensions=DATA_EXTENSIONS) -> Column:
+    """Whether a URL's path, or the URL up to closing slashes, ends with one of the extensions."""
+    any_of = "|".join(e.lstrip(".") for e in extensions)
+    return F.lower(url).rlike(rf"(?s)^[^?]*\.({any_of})(\?|\z)|\.({any_of})/*\z")
+
+
 def link_format(url: Column, extensions=DATA_EXTENSIONS) -> Column:
     """The upper-case extension of a data file's URL; null for others."""
     path = F.lower(F.split(url, "\\?")[0])
@@ -64,10 +70,11 @@ def data_links(pages: DataFrame, extensions=DATA_EXTENSIONS, url: str = "url", h
     attribute = lambda n: F.regexp_extract("tag", rf"""(?i)\b{n}\s*=\s*["']([^"']*)["']""", 1)
     href = F.trim(F.regexp_extract("tag", _HREF, 1))
     found = tags(pages, url, html).select(F.col(url).alias("page"), "pos", href.alias("href"), F.coalesce(F.nullif(attribute("aria-label"), F.lit("")), attribute("title")).alias("title"))
-    real = found.filter((F.col("href") != "") & ~F.lower("href").rlike(r"^(#|mailto:|tel:|javascript:)")).withColumn("link", resolved(F.col("page"), F.col("href")))
-    named = real.withColumn("format", link_format(F.col("link"), extensions)).filter("format IS NOT NULL")
-    first = named.groupBy("page", "link").agg(F.min_by(F.struct("pos", "format", "title"), "pos").alias("x")).select("page", "link", "x.*")
-    with_name = first.withColumn("filename", filename(F.col("link")))
+    real = found.filter((F.col("href") != "") & ~F.lower("href").rlike(r"^(#|mailto:|tel:|javascript:)"))
+    # generated, so that the link is a column of its own and later expressions do not repeat how it is made
+    links = real.select("page", "pos", "title", F.explode(F.array(resolved(F.col("page"), F.col("href")))).alias("link")).filter(is_data_link(F.col("link"), extensions))
+    first = links.groupBy("page", "link").agg(F.min_by(F.struct("pos", "title"), "pos").alias("x")).select("page", "link", "x.*")
+    with_name = first.select("*", link_format(F.col("link"), extensions).alias("format"), filename(F.col("link")).alias("filename"))
     return with_name.select("page", "pos", "link", "format", "title", "filename", prefix(F.col("filename")).alias("prefix"), years(F.col("filename")).alias("years"))
 
 

@@ -1,17 +1,30 @@
-"""Ad-hoc SQL over layers: guarded statements, caps, dry runs."""
+"""Ad-hoc SQL over layers: guarded statements, modes, caps, dry runs."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-from marblework.operators.rollup import capped
+from marblework.operators.joins import column_rows
+from marblework.operators.profile import column_kinds
+from marblework.operators.rollup import capped, unpivoted
 
-#: Statements that change data or settings, and functions that read files.
-FORBIDDEN = re.compile(r"\b(insert|update|delete|drop|create|alter|truncate|merge|copy|attach|detach|install|load|set|pragma|export|import|call|grant|revoke|refresh|cache|uncache|use|msck|analyze|read_csv|read_csv_auto|read_parquet|read_json|read_text|read_files|parquet_scan|csv_scan|glob)\b", re.I)
-MAX_ROWS = 500
+#: Statements that change data or settings, and functions that read files or call code outside SQL.
+FORBIDDEN = re.compile(
+    r"\b(insert|update|delete|drop|create|alter|truncate|merge|copy|attach|detach|install|load|set|pragma|export|import|call|grant|revoke|refresh|cache|uncache|use|msck|analyze"
+    r"|read_csv|read_csv_auto|read_parquet|read_json|read_text|read_files|parquet_scan|csv_scan|glob|reflect|java_method|try_reflect)\b",
+    re.I,
+)
+#: The nodes of a parsed plan that a read is made of; any other refuses the statement.
+NODES = {
+    "Project", "Filter", "Aggregate", "Join", "LateralJoin", "SubqueryAlias", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Distinct", "Union", "Intersect", "Except",
+    "UnresolvedRelation", "UnresolvedWith", "CTE", "UnresolvedHaving", "UnresolvedSubqueryColumnAliases", "UnresolvedInlineTable", "ResolvedInlineTable", "OneRowRelation",
+    "LocalRelation", "Generate", "WithWindowDefinition", "Window", "Pivot", "Unpivot", "UnresolvedHint", "Sample", "RepartitionByExpression", "Deduplicate",
+}
+LAYERS, MODES = ("raw", "clean", "mart"), ("schema", "preview", "profile", "sql")
+MAX_ROWS, EXCERPT = 500, 300
 
 
 def bare(sql: str) -> str:
@@ -19,8 +32,13 @@ def bare(sql: str) -> str:
     return re.sub(r"--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`", " ", sql, flags=re.S)
 
 
-def check(sql: str, names: set[str]) -> str:
-    """The statement without a closing semicolon; an error unless it is one read over the given names."""
+def check(spark: SparkSession, sql: str, names: set[str]) -> str:
+    """The statement without a closing semicolon; an error unless it is one read over the given names.
+
+    Spark parses it: every relation of the plan, of its subqueries and of its
+    common tables must be declared or be a common table that hides nothing.  A
+    literal with a line end in it is refused, since the plan's text is read by lines.
+    """
     sql = sql.strip().rstrip(";").strip()
     plain = bare(sql)
     if ";" in plain:
@@ -29,20 +47,46 @@ def check(sql: str, names: set[str]) -> str:
         raise ValueError("only SELECT or WITH")
     if m := FORBIDDEN.search(plain):
         raise ValueError(f"not allowed: {m[1]}")
-    own = {m.lower() for m in re.findall(r"\b(\w+)\s+as\s*\(", plain, re.I)}
-    quoted = re.findall(r"\b(?:from|join)\s+([`\"'][^`\"']*[`\"'])", sql, re.I)
-    asked = {m.lower() for m in re.findall(r"\b(?:from|join)\s+([A-Za-z_][\w.]*)", plain, re.I)} | {q.lower() for q in quoted}
-    if unknown := asked - own - {n.lower() for n in names}:
+    try:
+        tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).treeString()
+    except Exception as e:
+        if isinstance(e, ParseException) or "ParseException" in str(e):
+            raise ValueError(f"no valid SQL: {str(e).strip().splitlines()[0]}") from e
+        raise
+    asked, own = set(), set()
+    for line in tree.splitlines():
+        node = re.match(r"[\s:+|\-]*'?(\w+)(?: \[([^\]]*)\])?", line)
+        if not node or node[1] not in NODES:
+            raise ValueError(f"not allowed: {line.strip()[:60]}")
+        if node[1] == "UnresolvedRelation":
+            asked.add((node[2] or "").lower())
+        elif node[1] in ("CTE", "UnresolvedWith") and node[2]:
+            own |= {n.strip().lower() for n in node[2].split(",")}
+    declared = {n.lower() for n in names}
+    if unknown := asked - own - declared:
         raise ValueError(f"not declared: {sorted(unknown)}")
+    if hiding := {n for n in asked & own - declared if not re.fullmatch(r"\w+", n) or spark.catalog.tableExists(n)}:
+        raise ValueError(f"a common table hides a table: {sorted(hiding)}")
     return sql
 
 
 def guarded(spark: SparkSession, sql: str, frames: dict[str, DataFrame]) -> DataFrame:
-    """A read over declared DataFrames and nothing else."""
-    sql = check(sql, set(frames))
-    for name in frames:
-        sql = re.sub(rf"\b(from|join)(\s+){re.escape(name)}\b(?!\s*\.)", lambda m, n=name: f"{m[1]}{m[2]}{{{n}}} AS {n}" if not re.match(r"\s+(as\s+)?(?!(?:on|where|join|left|right|inner|full|cross|group|order|limit|union|having|semi|anti|using|natural|except|intersect|window|qualify|lateral|tablesample)\b)\w", sql[m.end() :], re.I) else f"{m[1]}{m[2]}{{{n}}}", sql, flags=re.I)
-    return spark.sql(sql, **frames)
+    """A read over declared DataFrames and nothing else.
+
+    The DataFrames are temporary views while Spark binds the statement; views of
+    the same names are put back afterwards.
+    """
+    sql = check(spark, sql, set(frames))
+    before = {name: spark.table(name) for name in frames if name in {t.name for t in spark.catalog.listTables() if t.isTemporary}}
+    try:
+        for name, df in frames.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql)
+    finally:
+        for name in frames:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
 
 
 def layer_query(spark: SparkSession, frames: dict[str, DataFrame], sql: str, limit: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -50,9 +94,38 @@ def layer_query(spark: SparkSession, frames: dict[str, DataFrame], sql: str, lim
     return capped(guarded(spark, sql, frames), min(limit or MAX_ROWS, MAX_ROWS))
 
 
+def pick(layers: dict[str, dict[tuple[int, str], DataFrame]], layer: str, year: int | None = None, table: str | None = None) -> DataFrame:
+    """A layer's table: that of the year (the last one if none is named) and of the name (the first by name)."""
+    if layer not in LAYERS:
+        raise ValueError(f"layer must be one of {LAYERS}, not {layer}")
+    found = {k: df for k, df in layers.get(layer, {}).items() if year in (None, k[0]) and table in (None, k[1])}
+    if not found:
+        raise ValueError(f"no {layer} for year {year} and table {table}")
+    return found[min(found, key=lambda k: (-k[0], k[1]))]
+
+
+def ask(spark: SparkSession, layers: dict[str, dict[tuple[int, str], DataFrame]], layer: str = "clean", mode: str = "schema", year: int | None = None, table: str | None = None, sql: str | None = None, limit: int = 20) -> DataFrame:
+    """Any question about a layer: its schema, its first rows, its columns' profile (raw only), or SQL over it as ``data``."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode}")
+    if mode == "profile" and layer != "raw":
+        raise ValueError("profile is for the raw layer")
+    df = pick(layers, layer, year, table)
+    if mode == "schema":
+        return column_rows(df)
+    if mode == "preview":
+        return capped(df, min(limit or MAX_ROWS, MAX_ROWS))[0]
+    if mode == "profile":
+        return column_kinds(unpivoted(df, df.columns, "n"))
+    if not sql:
+        raise ValueError("mode sql needs a statement")
+    return layer_query(spark, {"data": df}, sql, limit)[0]
+
+
 def dry_run(spark: SparkSession, frames: dict[str, DataFrame], sql: str) -> dict:
-    """{"ok", "schema", "error"} of a statement that is bound and not run; frames may be empty ones."""
+    """{"ok", "schema", "plan" (an excerpt), "error"} of a statement that is bound and not run; frames may be empty ones."""
     try:
-        return {"ok": True, "schema": [(f.name, f.dataType.simpleString()) for f in guarded(spark, sql, frames).schema], "error": None}
+        df = guarded(spark, sql, frames)
     except (ValueError, AnalysisException) as e:
-        return {"ok": False, "schema": [], "error": str(e).split("\n")[0]}
+        return {"ok": False, "schema": [], "plan": None, "error": str(e).split("\n")[0]}
+    return {"ok": True, "schema": [(f.name, f.dataType.simpleString()) for f in df.schema], "plan": df._jdf.queryExecution().optimizedPlan().treeString()[:EXCERPT], "error": None}

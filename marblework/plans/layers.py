@@ -62,8 +62,10 @@ def typed_projection(df: DataFrame, year: int | None = None) -> DataFrame:
 
 
 def write_layer(df: DataFrame, path: str, partition_by: list[str] = (), mode: str = "overwrite") -> dict:
-    """Writes Parquet with ZSTD and gives {"row_count", "column_count"}, counted by the same job."""
+    """Writes Parquet with ZSTD and gives {"row_count", "column_count", "bytes"}: rows as the same job counted them, bytes of the folder's files."""
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("row_count")).write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
-    return {"row_count": seen.get["row_count"], "column_count": len(df.columns)}
+    files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    size = files.agg(F.sum("length")).first()[0] or 0  # lengths come from the listing, contents are not read
+    return {"row_count": seen.get["row_count"], "column_count": len(df.columns), "bytes": size}

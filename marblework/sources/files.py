@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: What the clean layer reads.
+#: Where published files are read by HTTPS, and what the clean layer reads.
+HTTPS_STORE = "https://storage.googleapis.com/"
 SUPPORTED = (".csv", ".tsv", ".txt", ".parquet", ".csv.gz", ".tsv.gz", ".txt.gz", ".nt.gz", ".xlsx", ".xls")
 
 
@@ -57,6 +58,12 @@ def primary(outputs: DataFrame, by: list[str]) -> DataFrame:
     return outputs.groupBy(*by).agg(F.min_by(F.struct(*rest), F.struct(~F.col("primary"), "position")).alias("x")).select(*by, "x.*")
 
 
+def published(files: DataFrame, url: str = "url") -> DataFrame:
+    """``files`` with object-store URLs in the form that any HTTPS client reads; others as they are."""
+    c = F.col(url)
+    return files.withColumn(url, F.when(c.startswith("s3://"), F.concat(F.lit(HTTPS_STORE), F.substring(c, 6, 2147483647))).otherwise(c))
+
+
 def versioned(existing: DataFrame, landed: DataFrame, name: str = "name") -> DataFrame:
     """``landed`` with the version that each file gets beside those that exist (0 for a new name)."""
     top = existing.groupBy(name).agg(F.max("version").alias("_top"))

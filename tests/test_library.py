@@ -107,13 +107,48 @@ def test_ragged_files(spark, tmp_path):
 def test_guard(spark):
     df = spark.range(3).toDF("k")
     assert adhoc.guarded(spark, "SELECT sum(k) AS s FROM t -- drop\n", {"t": df}).first()["s"] == 3
-    for bad in ("DELETE FROM t", "SELECT * FROM u", "SELECT 1; DROP TABLE t", "SELECT * FROM csv.`/etc/passwd`"):
+    df.createOrReplaceTempView("u")
+    bad = [
+        "DELETE FROM t",
+        "SELECT * FROM u",
+        "SELECT 1; DROP TABLE t",
+        "SELECT * FROM csv.`/etc/passwd`",
+        "SELECT * FROM t, u",
+        "SELECT k FROM t UNION ALL TABLE u",
+        "SELECT (SELECT max(k) FROM u) FROM t",
+        "SELECT * FROM t WHERE EXISTS (WITH u AS (SELECT 1) SELECT * FROM u) AND k IN (SELECT k FROM u)",
+        "SELECT ' FROM t ' FROM \n u",
+        "SELECT * FROM t JOIN LATERAL (SELECT * FROM u)",
+        "SELECT nonsense FROM FROM",
+        "SELECT * FROM t -- '\n , u -- '",
+        "SELECT r'\\' AS a, * FROM t, u WHERE '' = ''",
+        "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a",
+    ]
+    for sql in bad:
         with pytest.raises(ValueError):
-            adhoc.guarded(spark, bad, {"t": df})
+            adhoc.guarded(spark, sql, {"t": df})
+    assert spark.table("u").count() == 3
+    for good in ("SELECT count(*) AS s FROM t a, t b", "WITH x AS (SELECT k FROM t), y AS (SELECT k FROM x) SELECT count(*) * 3 AS s FROM y", "SELECT s FROM (SELECT k * 3 + 3 AS s FROM t WHERE k IN (SELECT max(k) FROM T)) WHERE 'UnresolvedRelation [z]' <> ''"):
+        assert adhoc.guarded(spark, good, {"t": df}).first()["s"] == 9
+    assert "t" not in {x.name for x in spark.catalog.listTables()}
+    said = adhoc.dry_run(spark, {"t": df}, "SELECT k FROM t WHERE k > 1")
+    assert said["ok"] and "Filter" in said["plan"] and not adhoc.dry_run(spark, {"t": df}, "SELECT k FROM u")["ok"]
     with pytest.raises(ValueError, match="unresolved"):
         layers.run_sql(spark, "SELECT :year FROM {t}", {"t": df})
 
 
+def test_layers_by_mode_and_year(spark):
+    frames = {"raw": {(2022, "a"): spark.createDataFrame([(1, "1,5")], "n long, x string")}, "mart": {(2022, "b"): spark.range(2), (2023, "b"): spark.range(5), (2023, "a"): spark.range(9)}}
+    assert adhoc.ask(spark, frames, "mart", "preview", limit=3).count() == 3
+    assert adhoc.ask(spark, frames, "mart", "sql", 2022, sql="SELECT count(*) AS c FROM data").first()["c"] == 2
+    assert adhoc.ask(spark, frames, "mart", "sql", table="b", sql="SELECT count(*) AS c FROM data").first()["c"] == 5
+    assert [r["name"] for r in adhoc.ask(spark, frames, "raw").collect()] == ["n", "x"]
+    assert adhoc.ask(spark, frames, "raw", "profile").count() == 1
+    for wrong in ({"layer": "gold"}, {"mode": "x"}, {"layer": "mart", "mode": "profile"}, {"layer": "mart", "mode": "sql"}, {"layer": "mart", "year": 1999}):
+        with pytest.raises(ValueError):
+            adhoc.ask(spark, frames, **wrong)
+
+
 def test_union_needs_all_years(spark):
     with pytest.raises(ValueError, match="2024"):
         joins.union_years({2023: spark.range(1)}, [2023, 2024])
@@ -123,6 +158,20 @@ def test_ontologies_take_the_first_part():
     assert quality.ontologies(["Codice Comune", "x", "importo"]) == {"Codice Comune": ["CLV", "ISTAT"], "importo": ["PC (PublicContract)", "QB (DataCube)"]}
 
 
+def test_quality_without_headers_and_with_case(spark):
+    raw = spark.createDataFrame([(1, "x")], "n long, line string")
+    got = {r["id"]: r["status"] for r in quality.checks(raw, spark.createDataFrame([(1,)], "n long")).collect()}
+    assert got == {"S1": "pass", "S2": "warn", "S3": "fail"}
+    cells = spark.createDataFrame([(1, "1", "2")], "n long, c0 string, c1 string")
+    status = lambda headers: {r["id"]: r["status"] for r in quality.checks(raw, cells, headers=headers).collect()}["S4"]
+    assert (status(["Id", "id"]), status(["id", "id"])) == ("pass", "fail")
+
+
+def test_quality_flags_need_their_severity(spark):
+    found = spark.createDataFrame([("C2", "warn"), ("O3", "warn"), ("S4", "warn"), ("O4", "warn"), ("S8", "fail")], "id string, status string")
+    assert quality.flags(found).first()["flags"] == ["column_naming", "encoding_issues"]
+
+
 def test_quality_lines_are_whole_texts(spark, tmp_path):
     long = "word " * 20
     texts = [(0, f"first {long}\n\n# in the middle\nend"), (2, f"{long}\ufffd"), (1500, f"{long}caff\u00c3\u00a8 \x02\n{long}\n# in the tail"), (1501, None)]

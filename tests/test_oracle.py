@@ -50,5 +50,5 @@ def test_query(name, spark, duck, tiny):
         assert rows(df.columns, got) == rows(names, want.fetchall())
 
 
-def test_sql_for_all_but_approximate_counts():
-    assert set(QUERIES) - set(SQL) == {"agg_profile_distinct"}
+def test_sql_for_all():
+    assert set(QUERIES) == set(SQL)
