@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marblework.llm.common import cut, release, ship, unused
-from marblework.llm.graph import components
+from marblework.llm.graph import components, for_parts, part_of
 
 SIGMAS = 6.0
 #: Lists of at most so many members give all their pairs.
@@ -243,12 +243,9 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
     leaders = LEADERS
     while True:
         placed = long_lists.join(found, F.col("id") == F.col("node"), "left").select("v", "id", "n", "pos", "earlier", F.coalesce("component", "id").alias("comp"))
-        # the minima are written, so that Spark can split a value that very many keep
-        placed = cut(placed)
-        several = cut(placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("v"))
+        several = placed.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("v")
+        placed = cut(placed.withColumn("part", part_of(F.col("id"))).join(for_parts(several), ["v", "part"], "left_semi").drop("part"))
         release(long_lists)
-        every, placed = placed, cut(placed.join(several, "v", "left_semi"))
-        release(every, several)
         if placed.isEmpty():
             break
         first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n", "pos", "earlier")).alias("lead"))
