@@ -80,11 +80,17 @@ def _(spark, sf_dir):
     return C.backfill(now, c.select(F.col("c_custkey").alias("slug"), F.concat(F.lit("old"), F.col("c_custkey").cast("string")).alias("run")), "slug", ["run"])
 
 
-@query("cat_find", "SELECT p_brand AS slug, list_sort(list_distinct(list(p_type))) AS matched_columns FROM part WHERE contains(lower(p_type), 'steel') GROUP BY 1 ORDER BY 1 LIMIT 15")
+@query(
+    "cat_find",
+    """WITH e AS (SELECT p_name AS slug, coalesce(list_sort(list_distinct(list(p_type) FILTER (contains(lower(p_type), 'small') AND p_size > 25))), []) AS matched_columns, contains(lower(p_name), 'small') AS meta_match, list_sort(list_distinct(list(2000 + p_size % 3))) AS years, count(*) AS file_count, CAST(sum(p_size) AS BIGINT) AS total_size_bytes FROM part GROUP BY 1),
+h AS (SELECT * FROM e WHERE len(matched_columns) > 0 OR meta_match), n AS (SELECT count(*) AS total_count FROM h) SELECT h.*, total_count, total_count > 15 AS truncated FROM h, n ORDER BY slug LIMIT 15""",
+)
 def _(spark, sf_dir):
-    cols = F.array_sort(F.collect_set(F.struct(F.col("p_type").alias("name"), F.lit("metric").alias("role"))))
-    entries = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("slug")).agg(cols.alias("columns")).withColumn("title", F.col("slug"))
-    return C.find(entries, "STEEL", metric_only=True)
+    part = table(spark, sf_dir, "part")
+    cols = F.array_sort(F.collect_set(F.when(F.col("p_size") > 25, F.struct(F.col("p_type").alias("name"), F.lit("metric").alias("role")))))
+    entries = part.groupBy(F.col("p_name").alias("slug")).agg(cols.alias("columns")).withColumn("title", F.col("slug"))
+    files = part.select(F.col("p_name").alias("slug"), F.lit("clean").alias("layer"), (F.col("p_size") % 3 + 2000).alias("year"), F.col("p_size").cast("long").alias("bytes"))
+    return C.find(entries, "SMALL", files=files.unionByName(files.withColumn("layer", F.lit("mart"))), layer="clean")
 
 
 @query("cat_resolve", "SELECT 'f' || o_orderkey AS path FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' AND year(o_orderdate) = 1995")

@@ -149,18 +149,36 @@ def _(spark, sf_dir):
     return P.roles(J.column_rows(o)).select("name", "role", "semantic_type")
 
 
-@query("prf_batch_profiles", "WITH o AS (SELECT o_orderpriority AS slug, year(o_orderdate) AS y, o_orderstatus FROM orders), m AS (SELECT slug, max(y) AS y FROM o GROUP BY 1) SELECT o.slug, CAST(m.y AS INTEGER) AS year, o_orderstatus AS value, count(*) AS n FROM o JOIN m ON o.slug = m.slug AND o.y = m.y GROUP BY 1, 2, 3")
+@query(
+    "prf_batch_profiles",
+    """WITH v AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN 'b-repo' ELSE 'c-repo' END AS repo, o_orderpriority AS slug, CAST(year(o_orderdate) AS INTEGER) AS year, 'stato' AS c, o_orderstatus AS value FROM orders WHERE NOT (o_custkey % 3 = 0 AND o_orderpriority = '1-URGENT')),
+k AS (SELECT slug, min(repo) AS repo FROM v GROUP BY 1), y AS (SELECT v.slug, v.repo, max(year) AS year FROM v JOIN k ON v.slug = k.slug AND v.repo = k.repo GROUP BY 1, 2),
+g AS (SELECT v.slug, v.repo, v.year, c, value, count(*) AS n FROM v JOIN y ON v.slug = y.slug AND v.repo = y.repo AND v.year = y.year GROUP BY 1, 2, 3, 4, 5),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY slug, c ORDER BY n DESC, value) AS INTEGER) AS rank FROM g) SELECT slug, repo, year, c AS "column", value, n, rank FROM r WHERE rank <= 2""",
+)
 def _(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("slug"), F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("value"))
-    last = o.groupBy("slug").agg(F.max("year").alias("year"))
-    return o.join(last, ["slug", "year"]).groupBy("slug", "year", "value").agg(F.count("*").alias("n"))
+    """Datasets by priority in two repositories, one of them in the second only."""
+    third = F.col("o_custkey") % 3 == 0
+    o = table(spark, sf_dir, "orders").filter(~(third & (F.col("o_orderpriority") == "1-URGENT")))
+    values = o.select(F.when(third, "b-repo").otherwise("c-repo").alias("repo"), F.col("o_orderpriority").alias("slug"), F.year("o_orderdate").alias("year"), F.lit("stato").alias("column"), F.col("o_orderstatus").alias("value"))
+    return P.batch_profiles(values, 2)
 
 
-@query("prf_source_preview", "SELECT (SELECT count(*) FROM orders) AS row_count, CAST(min(year(o_orderdate)) AS INTEGER) AS low, CAST(max(year(o_orderdate)) AS INTEGER) AS high, 'regione' AS level FROM orders")
+@query(
+    "prf_source_preview",
+    """SELECT ';' AS delimiter, 'utf-8' AS encoding, ',' AS decimal, 1 AS skip, count(*) AS row_count, CAST(min(year(o_orderdate)) AS INTEGER) AS low, CAST(max(year(o_orderdate)) AS INTEGER) AS high, 'regione' AS level,
+['anno:bigint:dimension:year', 'importo:double:metric:', 'regione:string:dimension:region_code'] AS columns, 5 AS shown, TRUE AS graded FROM orders""",
+)
 def _(spark, sf_dir):
-    from marblework.functions.text import granularity
+    """Files of orders with a title line, decimal commas and a year column."""
+    from marblework.cases.sources import folder
+    from marblework.plans.preview import source_preview
 
-    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("anno"), F.col("o_custkey").alias("regione"), "o_totalprice")
-    span = P.year_values(A.unpivoted(o, ["anno"])).select("low", "high")
-    level = granularity(F.lit("orders"), F.array(*map(F.lit, o.columns)))
-    return span.select(F.lit(A.preview(o)["row_count"]).cast("long").alias("row_count"), "low", "high", level.alias("level"))
+    price = F.replace(F.format_string("%.2f", F.col("o_totalprice")), F.lit("."), F.lit(","))
+    line = F.concat(F.year("o_orderdate").cast("string"), F.lit(";R"), (F.col("o_custkey") % 20).cast("string"), F.lit(";"), price)
+    files = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 20000).alias("f")).agg(F.array_join(F.collect_list(line), "\n").alias("b"))
+    path = folder(spark)
+    files.select("f", F.concat(F.lit("Ordini\nanno;regione;importo\n"), "b").alias("value")).write.partitionBy("f").text(path)
+    got = source_preview(spark, [path], "orders")
+    said = F.transform("columns", lambda c: F.concat_ws(":", c["name"], c["type"], c["role"], F.coalesce(c["semantic_type"], F.lit(""))))
+    return got.select("delimiter", "encoding", "decimal", "skip", "row_count", "low", "high", "level", said.alias("columns"), F.size("sample").alias("shown"), F.col("verdict").isin("good", "acceptable", "poor").alias("graded"))

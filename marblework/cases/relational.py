@@ -122,6 +122,18 @@ def _(spark, sf_dir):
     return J.union_by_name([o.filter("o_orderkey % 2 = 0").withColumn("origin", F.lit("a")), o.filter("o_orderkey % 2 = 1").withColumn("part", F.lit("b"))])
 
 
+@query("set_concat_frames", "SELECT CAST(c_custkey AS VARCHAR) AS a, CASE WHEN c_custkey % 2 = 0 THEN 'x' ELSE '' END AS b FROM customer UNION ALL SELECT CAST(s_suppkey AS VARCHAR), '' FROM supplier")
+def _(spark, sf_dir):
+    """Padded files one after the other, each with its own short rows."""
+    from marblework.cases.sources import landed
+    from marblework.sources.delimited import read_padded
+
+    key = F.col("c_custkey")
+    first = landed(spark, table(spark, sf_dir, "customer").select(F.concat(key.cast("string"), F.when(key % 2 == 0, ";x").otherwise("")).alias("value")), kind="text")
+    second = landed(spark, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("value")), kind="text")
+    return J.union_by_name([read_padded(spark, [p], ["a", "b"], {"sep": ";", "header": False}) for p in (first, second)])
+
+
 @query("set_merge_prefer", "SELECT c_nationkey AS k, 'local' AS origin FROM customer WHERE c_nationkey < 10 GROUP BY 1 UNION ALL SELECT s_nationkey, 'shared' FROM supplier WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_nationkey < 10) GROUP BY 1")
 def _(spark, sf_dir):
     a = table(spark, sf_dir, "customer").filter("c_nationkey < 10").select(F.col("c_nationkey").alias("k")).distinct().withColumn("origin", F.lit("local"))

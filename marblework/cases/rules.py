@@ -44,6 +44,14 @@ for _name, _rule in (("val_required_columns", "required_columns"), ("val_min_row
     query(_name, _FACTS + f"SELECT c AS \"column\", bad_rows, severity FROM f WHERE rule = '{_rule}'")(lambda spark, sf_dir, r=_rule: _results(spark, sf_dir).filter(F.col("rule") == r).select("column", "bad_rows", "severity"))
 
 
+@query("val_non_empty", "SELECT 'orders' AS name, count(*) = 0 AS failed FROM orders UNION ALL SELECT 'none', count(*) FILTER (o_totalprice < 0) = 0 FROM orders")
+def _(spark, sf_dir):
+    """A table with rows and one that a filter leaves without any."""
+    orders = table(spark, sf_dir, "orders")
+    one = lambda name, df: R.evaluate(df, R.Rules(min_rows=1)).filter("rule = 'min_rows'").select(F.lit(name).alias("name"), (F.col("bad_rows") > 0).alias("failed"))
+    return one("orders", orders).unionByName(one("none", orders.filter("o_totalprice < 0")))
+
+
 @query("val_score", "SELECT o_orderkey, CAST(greatest(0, 100 - 20 * (o_orderkey % 5) - 5 * (o_custkey % 4)) AS INTEGER) AS score, CASE WHEN greatest(0, 100 - 20 * (o_orderkey % 5) - 5 * (o_custkey % 4)) >= 80 THEN 'good' WHEN greatest(0, 100 - 20 * (o_orderkey % 5) - 5 * (o_custkey % 4)) >= 50 THEN 'acceptable' ELSE 'poor' END AS grade FROM orders")
 def _(spark, sf_dir):
     score = R.quality_score(F.col("o_orderkey") % 5, F.col("o_custkey") % 4)

@@ -38,21 +38,34 @@ def backfill(current: DataFrame, previous: DataFrame, key: str, fields: list[str
     return joined.select(*[F.coalesce(c, f"_{c}").alias(c) if c in fields else F.col(c) for c in current.columns])
 
 
-def find(entries: DataFrame, text: str = "", metric_only: bool = False, limit: int = 15, **equals) -> DataFrame:
-    """(slug, matched_columns) of entries whose slug, title or a column holds the text; ``limit`` 0 is all.
+def find(entries: DataFrame, text: str = "", metric_only: bool = False, limit: int = 15, files: DataFrame | None = None, layer: str | None = None, **equals) -> DataFrame:
+    """(slug, matched_columns, meta_match, years, file_count, total_size_bytes, total_count, truncated) of entries whose slug, title or a column holds the text.
 
-    ``entries`` has (slug, title, columns array<struct<name, role>>).
+    ``entries`` has (slug, title, columns array<struct<name, role>>), ``files``
+    (slug, layer, year, bytes).  ``limit`` 0 is all; ``total_count`` is how many
+    there are without it.
     """
     low = text.lower()
     named = F.transform(F.filter("columns", lambda c: F.lower(c["name"]).contains(low) & ((c["role"] == "metric") if metric_only else F.lit(True))), lambda c: c["name"])
-    out = entries.withColumn("matched_columns", named)
+    meta = F.lower("slug").contains(low) | F.lower("title").contains(low)
+    out = entries.withColumn("matched_columns", named).withColumn("meta_match", meta)
     for k, v in equals.items():
         out = out.filter(F.col(k) == v)
     hit = F.size("matched_columns") > 0
     if not metric_only:
-        hit = hit | F.lower("slug").contains(low) | F.lower("title").contains(low)
-    found = out.filter(hit).select("slug", "matched_columns").orderBy("slug")
-    return found.limit(limit) if limit else found
+        hit = hit | F.col("meta_match")
+    found = out.filter(hit).select("slug", "matched_columns", "meta_match")
+    if files is not None:
+        some = files.filter(F.col("layer") == layer) if layer else files
+        per = some.groupBy("slug").agg(F.array_sort(F.collect_set("year")).alias("years"), F.count("*").alias("file_count"), F.sum("bytes").alias("total_size_bytes"))
+        found = found.join(per, "slug", "left")
+    else:
+        found = found.select("*", F.lit(None).cast("array<int>").alias("years"), F.lit(None).cast("long").alias("file_count"), F.lit(None).cast("long").alias("total_size_bytes"))
+    none = F.lit(0).cast("long")
+    plain = found.select("slug", "matched_columns", "meta_match", F.coalesce("years", F.array().cast("array<int>")).alias("years"), F.coalesce("file_count", none).alias("file_count"), F.coalesce("total_size_bytes", none).alias("total_size_bytes"))
+    total = plain.agg(F.count("*").alias("total_count"))
+    whole = (plain.orderBy("slug").limit(limit) if limit else plain).crossJoin(F.broadcast(total))  # total is one row
+    return whole.withColumn("truncated", F.col("total_count") > limit if limit else F.lit(False)).orderBy("slug")
 
 
 def resolve(files: DataFrame, slug: str, layer: str, year: int | None = None, table: str | None = None) -> DataFrame:

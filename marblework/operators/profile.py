@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marblework.functions.text import snake_case
+from marblework.functions.text import snake_case, snake_name
 
 #: Markers of a missing value, in the order in which they are listed.
 NULL_TOKENS = ("", "-", "n.d.", "n.d", "ND", "NA", "N/A", "null", "NULL")
@@ -135,6 +135,11 @@ def common_date_format(formats: DataFrame) -> DataFrame:
 YEAR_NAMES = ("anno", "year", "anno_riferimento", "anno_di_riferimento", "annualita")
 
 
+def is_year_name(name: str) -> bool:
+    """Whether a name marks a year column."""
+    return snake_name(name) in YEAR_NAMES
+
+
 def year_columns(columns: DataFrame, name: str = "name") -> DataFrame:
     """Columns that a name marks as the year."""
     return columns.filter(snake_case(F.col(name)).isin(*YEAR_NAMES))
@@ -200,3 +205,16 @@ def roles(columns: DataFrame, aliases: dict[str, list[str]] | None = None) -> Da
             first.setdefault(name, kind)
     known = F.try_element_at(F.create_map(*[F.lit(x) for p in first.items() for x in p]), F.lower("name"))
     return columns.withColumn("semantic_type", known).withColumn("role", F.when(F.col("semantic_type").isNotNull() | F.col("type").isin(*DIMENSION_TYPES), "dimension").otherwise("metric"))
+
+
+def batch_profiles(values: DataFrame, top_n: int = 20) -> DataFrame:
+    """(slug, repo, year, column, value, n, rank): the most frequent values of each column of many datasets.
+
+    ``values`` has (repo, slug, year, column, value).  A slug that stands in
+    several repositories is taken from the first by name, in its newest year.
+    Only counted values reach the ranking, which tasks limit before they shuffle.
+    """
+    newest = values.groupBy("slug").agg(F.min(F.struct("repo", (-F.col("year")).alias("_age"))).alias("k")).select("slug", F.col("k.repo").alias("repo"), (-F.col("k._age")).alias("year"))
+    counts = values.join(newest, ["slug", "repo", "year"], "left_semi").groupBy("slug", "repo", "year", "column", "value").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("slug", "column").orderBy(F.desc("n"), "value"))
+    return counts.filter("value IS NOT NULL").withColumn("rank", rank).filter(F.col("rank") <= top_n)

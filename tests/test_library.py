@@ -104,6 +104,56 @@ def test_ragged_files(spark, tmp_path):
     assert got["nome"] == "perché €" and got["data"].isoformat() == "2023-01-02"
 
 
+def test_titles_and_blocks(spark, tmp_path):
+    """Title lines go once for each file, however the file is cut into splits."""
+    for f in "ab":
+        (tmp_path / f"{f}.csv").write_text("Titolo\n\nid;v\n" + "".join(f"{f}{i};{i},5\n" for i in range(500)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("300", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = delimited.read_csv(spark, [f"file://{tmp_path}"], {"sep": ";", "skip": 2, "decimal": ","})
+            assert got.dtypes == [("id", "string"), ("v", "double")]
+            assert sorted(tuple(r) for r in got.collect()) == sorted((f"{f}{i}", i + 0.5) for f in "ab" for i in range(500))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_options_choose_the_mode(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a;b\n1;2\n3\n4;5;6\n")
+    at, columns = [f"file://{tmp_path}/x.csv"], {"columns": {"a": "INTEGER", "b": "INTEGER"}, "sep": ";", "parallel": False}
+    assert [tuple(r) for r in delimited.read_csv(spark, at, columns | {"null_padding": True}).collect()] == [(1, 2), (3, None)]
+    with pytest.raises(Exception, match="does not fit"):
+        delimited.read_csv(spark, at, columns | {"strict_mode": True}).collect()
+    with pytest.raises(ValueError, match="unknown"):
+        delimited.read_csv(spark, at, {"sepp": ";"})
+    assert delimited.read_csv(spark, at, {"sep": ";", "auto_detect": False}).dtypes == [("a", "string"), ("b", "string")]
+
+
+def test_cp1252_needs_no_setting(spark, tmp_path):
+    (tmp_path / "x.csv").write_bytes("città €;n\nperché – ok;1\n".encode("cp1252"))
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    try:
+        got = delimited.read_csv(spark, [f"file://{tmp_path}/x.csv"], {"sep": ";", "encoding": "win1252"})
+        assert got.columns == ["città €", "n"] and tuple(got.first()) == ("perché – ok", 1)
+        raw = [bytearray("perché €".encode("cp1252")), bytearray(b"caf\xe9 \x81"), bytearray("è".encode())]
+        assert values(spark, X.decode_bytes, raw, "binary") == ["perché €", "café \x81", "è"]
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", before)
+
+
+def test_aligned_files_are_read_by_header(spark, tmp_path):
+    for name, text in {"a": "x,y\n1,2\n", "b": "y,x\n3,4\n", "c": "x,y\n5,6\n", "d": "x,z\n7,8\n"}.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    at = [f"file://{tmp_path}/{n}.csv" for n in "abcd"]
+    assert len(delimited.by_header(spark, at, {})) == 3
+    assert sorted(tuple(r) for r in delimited.read_aligned(spark, at, ["x", "y"]).collect()) == [("1", "2"), ("4", "3"), ("5", "6"), ("7", "")]
+    assert delimited.union_by_header(spark, at).columns == ["x", "y", "z"]
+
+
 def test_guard(spark):
     df = spark.range(3).toDF("k")
     assert adhoc.guarded(spark, "SELECT sum(k) AS s FROM t -- drop\n", {"t": df}).first()["s"] == 3
