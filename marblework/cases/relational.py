@@ -93,9 +93,9 @@ def _(spark, sf_dir):
     return guarded(spark, "SELECT o_orderkey, c_name FROM ordini JOIN clienti ON o_custkey = c_custkey WHERE c_acctbal > 0", frames)
 
 
-@query("join_unmatched", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("join_unmatched", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 150000)")
 def _(spark, sf_dir):
-    return J.unmatched(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return J.unmatched(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").filter("o_totalprice > 150000").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 def _per_year(spark, sf_dir):

@@ -106,10 +106,10 @@ def _(spark, sf_dir):
     return R.rule_coverage(c, c.filter("c_acctbal > 9000"))
 
 
-@query("val_coherence", "SELECT c_custkey FROM customer WHERE c_nationkey % 2 = 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("val_coherence", "SELECT c_custkey FROM customer WHERE c_nationkey % 2 = 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 150000)")
 def _(spark, sf_dir):
     runs = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_nationkey") % 2 == 0, "SUCCESS").otherwise("FAILED").alias("status"))
-    return R.incoherent(runs, table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]).select("c_custkey")
+    return R.incoherent(runs, table(spark, sf_dir, "orders").filter("o_totalprice > 150000").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]).select("c_custkey")
 
 
 @query("val_sample_relax", "SELECT 'min_rows' AS rule, CAST(0 AS BIGINT) AS bad_rows FROM (SELECT count(*) FROM nation)")
