@@ -75,8 +75,13 @@ def _empty(spark, sf_dir):
 def files(spark, sf_dir, only=()):
     """{file: its checks}."""
     customers = _cells(spark, sf_dir)
-    parts, empty = _parts(spark, sf_dir), _empty(spark, sf_dir)
-    return {"customers": Q.checks(_lines(spark, sf_dir), customers, rows=_rows(customers), only=only), "parts": Q.checks(*parts, headers=_PARTS, only=only), "empty": Q.checks(*empty, only=only)}
+    rows = _rows(customers)
+    of_lines = not only or any(i in Q.NEEDS["lines"] for i in only)
+    return {
+        "customers": Q.checks(_lines(spark, sf_dir) if of_lines else rows, customers, rows=rows, only=only),
+        "parts": Q.checks(*_parts(spark, sf_dir), headers=_PARTS, only=only),
+        "empty": Q.checks(*_empty(spark, sf_dir), only=only),
+    }
 
 
 def _all(frames):

@@ -10,6 +10,7 @@ date columns and one over deviations.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -79,46 +80,71 @@ def line_stats(lines: DataFrame) -> DataFrame:
     return whole.withColumn("tail_comment", F.coalesce(F.col("comment") > F.col("final") - 3, F.lit(False))).drop("comment", "final")
 
 
-def cell_stats(cells: DataFrame, names: list[str], row: str) -> DataFrame:
-    """One row over all cells; results carry the column's place."""
-    aggs = [F.count("*").alias("rows"), F.count_if(reduce(lambda a, b: a & b, [F.trim(F.coalesce(F.col(f"`{h}`"), F.lit(""))) == "" for h in names])).alias("blank_rows")]
-    for i, h in enumerate(names):
-        v = F.trim(F.coalesce(F.col(f"`{h}`"), F.lit("")))
-        has = v != ""
-        number = v.rlike(_NUMBER)
-        amount = F.when(number, F.replace(v, F.lit(","), F.lit("."))).cast("double")
-        aggs += [
-            F.count_if(has).alias(f"filled_{i}"),
-            F.count_if(number).alias(f"numbers_{i}"),
-            F.avg(amount).alias(f"mean_{i}"),
-            F.stddev_samp(amount).alias(f"deviation_{i}"),
-            F.count_if(number & v.contains(",")).alias(f"commas_{i}"),
-            F.max(F.length(F.col(f"`{h}`"))).alias(f"longest_{i}"),
-            F.count_if(v.rlike("^https?://")).alias(f"urls_{i}"),
-            F.count_if(v.rlike(r"^https?://(schema\.gov\.it|w3\.org|data\.europa\.eu|dati\.gov\.it)/") & (F.col(row) <= 30)).alias(f"linked_{i}"),
-            F.count_if(has & (F.col(row) <= 30)).alias(f"early_{i}"),
-            F.count_if(F.lower(v).isin(*FLAGS) & (F.col(row) <= 30)).alias(f"flags_{i}"),
-            F.count_if(v.rlike(_UUID) & (F.col(row) <= 10)).alias(f"uuids_{i}"),
-        ]
-    return cells.agg(*aggs)
-
-
-def far_values(cells: DataFrame, names: list[str], stats: DataFrame, sigmas: float = 4.0, least: int = 10) -> DataFrame:
+def long_cells(cells: DataFrame, names: list[str], row: str) -> DataFrame:
+    """(n, i, v, size): each cell with its row's number, its column's place, its trimmed text and its full length; null is empty."""
+    each = [F.struct(F.lit(i).alias("i"), F.coalesce(F.col(f"`{h}`"), F.lit("")).alias("v")) for i, h in enumerate(names)]
+    return cells.select(F.col(row).alias("n"), F.explode(F.array(*each)).alias("x")).select("n", "x.i", F.trim("x.v").alias("v"), F.length("x.v").alias("size"))
+
+
+def _amount(v: Column) -> Column:
+    return F.when(v.rlike(_NUMBER), F.replace(v, F.lit(","), F.lit("."))).cast("double")
+
+
+def column_stats(long: DataFrame) -> DataFrame:
+    """One row for each column (i): what its cells are."""
+    v = F.col("v")
+    has, number = v != "", v.rlike(_NUMBER)
+    return long.groupBy("i").agg(
+        F.count_if(has).alias("filled"),
+        F.count_if(number).alias("numbers"),
+        F.avg(_amount(v)).alias("mean"),
+        F.stddev_samp(_amount(v)).alias("deviation"),
+        F.count_if(number & v.contains(",")).alias("commas"),
+        F.max("size").alias("longest"),
+        F.count_if(v.rlike("^https?://")).alias("urls"),
+        F.count_if(v.rlike(r"^https?://(schema\.gov\.it|w3\.org|data\.europa\.eu|dati\.gov\.it)/") & (F.col("n") <= 30)).alias("linked"),
+        F.count_if(has & (F.col("n") <= 30)).alias("early"),
+        F.count_if(F.lower(v).isin(*FLAGS) & (F.col("n") <= 30)).alias("flags"),
+        F.count_if(v.rlike(_UUID) & (F.col("n") <= 10)).alias("uuids"),
+    )
+
+
+def table_stats(cells: DataFrame, names: list[str]) -> DataFrame:
+    """One row (rows, blank_rows)."""
+    blank = reduce(lambda a, b: a & b, [F.trim(F.coalesce(F.col(f"`{h}`"), F.lit(""))) == "" for h in names])
+    return cells.agg(F.count("*").alias("rows"), F.count_if(blank).alias("blank_rows"))
+
+
+def over_columns(stats: DataFrame, headers: list[str]) -> DataFrame:
+    """One row: what the columns' figures say of the table."""
+    ids = [i for i, h in enumerate(headers) if _is_id(h)]
+    with_uuid = [i for i, h in enumerate(headers) if any(k in h.lower() for k in ("id", "uuid", "identifier"))]
+    rate = F.col("numbers") / F.nullif("filled", F.lit(0))
+    some = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return stats.agg(
+        total("filled").alias("filled_cells"),
+        F.max(F.when(F.col("i") == (ids[0] if ids else -1), F.col("filled"))).alias("filled_ids"),
+        some((F.col("filled") >= 5) & (rate > 0.5) & (rate < 0.9)).alias("mixed"),
+        some((F.col("numbers") > 5) & (F.col("commas") > 0)).alias("decimal_commas"),
+        some(F.col("longest") > 500).alias("long_cells"),
+        total("urls").alias("urls"),
+        total("linked").alias("linked"),
+        some((F.col("early") > 0) & (F.col("early") == F.col("flags"))).alias("flag_columns"),
+        some((F.col("uuids") > 0) & F.col("i").isin(with_uuid)).alias("uuids"),
+    )
+
+
+def far_values(long: DataFrame, stats: DataFrame, sigmas: float = 4.0, least: int = 10) -> DataFrame:
     """One row (outliers): numbers beyond ``sigmas`` deviations of their column's mean, in columns with ``least`` numbers."""
-    of = stats.select(*[f"{k}_{i}" for i in range(len(names)) for k in ("numbers", "mean", "deviation")])
-    far = []
-    for i, h in enumerate(names):
-        v = F.trim(F.coalesce(F.col(f"`{h}`"), F.lit("")))
-        amount = F.when(v.rlike(_NUMBER), F.replace(v, F.lit(","), F.lit("."))).cast("double")
-        far.append(F.count_if((F.col(f"numbers_{i}") >= least) & (F.abs(amount - F.col(f"mean_{i}")) > sigmas * F.col(f"deviation_{i}"))))
-    return cells.crossJoin(F.broadcast(of)).agg(reduce(lambda a, b: a + b, far).alias("outliers"))  # of is one row
+    of = stats.filter(F.col("numbers") >= least).select("i", "mean", "deviation")  # one row for each column
+    far = F.abs(_amount(F.col("v")) - F.col("mean")) > sigmas * F.col("deviation")
+    return long.join(F.broadcast(of), "i").agg(F.count_if(far).alias("outliers"))
 
 
-def distinct_ids(cells: DataFrame, name: str | None) -> DataFrame:
+def distinct_ids(long: DataFrame, i: int | None) -> DataFrame:
     """One row (ids): how many different values the column holds; 0 without a column."""
-    if name is None:
-        return cells.limit(0).agg(F.count("*").alias("ids"))
-    return cells.select(F.trim(F.col(f"`{name}`")).alias("_v")).filter("_v <> ''").groupBy("_v").agg(F.count("*")).agg(F.count("*").alias("ids"))
+    return long.filter((F.col("i") == (-1 if i is None else i)) & (F.col("v") != "")).groupBy("v").agg(F.count("*")).agg(F.count("*").alias("ids"))
 
 
 def field_stats(lines: DataFrame) -> DataFrame:
@@ -142,20 +168,25 @@ def _is_id(header: str) -> bool:
     return h in ("id", "codice", "identifier", "uuid") or h.endswith("_id")
 
 
-def late_dates(cells: DataFrame, names: list[str], headers: list[str], row: str) -> DataFrame:
+def late_dates(long: DataFrame, headers: list[str]) -> DataFrame:
     """One row (bad_dates): non-ISO values among the first 20 of each date column."""
-    dates = [n for n, h in zip(names, headers, strict=True) if any(k in plain_header(h) for k in ("data", "date", "anno", "year", "timestamp"))]
-    if not dates:
-        return cells.limit(0).agg(F.lit(0).cast("long").alias("bad_dates"))
-    long = cells.select(row, *[F.trim(F.col(f"`{h}`")).alias(h) for h in dates]).unpivot([row], dates, "column", "value").filter("value <> ''")
-    first = long.withColumn("_r", F.row_number().over(Window.partitionBy("column").orderBy(row))).filter(F.col("_r") <= 20)
-    return first.agg(F.count_if(~F.col("value").rlike(_ISO)).alias("bad_dates"))
+    dates = [i for i, h in enumerate(headers) if any(k in plain_header(h) for k in ("data", "date", "anno", "year", "timestamp"))]
+    some = long.filter(F.col("i").isin(dates) & (F.col("v") != ""))
+    first = some.withColumn("_r", F.row_number().over(Window.partitionBy("i").orderBy("n"))).filter(F.col("_r") <= 20)
+    return first.agg(F.count_if(~F.col("v").rlike(_ISO)).alias("bad_dates"))
+
 
+def in_one_row(parts: list[DataFrame]) -> DataFrame:
+    """One-row frames of different columns as one row; Spark works on all of them at once."""
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.agg(*[F.max(c).alias(c) for c in whole.columns])
 
-#: What the checks of each aggregate are; the others are decided by the header or by the number of rows, which comes with the cells.
-_NEEDS = {
+
+#: What the checks of each aggregate are; the others are decided by the header or by the number of rows.
+NEEDS = {
     "lines": ("S1", "S8", "S9", "S10", "S11", "O10"),
     "fields": ("S2", "S6"),
+    "columns": ("C2", "C3", "C4", "C6", "C8", "O8", "O9", "L1", "L5"),
     "duplicates": ("C1",),
     "ids": ("C3",),
     "dates": ("C5",),
@@ -175,67 +206,69 @@ def checks(lines: DataFrame, cells: DataFrame, row: str = "n", sampled: bool = F
     plain = [plain_header(h) for h in headers]
     raw = lines if rows is None else rows
     lax = lambda bad, status, good="pass": F.when(F.coalesce(bad, F.lit(False)), status).otherwise(good)
-    first = {"S1": lax(F.col("filled") == 0, "fail"), "S2": lax(~F.col("separated").cast("boolean"), "warn"), "S3": F.lit("pass" if names else "fail")}
-    asked = lambda part: not only or any(i in only for i in _NEEDS[part])
-    none = lambda *names: cells.limit(0).agg(*[F.lit(None).cast("long").alias(x) for x in names])
-    parts = [line_stats(lines) if asked("lines") else none("bytes", "filled", "unreadable", "mojibake", "bom", "control", "tail_comment"), field_stats(raw) if asked("fields") else none("separated", "irregular")]
-    named = lambda status: F.explode(F.array(*[F.struct(F.lit(k).alias("id"), v.alias("status")) for k, v in status.items() if not only or k in only]))
+    # made only when they are asked for
+    first: dict[str, Callable[[], Column]] = {
+        "S1": lambda: lax(F.col("filled") == 0, "fail"),
+        "S2": lambda: lax(~F.col("separated").cast("boolean"), "warn"),
+        "S3": lambda: F.lit("pass" if names else "fail"),
+    }
+    asked = lambda part: not only or any(i in only for i in NEEDS[part])
+    parts = [*([line_stats(lines)] if asked("lines") else []), *([field_stats(raw)] if asked("fields") else [])]
+    named = lambda status: F.explode(F.array(*[F.struct(F.lit(k).alias("id"), make().alias("status")) for k, make in status.items() if not only or k in only]))
     if not names:
-        one = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # every part is one row
-        return one.select(named(first).alias("x")).select("x.*")
+        return in_one_row(parts or [cells.agg(F.count("*").alias("rows"))]).select(named(first).alias("x")).select("x.*")
     ids = [i for i, h in enumerate(headers) if _is_id(h)]
-    stats = cell_stats(cells, names, row)
-    parts += [
-        stats,
-        duplicate_rows(cells.drop(row)) if asked("duplicates") else none("duplicate_rows"),
-        distinct_ids(cells, names[ids[0]] if ids else None) if asked("ids") else none("ids"),
-        late_dates(cells, names, headers, row) if asked("dates") else none("bad_dates"),
-        far_values(cells, names, stats) if asked("far") else none("outliers"),
-    ]
-    one = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)  # every part is one row
+    long = long_cells(cells, names, row)
+    stats = column_stats(long)
+    makes = {
+        "columns": lambda: over_columns(stats, headers),
+        "duplicates": lambda: duplicate_rows(cells.drop(row)),
+        "ids": lambda: distinct_ids(long, ids[0] if ids else None),
+        "dates": lambda: late_dates(long, headers),
+        "far": lambda: far_values(long, stats),
+    }
+    one = in_one_row([*parts, table_stats(cells, names), *[make() for part, make in makes.items() if asked(part)]])
     mapped = ontologies(headers)
     n, c = len(headers), F.col
-    some = lambda f: reduce(lambda a, b: a | b, [f(i) for i in range(n)])
-    total = lambda name: reduce(lambda a, b: a + b, [c(f"{name}_{i}") for i in range(n)])
-    rate = lambda i: c(f"numbers_{i}") / F.nullif(c(f"filled_{i}"), F.lit(0))
-    empty = 1 - total("filled") / F.nullif(c("rows") * n, F.lit(0))
+    flag = lambda name: c(name).cast("boolean")
+    empty = lambda: 1 - c("filled_cells") / F.nullif(c("rows") * n, F.lit(0))
     data = lambda x: F.when(c("rows") == 0, "skip").otherwise(x)
     fixed = lambda ok, bad="warn", good="pass": F.lit(good if ok else bad)
-    status: dict[str, Column] = first | {
-        "S4": fixed(len(set(headers)) == n, "fail"),
-        "S5": fixed(all(h.strip() for h in headers)),
-        "S6": F.lit("skip") if sampled else F.when(c("rows") == 0, "warn").when(c("irregular") > 0, "fail").otherwise("pass"),
-        "S7": F.lit("info"),
-        "S8": lax(c("unreadable") > 0, "fail"),
-        "S9": lax(c("mojibake") > 0, "fail"),
-        "S10": lax(c("bom") > 0, "warn"),
-        "S11": lax(c("control") > 0, "warn"),
-        "S12": lax(c("blank_rows") > 0, "warn"),
-        "C0": F.when(c("rows") == 0, "skip").otherwise("pass"),
-        "C1": data(lax(c("duplicate_rows") > 0, "warn")),
-        "C2": data(F.when(empty > 0.3, "fail").when(empty > 0.1, "warn").otherwise("pass")),
-        "C3": data(lax(c("ids") < c(f"filled_{ids[0]}") * 0.98, "warn") if ids else F.lit("warn")),
-        "C4": data(lax(some(lambda i: (c(f"filled_{i}") >= 5) & (rate(i) > 0.5) & (rate(i) < 0.9)), "warn")),
-        "C5": data(lax(c("bad_dates") > 0, "warn")),
-        "C6": data(lax(some(lambda i: (c(f"numbers_{i}") > 5) & (c(f"commas_{i}") > 0)), "warn")),
-        "C7": data(lax(c("outliers") > 0, "warn")),
-        "C8": data(lax(some(lambda i: c(f"longest_{i}") > 500), "warn")),
-        "O1": lax(c("rows") < 10, "warn"),
-        "O2": fixed(n >= 3),
-        "O3": fixed(not any(re.match(r"^(col|campo|field)\d+$|^[a-z]$", h.strip(), re.I) for h in headers)),
-        "O4": fixed(not any(" " in h.strip() or "-" in h.strip() for h in headers)),
-        "O5": fixed(any(k in h for h in plain for k in PLACES), "info"),
-        "O6": fixed(any(k in h for h in plain for k in TIMES), "info"),
-        "O7": fixed(not any(re.search(r"[^\w\s\-À-ž]", h) for h in headers)),
-        "O8": lax(total("urls") == 0, "info"),
-        "O9": lax(some(lambda i: (c(f"early_{i}") > 0) & (c(f"early_{i}") == c(f"flags_{i}"))), "info"),
-        "O10": lax(c("tail_comment").cast("boolean"), "warn"),
-        "L1": lax(~some(lambda i: (c(f"uuids_{i}") > 0) if any(k in headers[i].lower() for k in ("id", "uuid", "identifier")) else F.lit(False)), "info"),
-        "L2": fixed(bool(mapped)),
-        "L3": fixed(any("istat" in h for h in plain), "info"),
-        "L4": fixed(any("cig" in h or "cup" in h for h in plain), "info"),
-        "L5": lax(total("linked") == 0, "info"),
-        "L6": fixed(len(mapped) >= 2 and n >= 5, "info"),
+    status = first | {
+        "S4": lambda: fixed(len(set(headers)) == n, "fail"),
+        "S5": lambda: fixed(all(h.strip() for h in headers)),
+        "S6": lambda: F.lit("skip") if sampled else F.when(c("rows") == 0, "warn").when(c("irregular") > 0, "fail").otherwise("pass"),
+        "S7": lambda: F.lit("info"),
+        "S8": lambda: lax(c("unreadable") > 0, "fail"),
+        "S9": lambda: lax(c("mojibake") > 0, "fail"),
+        "S10": lambda: lax(c("bom") > 0, "warn"),
+        "S11": lambda: lax(c("control") > 0, "warn"),
+        "S12": lambda: lax(c("blank_rows") > 0, "warn"),
+        "C0": lambda: F.when(c("rows") == 0, "skip").otherwise("pass"),
+        "C1": lambda: data(lax(c("duplicate_rows") > 0, "warn")),
+        "C2": lambda: data(F.when(empty() > 0.3, "fail").when(empty() > 0.1, "warn").otherwise("pass")),
+        "C3": lambda: data(lax(c("ids") < c("filled_ids") * 0.98, "warn") if ids else F.lit("warn")),
+        "C4": lambda: data(lax(flag("mixed"), "warn")),
+        "C5": lambda: data(lax(c("bad_dates") > 0, "warn")),
+        "C6": lambda: data(lax(flag("decimal_commas"), "warn")),
+        "C7": lambda: data(lax(c("outliers") > 0, "warn")),
+        "C8": lambda: data(lax(flag("long_cells"), "warn")),
+        "O1": lambda: lax(c("rows") < 10, "warn"),
+        "O2": lambda: fixed(n >= 3),
+        "O3": lambda: fixed(not any(re.match(r"^(col|campo|field)\d+$|^[a-z]$", h.strip(), re.I) for h in headers)),
+        "O4": lambda: fixed(not any(" " in h.strip() or "-" in h.strip() for h in headers)),
+        "O5": lambda: fixed(any(k in h for h in plain for k in PLACES), "info"),
+        "O6": lambda: fixed(any(k in h for h in plain for k in TIMES), "info"),
+        "O7": lambda: fixed(not any(re.search(r"[^\w\s\-À-ž]", h) for h in headers)),
+        "O8": lambda: lax(c("urls") == 0, "info"),
+        "O9": lambda: lax(flag("flag_columns"), "info"),
+        "O10": lambda: lax(c("tail_comment").cast("boolean"), "warn"),
+        "L1": lambda: lax(~flag("uuids"), "info"),
+        "L2": lambda: fixed(bool(mapped)),
+        "L3": lambda: fixed(any("istat" in h for h in plain), "info"),
+        "L4": lambda: fixed(any("cig" in h or "cup" in h for h in plain), "info"),
+        "L5": lambda: lax(c("linked") == 0, "info"),
+        "L6": lambda: fixed(len(mapped) >= 2 and n >= 5, "info"),
     }
     return one.select(named(status).alias("x")).select("x.*")
 
