@@ -7,7 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +38,15 @@ def schema_of(df: DataFrame, columns: list[str], more: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in (df.schema[c] for c in columns)] + T._parse_datatype_string(more).fields)
 
 
-def map_rows(df: DataFrame, columns: list[str], more: str, fn: Callable[..., list]) -> DataFrame:
-    """``fn(*values of columns)`` for each row, as the fields ``more`` beside the first column.
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches some rows at a time, so that a worker never holds a whole batch as Python objects."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def map_batches(df: DataFrame, columns: list[str], more: str, fn: Callable[..., Iterable]) -> DataFrame:
+    """``fn(*lists of columns after the first)`` gives a row of the fields ``more`` for each row, beside the first column.
 
     Rows pass in Arrow batches; nothing is shuffled and a lost task is repeated
     from its input.
@@ -49,21 +56,26 @@ def map_rows(df: DataFrame, columns: list[str], more: str, fn: Callable[..., lis
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [fn(*row) for row in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)]
+        for batch in pieces(batches):
+            made = list(fn(*(c.to_pylist() for c in batch.columns[1:])))
             cells = list(zip(*made, strict=True)) if made else [[] for _ in arrow.names[1:]]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow.field(0).type)] + [pa.array(c, t.type) for c, t in zip(cells, list(arrow)[1:], strict=True)], schema=arrow)
 
     return df.select(*[df[c] for c in columns]).mapInArrow(run, out)
 
 
+def map_rows(df: DataFrame, columns: list[str], more: str, fn: Callable[..., list]) -> DataFrame:
+    """``fn(*values of the columns after the first)`` for each row, as the fields ``more`` beside the first column."""
+    return map_batches(df, columns, more, lambda *lists: [fn(*row) for row in zip(*lists, strict=True)])
+
+
 def filter_rows(df: DataFrame, column: str, keep: Callable[[str | None], bool]) -> DataFrame:
     """Rows whose ``column`` passes ``keep``, with all their columns as they are."""
     ship(df.sparkSession)
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield batch.filter(pa.array([keep(x) for x in batch.column(at).to_pylist()], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
@@ -75,7 +87,7 @@ def replace_text(df: DataFrame, column: str, fn: Callable[[str | None], str | No
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             new = pa.array([fn(x) for x in batch.column(at).to_pylist()], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), new)
 

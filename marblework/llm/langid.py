@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import map_rows, ship
+from marblework.llm.common import map_rows, pieces, ship
 
 UNKNOWN = "und"
 BITS = 15
@@ -99,7 +99,7 @@ def train(df: DataFrame, learn: Column, lang_column: str = "lang", text_column:
                 tri, four, _ = ngrams(piece)
                 held += np.bincount(tri, minlength=2 * BUCKETS) + np.bincount(four, minlength=2 * BUCKETS)
 
-        for batch in batches:
+        for batch in pieces(batches):
             by: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(lang, []).append(text)

@@ -51,6 +51,19 @@ def test_bpe_long_and_short_ways_agree():
     for _ in range(200):
         word = "".join(rng.choice("abenrtsh é") for _ in range(rng.randint(1, 60))).encode()
         assert codec.short(word) == codec.long(word)
+        assert codec.encode_words([word])[word] == b"".join(i.to_bytes(4, "little") for i in codec.short(word))
+
+
+def test_bpe_words_worked_on_together_and_forgotten(monkeypatch):
+    from tokenizers import Tokenizer
+
+    known, codec, rng = Tokenizer.from_file(VOCABULARY), bpe.Codec(bpe.read_vocabulary(VOCABULARY)), random.Random(3)
+    monkeypatch.setattr(bpe, "GROUP", 500)
+    monkeypatch.setattr(bpe, "REMEMBERED", 5_000)
+    texts = [" ".join("".join(rng.choice("abcdeghinorstu,.'é") for _ in range(rng.choice([1, 2, 3, 5, 7, 9, 14, 30, 40]))) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    assert [codec.decode(x) for x in codec.encode_all(texts)] == texts
+    for text, ids in zip(texts * 2, codec.encode_all(texts * 2), strict=True):
+        assert ids == b"".join(i.to_bytes(4, "little") for i in known.encode(text, add_special_tokens=False).ids)
 
 
 def test_quality_by_brute_force(spark, tiny):
@@ -70,6 +83,45 @@ def test_quality_by_brute_force(spark, tiny):
         assert not (r["kept"] and r["base_failed"])
 
 
+def _plain_shares(text):
+    """Shares of characters in repeated lines, n-grams and top n-grams, by dictionaries of tuples."""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    total = max(1, sum(map(len, words)))
+    seen, lines = set(), 0
+    for line in text.split("\n"):
+        own = re.findall("[^\x20\x09-\x0d]+", line)
+        if own:
+            lines += sum(map(len, own)) if line in seen else 0
+            seen.add(line)
+    ngrams, top = {}, {}
+    for k in range(2, 11):
+        grams = [tuple(words[i : i + k]) for i in range(len(words) - k + 1)]
+        first, later = {}, set()
+        for i, g in enumerate(grams):
+            if g in first:
+                later |= set(range(i, i + k))
+            first.setdefault(g, i)
+        ngrams[k] = sum(len(words[j]) for j in later) / total
+        top[k] = max((n * sum(map(len, g)) / total for g, n in Counter(grams).items() if n >= quality.TOP_TIMES), default=0.0)
+    return lines / total, {k: ngrams[k] for k in quality.MOST_IN_NGRAMS}, {k: top[k] for k in quality.MOST_IN_TOP}
+
+
+def test_quality_verdict_by_brute_force(spark, tiny):
+    rng = random.Random(8)
+    made = [" ".join(rng.choice(["ab", "cd", "efg", "h"]) + ("\n" if rng.random() < 0.2 else "") for _ in range(rng.randint(0, 120))) for _ in range(60)]
+    half = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    made += [f"{x}\n{x[: rng.randint(5, 250)]}\n{half()}" for x in (half() for _ in range(60))]
+    kept = 0
+    for text in [*_texts(spark, tiny).values(), *made]:
+        got, (lines, ngrams, top) = quality.measure(text), _plain_shares(text or "")
+        assert abs(got["line_share"] - lines) < 1e-9 and abs(got["ngram_share"] - max(ngrams.values())) < 1e-9
+        assert abs(got["top_share"] - max(top.values())) < 1e-9
+        good = lines <= quality.MOST_IN_LINES and all(ngrams[k] <= v for k, v in quality.MOST_IN_NGRAMS.items()) and all(top[k] <= v for k, v in quality.MOST_IN_TOP.items())
+        assert got["kept"] == (good and not got["base_failed"])
+        kept += got["kept"]
+    assert kept > 20
+
+
 def test_quality_verdict():
     rng = random.Random(1)
     clean = " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(300))
@@ -370,6 +422,32 @@ def test_substring_by_brute_force(spark, tiny):
     assert sorted(map(tuple, registered.op5_substring_dedup(spark, tiny).collect())) == want
 
 
+def test_substring_lines_and_soundness_by_brute_force(spark, tiny):
+    """Without the operator's own units: every repeated line is removed but for its first place, and whatever is removed stands at the place that stays."""
+    texts = _texts(spark, tiny)
+    plain = lambda t: " ".join(re.findall(r"\S+", t)).lower()
+    places = defaultdict(set)
+    for d, t in texts.items():
+        at = 0
+        for line in (t or "").split("\n"):
+            if plain(line):
+                places[plain(line)].add((d, at, at + len(line)))
+            at += len(line) + 1
+    got = [tuple(r) for r in registered.op5_substring_dedup(spark, tiny).collect()]
+    removed = {(d, a, b) for d, a, b, _, _ in got}
+    later = {p for of in places.values() for p in of if p != min(of)}
+    assert later and later <= removed
+    for d, a, b, first, start in got:
+        assert (first, start) < (d, a)
+        assert plain(texts[first][start : start + 2 * (b - a) + 200]).startswith(plain(texts[d][a:b]))
+
+
+def test_substring_with_one_line_in_a_third_of_the_rows(spark):
+    rows = [(i, "the line that very many texts share" if i % 3 == 0 else f"own line {i}") for i in range(900)]
+    got = substring.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(i, 0) for i in range(3, 900, 3)}
+
+
 def test_substring_cuts_and_keeps_the_first(spark):
     passage = "these are more than eight words that two texts share here."
     df = spark.createDataFrame([(2, f"Second text is this. {passage} And an end."), (1, f"{passage}\nshort"), (3, "alone")], "doc_id long, text string")
