@@ -40,8 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut, release, ship, unused
-from marblework.llm.graph import components, for_parts, part_of
+from marblework.llm.common import cut, pieces, release, ship, unused
+from marblework.llm.graph import PARTS, components, for_parts, part_of
 
 SIGMAS = 6.0
 #: Lists of at most so many members give all their pairs.
@@ -111,7 +111,7 @@ def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str
     """id, n (set size), class (digest of the set), sketch (the k least hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             size, digest, kept = [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, width)
@@ -167,7 +167,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, thresh
     margin = SIGMAS * math.sqrt(threshold * (1 - threshold) / k)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             sure, maybe = [], []
             for a, b, n, m, s, t in zip(*(c.to_pylist() if i < 4 else c for i, c in enumerate(batch.columns)), strict=True):
                 s, t = (x.values.to_numpy().view(np.uint64) for x in (s, t))
@@ -193,7 +193,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, thresh
         return judged.select("a", "b")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
@@ -233,7 +233,7 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
     lists = cut(prefix_lists(reps, k, threshold))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "set"])
 
     full = cut(texts.mapInArrow(sets, "id long, set binary"))
@@ -249,8 +249,10 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
         if placed.isEmpty():
             break
         first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n", "pos", "earlier")).alias("lead"))
-        rank = F.row_number().over(Window.partitionBy("v").orderBy("lead.id"))
-        led = cut(first.withColumn("rank", rank).filter(F.col("rank") <= leaders).select(F.col("v"), F.col("lead.id").alias("l"), F.col("lead.n").alias("l_n"), F.col("lead.pos").alias("l_pos"), F.col("lead.earlier").alias("l_earlier"), F.col("comp").alias("l_comp")))
+        # any components may lead: many leaders are chosen in parts, so that no task ranks a whole long list
+        parts = max(1, min(PARTS, leaders // 4))
+        rank = F.row_number().over(Window.partitionBy("v", F.pmod(F.xxhash64("lead.id"), F.lit(parts))).orderBy("lead.id"))
+        led = cut(first.withColumn("rank", rank).filter(F.col("rank") <= -(-leaders // parts)).select(F.col("v"), F.col("lead.id").alias("l"), F.col("lead.n").alias("l_n"), F.col("lead.pos").alias("l_pos"), F.col("lead.earlier").alias("l_earlier"), F.col("comp").alias("l_comp")))
         pairs = placed.join(led, "v").filter((F.col("comp") != F.col("l_comp")) & ~F.arrays_overlap("earlier", "l_earlier") & may_link(F.col("n"), F.col("pos"), F.col("l_n"), F.col("l_pos"), k, threshold))
         fresh = confirmed(pairs.select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct(), reps, full, k, threshold)
         if not fresh.isEmpty():
