@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marblework.llm import bpe, chat, decontam, langid, near_dup, quality, secrets, substring, suffix, warc
-from marblework.llm.common import shared_dir
+from marblework.llm import bpe, chat, decontam, langid, licenses, near_dup, periodic, quality, secrets, substring, suffix, trie, warc
+from marblework.llm.common import digest_text, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,7 +60,52 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_tree, op2_near_dedup, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op8_suffix_dedup, op9_warc, op10_language)}
+def _crc32(c: Column) -> Column:
+    return F.crc32(c.cast("string").cast("binary"))
+
+
+def rebuilt(convs: DataFrame) -> DataFrame:
+    """Conversations (as ``trie.gather`` gives them) whose first h turns are those of conversation c - c % 100; h = crc32(c) % 6."""
+    heads = convs.select(F.col("conv_id").alias("head_id"), F.col("turns").alias("head"))
+    h = (_crc32(F.col("conv_id")) % 6).cast("int")
+    own = convs.withColumn("head_id", F.col("conv_id") - F.col("conv_id") % 100).withColumn("h", h)
+    rest = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns"), F.lit(1)))
+    first = F.slice(F.coalesce("head", F.array().cast(trie.TURNS)), F.lit(1), F.col("h"))
+    return own.join(heads, "head_id", "left").select("conv_id", F.concat(first, rest).alias("turns"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(rebuilt(trie.gather(_table(spark, sf_dir, "conversations"))))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, text; where crc32(doc_id) % 10 is 0 the words from a on become a repetition of p words from there."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    h = _crc32(F.col("doc_id"))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).cast("long").alias("g"))
+    n = F.size("words").cast("long")
+    placed = chosen.withColumn("a", F.when(n > 0, F.expr("g % nullif(size(words), 0)"))).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    i = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))
+    made = F.array_join(F.transform("words", lambda w, k: F.get("words", i(k).cast("int"))), " ")
+    return placed.select("doc_id", F.when(F.col("p").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.scan(with_planted_runs(_table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        digest_text(periodic.listed(F.col("runs"))).alias("runs_sha256"), digest_text(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_tree, op2_near_dedup, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op8_suffix_dedup, op9_warc, op10_language, op11_prefix_trie, op12_periodic_runs, op13_license_scan)}
 
 SQL = {
     "op1_chat_tree": r"""
