@@ -107,7 +107,71 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_chat_tree, op2_near_dedup, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_quality, op7_secrets, op8_suffix_dedup, op9_warc, op10_language, op11_prefix_trie, op12_periodic_runs, op13_license_scan)}
 
+#: CRC-32 of the decimal ``{0}``, bit by bit.
+_SQL_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(CAST({0} AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST({0} AS VARCHAR), i, 1)) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+def _license_sql() -> str:
+    """Base phrases word by word; notices by counting, at each of a template's words, those within its length."""
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    kinds = ", ".join(f"({t['template']}, '{t['label']}', {str(t['phrase']).lower()}, {quoted(t['row'])}, {quoted(t['words'])}, {t['need']})" for t in licenses.templates())
+    return rf"""
+WITH k(template, label, phrase, r, words, need) AS (VALUES {kinds}),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d) JOIN k ON phrase AND w[i : i + len(r) - 1] = r GROUP BY doc_id),
+h AS (SELECT doc_id, i, word, template FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d) JOIN (SELECT template, unnest(words) AS word FROM k WHERE NOT phrase) USING (word)),
+met AS (
+  SELECT doc_id, template, max(n) AS n FROM (
+    SELECT x.doc_id, x.template, x.i, count(DISTINCT y.word) AS n FROM h x JOIN k USING (template) JOIN h y ON x.doc_id = y.doc_id AND x.template = y.template AND y.i >= x.i AND y.i < x.i + len(r) GROUP BY 1, 2, 3)
+  JOIN k USING (template) WHERE n >= need GROUP BY 1, 2),
+more AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM (
+    SELECT doc_id, label, n / len(words) AS share FROM met JOIN k USING (template)
+    UNION ALL SELECT doc_id, unnest(string_split(base_labels, ',')), 1.0 FROM base) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)"""
+
+
 SQL = {
+    "op11_prefix_trie": f"""
+WITH t AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, turns, conv_id - conv_id % 100 AS head_id, {_SQL_CRC.format("conv_id")} % 6 AS h FROM t),
+b AS (SELECT h.conv_id, list_concat(coalesce(x.turns[1 : h.h], []), h.turns[h.h + 1 :]) AS turns FROM h LEFT JOIN t x ON x.conv_id = head_id),
+p AS (SELECT conv_id, d, turns[1 : d] AS k, len(turns) AS n FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM b)),
+node AS (
+  SELECT k, d, min(conv_id) AS c, count(*) AS n, coalesce(length(k[-1].t), 0) AS chars,
+    sha256(coalesce(string_agg(CASE WHEN p.n = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM p GROUP BY k, d),
+member AS (SELECT conv_id, d, c FROM p JOIN node USING (k, d)),
+tree AS (SELECT node.c, node.d, node.n, chars, ends_sha256, m.c AS parent FROM node LEFT JOIN member m ON m.conv_id = node.c AND m.d = node.d - 1),
+kids AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM tree WHERE d > 0 GROUP BY 1, 2),
+full_tree AS (SELECT tree.*, coalesce(n_children, 0) AS n_children FROM tree LEFT JOIN kids ON kids.parent = tree.c AND kids.d = tree.d),
+under AS (
+  SELECT m.c, m.d, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n - 1) * chars) AS BIGINT) AS saved_tokens
+  FROM full_tree x JOIN member m ON m.conv_id = x.c AND m.d <= x.d GROUP BY 1, 2)
+SELECT c AS conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM full_tree JOIN under USING (c, d)""",
+    "op12_periodic_runs": rf"""
+WITH o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_SQL_CRC.format("doc_id")} AS h FROM documents),
+g AS (SELECT *, len(w) AS n, h // 10 AS g FROM o),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM g),
+pl AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+d AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM pl),
+word AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS w FROM d),
+same AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM word x JOIN word y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS m FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT doc_id, s, m, min(q) AS q FROM stretch GROUP BY doc_id, s, m),
+summed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat(s, ',', m, ',', q, chr(10)), '' ORDER BY s, q) AS listed,
+    first({{'s': s, 'm': m, 'q': q}} ORDER BY m / q DESC, s, q) AS best FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + m)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.m AS length, best.q AS period, 1000 * best.m // best.q AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM documents LEFT JOIN summed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_license_scan": _license_sql(),
     "op1_chat_tree": r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
