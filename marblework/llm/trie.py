@@ -86,7 +86,8 @@ def prefix_keys(path: bytes) -> list[bytes]:
 class _Packer:
     """Folds the sorted rows of one task into entries, blocks and pieces of ids."""
 
-    def __init__(self, part: int):
+    def __init__(self, part: int, block_entries: int, piece_chars: int):
+        self.block_entries, self.piece_chars = block_entries, piece_chars
         self.part, self.seq, self.piece, self.block, self.turns = part, 0, 0, [], 0
         self.first = self.entry = None
         self.before = self.last = None
@@ -95,7 +96,7 @@ class _Packer:
         if self.entry is None or self.entry["path"] != path:
             if self.entry is not None:
                 yield from self.closed(False)
-                if len(self.block) >= BLOCK_ENTRIES or self.turns >= BLOCK_TURNS:
+                if len(self.block) >= self.block_entries or self.turns >= BLOCK_TURNS:
                     yield self.flushed(common_turns(self.entry["path"], path))
             self.entry = {"path": path, "chars": chars, "count": 0, "least": conv, "ids": [], "size": 0, "open": self.first is None}
             self.first = path if self.first is None else self.first
@@ -103,7 +104,7 @@ class _Packer:
         e["count"] += 1
         e["ids"].append(str(conv))
         e["size"] += len(e["ids"][-1]) + 1
-        if e["size"] >= PIECE_CHARS:
+        if e["size"] >= self.piece_chars:
             e["open"] = True
             yield self.ids()
 
@@ -147,13 +148,13 @@ def _batches(rows: Iterator[dict], schema: pa.Schema, at_once: int = 16) -> Iter
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def pack(convs: DataFrame) -> DataFrame:
+def pack(convs: DataFrame, block_entries: int = BLOCK_ENTRIES, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """Blocks, pieces of ids and the edges of tasks, written to the shared folder."""
     paths = convs.select("conv_id", F.unhex(F.array_join(F.transform("turns", lambda t: t["digest"]), "")).alias("path"), F.transform("turns", lambda t: t["chars"]).alias("chars"))
     arrow = to_arrow_schema(T._parse_datatype_string(_PACKED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(TaskContext.get().partitionId())
+        packer = _Packer(TaskContext.get().partitionId(), block_entries, piece_chars)
 
         def rows() -> Iterator[dict]:
             for batch in pieces(batches):
@@ -166,7 +167,7 @@ def pack(convs: DataFrame) -> DataFrame:
     return cut(paths.repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id").mapInArrow(run, _PACKED))
 
 
-def _minima(values: np.ndarray) -> list[np.ndarray]:
+def minima(values: np.ndarray) -> list[np.ndarray]:
     """Sparse table: level k has the minimum of 2**k values from each place."""
     levels = [values]
     while 2 << (len(levels) - 1) <= len(values):
@@ -175,7 +176,7 @@ def _minima(values: np.ndarray) -> list[np.ndarray]:
     return levels
 
 
-def _least(levels: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def least_within(levels: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The minimum of values[left..right], both ends included."""
     k = np.frexp((right - left + 1).astype(np.float64))[1] - 1
     out = np.empty(len(left), levels[0].dtype)
@@ -185,17 +186,17 @@ def _least(levels: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     return out
 
 
-def _reach_right(levels: list[np.ndarray], at: np.ndarray, depth: np.ndarray) -> np.ndarray:
+def reach_right(levels: list[np.ndarray], at: np.ndarray, depth: np.ndarray) -> np.ndarray:
     """The last entry that shares ``depth`` turns with entry ``at``; values[i] is shared by entries i - 1 and i."""
     right = at.copy()
     for k in range(len(levels) - 1, -1, -1):
-        fits = np.flatnonzero(right + 1 < len(levels[k]) + 0)
+        fits = np.flatnonzero(right + 1 < len(levels[k]))
         ok = fits[levels[k][right[fits] + 1] >= depth[fits]]
         right[ok] += 1 << k
     return right
 
 
-def _reach_left(levels: list[np.ndarray], at: np.ndarray, depth: np.ndarray) -> np.ndarray:
+def reach_left(levels: list[np.ndarray], at: np.ndarray, depth: np.ndarray) -> np.ndarray:
     """The first entry that shares ``depth`` turns with entry ``at``."""
     left = at.copy()
     for k in range(len(levels) - 1, -1, -1):
@@ -229,10 +230,10 @@ def members(row: dict) -> dict[str, np.ndarray]:
     entry = np.repeat(np.arange(n), new)
     start = np.concatenate([[0], np.cumsum(new)])
     depth = np.arange(start[-1]) - start[entry] + shared[entry] + 1
-    table = _minima(shared)
-    right = _reach_right(table, entry, depth)
+    table = minima(shared)
+    right = reach_right(table, entry, depth)
     up = np.maximum(depth - 1, 0)
-    left_of_parent = _reach_left(table, entry, up)
+    left_of_parent = reach_left(table, entry, up)
     parent = start[left_of_parent] + up - shared[left_of_parent] - 1
 
     sums = lambda x: np.concatenate([[0], np.cumsum(x)])
@@ -246,7 +247,7 @@ def members(row: dict) -> dict[str, np.ndarray]:
     ends = depth == size[entry]
     return {
         "entry": entry, "depth": depth, "right": right, "parent": parent, "n": counted, "saved": saved, "children": children,
-        "leaves": within(sums(to_next < size)), "least": _least(_minima(least), entry, right), "ends": ends, "new": is_new,
+        "leaves": within(sums(to_next < size)), "least": least_within(minima(least), entry, right), "ends": ends, "new": is_new,
         "open": ~is_new | (right == n - 1) & (depth <= after),
     }
 
@@ -284,13 +285,13 @@ def _nodes(row: dict) -> dict[str, list]:
     return [*(pa.array(found[k][take]) for k in ("least", "depth")), parent, *(pa.array(found[k][take]) for k in ("n", "children", "leaves", "saved")), pa.array([sha[i] for i in take], pa.string())]
 
 
-def nodes(convs: DataFrame) -> DataFrame:
+def nodes(convs: DataFrame, block_entries: int = BLOCK_ENTRIES, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """One row per distinct prefix of (conv_id, turns), as NODES; ``turns`` as ``gather`` gives them.
 
     conv_id is the smallest member.  Each node's subtree includes itself.
     """
     ship(convs.sparkSession)
-    packed = pack(convs)
+    packed = pack(convs, block_entries, piece_chars)
     edges = packed.filter("kind = 'edge'").select("part", "first", "last")
     # one row per task of the sort, whose number is a setting
     order = Window.orderBy("part")
