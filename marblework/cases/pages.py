@@ -9,14 +9,35 @@ from marblework.registry import query
 from marblework.session import table
 
 _WORDS = "regexp_extract_all(html, 'href=\"/([A-Za-z]+)\"', 1)"
+#: By page_id % 8, what stands for ``href="/Word"`` in a page.
+_FORMS = [
+    'title="T" href="/REG_$1_2021.csv"',
+    "title=T href='../REG_$1_2021.csv'",
+    "title='T' href=../../../x/../REG_$1_2021.csv",
+    'title="T" href="?f=REG_$1_2021.csv"',
+    'TITLE="T" HREF = "./REG_$1_2021.csv?a=1&amp;b=2"',
+    'title="no>" aria-label="T" href="//Other.it/x/./y/REG_$1_2021.csv"',
+    'title="T" xlink:href=" /REG_$1_2021.csv "',
+    'title="&#84;" href="&#x2F;REG_$1_2021.csv"',
+]
 
 
 def _pages(spark, sf_dir):
-    """The pages with their plain links turned into links to yearly files."""
-    return table(spark, sf_dir, "pages").withColumn("html", F.regexp_replace("html", 'href="/([A-Za-z]+)"', 'title="T" href="/REG_$1_2021.csv"'))
+    """The pages below a folder of their own, their plain links turned into links to yearly files in eight forms."""
+    form = F.lit(None).cast("string")
+    for i, text in enumerate(_FORMS):
+        form = F.when(F.col("page_id") % 8 == i, text).otherwise(form)
+    deeper = F.concat(F.regexp_replace("url", r"/*([?#].*)?$", ""), F.lit("/p.html"))
+    return table(spark, sf_dir, "pages").withColumn("html", F.regexp_replace("html", F.lit('href="/([A-Za-z]+)"'), form)).withColumn("url", deeper)
 
 
-_LINKS = f"WITH l AS (SELECT DISTINCT url AS page, regexp_extract(url, '^[a-z]+://[^/]*') || '/REG_' || w || '_2021.csv' AS link, w FROM (SELECT url, unnest({_WORDS}) AS w FROM pages)) "
+_LINKS = rf"""WITH p AS (SELECT page_id % 8 AS k, regexp_replace(url, '/*([?#].*)?$', '') AS folder, regexp_extract(url, '^[a-z]+://[^/]*') AS root, {_WORDS} AS ws FROM pages),
+l AS (SELECT DISTINCT folder || '/p.html' AS page, k, w, CASE WHEN k = 3 THEN '' ELSE 'REG_' || w || '_2021' END AS file, CASE k
+  WHEN 1 THEN regexp_replace(folder, '/[^/]*$', '') || '/REG_' || w || '_2021.csv'
+  WHEN 3 THEN folder || '/p.html?f=REG_' || w || '_2021.csv'
+  WHEN 4 THEN folder || '/REG_' || w || '_2021.csv?a=1&b=2'
+  WHEN 5 THEN regexp_extract(root, '^[a-z]+:') || '//Other.it/x/./y/REG_' || w || '_2021.csv'
+  ELSE root || '/REG_' || w || '_2021.csv' END AS link FROM (SELECT *, unnest(ws) AS w FROM p)) """
 
 
 @query("web_links", _LINKS + "SELECT page, link, 'CSV' AS format, 'T' AS title FROM l")
@@ -24,19 +45,25 @@ def _(spark, sf_dir):
     return W.data_links(_pages(spark, sf_dir)).select("page", "link", "format", "title")
 
 
-@query("web_link_fields", _LINKS + "SELECT page, link, 'REG_' || w || '_2021' AS filename, 'REG' AS prefix, [2021] AS years FROM l")
+@query("web_link_fields", _LINKS + "SELECT page, link, CASE k WHEN 3 THEN 'p' ELSE file END AS filename, CASE k WHEN 3 THEN 'p' ELSE 'REG' END AS prefix, CASE k WHEN 3 THEN [] ELSE [2021] END AS years FROM l")
 def _(spark, sf_dir):
     return W.data_links(_pages(spark, sf_dir)).select("page", "link", "filename", "prefix", "years")
 
 
-@query("web_link_groups", _LINKS + "SELECT 'REG' AS prefix, count(*) AS count, [2021] AS years, ['CSV'] AS formats, 'T' AS title FROM l")
+@query("web_link_groups", _LINKS + "SELECT CASE k WHEN 3 THEN 'p' ELSE 'REG' END AS prefix, count(*) AS count, CASE WHEN bool_or(k = 3) THEN [] ELSE [2021] END AS years, ['CSV'] AS formats, 'T' AS title FROM l GROUP BY 1")
 def _(spark, sf_dir):
     return W.link_groups(W.data_links(_pages(spark, sf_dir)))
 
 
-@query("web_rss", "SELECT url AS page, regexp_extract(url, '^[a-z]+://[^/]*') || '/feed' AS feed, 'News' AS title FROM pages WHERE page_id % 2 = 0")
+@query("web_rss", r"""SELECT url AS page, CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '^[a-z]+://[^/]*') || '/feed' ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || 'rss.xml' END AS feed,
+  CASE page_id % 4 WHEN 0 THEN 'News' ELSE 'N & M' END AS title FROM pages WHERE page_id % 2 = 0""")
 def _(spark, sf_dir):
-    tag = F.when(F.col("page_id") % 2 == 0, '<link rel="alternate" type="application/rss+xml" title="News" href="/feed">').otherwise('<link rel="stylesheet" href="/x.css">')
+    k = F.col("page_id")
+    tag = (
+        F.when(k % 4 == 0, '<link rel="alternate" type="application/rss+xml" title="News" href="/feed">')
+        .when(k % 4 == 2, "<link title='N &amp; M' href=feeds/../rss.xml type=application/atom+xml rel=alternate>")
+        .otherwise('<link rel="stylesheet" href="/x.css"><!-- <link rel="alternate" type="application/rss+xml" href="/no"> -->')
+    )
     return W.feeds(table(spark, sf_dir, "pages").withColumn("html", F.concat(tag, "html")))
 
 
@@ -46,9 +73,10 @@ def _(spark, sf_dir):
     return p.select("page_id", W.has_jsonapi(F.col("html")).alias("flag"))
 
 
-@query("web_internal_links", "SELECT url AS page, CAST(len(list_filter(regexp_extract_all(html, '(?i)<a\\b[^>]*?\\bhref\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1), lambda h: trim(h) <> '' AND NOT regexp_matches(trim(h), '^(?i)(#|mailto:|tel:|javascript:)') AND (NOT regexp_matches(trim(h), '^([a-zA-Z][a-zA-Z0-9+.-]*:|//)') OR lower(regexp_extract(trim(h), '^[a-zA-Z+.-]*:?//([^/:?#]*)', 1)) = lower(regexp_extract(url, '^[a-zA-Z+.-]*://([^/:?#]*)', 1))))) AS INTEGER) AS internal_links FROM pages")
+@query("web_internal_links", rf"""SELECT regexp_replace(url, '/*([?#].*)?$', '') || '/p.html' AS page,
+  CAST(len(regexp_extract_all(html, '<a href="/[^"]+"')) - CASE WHEN page_id % 8 = 5 THEN len({_WORDS}) ELSE 0 END AS INTEGER) AS internal_links FROM pages""")
 def _(spark, sf_dir):
-    return W.internal_links(table(spark, sf_dir, "pages"))
+    return W.internal_links(_pages(spark, sf_dir))
 
 
 @query("web_ckan_flag", "SELECT page_id, contains(html, 'CKAN') OR contains(html, 'ckan-') OR contains(html, '/api/3/action/') OR page_id % 5 = 0 AS flag FROM pages")

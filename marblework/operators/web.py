@@ -5,30 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marblework.functions import links as L
+
 #: File extensions of data.
 DATA_EXTENSIONS = (".csv", ".json", ".xlsx", ".xls", ".ods", ".zip", ".xml", ".parquet", ".geojson")
 #: Texts that only pages of one portal software hold.
 CKAN_SIGNATURES = ("/api/3/action/", "ckan-", "data-module=\"ckan", "CKAN")
-_TAG = r"(?is)<(?:a|area)\b[^>]*>"
-_HREF = r"""(?i)\bhref\s*=\s*["']([^"']*)["']"""
+#: Links that lead to no page.
+_NO_PAGE = r"(?i)^(#|mailto:|tel:|javascript:)"
 
 
-def tags(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(url, pos, tag): the a and area tags of each page in order."""
-    return pages.select(url, F.posexplode(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_TAG), 0)).alias("pos", "tag"))
+def tags(pages: DataFrame, names: tuple[str, ...] = ("a", "area"), url: str = "url", html: str = "html") -> DataFrame:
+    """(page, pos, found): the attributes of each page's tags of these names, in order."""
+    each = pages.select(F.col(url).alias("page"), F.posexplode(L.start_tags(F.coalesce(html, F.lit("")), names)).alias("pos", "tag"))
+    return each.select("page", "pos", L.attributes(F.col("tag")).alias("found"))
 
 
-def resolved(base: Column, href: Column) -> Column:
-    """The absolute URL of a link on a page."""
-    root = F.regexp_extract(base, r"^([a-zA-Z][\w+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"(://[^/]*)$", "$1/")
-    folder = F.regexp_replace(folder, r"[^/]*$", "")
-    return (
-        F.when(href.rlike(r"^[a-zA-Z][\w+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][\w+.-]*:)", 1), href))
-        .when(href.startswith("/"), F.concat(root, href))
-        .otherwise(F.concat(folder, F.regexp_replace(href, r"^\./", "")))
-    )
+def href(found: Column) -> Column:
+    """Where a tag leads, outer white space cut; empty if nowhere."""
+    plain, other = (L.attribute(found, n) for n in ("href", "xlink:href"))
+    cut = F.regexp_replace(F.when(plain != "", plain).otherwise(other), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.when(cut.rlike(_NO_PAGE), "").otherwise(cut)
 
 
 def is_data_link(url: Column, extensions=DATA_EXTENSIONS) -> Column:
@@ -67,12 +64,10 @@ def years(name: Column) -> Column:
 
 def data_links(pages: DataFrame, extensions=DATA_EXTENSIONS, url: str = "url", html: str = "html") -> DataFrame:
     """(page, pos, link, format, title, filename, prefix, years): links to data files, the first of each URL of a page."""
-    attribute = lambda n: F.regexp_extract("tag", rf"""(?i)\b{n}\s*=\s*["']([^"']*)["']""", 1)
-    href = F.trim(F.regexp_extract("tag", _HREF, 1))
-    found = tags(pages, url, html).select(F.col(url).alias("page"), "pos", href.alias("href"), F.coalesce(F.nullif(attribute("aria-label"), F.lit("")), attribute("title")).alias("title"))
-    real = found.filter((F.col("href") != "") & ~F.lower("href").rlike(r"^(#|mailto:|tel:|javascript:)"))
+    title = F.trim(F.coalesce(F.nullif(L.attribute(F.col("found"), "aria-label"), F.lit("")), L.attribute(F.col("found"), "title")))
+    found = tags(pages, ("a", "area"), url, html).select("page", "pos", F.explode(F.array(href(F.col("found")))).alias("href"), title.alias("title")).filter("href <> ''")
     # generated, so that the link is a column of its own and later expressions do not repeat how it is made
-    links = real.select("page", "pos", "title", F.explode(F.array(resolved(F.col("page"), F.col("href")))).alias("link")).filter(is_data_link(F.col("link"), extensions))
+    links = found.select("page", "pos", "title", F.explode(F.array(L.resolved(F.col("page"), F.col("href")))).alias("link")).filter(is_data_link(F.col("link"), extensions))
     first = links.groupBy("page", "link").agg(F.min_by(F.struct("pos", "title"), "pos").alias("x")).select("page", "link", "x.*")
     with_name = first.select("*", link_format(F.col("link"), extensions).alias("format"), filename(F.col("link")).alias("filename"))
     return with_name.select("page", "pos", "link", "format", "title", "filename", prefix(F.col("filename")).alias("prefix"), years(F.col("filename")).alias("years"))
@@ -90,16 +85,17 @@ def link_groups(links: DataFrame) -> DataFrame:
 
 def feeds(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(page, feed, title): RSS and Atom links of each page."""
-    each = pages.select(F.col(url).alias("page"), F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*>"), 0)).alias("tag"))
-    alternate = each.filter(F.col("tag").rlike(r"""(?i)\brel\s*=\s*["']alternate""") & F.col("tag").rlike(r"(?i)application/(rss|atom)\+xml"))
-    return alternate.select("page", resolved(F.col("page"), F.regexp_extract("tag", _HREF, 1)).alias("feed"), F.regexp_extract("tag", r"""(?i)\btitle\s*=\s*["']([^"']*)""", 1).alias("title"))
+    each = tags(pages, ("link",), url, html)
+    of = lambda n: L.attribute(F.col("found"), n)
+    alternate = each.filter(F.lower(of("rel")).startswith("alternate") & F.lower(of("type")).rlike(r"application/(rss|atom)\+xml"))
+    return alternate.select("page", L.resolved(F.col("page"), of("href")).alias("feed"), of("title").alias("title"))
 
 
 def internal_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(page, internal_links): a-links of the page's own host."""
     host = lambda c: F.lower(F.regexp_extract(c, r"^[a-zA-Z][\w+.-]*://(?:[^@/?#]*@)?([^/:?#]*)", 1))
-    hrefs = F.filter(F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), 1), lambda x: F.trim(x)), lambda h: (h != "") & ~F.lower(h).rlike(r"^(#|mailto:|tel:|javascript:)"))
-    own = F.filter(hrefs, lambda h: host(resolved(F.col(url), h)) == host(F.col(url)))
+    hrefs = F.filter(F.transform(L.start_tags(F.coalesce(html, F.lit("")), ("a",)), lambda t: href(L.attributes(t))), lambda h: h != "")
+    own = F.filter(hrefs, lambda h: host(L.resolved(F.col(url), h)) == host(F.col(url)))
     return pages.select(F.col(url).alias("page"), F.size(own).alias("internal_links"))
 
 
