@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from py4j.java_gateway import JavaObject, is_instance_of
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,57 +12,98 @@ from marblework.operators.joins import column_rows
 from marblework.operators.profile import column_kinds
 from marblework.operators.rollup import capped, unpivoted
 
-#: Statements that change data or settings, and functions that read files or call code outside SQL.
-FORBIDDEN = re.compile(
-    r"\b(insert|update|delete|drop|create|alter|truncate|merge|copy|attach|detach|install|load|set|pragma|export|import|call|grant|revoke|refresh|cache|uncache|use|msck|analyze"
-    r"|read_csv|read_csv_auto|read_parquet|read_json|read_text|read_files|parquet_scan|csv_scan|glob|reflect|java_method|try_reflect)\b",
-    re.I,
-)
 #: The nodes of a parsed plan that a read is made of; any other refuses the statement.
 NODES = {
     "Project", "Filter", "Aggregate", "Join", "LateralJoin", "SubqueryAlias", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Distinct", "Union", "Intersect", "Except",
-    "UnresolvedRelation", "UnresolvedWith", "CTE", "UnresolvedHaving", "UnresolvedSubqueryColumnAliases", "UnresolvedInlineTable", "ResolvedInlineTable", "OneRowRelation",
+    "UnresolvedRelation", "UnresolvedWith", "UnresolvedHaving", "UnresolvedSubqueryColumnAliases", "UnresolvedInlineTable", "ResolvedInlineTable", "OneRowRelation",
     "LocalRelation", "Generate", "WithWindowDefinition", "Window", "Pivot", "Unpivot", "UnresolvedHint", "Sample", "RepartitionByExpression", "Deduplicate",
 }
+#: What the parser leaves open in expressions of a read; any other unresolved one refuses the statement.
+OPEN_EXPRESSIONS = {
+    "UnresolvedAttribute", "UnresolvedStar", "UnresolvedStarExceptOrReplace", "UnresolvedRegex", "UnresolvedAlias", "MultiAlias", "UnresolvedFunction", "UnresolvedGenerator",
+    "UnresolvedExtractValue", "UnresolvedOrdinal", "UnresolvedNamedLambdaVariable", "UnresolvedWindowExpression",
+}
+#: Groups of Spark's built-in functions that only compute from their arguments, and single ones of other groups.
+FUNCTION_GROUPS = {
+    "agg_funcs", "array_funcs", "bitwise_funcs", "collection_funcs", "conditional_funcs", "conversion_funcs", "csv_funcs", "date_funcs", "datetime_funcs", "generator_funcs", "hash_funcs",
+    "json_funcs", "lambda_funcs", "map_funcs", "math_funcs", "operator_funcs", "predicate_funcs", "string_funcs", "struct_funcs", "url_funcs", "window_funcs", "xml_funcs",
+}
+FUNCTIONS = {"typeof", "equal_null", "nullifzero", "zeroifnull", "monotonically_increasing_id"}
 LAYERS, MODES = ("raw", "clean", "mart"), ("schema", "preview", "profile", "sql")
 MAX_ROWS, EXCERPT = 500, 300
 
 
-def bare(sql: str) -> str:
-    """The statement without comments, strings and quoted names."""
-    return re.sub(r"--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`", " ", sql, flags=re.S)
+def _walk(spark: SparkSession, tree: JavaObject):
+    """Every node and expression of a parsed plan, wherever it stands: in lists, options, pairs or maps of another."""
+    gateway = spark.sparkContext._gateway
+    is_a = lambda x, name: is_instance_of(gateway, x, name)
+    work = [tree]
+    while work:
+        x = work.pop()
+        if not isinstance(x, JavaObject):
+            continue
+        if is_a(x, "org.apache.spark.sql.types.DataType"):
+            continue
+        if is_a(x, "org.apache.spark.sql.catalyst.trees.TreeNode"):
+            yield x
+        if is_a(x, "scala.collection.Iterable"):
+            items = x.iterator()
+        elif is_a(x, "scala.Product"):
+            items = x.productIterator()
+        else:
+            continue
+        while items.hasNext():
+            work.append(items.next())
+
+
+def _function_group(spark: SparkSession, name: str) -> str | None:
+    """The group of a built-in function; null for functions that a session or a catalog adds or replaces."""
+    jvm = spark._jvm
+    identifier = jvm.org.apache.spark.sql.catalyst.FunctionIdentifier(name)
+    analysis = getattr(jvm.org.apache.spark.sql.catalyst.analysis, "FunctionRegistry$")
+    builtin = getattr(analysis, "MODULE$").builtin().lookupFunction(identifier)
+    here = spark._jsparkSession.sessionState().functionRegistry().lookupFunction(identifier)
+    if builtin.isEmpty() or here.isEmpty() or builtin.get().getClassName() != here.get().getClassName():
+        return None
+    return builtin.get().getGroup()
 
 
 def check(spark: SparkSession, sql: str, names: set[str]) -> str:
     """The statement without a closing semicolon; an error unless it is one read over the given names.
 
-    Spark parses it: every relation of the plan, of its subqueries and of its
-    common tables must be declared or be a common table that hides nothing.  A
-    literal with a line end in it is refused, since the plan's text is read by lines.
+    Spark parses it, and the parsed plan is walked, not the text: each of its nodes
+    must belong to a read, each function, however it is quoted, must be a built-in
+    one that only computes, and each relation must be declared or be a common table
+    that hides nothing.
     """
     sql = sql.strip().rstrip(";").strip()
-    plain = bare(sql)
-    if ";" in plain:
-        raise ValueError("one statement only")
-    if not re.match(r"(select|with)\b", plain.strip(), re.I):
-        raise ValueError("only SELECT or WITH")
-    if m := FORBIDDEN.search(plain):
-        raise ValueError(f"not allowed: {m[1]}")
     try:
-        tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).treeString()
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
     except Exception as e:
         if isinstance(e, ParseException) or "ParseException" in str(e):
-            raise ValueError(f"no valid SQL: {str(e).strip().splitlines()[0]}") from e
+            raise ValueError(f"no valid SQL: {str(e).strip().splitlines()[0] if str(e).strip() else sql[:60]}") from e
         raise
-    asked, own = set(), set()
-    for line in tree.splitlines():
-        node = re.match(r"[\s:+|\-]*'?(\w+)(?: \[([^\]]*)\])?", line)
-        if not node or node[1] not in NODES:
-            raise ValueError(f"not allowed: {line.strip()[:60]}")
-        if node[1] == "UnresolvedRelation":
-            asked.add((node[2] or "").lower())
-        elif node[1] in ("CTE", "UnresolvedWith") and node[2]:
-            own |= {n.strip().lower() for n in node[2].split(",")}
+    asked, own, called = set(), set(), set()
+    for x in _walk(spark, plan):
+        kind = x.getClass().getSimpleName().rstrip("$")
+        if is_instance_of(spark.sparkContext._gateway, x, "org.apache.spark.sql.catalyst.plans.logical.LogicalPlan"):
+            if kind not in NODES:
+                raise ValueError(f"not allowed: {kind}")
+            if kind == "UnresolvedRelation":
+                asked.add(x.multipartIdentifier().mkString(".").lower())
+            elif kind == "UnresolvedWith":
+                relations = x.cteRelations().iterator()
+                while relations.hasNext():
+                    own.add(relations.next()._1().lower())
+        elif x.getClass().getPackage().getName().endswith("catalyst.analysis"):
+            if kind not in OPEN_EXPRESSIONS:
+                raise ValueError(f"not allowed: {kind}")
+            if kind == "UnresolvedFunction":
+                called.add(x.nameParts().mkString(".").lower())
+            elif kind == "UnresolvedGenerator":
+                called.add(x.name().unquotedString().lower())
+    if refused := sorted(f for f in called if f not in FUNCTIONS and _function_group(spark, f) not in FUNCTION_GROUPS):
+        raise ValueError(f"functions not allowed: {refused}")
     declared = {n.lower() for n in names}
     if unknown := asked - own - declared:
         raise ValueError(f"not declared: {sorted(unknown)}")
