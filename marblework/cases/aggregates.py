@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marblework.operators import rollup as A
 from marblework.registry import query
 from marblework.session import table
+from marblework.sources.shared import written
 
 
 def _placed(spark, sf_dir):
@@ -47,6 +48,24 @@ def _(spark, sf_dir):
     return got.join(exact, "column").select("column", "exact", "nulls", (F.abs(F.col("distinct_approx") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 5 * 0.016)).alias("within_bound"))
 
 
+@query(
+    "agg_profile_sketches",
+    """WITH y AS (SELECT year(o_orderdate) AS year, o_custkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS note FROM orders),
+g AS (SELECT 'all' AS years, * EXCLUDE (year) FROM y UNION ALL SELECT CASE WHEN year < 1995 THEN 'early' ELSE 'late' END, * EXCLUDE (year) FROM y)
+SELECT years, 'o_custkey' AS "column", count(DISTINCT o_custkey) AS exact, count(*) FILTER (o_custkey IS NULL) AS nulls, TRUE AS within_bound FROM g GROUP BY 1
+UNION ALL SELECT years, 'note', count(DISTINCT note), count(*) FILTER (note IS NULL), TRUE FROM g GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """Sketches of each year, stored once; unions of years are profiled from them, beside exact counts."""
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_custkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("note"))
+    some = F.when(F.col("year") < 1995, "early").otherwise("late")
+    stored = written(A.sketches(o, ["year"], ["o_custkey", "note"]), "sketches")
+    both = A.sketched_profile(stored.withColumn("years", some), ["years"]).unionByName(A.sketched_profile(stored.withColumn("years", F.lit("all")), ["years"]))
+    long = A.unpivoted(o.withColumn("years", F.explode(F.array(F.lit("all"), some))), ["o_custkey", "note"], "years")
+    exact = long.filter("value IS NOT NULL").groupBy("years", "column", "value").agg(F.count("*")).groupBy("years", "column").agg(F.count("*").alias("exact"))
+    return both.join(exact, ["years", "column"]).select("years", "column", "exact", "nulls", (F.abs(F.col("distinct_approx") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 5 * 0.016)).alias("within_bound"))
+
+
 _TOP = """WITH u AS (SELECT 'o_orderstatus' AS c, o_orderstatus AS value FROM orders UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders),
 g AS (SELECT c, value, count(*) AS n FROM u GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY n DESC, value) AS rank, sum(n) OVER (PARTITION BY c) AS whole, count(*) OVER (PARTITION BY c) AS k FROM g)
 SELECT c AS "column", value, n AS count, round(n * 100.0 / whole, 2) AS pct, CAST(rank AS INTEGER) AS rank, k > 4 AS truncated FROM r WHERE rank <= 4"""
@@ -102,9 +121,11 @@ def _(spark, sf_dir):
     return A.status_summary(table(spark, sf_dir, "orders"), "o_orderstatus")
 
 
-@query("ord_cap", "SELECT count(*) > 500 AS truncated FROM orders")
+@query("ord_cap", "SELECT o_orderkey, total_count, total_count > 500 AS truncated FROM orders, (SELECT count(*) AS total_count FROM orders) ORDER BY o_orderkey LIMIT 500")
 def _(spark, sf_dir):
-    return A.capped(table(spark, sf_dir, "orders"), 500)[1]
+    got = A.answer(table(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey"), 500)
+    rows = spark.createDataFrame(got["rows"], "o_orderkey long")
+    return rows.select("o_orderkey", F.lit(got["total_count"]).cast("long").alias("total_count"), F.lit(got["truncated"]).alias("truncated"))
 
 
 @query("ord_list_limit", "SELECT n_name FROM nation ORDER BY n_name LIMIT 15")

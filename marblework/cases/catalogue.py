@@ -122,10 +122,24 @@ def _(spark, sf_dir):
     return C.graph_bridges(_columns(spark, sf_dir), _vocabulary(spark, sf_dir), bridges)
 
 
-@query("gr_merge", f"WITH {_EDGES}, g AS (SELECT entity, 't' || t AS semantic_type, CAST(2 * count(*) AS BIGINT) AS n FROM e GROUP BY 1, 2) SELECT entity, semantic_type, n FROM g")
+@query(
+    "gr_merge",
+    f"""WITH {_EDGES}, h AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE slug = 'BUILDING'),
+g AS (SELECT entity, count(*) AS n FROM h GROUP BY 1),
+b AS (SELECT DISTINCT entity, 'E1:ponte' AS b FROM e WHERE t = 0 UNION SELECT DISTINCT entity, 'E9:altro' FROM e WHERE t = 1 AND slug = 'BUILDING' UNION SELECT DISTINCT entity, 'E1:terzo' FROM e WHERE t = 2 AND slug = 'BUILDING')
+SELECT entity, (SELECT count(*) FROM e WHERE e.entity = g.entity) AS n_datasets, n, coalesce((SELECT list(b ORDER BY b) FROM b WHERE b.entity = g.entity), []) AS bridges FROM g
+UNION ALL SELECT 'E9', 0, 0, [] FROM (SELECT count(*) AS k FROM e WHERE t = 1 AND slug = 'BUILDING') WHERE k > 0""",
+)
 def _(spark, sf_dir):
-    nodes = C.graph_nodes(_columns(spark, sf_dir), _vocabulary(spark, sf_dir))
-    return C.merge_graphs(nodes.union(nodes)).select("entity", F.explode("types").alias("t")).select("entity", "t.semantic_type", "t.n")
+    """The graph of all customers with one bridge, and that of a segment with the same one and two more, one to an entity without a node."""
+    every, some = _columns(spark, sf_dir), _columns(spark, sf_dir).filter("slug = 'BUILDING'")
+    vocabulary = _vocabulary(spark, sf_dir)
+    first = spark.createDataFrame([("t0", "E1", "ponte")], "semantic_type string, to_entity string, bridge string")
+    second = spark.createDataFrame([("t0", "E1", "ponte"), ("t1", "E9", "altro"), ("t2", "E1", "terzo")], first.schema)
+    nodes = C.graph_nodes(every, vocabulary).unionByName(C.graph_nodes(some, vocabulary))
+    bridges = C.graph_bridges(every, vocabulary, first).unionByName(C.graph_bridges(some, vocabulary, second))
+    total = F.aggregate("types", F.lit(0).cast("long"), lambda x, t: x + t["n"])
+    return C.merge_graphs(nodes, bridges).select("entity", F.size("datasets").cast("long").alias("n_datasets"), total.alias("n"), F.transform("bridges", lambda b: F.concat_ws(":", b["to_entity"], b["bridge"])).alias("bridges"))
 
 
 @query("gr_filter", f"WITH {_EDGES} SELECT entity, count(*) AS n FROM e WHERE t = 1 AND slug = 'BUILDING' GROUP BY 1")

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marblework.operators import quality as Q
+from marblework.operators.numbering import with_start
 from marblework.registry import query
 from marblework.session import table
 
@@ -33,14 +33,10 @@ def _cells(spark, sf_dir):
 def _lines(spark, sf_dir):
     """All lines of all texts as one file: n counts from 1 through the texts by id, without gaps."""
     k = F.col("doc_id")
-    d = table(spark, sf_dir, "documents").select(k, F.coalesce(F.floor(k / 1000), F.lit(-1)).alias("_block"), F.split(F.concat(F.when(k % 50 == 7, "caffÃ¨ \x01").otherwise(""), F.coalesce("text", F.lit(""))), "\n").alias("_lines"))
-    size = F.size("_lines").cast("long")
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = d.groupBy("_block").agg(F.sum(size).alias("_size"))  # one row for 1,000 ids
-    starts = blocks.select("_block", F.coalesce(F.sum("_size").over(before(Window.orderBy("_block"))), F.lit(0)).alias("_start"))
-    placed = d.withColumn("_before", F.coalesce(F.sum(size).over(before(Window.partitionBy("_block").orderBy("doc_id"))), F.lit(0)))
-    one = placed.join(starts, "_block").select((F.col("_start") + F.col("_before")).alias("_first"), F.posexplode("_lines").alias("_place", "line"))
-    return one.select((F.col("_first") + F.col("_place") + 1).alias("n"), "line")
+    texts = table(spark, sf_dir, "documents").select(k, F.concat(F.when(k % 50 == 7, "caffÃ¨ \x01").otherwise(""), F.coalesce("text", F.lit(""))).alias("_text"))
+    lines = F.split("_text", "\n")
+    placed = with_start(texts, ["doc_id"], F.size(lines))
+    return placed.select("start", F.posexplode(lines).alias("_place", "line")).select((F.col("start") + F.col("_place") + 1).alias("n"), "line")
 
 
 def _rows(cells):

@@ -152,9 +152,16 @@ def _(spark, sf_dir):
     return J.diff_columns(seen)
 
 
-@query("set_diff_layers", "SELECT 'O_ORDERKEY' AS key, 'same' AS change UNION ALL SELECT 'O_CUSTKEY', 'removed' UNION ALL SELECT 'O_TOTALPRICE', 'retyped' UNION ALL SELECT 'ANNO', 'added' FROM (SELECT count(*) FROM orders)")
+@query(
+    "set_diff_layers",
+    """WITH n AS (SELECT count(*) AS source_rows, count(*) FILTER (o_totalprice > 100000) AS target_rows FROM orders)
+SELECT key, change, source_rows, target_rows, target_rows - source_rows AS row_delta FROM n, (VALUES ('O_ORDERKEY', 'same'), ('O_CUSTKEY', 'removed'), ('O_TOTALPRICE', 'retyped'), ('ANNO', 'added')) t(key, change)""",
+)
 def _(spark, sf_dir):
+    """Two layers as they are written: some columns go, come or change type, and rows are filtered."""
+    from marblework.sources.shared import written
+
     orders = table(spark, sf_dir, "orders")
-    source = J.column_rows(orders.select("o_orderkey", "o_custkey", "o_totalprice"))
-    target = J.column_rows(orders.select("o_orderkey", F.col("o_totalprice").cast("string").alias("o-totalprice"), F.year("o_orderdate").alias("anno")))
-    return J.diff_layers(source, target).select("key", "change")
+    source = written(orders.select("o_orderkey", "o_custkey", "o_totalprice"), "layer")
+    target = written(orders.filter("o_totalprice > 100000").select("o_orderkey", F.col("o_totalprice").cast("string").alias("o-totalprice"), F.year("o_orderdate").alias("anno")), "layer")
+    return J.diff_tables(source, target).select("key", "change", "source_rows", "target_rows", "row_delta")

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import re
-import uuid
-
 from pyspark.sql import functions as F
 
 from marblework.operators.joins import union_by_name
@@ -13,17 +9,11 @@ from marblework.registry import query
 from marblework.session import table
 from marblework.sources import delimited as D
 from marblework.sources import files as L
+from marblework.sources.shared import shared_folder
 
 
 def folder(spark) -> str:
-    """A fresh folder below spark.checkpoint.dir; where that is unset, below the warehouse on one machine (tests), an error on a cluster."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = spark.conf.get("spark.sql.warehouse.dir")
-    root = root if ":" in root else "file://" + os.path.abspath(root)
-    return f"{root.rstrip('/')}/sources-{uuid.uuid4().hex}"
+    return shared_folder(spark, "sources")
 
 
 def landed(spark, df, kind: str = "csv", **options) -> str:

@@ -93,11 +93,22 @@ def graph_bridges(columns: DataFrame, vocabulary: DataFrame, bridges: DataFrame)
     return edges.join(bridges, "semantic_type").filter(F.col("entity") != F.col("to_entity")).select(F.col("entity").alias("from_entity"), "to_entity", "bridge").distinct()
 
 
-def merge_graphs(nodes: DataFrame) -> DataFrame:
-    """Nodes of many graphs as one per entity: datasets together, counts of types added."""
+def merge_graphs(nodes: DataFrame, bridges: DataFrame | None = None) -> DataFrame:
+    """Graphs as one: (entity, datasets, types, bridges), datasets together, counts of types added, equal bridges once.
+
+    ``nodes`` and ``bridges`` hold the rows of all graphs, as ``graph_nodes`` and
+    ``graph_bridges`` give them.  An entity that only bridges name has no datasets.
+    """
     sets = nodes.select("entity", F.explode("datasets").alias("d")).groupBy("entity").agg(F.array_sort(F.collect_set("d")).alias("datasets"))
     counts = nodes.select("entity", F.explode("types").alias("t")).groupBy("entity", "t.semantic_type").agg(F.sum("t.n").alias("n")).groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("semantic_type", "n"))).alias("types"))
-    return sets.join(counts, "entity")
+    whole = sets.join(counts, "entity")
+    kind = "array<struct<to_entity: string, bridge: string>>"
+    if bridges is None:
+        return whole.withColumn("bridges", F.array().cast(kind))
+    led = bridges.groupBy(F.col("from_entity").alias("entity")).agg(F.array_sort(F.collect_set(F.struct("to_entity", "bridge"))).alias("bridges"))
+    named = bridges.select(F.col("to_entity").alias("entity")).distinct().join(led.select("entity"), "entity", "left_anti").withColumn("bridges", F.array().cast(kind))
+    none = lambda c: F.coalesce(c, F.array().cast(whole.schema[c].dataType)).alias(c)
+    return whole.join(led.unionByName(named), "entity", "full").select("entity", none("datasets"), none("types"), F.coalesce("bridges", F.array().cast(kind)).alias("bridges"))
 
 
 #: Semantic types of each domain.

@@ -90,3 +90,15 @@ def diff_layers(source: DataFrame, target: DataFrame) -> DataFrame:
     both = side(source, "from_type").join(side(target, "to_type"), "key", "full")
     change = F.when(F.col("from_type").isNull(), "added").when(F.col("to_type").isNull(), "removed").when(F.col("from_type") != F.col("to_type"), "retyped").otherwise("same")
     return both.select("key", change.alias("change"), "from_type", "to_type")
+
+
+def row_delta(source: DataFrame, target: DataFrame) -> DataFrame:
+    """One row (source_rows, target_rows, row_delta); of Parquet tables Spark reads the footers only, no column."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    both = count(source, "source_rows").crossJoin(count(target, "target_rows"))  # one row each
+    return both.withColumn("row_delta", F.col("target_rows") - F.col("source_rows"))
+
+
+def diff_tables(source: DataFrame, target: DataFrame) -> DataFrame:
+    """``diff_layers`` of two tables, each change beside both row counts and their difference."""
+    return diff_layers(column_rows(source), column_rows(target)).crossJoin(F.broadcast(row_delta(source, target)))  # the counts are one row

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marblework.operators.numbering import with_start
+
 _DIM = "array<struct<id:string,values:array<struct<id:string,name:string>>>>"
 SDMX = f"struct<dataSets:array<struct<series:map<string,struct<observations:map<string,array<double>>>>>>,structure:struct<dimensions:struct<series:{_DIM},observation:{_DIM}>>>"
 
@@ -63,10 +65,7 @@ def sparql_rows(df: DataFrame, names: list[str], payload: str = "payload") -> Da
 def ckan_records(pages: DataFrame, fields: list[str], page: str = "page", payload: str = "payload") -> DataFrame:
     """Records of landed DataStore pages as text columns, null where absent; records past the stated total drop."""
     doc = pages.select(page, F.from_json(payload, "struct<result:struct<total:long,records:array<map<string,string>>>>").alias("d"))
-    sizes = doc.select(page, F.size("d.result.records").alias("n"))
-    # one row per page: the table of sizes is as long as the list of landed pages
-    before = sizes.select(page, (F.sum("n").over(Window.orderBy(page)) - F.col("n")).alias("before"))
-    rows = doc.join(before, page).select(page, "before", "d.result.total", F.posexplode("d.result.records").alias("i", "r"))
+    rows = with_start(doc, [page], F.greatest(F.size("d.result.records"), F.lit(0)), "before").select(page, "before", "d.result.total", F.posexplode("d.result.records").alias("i", "r"))
     kept = rows.filter(F.col("total").isNull() | (F.col("before") + F.col("i") < F.col("total")))
     return kept.select(page, "i", *[F.try_element_at("r", F.lit(f)).alias(f) for f in fields])
 

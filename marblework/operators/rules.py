@@ -87,10 +87,15 @@ def badly_typed(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if any(re.match(p, f.name, re.I) for p in NUMERIC_NAMES) and not isinstance(f.dataType, T.NumericType)]
 
 
-def inferred_not_null(raw_missing: DataFrame, clean: DataFrame) -> list[str]:
-    """Clean columns whose raw column, by snake name, missed no value."""
-    full = {snake_name(r["column"]) for r in raw_missing.filter("pct = 0").select("column").collect()}  # one row per column
-    return [c for c in clean.columns if c in full]
+def inferred_not_null(missing: DataFrame, clean: list[str]) -> list[str]:
+    """Clean columns whose raw column, by snake name, missed no value.
+
+    ``missing`` has (column, rows, missing) of every raw column; a column that it
+    does not name, or of a table without rows, is not inferred.
+    """
+    full = missing.filter("missing = 0 AND rows > 0").select("column").toLocalIterator()  # one row per column
+    names = {snake_name(r["column"]) for r in full}
+    return [c for c in clean if c in names]
 
 
 def report(results: DataFrame, first: int = 20) -> DataFrame:

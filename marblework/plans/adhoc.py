@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marblework.operators.joins import column_rows
 from marblework.operators.profile import column_kinds
-from marblework.operators.rollup import capped, unpivoted
+from marblework.operators.rollup import answer, capped, unpivoted
 
 #: The nodes of a parsed plan that a read is made of; any other refuses the statement.
 NODES = {
@@ -136,6 +136,12 @@ def layer_query(spark: SparkSession, frames: dict[str, DataFrame], sql: str, lim
     return capped(guarded(spark, sql, frames), min(limit or MAX_ROWS, MAX_ROWS))
 
 
+def layer_answer(spark: SparkSession, frames: dict[str, DataFrame], sql: str, limit: int = 20) -> dict:
+    """{"columns", "rows", "total_count", "truncated"} of a guarded statement, from one job; at most MAX_ROWS rows come."""
+    df = guarded(spark, sql, frames)
+    return {"columns": df.columns, **answer(df, min(limit or MAX_ROWS, MAX_ROWS))}
+
+
 def pick(layers: dict[str, dict[tuple[int, str], DataFrame]], layer: str, year: int | None = None, table: str | None = None) -> DataFrame:
     """A layer's table: that of the year (the last one if none is named) and of the name (the first by name)."""
     if layer not in LAYERS:

@@ -11,6 +11,7 @@ from marblework.operators import quality as Q
 from marblework.operators.joins import column_rows
 from marblework.operators.rollup import unpivoted
 from marblework.sources import delimited as D
+from marblework.sources.heads import first_lines
 
 #: Lines of each file that formats and quality are judged by, and rows that are shown.
 HEAD, SHOWN = 1000, 5
@@ -18,7 +19,7 @@ HEAD, SHOWN = 1000, 5
 
 def hints(spark: SparkSession, paths: list[str], lines: int = HEAD) -> dict:
     """Reader options of the first file by name, read from the first lines of each: encoding, sep, decimal, skip, robust."""
-    head = D.first_lines(spark, paths, lines).select(F.col("file").alias("path"), F.col("place").alias("n"), F.col("line").cast("binary").alias("raw"))
+    head = first_lines(spark, paths, lines).select(F.col("file").alias("path"), F.col("place").alias("n"), F.col("line").cast("binary").alias("raw"))
     valid = head.groupBy("path").agg(F.when(F.min(F.is_valid_utf8("raw").cast("int")) == 1, "utf-8").otherwise("cp1252").alias("encoding"))
     text = head.select("path", "n", F.decode("raw", "ISO-8859-1").alias("line"))
     marks = P.delimiter(text)
@@ -47,7 +48,7 @@ def source_preview(spark: SparkSession, paths: list[str], name: str = "", lines:
     named = years_in(F.lit(" ".join(names)))
     dated = [c for c in names if P.is_year_name(c)]
     read = P.year_values(unpivoted(df, dated)).agg(F.min("low").alias("low"), F.max("high").alias("high")) if dated else rows.limit(0).agg(F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high"))
-    head = D.first_lines(spark, paths, lines)
+    head = first_lines(spark, paths, lines)
     first = head.groupBy("file").agg(F.count("*")).orderBy("file").limit(1).select("file")
     raw = head.join(F.broadcast(first), "file").filter(F.col("place") > of["skip"]).select((F.col("place") - of["skip"]).alias("n"), "line")
     ddl = ", ".join(f"c{i} STRING" for i in range(len(names)))

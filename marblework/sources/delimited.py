@@ -8,11 +8,12 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marblework.functions import text as X
+from marblework.sources.heads import first_lines
 
 CORRUPT, EXTRA = "_corrupt", "_extra"
 #: Options of a read and the reader's names for them.
@@ -64,13 +65,6 @@ def read_mode(options: dict, mode: str | None) -> str:
     return "strict" if options.get("strict_mode") else "fallback"
 
 
-def first_lines(spark: SparkSession, paths: list[str], n: int) -> DataFrame:
-    """(file, place, line): the first ``n`` lines of each file, place from 1; tasks keep no more before they shuffle."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"))
-    place = F.row_number().over(Window.partitionBy("file").orderBy("_at"))
-    return lines.filter("start = 0").withColumn("place", place).filter(F.col("place") <= n).select("file", "place", "line")
-
-
 def lines_after(spark: SparkSession, paths: list[str], n: int, options: dict) -> DataFrame:
     """(line): all lines but the first ``n`` of each file, blank ones dropped.
 

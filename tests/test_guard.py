@@ -48,3 +48,8 @@ def test_a_common_table_that_hides_one_is_refused(spark, frames):
             adhoc.guarded(spark, "WITH hidden AS (SELECT 1) SELECT * FROM hidden", frames)
     finally:
         spark.catalog.dropTempView("hidden")
+
+
+def test_answers_know_their_total(spark, frames):
+    got = adhoc.layer_answer(spark, frames, "SELECT n FROM ordini ORDER BY n DESC", 2)
+    assert got["columns"] == ["n"] and [r["n"] for r in got["rows"]] == [3, 2] and (got["total_count"], got["truncated"]) == (3, True)
