@@ -30,6 +30,11 @@ but many: its starts ``a`` are cut into pieces of PIECE, each keyed by the bytes
 that all strings of the piece must share; a piece that still has more places is
 cut into single starts, whose equal strings collapse where they are made.
 
+A stretch of period q <= SHORT_PERIOD with q bytes more than a window repeats
+itself, all of it: it is one span at once.  Of the strings inside it only those of
+the first q starts are listed, which are all that there are, so that other
+places with one of them still meet it.
+
 Null and empty texts, and texts shorter than the window, lose nothing.
 Repeated rows repeat each other.  Ties cannot change the result: all
 occurrences are removed.  An empty table gives an empty one.  Ids may repeat.
@@ -48,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut, ship
+from marblework.llm.common import cut, pieces, release, ship
 
 SLICE = 1 << 19
 _BITS = 20
@@ -59,6 +64,8 @@ RUN_BYTES = 12 << 20
 MERGE_BYTES = 64 << 20
 #: Starts of strings that share a key of a gram with very many places.
 PIECE = 16
+#: Periods of stretches that are taken out before anchors are listed, at most.
+SHORT_PERIOD = 128
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -84,6 +91,70 @@ def gram_hashes(b: np.ndarray, core: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def stretches(raw: bytes, windows: tuple[int, ...]) -> list[tuple[int, int, int]]:
+    """(start, end, period) of stretches of a short period with the longest window's bytes and a period at least, in order, none over another.
+
+    A period is no longer than any window, so the repeated strings cover a stretch
+    without gaps.  Such a stretch has a place among every ``window // 2`` where eight bytes come
+    again after its period; places inside a stretch already found are passed over.
+    """
+    window, longest = windows[0], min(SHORT_PERIOD, windows[-1])
+    step, found, n = max(1, window // 2), [], len(raw)
+    if n <= window + 8:
+        return found
+    words = np.ndarray((n - 7,), "<u8", raw, strides=(1,))
+    b, at = np.frombuffer(raw, np.uint8), np.arange(0, n - 7, step)
+    covered, taken = np.zeros(len(at), bool), np.zeros(len(at), bool)
+    for q in range(1, min(longest, n - window) + 1):
+        some = np.flatnonzero(~covered[: np.searchsorted(at, len(words) - q)])
+        for k in some[words[at[some]] == words[at[some] + q]].tolist():
+            if covered[k]:
+                continue
+            start, end = _stretch(b, int(at[k]), q)
+            inside = slice(-(-start // step), max(0, end - 8) // step + 1)
+            if end - start >= window + q and not taken[inside].any():
+                found.append((start, end, q))
+                taken[inside] = True
+                covered[inside.start : max(0, end - 8 - q) // step + 1] = True
+    return sorted(found)
+
+
+def _stretch(b: np.ndarray, at: int, q: int) -> tuple[int, int]:
+    """The largest stretch around ``at`` in which bytes ``q`` apart are equal."""
+    left = right = at
+    step = 64
+    while right + q < len(b):
+        end = min(right + step, len(b) - q)
+        differ = np.flatnonzero(b[right:end] != b[right + q : end + q])
+        if len(differ):
+            right += int(differ[0])
+            break
+        right, step = end, 2 * step
+    step = 64
+    while left > 0:
+        begin = max(left - step, 0)
+        differ = np.flatnonzero(b[begin:left] != b[begin + q : left + q])
+        if len(differ):
+            left = begin + int(differ[-1]) + 1
+            break
+        left, step = begin, 2 * step
+    return left, right + q
+
+
+def listed(raw: bytes, windows: tuple[int, ...], core: int, own: list[tuple[int, int, int]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors, without starts of strings that stretches of a short period hold again from their first period."""
+    place, key, first, last = anchors(raw, windows[-1], core)
+    keep = np.ones(len(place), bool)
+    for start, end, q in stretches(raw, windows) if own is None else own:
+        low, high = start + q, end - windows[0]
+        over = slice(int(np.searchsorted(last, low)), int(np.searchsorted(first, high, "right")))
+        f, x = first[over], last[over]
+        keep[over] &= (f < low) | (x > high)
+        head, tail = (f < low) & (x <= high), (f >= low) & (x > high)
+        x[head], f[tail] = low - 1, high + 1
+    return place[keep], key[keep], first[keep], last[keep]
+
+
 def anchors(raw: bytes, window: int, core: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, gram hash, first start, last start) of each anchor; each start of a window has one."""
     wide, found = window - core + 1, []
@@ -222,7 +293,7 @@ def _contexts(raw: bytes, hot: set[int], fine: set[int], heavy: set[int], window
 
     ``which`` is 0 for an entry that serves all windows.
     """
-    for p, h, first, last in zip(*(x.tolist() for x in anchors(raw, windows[-1], core)), strict=True):
+    for p, h, first, last in zip(*(x.tolist() for x in listed(raw, windows, core)), strict=True):
         if p in fine:
             for which, window in enumerate(windows, 1):
                 for key, low, high in _pieces(raw, p, h, p - last, p - first, window, PIECE):
@@ -341,13 +412,15 @@ def _over(df: DataFrame, limit: int) -> DataFrame:
     return cut(df.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > limit))
 
 
-def removed_spans(df: DataFrame, windows: tuple[int, ...] = (400, 256), core: int = 128, split_over: int = 1 << 16, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(units, spans): per unit its texts' SHA-256, rows and bytes; per unit with repeats its text and spans (w, start, end).
+def removed_spans(df: DataFrame, windows: tuple[int, ...] = (400, 256), core: int = 128, split_over: int = 1 << 16, text_column: str = "text") -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(units, spans, steps): per unit its texts' SHA-256, rows and bytes; per unit with repeats its text and spans (w, start, end).
 
-    ``windows`` fall, and ``w`` is a window's place among them.
+    ``windows`` fall, and ``w`` is a window's place among them.  ``steps`` are the
+    written tables that both rest on, to be released when both have been used.
     """
     session, shortest = df.sparkSession, windows[-1]
     ship(session)
+    span_type = pa.list_(pa.struct([("w", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
     raws = df.select(F.coalesce(df[text_column], F.lit("")).cast("binary").alias("raw")).withColumn("unit", F.unhex(F.sha2("raw", 256)))
 
     def lists(found: list[np.ndarray]) -> pa.Array:
@@ -355,33 +428,46 @@ def removed_spans(df: DataFrame, windows: tuple[int, ...] = (400, 256), core: in
         return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [anchors(raw, shortest, core) for raw in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists([x[0] for x in found]), lists([x[1].view(np.int64) for x in found])], names=["unit", "places", "keys"])
+        for batch in pieces(batches):
+            found, own = [], []
+            for raw in batch.column(1).to_pylist():
+                whole = stretches(raw, windows)
+                found.append(listed(raw, windows, core, whole))
+                own.append([{"w": w, "start": a, "end": b} for a, b, _ in whole for w in range(len(windows))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists([x[0] for x in found]), lists([x[1].view(np.int64) for x in found]), pa.array(own, span_type)], names=["unit", "places", "keys", "own"])
 
     def mark_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keys = []
             for raw, fine in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 fine, own = set(fine), []
-                for p, h, first, last in zip(*(x.tolist() for x in anchors(raw, shortest, core)), strict=True):
+                for p, h, first, last in zip(*(x.tolist() for x in listed(raw, windows, core)), strict=True):
                     if p in fine:
                         own += [key for w in windows for key, _, _ in _pieces(raw, p, h, p - last, p - first, w, PIECE)]
                 keys.append(np.array(own, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists(keys)], names=["unit", "keys"])
 
     long_enough = raws.filter(F.length("raw") >= shortest)
-    marked = long_enough.select("unit", "raw").mapInArrow(mark, "unit binary, places array<long>, keys array<long>")
-    units = cut(marked.groupBy("unit").agg(F.count("*").alias("rows"), F.first("places").alias("places"), F.first("keys").alias("keys")))
+    spans_of = "array<struct<w: int, start: long, end: long>>"
+    marked = long_enough.select("unit", "raw").mapInArrow(mark, f"unit binary, places array<long>, keys array<long>, own {spans_of}")
+    units = cut(marked.groupBy("unit").agg(F.count("*").alias("rows"), F.first("places").alias("places"), F.first("keys").alias("keys"), F.first("own").alias("own")))
     each = units.select("unit", F.explode(F.arrays_zip("places", "keys")).alias("x")).select("unit", F.col("x.places").alias("place"), F.col("x.keys").alias("key"))
     common = _over(each, 1)
     many = F.col("n") > split_over
     hot = each.join(common, "key").groupBy("unit").agg(F.collect_list(F.when(~many, F.col("place"))).alias("hot"), F.collect_list(F.when(many, F.col("place"))).alias("fine"))
-    texts = cut(long_enough.groupBy("unit").agg(F.first("raw").alias("raw")).join(hot, "unit"))
+    whole = hot.join(units.filter(F.size("own") > 0).select("unit", "own"), "unit", "full")
+    none = lambda c, kind: F.coalesce(c, F.array().cast(kind)).alias(c)
+    asked = whole.select("unit", none("hot", "array<bigint>"), none("fine", "array<bigint>"), none("own", spans_of))
+    texts = cut(long_enough.groupBy("unit").agg(F.first("raw").alias("raw")).join(asked, "unit"))
+    steps = [units, common, texts]
     heavy = None
     if not common.filter(many).isEmpty():
-        pieces = cut(texts.filter(F.size("fine") > 0).select("unit", "raw", "fine").mapInArrow(mark_pieces, "unit binary, keys array<long>")).select("unit", F.explode("keys").alias("key"))
-        heavy = cut(pieces.join(_over(pieces, split_over).select("key"), "key", "left_semi").groupBy("unit").agg(F.collect_set("key").alias("heavy")))
+        written = cut(texts.filter(F.size("fine") > 0).select("unit", "raw", "fine").mapInArrow(mark_pieces, "unit binary, keys array<long>"))
+        parted = written.select("unit", F.explode("keys").alias("key"))
+        often = _over(parted, split_over)
+        heavy = cut(parted.join(often.select("key"), "key", "left_semi").groupBy("unit").agg(F.collect_set("key").alias("heavy")))
+        release(written, often)
+        steps.append(heavy)
     with_heavy = texts.withColumn("heavy", F.array().cast("array<bigint>")) if heavy is None else texts.join(heavy, "unit", "left").withColumn("heavy", F.coalesce("heavy", F.array().cast("array<bigint>")))
     entries = texts.agg(F.sum(F.size("hot") + F.size("fine") * len(windows) * (2 + (shortest - core) // PIECE))).first()[0] or 0
     parts = max(8, int(session.conf.get("spark.sql.shuffle.partitions")), -(-entries * (windows[0] + shortest - core) // MERGE_BYTES))
@@ -393,7 +479,7 @@ def removed_spans(df: DataFrame, windows: tuple[int, ...] = (400, 256), core: in
             rows = list(_runs(entries, parts, windows))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "run"])
 
-        for batch in batches:
+        for batch in pieces(batches):
             for unit, raw, places, fine, heavy in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for e in _contexts(raw, set(places), set(fine), set(heavy), windows, core):
                     entries.append((*e, unit))
@@ -410,7 +496,7 @@ def removed_spans(df: DataFrame, windows: tuple[int, ...] = (400, 256), core: in
         def rows(spans) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*spans, strict=True), (pa.binary(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["unit", "w", "start", "end"])
 
-        for batch in batches:
+        for batch in pieces(batches, 1):
             for packed in batch.column(1).to_pylist():
                 run, known = pickle.loads(packed)
                 if run is not None:
@@ -427,8 +513,9 @@ def removed_spans(df: DataFrame, windows: tuple[int, ...] = (400, 256), core: in
             yield rows(held)
 
     runs = with_heavy.select("unit", "raw", "hot", "fine", "heavy").mapInArrow(sort, "part int, run binary").repartition(parts, "part")
-    spans = runs.mapInArrow(merge, "unit binary, w int, start long, end long").groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("w", "start", "end"))).alias("spans"))
-    return units.select("unit", "rows"), texts.select("unit", "raw").join(spans, "unit")
+    own = texts.select("unit", F.explode("own").alias("x")).select("unit", "x.w", "x.start", "x.end")
+    spans = runs.mapInArrow(merge, "unit binary, w int, start long, end long").unionByName(own).groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("w", "start", "end"))).alias("spans"))
+    return units.select("unit", "rows"), texts.select("unit", "raw").join(spans, "unit"), steps
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -459,10 +546,10 @@ def dedup(df: DataFrame, window: int = 400, core: int = 128, report: int = 256,
     """
     report = min(report, window)
     windows = (window,) if report == window else (window, report)
-    units, repeats = removed_spans(df, windows, min(core, report), split_over, text_column)
+    units, repeats, steps = removed_spans(df, windows, min(core, report), split_over, text_column)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             removed, count, digest, passages = [], [], [], []
             for raw, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 of, shorter = (merged([s for s in spans if s["w"] == w]) for w in (0, len(windows) - 1))
@@ -477,6 +564,7 @@ def dedup(df: DataFrame, window: int = 400, core: int = 128, report: int = 256,
     rows = df.select(df[id_column], F.length(raw).cast("long").alias("n_bytes"), F.unhex(F.sha2(raw, 256)).alias("unit"))
     # written, so that the rows of one text that very many rows repeat can be split
     known = cut(units.filter("rows > 1").select("unit", F.lit(True).alias("_copied")).join(judged, "unit", "full"))
+    release(*steps)
     copied = F.coalesce("_copied", F.lit(False))
     whole = copied & (F.col("n_bytes") >= window)
     none = F.lit(0).cast("long")
