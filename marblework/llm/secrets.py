@@ -11,7 +11,11 @@ lexer reads source and configuration text around its operators:
   expressions of these: joined by ``+``, ``.``, ``..`` or by standing side by
   side, in brackets and in calls, each argument for itself (what a look-up call
   asks for is a key and no value);
-* elements ``<name>value</name>`` of XML.
+* elements ``<name>value</name>`` of XML;
+* what stands for an assignment: ``+=``, ``?=`` and ``||=``, several targets at
+  once, macros, options ``--name value``, setters, records and attributes of a
+  ``name`` or ``key`` and a ``value``, calls whose first argument is the name, and
+  lines of a name and a value without any sign.
 
 Each pair of a target and a value is a definition.  A reference stands for all
 definitions of its name in the same function or class, or else in the whole
@@ -21,6 +25,12 @@ literal is scored by the most sensitive name that it reaches, and by the look of
 the whole string that is put together there.  Spans are in code points, end
 exclusive.
 
+A bare word ends at white space, quotes and brackets.  One with more than
+MOST_INSIDE operators is a list, as a query string is, and no value: in it a value
+ends at the next operator, without the name there and the sign before it.
+Brackets are followed MOST_DEPTH deep.  So the time to read a text grows with its
+length, whatever it holds.
+
 Null text is empty.  Texts are scanned whole.  Rows are independent: repeated
 rows get equal results, ties cannot arise (spans are ordered by start and kind),
 an empty table gives an empty one, and other columns are not read.
@@ -31,8 +41,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -56,15 +67,24 @@ PLACEHOLDER = re.compile(r"(?i)change_?me|example|placeholder|your[_-]|dummy|red
 #: The least product of a name's and a literal's score that makes a span.
 LEAST_SCORE = 0.5
 
-_OPERATOR = re.compile(r"=>|:=|(?<![=!<>:+\-*/])=(?![=>])|:(?![:=/])")
+#: Operators in a bare word beyond which it is read as a list of assignments.
+MOST_INSIDE = 8
+#: Brackets within brackets that an expression is followed into.
+MOST_DEPTH = 16
+
+_OPERATOR = re.compile(r"=>|:=|(?:\+|\?\??|\|\|)=(?!=)|(?<![!=<>:+\-*/?|])=(?![=>])|:(?![:=/])")
 _NAME_END = re.compile(r"[A-Za-z_$][\w$.\-]*\Z", re.A)
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-")
-#: Groups: what quotes, a reference or a bare word hold; group 6 is the name after $, group 7 a bare word.
+#: Groups: what quotes or a reference hold; group 6 is the name after $.
 _VALUE = re.compile(
     r"""[ \t]*(?:[rbufRBUF]{0,2}(?:\"""((?:[^\\]|\\[\s\S])*?)\"""|\'''((?:[^\\]|\\[\s\S])*?)\'''|"((?:[^"\\\n]|\\[\s\S])*)"|'((?:[^'\\\n]|\\[\s\S])*)')|`([^`]*)`"""
-    r"""|\$\{?([A-Za-z_]\w*)\}?|([^\s"'`,;#(){}\[\]]+))""",
+    r"""|\$\{?([A-Za-z_]\w*)\}?)""",
     re.A,
 )
+_BLANKS = re.compile(r"[ \t]*")
+_BARE = re.compile(r"""[^\s"'`,;#(){}\[\]]+""")
+#: A sign and a name at the end of one value of a list.
+_NEXT_NAME = re.compile(r"[&?|][\w$.\-%]*\Z", re.A)
 #: A quoted literal over several lines: no blank line in it, and nothing of a word after it.
 _LINES = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\[\s\S]|\n(?![ \t]*\n))*)"|'((?:[^'\\\n]|\\[\s\S]|\n(?![ \t]*\n))*)')(?=[\s,;.+)\]}]|\Z)""")
 _BLOCK = re.compile(r"[ \t]*(?:[!&]\S+[ \t]+)*[|>][+\-1-9]{0,2}[ \t]*(?:[ \t]#[^\n]*)?\r?\n")
@@ -87,6 +107,20 @@ LOOKUPS = ("getenv", "get", "env", "fetch", "getproperty", "getparameter", "conf
 #: Schemes of authorization that stand before the secret word.
 SCHEMES = ("bearer", "basic", "token", "digest", "apikey")
 _IDENTIFIER = re.compile(r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*\Z", re.A)
+_NAME = r"[A-Za-z_$][\w$.\-]{0,200}"
+#: Forms that stand for an assignment, up to where the value begins.  Group 1 is the name.
+_FORMS = [
+    re.compile(rf"^[ \t]*#[ \t]*define[ \t]+({_NAME})[ \t]+(?=\S)", re.M | re.A),
+    re.compile(rf"(?<!\S)--?({_NAME})[ \t]+(?![\-\s])", re.A),
+    re.compile(rf"\b(?:set|with|put)_?({_NAME})\([ \t]*(?=[\"'`\w$])", re.A),
+    re.compile(rf"\b(?!(?i:get|getenv|env|fetch|lookup|input|prompt|getpass|has|contains)\b)\w{{1,60}}\([ \t\r\n]*[\"']({_NAME})[\"'][ \t\r\n]*,[ \t\r\n]*(?=[\"'`\w$])", re.A),
+    re.compile(rf"\b(?:name|key|id)[\"']?[ \t]*[:=][ \t]*[\"']?({_NAME})[\"']?[ \t\r\n]*,?[ \t\r\n]*[\"']?(?:value|val|content|default)[\"']?[ \t]*[:=][ \t]*(?=\S)", re.A | re.I),
+    re.compile(rf"^[ \t]*({_NAME})[ \t]+(?=[\"'][^\"'\n]*[\"'][ \t]*;?[ \t\r]*$)", re.M | re.A),
+    re.compile(rf"^[ \t]*({_NAME})[ \t]+(?=[^\s=:]+[ \t\r]*$)", re.M | re.A),
+]
+#: A record with its value first; group 2 is the name.
+_VALUE_FIRST = re.compile(rf"\b(?:value|val)[\"']?[ \t]*[:=][ \t]*[\"']([^\"'\n]+)[\"'][ \t\r\n]*,?[ \t\r\n]*[\"']?(?:name|key|id)[\"']?[ \t]*[:=][ \t]*[\"']?({_NAME})", re.A | re.I)
+_TARGETS = re.compile(rf"(?:^|(?<=[;\n(]))[ \t]*\(?[ \t]*({_NAME}(?:[ \t]*,[ \t]*{_NAME})+)[ \t]*\)?[ \t]*(?=:?=(?![=>]))", re.M | re.A)
 _HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
@@ -189,22 +223,51 @@ def _block(text: str, at: int, name_start: int) -> tuple[int, int] | None:
     return (start, end) if start >= 0 else None
 
 
-def _value_at(text: str, at: int) -> tuple[int, int, str | None, bool] | None:
-    """(start, end, reference, quoted) of the value after an operator."""
-    value = _VALUE.match(text, at)
-    if not value:
-        value = _LINES.match(text, at)
-        return value and (value.start(value.lastindex), value.end(value.lastindex), None, True)
-    group = value.lastindex
-    if group == 4 and " " in value[4] and text[value.end() : value.end() + 1].isalnum():  # an apostrophe, as in don't
-        return None
-    word = group == 6 or group == 7 and _IDENTIFIER.match(value[group])
-    return value.start(group), value.end(group), value[group] if word else None, group < 6
+class _Bare:
+    """Ends of the bare words of a text; the word around a place is looked for once."""
+
+    def __init__(self, text: str):
+        self.text, self.start, self.end, self.many = text, 0, 0, False
+        self.operators = [m.start() for m in _OPERATOR.finditer(text)]
+
+    def listed(self, at: int) -> tuple[int, int] | None:
+        """(start, end) of the bare word at a place inside a list of assignments that has been looked at; no other."""
+        return self.at(at) if self.many and self.start <= at < self.end and self.text[at] != "$" else None
+
+    def at(self, at: int) -> tuple[int, int] | None:
+        """(start, end) of the bare word that begins at a place."""
+        if not self.start <= at < self.end:
+            word = _BARE.match(self.text, at)
+            if not word:
+                return None
+            self.start, self.end = word.span()
+            self.many = bisect_left(self.operators, self.end) - bisect_left(self.operators, at) > MOST_INSIDE
+        if not self.many:
+            return at, self.end
+        following = bisect_left(self.operators, at)
+        end = min(self.end, self.operators[following]) if following < len(self.operators) else self.end
+        if end < self.end and (tail := _NEXT_NAME.search(self.text, max(at, self.text.rfind("&", at, end), self.text.rfind("?", at, end), self.text.rfind("|", at, end)), end)):
+            end = tail.start()
+        return (at, end) if end > at else None
 
 
-def _term(text: str, at: int) -> tuple[tuple, int, bool] | None:
+def _value_at(text: str, at: int, bare: _Bare) -> tuple[int, int, str | None, bool] | None:
+    """(start, end, reference, quoted) of the value after an operator."""
+    value = _VALUE.match(text, at)
+    if value:
+        group = value.lastindex
+        if group == 4 and " " in value[4] and text[value.end() : value.end() + 1].isalnum():  # an apostrophe, as in don't
+            return None
+        return value.start(group), value.end(group), value[group] if group == 6 else None, group < 6
+    if word := bare.at(_BLANKS.match(text, at).end()):
+        return *word, text[slice(*word)] if _IDENTIFIER.match(text, *word) else None, False
+    lines = _LINES.match(text, at)
+    return lines and (lines.start(lines.lastindex), lines.end(lines.lastindex), None, True)
+
+
+def _term(text: str, at: int, bare: _Bare) -> tuple[tuple, int, bool] | None:
     """((start, end, reference), where the term ends, quoted) of one literal, name or bare word."""
-    got = _value_at(text, at)
+    got = _value_at(text, at, bare)
     if not got:
         return None
     start, end, reference, quoted = got
@@ -216,11 +279,13 @@ def _term(text: str, at: int) -> tuple[tuple, int, bool] | None:
     return (start, end, reference), after, quoted
 
 
-def _expression(text: str, at: int) -> tuple[list[list[tuple]], bool]:
+def _expression(text: str, at: int, bare: _Bare) -> tuple[list[list[tuple]], bool]:
     """The values of an expression, each a list of joined parts (start, end, reference), and whether any is quoted."""
+    if (word := bare.listed(at)) and text[word[1] : word[1] + 1] not in ("(", '"', "'", "`"):
+        return [[(*word, text[slice(*word)] if _IDENTIFIER.match(text, *word) else None)]], False
     depth, values, parts, any_quoted, skip = 0, [], [], False, False
     while True:
-        while opened := _OPEN.match(text, at):
+        while depth < MOST_DEPTH and (opened := _OPEN.match(text, at)):
             depth += 1
             at = opened.end()
             called = (opened[1] or "").replace("::", ".").replace("->", ".").rsplit(".", 1)[-1].lower()
@@ -230,11 +295,11 @@ def _expression(text: str, at: int) -> tuple[list[list[tuple]], bool]:
                 parts = []
         if depth and _KEYWORD.match(text, at):  # an argument by name is a definition of its own
             break
-        got = _term(text, at)
+        got = _term(text, at, bare)
         if not got:
             break
         (start, end, reference), at, quoted = got
-        if not quoted and not values and not parts and text[start:end].lower() in SCHEMES and text[at : at + 1] == " " and (word := _term(text, at + 1)):
+        if not quoted and not values and not parts and end - start < 10 and text[start:end].lower() in SCHEMES and text[at : at + 1] == " " and (word := _term(text, at + 1, bare)):
             (start, end, reference), at, quoted = word
         parts.append((start, end, reference))
         any_quoted = any_quoted or quoted
@@ -260,11 +325,26 @@ def _expression(text: str, at: int) -> tuple[list[list[tuple]], bool]:
     return values, any_quoted
 
 
+def _items(text: str, at: int, bare: _Bare) -> list[tuple]:
+    """The parts of a list of values with commas between them, in a bracket or not."""
+    opened = _OPEN.match(text, at)
+    at, out = opened.end() if opened and not opened[1] else at, []
+    while got := _term(text, at, bare):
+        part, after, _ = got
+        out.append(part)
+        comma = _COMMA.match(text, after)
+        if not comma:
+            break
+        at = comma.end()
+    return out
+
+
 def assignments(text: str) -> list[tuple[str, int, list[tuple]]]:
     """(target, its place, joined parts (start, end, reference)): a part is a literal's place or the name of a constant.
 
     A type between a name and ``=`` is passed over.
     """
+    bare = _Bare(text)
     pairs = [(m[1], m.start(), [(m.start(2), m.end(2), None)]) for m in _ELEMENT.finditer(text)] if "</" in text else []
     for op in _OPERATOR.finditer(text):
         colon = op[0] == ":"
@@ -278,18 +358,24 @@ def assignments(text: str) -> list[tuple[str, int, list[tuple]]]:
                 continue
             typed = _after_type(text, op.end())
             if typed >= 0:
-                values, quoted = _expression(text, typed)
+                values, quoted = _expression(text, typed, bare)
                 pairs += [(*name, parts) for parts in values]
                 if quoted:
                     continue
-        pairs += [(*name, parts) for parts in _expression(text, op.end())[0]]
+        pairs += [(*name, parts) for parts in _expression(text, op.end(), bare)[0]]
+    for form in _FORMS:
+        # a sign is missing here, so only sensitive names count
+        pairs += [(m[1], m.start(1), parts) for m in form.finditer(text) if name_score(m[1]) for parts in _expression(text, m.end(), bare)[0][:1]]
+    pairs += [(m[2], m.start(2), [(m.start(1), m.end(1), None)]) for m in _VALUE_FIRST.finditer(text) if name_score(m[2])]
+    for m in _TARGETS.finditer(text):
+        names = re.split(r"[ \t]*,[ \t]*", m[1])
+        parts = _items(text, m.end() + (2 if text[m.end()] == ":" else 1), bare)
+        pairs += [(n, m.start(1), [x]) for n, x in zip(names, parts, strict=False)]
     return pairs
 
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals that reach a sensitive name, directly or through constants."""
-    if "=" not in text and ":" not in text and "</" not in text:
-        return []
     found = assignments(text)
     fences = [m.start() for m in _SCOPE.finditer(text)]
     group = [(name, bisect_right(fences, at)) for name, at, _ in found]
@@ -320,6 +406,15 @@ def literal_spans(text: str) -> list[tuple[int, int, str]]:
                 work.append(to)
 
     out: dict[tuple[int, int], None] = {}
+    scores: dict[tuple, float] = {}
+
+    def score(of: list[tuple[int, int]]) -> float:
+        """How the places together look; the same ones are read once."""
+        key = tuple(of)
+        if key not in scores:
+            scores[key] = literal_score("".join(text[a:b] for a, b in of))
+        return scores[key]
+
     for i, (_, _, parts) in enumerate(found):
         if not need[group[i]]:
             continue
@@ -328,12 +423,12 @@ def literal_spans(text: str) -> list[tuple[int, int, str]]:
             known = meant(i, reference) if reference else None
             if known:  # a constant's own literals, as its last definition has them
                 own = [(a, b) for a, b, further in found[last[known]][2] if not further] if last[known] != i else []
-                said += [text[a:b] for a, b in own]
+                said += own
                 places += own if len(parts) > 1 else []
-            elif not reference or literal_score(text[start:end]) >= 0.8:
-                said.append(text[start:end])
+            elif not reference or score([(start, end)]) >= 0.8:
+                said.append((start, end))
                 places.append((start, end))
-        if places and need[group[i]] * literal_score("".join(said)) >= LEAST_SCORE:
+        if places and need[group[i]] * score(said) >= LEAST_SCORE:
             out |= dict.fromkeys(places)
     return [(a, b, "literal") for a, b in out]
 
@@ -341,7 +436,10 @@ def literal_spans(text: str) -> list[tuple[int, int, str]]:
 def spans(text: str) -> tuple[list, list]:
     """The base spans, and all spans: literals inside a base span add nothing."""
     base = base_spans(text)
-    more = [x for x in literal_spans(text) if not any(a <= x[0] and x[1] <= b for a, b, _ in base)]
+    starts = sorted((a, b) for a, b, _ in base)
+    reach = list(accumulate((b for _, b in starts), max))
+    inside = lambda a, b: (k := bisect_right(starts, (a, len(text)))) and reach[k - 1] >= b
+    more = [x for x in literal_spans(text) if not inside(x[0], x[1])]
     order = lambda x: (x[0], KINDS.index(x[2]), x[1])
     return sorted(base, key=order), sorted(base + more, key=order)
 

@@ -193,6 +193,39 @@ def test_secrets_reads_every_form_of_value(text, literal):
     assert literal not in secrets.mask(text)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        '#define PRIVATE_KEY "{}"',
+        'private_key "{}"',
+        "private_key {}",
+        '{{"name": "private_key", "value": "{}"}}',
+        "- name: PRIVATE_KEY\n  value: {}\n",
+        '{{"value": "{}", "name": "private_key"}}',
+        '<add key="privateKey" value="{}"/>',
+        'config.set("private_key", "{}")',
+        'setPrivateKey("{}")',
+        'client.set_private_key("{}")',
+        'private_key, x = "{}", "b"',
+        '(X, private_key) = ("a", "{}")',
+        'a, signing_key, c = 1, "{}", None',
+        'private_key += "{}"',
+        "PRIVATE_KEY ?= {}",
+        'private_key ||= "{}"',
+        "run --private-key {} --verbose",
+        "https://h.it/?a=1&b=2&c=3&d=4&e=5&f=6&g=7&h=8&i=9&private_key={}&z=1",
+    ],
+)
+def test_secrets_reads_what_stands_for_an_assignment(text):
+    text = text.format("qL9x82_ZmPa0vTr")
+    assert [text[a:b] for a, b, k in secrets.spans(text)[1] if k == "literal"] == ["qL9x82_ZmPa0vTr"]
+
+
+def test_secrets_leaves_names_that_are_not_sensitive():
+    for text in ('#define COLOUR_KIND "qL9x82_ZmPa0vTr"', 'colour "qL9x82_ZmPa0vTr"', '{"name": "colour", "value": "qL9x82_ZmPa0vTr"}', 'setColour("qL9x82_ZmPa0vTr")', 'x, y = "qL9x82_ZmPa0vTr", "b"', "run --colour qL9x82_ZmPa0vTr", 'getenv("private_key", "qL9x82_ZmPa0vTr")', "secret meetings", "the token was given"):
+        assert secrets.spans(text)[1] == [], text
+
+
 @pytest.mark.parametrize(
     ("text", "literals"),
     [
@@ -249,8 +282,30 @@ def test_secrets_lexer_leaves_what_is_no_secret():
         assert secrets.spans(text)[1] == [], text
 
 
+#: A megabyte each, on one line unless the form asks for lines.
+SPELLED = [
+    "a=" * 500_000,
+    "".join(f"k{i}=v{i}&" for i in range(80_000)),
+    "".join(f"password{i}=v{i}&" for i in range(50_000)),
+    "token=" * 170_000,
+    "auth:" * 200_000,
+    "pwd=example&" * 80_000,
+    "a:b=" * 250_000,
+    "private_key " * 80_000,
+    "--pwd " * 170_000,
+    "set_pwd(" * 120_000,
+    "name='pwd',value='" * 55_000,
+    "a, " * 330_000 + "= 1",
+    'pwd += "x"; ' * 80_000,
+    "big = '" + "x9" * 50_000 + "'\n" + "pwd = big\n" * 20_000,
+    "password=abcdefgh1 pwd = 'qL9x82_ZmPa0vTr'\n" * 20_000,
+    "a." * 500_000 + "= 1",
+    '"pwd", ' * 140_000,
+]
+
+
 def test_secrets_lexer_takes_linear_time():
-    for text in ("a: [b " * 100_000, 'pwd = "' * 50_000, "pwd: |\n" * 50_000, "pwd" + " " * 300_000 + "= = =", "x" * 300_000 + ": y", "a:" + "<" * 300_000):
+    for text in ("a: [b " * 100_000, 'pwd = "' * 50_000, "pwd: |\n" * 50_000, "pwd" + " " * 300_000 + "= = =", "x" * 300_000 + ": y", "a:" + "<" * 300_000, *SPELLED):
         start = time.process_time()
         secrets.spans(text)
         assert time.process_time() - start < 10
