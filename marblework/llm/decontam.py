@@ -195,8 +195,10 @@ def find(
         got = map_rows(df, [id_column, text_column], "n_words long, n_hit long, n_items long, items array<string>", row)
     else:
         rows = cut(df.select(df[id_column].alias("_id"), df[text_column].alias("_text"), F.monotonically_increasing_id().alias("_row")))
-        found = rows.select("_id", "_row").join(_in_passes(rows, chunks, width), "_row")
-        got = found.select(F.col("_id").alias(id_column), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
+        hits = _in_passes(rows, chunks, width)
+        found = rows.select("_id", "_row").join(hits, "_row")
+        got = cut(found.select(F.col("_id").alias(id_column), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items"))
+        release(rows, hits)
     return got.withColumn("contaminated", _contaminated())
 
 

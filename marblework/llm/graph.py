@@ -26,7 +26,7 @@ def for_parts(df: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for each node of ``edges`` (a, b): the least node that it reaches.
+    """(node, component) for each node of ``edges`` (a, b), written: the least node that it reaches.
 
     Large-star and small-star rounds: every node's larger neighbours, then its
     smaller ones, are linked to its least neighbour, until the links are stars:
@@ -40,7 +40,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("x")).select("x.*")
         if ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).filter("up > 1 OR up > 0 AND down > 0").isEmpty():
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            out = cut(links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
+            release(links)
+            return out
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.withColumn("part", part_of(F.col("b"))).join(for_parts(least), ["a", "part"]).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()

@@ -126,7 +126,7 @@ def sketches(df: DataFrame, k: int, width: int, id_column: str, text_column: str
 
 
 def prefix_lists(reps: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(v, df, id, n, pos): the kept values, rarest first, that may be the first shared one of a link; pos counts from 1."""
+    """(v, df, id, n, pos), written: the kept values, rarest first, that may be the first shared one of a link; pos counts from 1."""
     each = reps.select("id", "n", F.explode("sketch").alias("v"))
     # written, so that the join's sides are plain exchanges and Spark can split a value that very many keep
     common = cut(each.groupBy("v").agg(F.count("*").cast("int").alias("df")).filter("df > 1"))
@@ -134,7 +134,9 @@ def prefix_lists(reps: DataFrame, k: int, threshold: float) -> DataFrame:
     # values that nobody else keeps come first in the order and need no list
     own = F.least(F.col("n"), F.lit(k)) - F.size("vs")
     room = (F.least(F.col("n"), F.lit(k)) - least_overlap(F.col("n"), k, threshold) + 1 - own).cast("int")
-    return shared.filter(room > 0).select("id", "n", own.alias("own"), F.posexplode(F.slice("vs", F.lit(1), room)).alias("i", "x")).select("x.v", "x.df", "id", "n", (F.col("own") + F.col("i") + 1).alias("pos"))
+    out = cut(shared.filter(room > 0).select("id", "n", own.alias("own"), F.posexplode(F.slice("vs", F.lit(1), room)).alias("i", "x")).select("x.v", "x.df", "id", "n", (F.col("own") + F.col("i") + 1).alias("pos")))
+    release(common)
+    return out
 
 
 def may_link(n, pos, m, at, k: int, threshold: float):
@@ -184,13 +186,14 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, thresh
             take = pa.array(sure | maybe)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(take), batch.column(1).filter(take), pa.array(sure[sure | maybe])], names=["a", "b", "sure"])
 
-    pairs = cut(pairs)
-    if pairs.isEmpty():
-        return pairs
-    judged = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(judge, "a long, b long, sure boolean"))
+    asked = cut(pairs)
+    if asked.isEmpty():
+        return asked
+    judged = cut(asked.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(judge, "a long, b long, sure boolean"))
+    release(asked)
     ask = judged.filter("not sure").select("a", "b")
     if ask.isEmpty():
-        return judged.select("a", "b")
+        return judged
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -204,18 +207,21 @@ def confirmed(pairs: DataFrame, reps: DataFrame, full: DataFrame, k: int, thresh
 
     side = lambda at: full.select(F.col("id").alias(at), F.col("set").alias(f"s_{at}"))
     sure = ask.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(exact, "a long, b long")
-    return cut(judged.filter("sure").select("a", "b").unionByName(sure))
+    out = cut(judged.filter("sure").select("a", "b").unionByName(sure))
+    release(judged)
+    return out
 
 
 def joined_components(found: DataFrame, fresh: DataFrame) -> DataFrame:
     """``found`` (node, component) after further links (a, b): only the components that they touch are worked on."""
     end = lambda at: found.select(F.col("node").alias(at), F.col("component").alias(f"c_{at}"))
     over = fresh.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-    moved = cut(components(over).select(F.col("node").alias("_from"), F.col("component").alias("_to")))
+    touched = components(over)
+    moved = touched.select(F.col("node").alias("_from"), F.col("component").alias("_to"))
     kept = found.join(moved, F.col("component") == F.col("_from"), "left").select("node", F.coalesce("_to", "component").alias("component"))
     new = moved.join(found.select("node"), F.col("_from") == F.col("node"), "left_anti").select(F.col("_from").alias("node"), F.col("_to").alias("component"))
     out = cut(kept.unionByName(new))
-    release(found, moved)
+    release(found, touched)
     return out
 
 
@@ -230,7 +236,7 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
     meets = met.filter(F.col("met") >= least_overlap(F.col("n"), sieve, threshold)).select(F.col("id").alias("_id")).distinct()
     texts = cut(df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).join(meets, F.col("id") == F.col("_id"), "left_semi"))
     reps = cut(sketches(texts, k, width, "id", "text").groupBy("id", "class").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")).drop("class"))
-    lists = cut(prefix_lists(reps, k, threshold))
+    lists = prefix_lists(reps, k, threshold)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -238,7 +244,8 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
 
     full = cut(texts.mapInArrow(sets, "id long, set binary"))
     links = confirmed(short_pairs(lists, k, threshold), reps, full, k, threshold)
-    found = cut(components(links))
+    found = components(links)
+    release(links)
     long_lists = cut(with_earlier(lists.filter(F.col("df") > SHORT_LIST)))
     leaders = LEADERS
     while True:
@@ -247,6 +254,7 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
         placed = cut(placed.withColumn("part", part_of(F.col("id"))).join(for_parts(several), ["v", "part"], "left_semi").drop("part"))
         release(long_lists)
         if placed.isEmpty():
+            release(placed)
             break
         first = placed.groupBy("v", "comp").agg(F.min(F.struct("id", "n", "pos", "earlier")).alias("lead"))
         # any components may lead: many leaders are chosen in parts, so that no task ranks a whole long list
@@ -257,13 +265,16 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
         fresh = confirmed(pairs.select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct(), reps, full, k, threshold)
         if not fresh.isEmpty():
             found = joined_components(found, fresh)
+        release(fresh)
         long_lists = cut(placed.select("v", "id", "n", "pos", "earlier").join(led.select("v", F.col("l").alias("id")), ["v", "id"], "left_anti"))
         release(placed, led)
         leaders *= GROWTH
     rep = classes.select("class", F.col("id").alias("rep")).join(found, F.col("rep") == F.col("node"), "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("id", "n", "class").join(rep, "class", "left")
     component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    out = cut(out.select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))
+    release(rows, classes, common, texts, reps, lists, full, found)
+    return out
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
