@@ -10,6 +10,7 @@ that the walk already holds are not written again.  The walk is cut into packs
 of bounded size; a pack starts with the ancestors of its first turn.  Each node
 has its place in the pack, a position id that continues its parent's, and the
 intervals of its ancestors, which are all it may attend to besides itself.
+``tokens`` encodes packs: the same in tokens, each shared token emitted once.
 
 Rows with equal turns sort by role and text.  Null role or text is empty.
 A conversation without rows cannot occur; repeated conversations share all
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from marblework.llm.common import ship
+from marblework.llm import bpe
+from marblework.llm.common import pieces, ship
 
 #: The template's control strings.
 BEGIN, MIDDLE, END = "### ", ": ", "</turn>\n"
@@ -127,7 +129,7 @@ def pack_trees(df: DataFrame, max_chars: int = 1 << 17, max_members: int = 2000,
         def row() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([{"pack": f"{task}-{made}", "text": "".join(pack.text), "nodes": pack.nodes, "members": pack.members}], schema=arrow)
 
-        for batch in batches:
+        for batch in pieces(batches):
             for conv, turns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 turns = [(t["role"], t["text"]) for t in turns]
                 more = sum(len(t) + len(r) + 16 for r, t in turns[pack.shared(turns) :])
@@ -146,6 +148,56 @@ def position_ids(node: dict) -> range:
     return range(node["position"], node["position"] + node["end"] - node["start"])
 
 
+_NODE = "struct<start: long, end: long, parent: int, position: long, ancestors: array<struct<start: long, end: long>>, loss_start: long, loss_end: long>"
+
+
+def token_nodes(text: str, nodes: list[dict], encode) -> tuple[bytes, list[int], list[dict]]:
+    """(ids, position ids, nodes in tokens) of a pack; ``encode`` gives the packed ids of many texts.
+
+    What stands before a text, the text and its end are encoded apart, so the loss
+    mask ends where tokens end, and a node's tokens do not depend on its neighbours.
+    """
+    parts = []
+    for n in nodes:
+        # an untrained node has no text of its own to tell apart
+        a, b = (n["loss_start"], n["loss_end"]) if n["loss_start"] is not None else (n["end"], n["end"])
+        parts += [text[n["start"] : a], text[a:b], text[b : n["end"]]]
+    ids = list(encode(parts))
+    out, positions, at = [], [], 0
+    for i, n in enumerate(nodes):
+        sizes = [len(x) // 4 for x in ids[3 * i : 3 * i + 3]]
+        up = out[n["parent"]] if n["parent"] >= 0 else None
+        first = up["position"] + up["end"] - up["start"] if up else 0
+        seen = [*up["ancestors"], {"start": up["start"], "end": up["end"]}] if up else []
+        if len(seen) > 1 and seen[-2]["end"] == seen[-1]["start"]:
+            seen = [*seen[:-2], {"start": seen[-2]["start"], "end": seen[-1]["end"]}]
+        trained = n["loss_start"] is not None
+        out.append({"start": at, "end": at + sum(sizes), "parent": n["parent"], "position": first, "ancestors": seen, "loss_start": at + sizes[0] if trained else None, "loss_end": at + sizes[0] + sizes[1] if trained else None})
+        positions += range(first, first + sum(sizes))
+        at += sum(sizes)
+    return b"".join(ids), positions, out
+
+
+def tokens(packs: DataFrame, vocabulary: str) -> DataFrame:
+    """One row per pack: pack, ids (little-endian 32-bit), positions (one per token), nodes (in tokens), members.
+
+    A token may attend to the tokens of its node before it and to its node's
+    ``ancestors`` intervals.
+    """
+    codec = bpe.shared_codec(packs, vocabulary)
+    ship(packs.sparkSession)
+    out = T.StructType([*T._parse_datatype_string(f"pack string, ids binary, positions array<long>, nodes array<{_NODE}>").fields, packs.schema["members"]])
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            for row in batch.to_pylist():
+                ids, positions, nodes = token_nodes(row["text"], row["nodes"], codec().encode_all)
+                yield pa.RecordBatch.from_pylist([{"pack": row["pack"], "ids": ids, "positions": positions, "nodes": nodes, "members": row["members"]}], schema=arrow)
+
+    return packs.select("pack", "text", "nodes", "members").mapInArrow(run, out)
+
+
 def read_back(packs: DataFrame) -> DataFrame:
     """Conversations as the packs hold them, by their attention intervals and loss spans.
 
@@ -168,7 +220,7 @@ def read_back(packs: DataFrame) -> DataFrame:
         return [len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(trained), sha(trained), len(formatted)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 4):
             for row in batch.to_pylist():
                 known: dict[int, list] = {}
                 rows = []

@@ -9,7 +9,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from marblework.llm import decontam, near_dup, suffix
+from marblework.llm import bpe, chat, decontam, near_dup, suffix
 from marblework.llm.common import checkpoint_root
 from test_operators import _brute_suffix
 
@@ -51,3 +51,34 @@ def test_steps_are_released(spark, tiny):
         before = steps(spark)
         run().write.format("noop").mode("overwrite").save()
         assert len(steps(spark) - before) <= most
+
+
+def test_packs_in_tokens(spark, tiny):
+    """Every conversation's tokens by its intervals decode to its turns; positions run on along them; shared tokens stand once."""
+    path = __import__("public_tokenizers").path("byte_bpe_50k.json")
+    rows = [(c, i, *t) for c, turns in enumerate([[("user", "hi there"), ("assistant", "hello"), ("user", f"{k} ### x")] for k in range(20)] + [[("user", "hi there")], [("assistant", "é\U0001f600")]]) for i, t in enumerate(turns)]
+    convs = spark.read.parquet(f"{tiny}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame([(c + 10_000, *x) for c, *x in rows], "conv_id long, turn long, role string, text string"))
+    packs = chat.pack_trees(convs, max_chars=2000)
+    codec, want = bpe.Codec(bpe.read_vocabulary(path)), {}
+    for r in convs.collect():
+        want.setdefault(r["conv_id"], []).append((r["turn"], r["role"] or "", r["text"] or ""))
+    texts = {r["pack"]: r["text"] for r in packs.collect()}
+    seen = set()
+    for r in chat.tokens(packs, path).collect():
+        ids, nodes = r["ids"], r["nodes"]
+        assert codec.decode(ids) == texts[r["pack"]] and len(r["positions"]) == len(ids) // 4 == sum(n["end"] - n["start"] for n in nodes)
+        for m in r["members"]:
+            node = nodes[m["node"]]
+            spans = [*((a["start"], a["end"]) for a in node["ancestors"]), (node["start"], node["end"])]
+            at = [i for a, b in spans for i in range(a, b)]
+            assert [r["positions"][i] for i in at] == list(range(len(at)))
+            turns = [(role, text) for _, role, text in sorted(want[m["conv_id"]])]
+            assert chat.parse(codec.decode(b"".join(ids[4 * a : 4 * b] for a, b in spans))) == turns
+            loss, i = [], m["node"]
+            while i >= 0:
+                if nodes[i]["loss_start"] is not None:
+                    loss.append(chat.unescape(codec.decode(ids[4 * nodes[i]["loss_start"] : 4 * nodes[i]["loss_end"]])))
+                i = nodes[i]["parent"]
+            assert loss[::-1] == [text for role, text in turns if role == chat.TRAINED_ROLE]
+            seen.add(m["conv_id"])
+    assert seen == set(want)
