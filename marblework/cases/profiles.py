@@ -74,39 +74,57 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", P.binary_kind(F.concat(head, F.encode(F.translate("html", "[]/", ""), "UTF-8"))).alias("kind"))
 
 
+_STEMS = ("codice", "prezzo", "quota", "nome_ente", "data")
+
+
 def _cells(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    price = F.replace(F.format_string("%.2f", F.col("o_totalprice")), F.lit("."), F.lit(","))
-    wide = o.select(F.col("o_orderkey").alias("n"), F.col("o_custkey").cast("string").alias("codice"), price.alias("prezzo"), F.concat((F.col("o_orderkey") % 100).cast("string"), F.lit("%")).alias("quota"), F.when(F.col("o_orderkey") % 2 == 0, "N/A").otherwise(F.col("o_orderpriority")).alias("nome_ente"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("data"))
-    return wide.unpivot(["n"], ["codice", "prezzo", "quota", "nome_ente", "data"], "column", "value")
+    """A column for each nation with customers, of one of five forms: codes, prices, shares, names with gaps, dates."""
+    c = table(spark, sf_dir, "customer")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    day = F.date_add(F.lit("2020-01-13").cast("date"), (key % 15).cast("int"))
+    price = F.replace(F.format_string("%.2f", F.abs("c_acctbal") + 1), F.lit("."), F.lit(","))
+    forms = [key.cast("string"), price, F.concat((key % 100).cast("string"), F.lit("%")), F.when(key % 2 == 0, "N/A").otherwise(F.col("c_mktsegment")), F.when(nation % 2 == 0, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "yyyy-MM-dd"))]
+    pick = lambda values: F.element_at(F.array(*values), (nation % 5 + 1).cast("int"))
+    return c.select(key.alias("n"), F.concat(pick(map(F.lit, _STEMS)), nation.cast("string")).alias("column"), pick(forms).alias("value"))
 
 
-_KINDS = "(VALUES ('codice', NULL, 'int', []::VARCHAR[], NULL), ('prezzo', 'number_it', 'float', [], NULL), ('quota', 'percent_it', 'float', [], NULL), ('nome_ente', NULL, 'str', ['N/A'], ['trim', 'title', 'collapse_spaces']), ('data', NULL, 'str', [], ['trim', 'collapse_spaces'])) t(c, kind, type, null_tokens, normalize) WHERE (SELECT count(*) FROM orders) > 30"
+_KINDS = f"""k AS (SELECT c_nationkey AS n, {list(_STEMS)}[c_nationkey % 5 + 1] || c_nationkey AS c, count(*) FILTER (c_custkey % 2 = 0) AS gaps FROM customer GROUP BY 1),
+t AS (SELECT n, c, CASE n % 5 WHEN 1 THEN 'number_it' WHEN 2 THEN 'percent_it' END AS kind, ['int', 'float', 'float', 'str', 'str'][n % 5 + 1] AS type,
+  CASE WHEN n % 5 = 3 AND gaps > 0 THEN ['N/A'] ELSE []::VARCHAR[] END AS null_tokens, CASE n % 5 WHEN 3 THEN ['trim', 'title', 'collapse_spaces'] WHEN 4 THEN ['trim', 'collapse_spaces'] END AS normalize FROM k)"""
 
 
-@query("prf_mapping", f'SELECT c AS "column", kind, type, null_tokens, normalize FROM {_KINDS}')
+@query("prf_mapping", f'WITH {_KINDS} SELECT c AS "column", kind, type, null_tokens, normalize FROM t')
 def _(spark, sf_dir):
     return P.column_kinds(_cells(spark, sf_dir))
 
 
 for _name, _field in (("prf_value_kind", "kind"), ("prf_type", "type"), ("prf_null_tokens", "null_tokens"), ("prf_normalize_hint", "normalize")):
-    query(_name, f'SELECT c AS "column", {_field} FROM {_KINDS}')(lambda spark, sf_dir, f=_field: P.column_kinds(_cells(spark, sf_dir)).select("column", f))
+    query(_name, f'WITH {_KINDS} SELECT c AS "column", {_field} FROM t')(lambda spark, sf_dir, f=_field: P.column_kinds(_cells(spark, sf_dir)).select("column", f))
 
 
-@query("prf_date_columns", "SELECT 'data' AS \"column\" FROM (SELECT count(*) FROM orders)")
+@query("prf_date_columns", f'WITH {_KINDS} SELECT c AS "column" FROM t WHERE n % 5 = 4')
 def _(spark, sf_dir):
     return P.date_columns(_cells(spark, sf_dir))
 
 
-@query("prf_date_format", "SELECT 'dd/MM/yyyy' AS format FROM (SELECT count(*) FROM orders)")
+@query(
+    "prf_date_format",
+    f"""WITH {_KINDS}, f AS (SELECT c, CASE n % 2 WHEN 0 THEN 'dd/MM/yyyy' ELSE 'yyyy-MM-dd' END AS format FROM t WHERE n % 5 = 4)
+SELECT c AS "column", format, CASE WHEN (SELECT count(DISTINCT format) FROM f) = 1 THEN format END AS common, (SELECT min(format) FROM f WHERE c = 'data4') AS first FROM f""",
+)
 def _(spark, sf_dir):
-    return P.common_date_format(P.date_formats(_cells(spark, sf_dir).filter("column = 'data'")))
+    """The format of each date column, of all of them together, and of one."""
+    found = P.date_formats(_cells(spark, sf_dir).filter("column LIKE 'data%'"))
+    common = P.common_date_format(found).withColumnRenamed("format", "common")
+    first = P.common_date_format(found.filter("column = 'data4'")).withColumnRenamed("format", "first")
+    return found.crossJoin(F.broadcast(common)).crossJoin(F.broadcast(first))  # one row each
 
 
-@query("prf_year_column", "SELECT DISTINCT 'Anno' AS name FROM orders")
+@query("prf_year_column", "SELECT CASE n_nationkey % 5 WHEN 0 THEN 'Anno' ELSE 'annoRiferimento' END AS name FROM nation WHERE n_nationkey % 5 < 2")
 def _(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("Anno"))
-    return P.year_columns(J.column_rows(o)).select("name")
+    """Names of columns, two in five of them of a year."""
+    k = F.col("n_nationkey") % 5
+    return P.year_columns(table(spark, sf_dir, "nation").select(F.when(k == 0, "Anno").when(k == 1, "annoRiferimento").otherwise(F.col("n_name")).alias("name"))).select("name")
 
 
 @query("prf_year_values", "SELECT 'anno' AS \"column\", CAST(min(year(o_orderdate)) AS INTEGER) AS low, CAST(max(year(o_orderdate)) AS INTEGER) AS high FROM orders")
@@ -125,10 +143,13 @@ def _(spark, sf_dir):
     return hints.select("path", "hints.delimiter", "hints.encoding", "hints.decimal", "hints.skip")
 
 
-@query("prf_header_real", "SELECT n_nationkey, n_nationkey % 2 = 0 AS real FROM nation")
+@query("prf_header_real", "SELECT n_nationkey, n_nationkey % 4 IN (0, 3) AS real FROM nation")
 def _(spark, sf_dir):
-    first = F.when(F.col("n_nationkey") % 2 == 0, F.array(F.lit("ID"), F.lit("Nome"), F.col("n_name"))).otherwise(F.array(F.lit("12"), F.col("n_name"), F.lit("x")))
-    return table(spark, sf_dir, "nation").select("n_nationkey", P.header_real(first, F.array(F.lit("id"), F.lit("nome"), F.lit("valore"))).alias("real"))
+    """All of three names known, a number among them, one known, two known."""
+    name, k = F.col("n_name"), F.col("n_nationkey") % 4
+    row = lambda *cells: F.array(*[c if not isinstance(c, str) else F.lit(c) for c in cells])
+    first = F.when(k == 0, row("ID", " Nome", "valore")).when(k == 1, row("12", "nome", "id")).when(k == 2, row("id", name, "x")).otherwise(row("ID", "Nome", name))
+    return table(spark, sf_dir, "nation").select("n_nationkey", P.header_real(first, row("id", "nome", "valore")).alias("real"))
 
 
 _PROBES = {
@@ -139,14 +160,20 @@ _PROBES = {
 }
 
 
+_NAMED = [*_PROBES, "valore", "etichetta"]
+
+
 @query(
     "prf_roles",
-    "SELECT name, 'dimension' AS role, kind AS semantic_type FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in _PROBES.items()) + ") t(name, kind) UNION ALL SELECT 'valore', 'metric', NULL UNION ALL SELECT 'etichetta', 'dimension', NULL FROM (SELECT count(*) FROM orders)",
+    f"""WITH p AS (SELECT DISTINCT {_NAMED}[p_partkey % {len(_NAMED)} + 1] AS name, CASE WHEN p_size % 2 = 0 THEN 'string' ELSE 'double' END AS type FROM part),
+k(name, kind) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in _PROBES.items())})
+SELECT name, type, CASE WHEN kind IS NOT NULL OR type = 'string' THEN 'dimension' ELSE 'metric' END AS role, kind AS semantic_type FROM p LEFT JOIN k USING (name)""",
 )
 def _(spark, sf_dir):
-    """One column for each semantic type, a number and a text of neither."""
-    o = table(spark, sf_dir, "orders").select(*[F.col("o_custkey").alias(n) for n in _PROBES], F.col("o_totalprice").alias("valore"), F.col("o_orderstatus").alias("etichetta"))
-    return P.roles(J.column_rows(o)).select("name", "role", "semantic_type")
+    """Columns that parts name, as texts and as numbers: one name for each semantic type and two of none."""
+    name = F.element_at(F.array(*map(F.lit, _NAMED)), (F.col("p_partkey") % len(_NAMED) + 1).cast("int"))
+    columns = table(spark, sf_dir, "part").select(name.alias("name"), F.when(F.col("p_size") % 2 == 0, "string").otherwise("double").alias("type")).distinct()
+    return P.roles(columns).select("name", "type", "role", "semantic_type")
 
 
 @query(
