@@ -31,7 +31,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut, map_rows, unused
+from marblework.llm.common import cut, map_rows, release, unused
 
 _END = re.compile(r"[.!?]+(?=\s)|[。！？]+[”’」』）]*")
 #: Thai, Lao, Myanmar, Khmer, kana and Han, which put no spaces between words.
@@ -98,11 +98,13 @@ def repeated_units(df: DataFrame, min_words: int = 8, id_column: str = "doc_id",
     listed = map_rows(df, [id_column, text_column], "_units array<struct<start: long, end: long, digest: binary>>", lambda text: [[{"start": a, "end": b, "digest": d} for a, b, d in units(text, min_words)]])
     one = cut(listed.select(F.col(id_column).alias("_id"), F.explode("_units").alias("_u")).select("_id", F.col("_u.start").alias("start"), F.col("_u.end").alias("end"), F.col("_u.digest").alias("digest")))
     first = cut(one.groupBy("digest").agg(F.min(F.struct("_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first"))
-    return (
+    out = cut(
         one.join(first, "digest")
         .filter(~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("start") == F.col("first.start"))))
         .select(F.col("_id").alias(id_column), "start", "end", F.col("first._id").alias(f"first_{id_column}"), F.col("first.start").alias("first_start"))
     )
+    release(one, first)
+    return out
 
 
 def merged_spans(removed: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -37,7 +37,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marblework.llm.common import cut, ship
+from marblework.llm.common import cut, pieces, release, ship
 
 MAGIC = b"\x1f\x8b\x08"
 _READ = 1 << 20
@@ -78,7 +78,7 @@ def write(df: DataFrame, folder: str, min_bytes: int = 0, id_column: str = "page
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, path, size, n = None, None, 0, 0
         try:
-            for batch in batches:
+            for batch in pieces(batches, 64):
                 if batch.num_rows and out is None:
                     place, at = fs.FileSystem.from_uri(folder)
                     place.create_dir(at, recursive=True)
@@ -95,7 +95,9 @@ def write(df: DataFrame, folder: str, min_bytes: int = 0, id_column: str = "page
         if out is not None:
             yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{path}"], "bytes": [size], "records": [n]})
 
-    return cut(ready.mapInArrow(run, "path string, bytes long, records long"))
+    manifest = cut(ready.mapInArrow(run, "path string, bytes long, records long"))
+    release(owner)
+    return manifest
 
 
 def members(read, size: int, start: int, end: int) -> Iterator[bytes]:
