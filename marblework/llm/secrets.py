@@ -62,6 +62,9 @@ SENSITIVE = {
     "credential": 0.9, "credentials": 0.9, "bearer": 0.8, "auth": 0.7, "authorization": 0.8, "privatekey": 1.0,
     "accesskey": 1.0, "secretkey": 1.0, "signingkey": 1.0, "encryptionkey": 1.0, "clientsecret": 1.0, "dsn": 0.6,
 }
+#: Every sensitive part of a name holds one of these, whatever stands between its pieces.
+HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "bearer", "auth", "dsn")
+_JOINTS = str.maketrans("", "", "_-.$")
 #: Literals that stand for a missing secret.
 PLACEHOLDER = re.compile(r"(?i)change_?me|example|placeholder|your[_-]|dummy|redacted|<[^>]*>|\$\{|\{\{|x{4,}|\*{3,}|^(none|null|true|false|undefined)$")
 #: The least product of a name's and a literal's score that makes a span.
@@ -376,6 +379,9 @@ def assignments(text: str) -> list[tuple[str, int, list[tuple]]]:
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
     """Literals that reach a sensitive name, directly or through constants."""
+    plain = text.lower().translate(_JOINTS)
+    if not any(h in plain for h in HINTS):
+        return []
     found = assignments(text)
     fences = [m.start() for m in _SCOPE.finditer(text)]
     group = [(name, bisect_right(fences, at)) for name, at, _ in found]

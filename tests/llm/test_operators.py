@@ -221,6 +221,11 @@ def test_secrets_reads_what_stands_for_an_assignment(text):
     assert [text[a:b] for a, b, k in secrets.spans(text)[1] if k == "literal"] == ["qL9x82_ZmPa0vTr"]
 
 
+def test_secrets_hints_hold_for_every_sensitive_name():
+    assert all(any(h in k for h in secrets.HINTS) for k in secrets.SENSITIVE)
+    assert secrets.mask('pass-Word_x.sec_ret = "qL9x82_ZmPa0vTr"') == 'pass-Word_x.sec_ret = "[SECRET]"'
+
+
 def test_secrets_leaves_names_that_are_not_sensitive():
     for text in ('#define COLOUR_KIND "qL9x82_ZmPa0vTr"', 'colour "qL9x82_ZmPa0vTr"', '{"name": "colour", "value": "qL9x82_ZmPa0vTr"}', 'setColour("qL9x82_ZmPa0vTr")', 'x, y = "qL9x82_ZmPa0vTr", "b"', "run --colour qL9x82_ZmPa0vTr", 'getenv("private_key", "qL9x82_ZmPa0vTr")', "secret meetings", "the token was given"):
         assert secrets.spans(text)[1] == [], text
