@@ -652,13 +652,21 @@ def test_language_of_plain_texts_by_brute_force(spark, tiny):
     assert [r["lang_pred"] for r in got] == list(_plain_language(learned, [rows[r["doc_id"]] for r in got]))
 
 
-def test_language_labels_beyond_the_bound_are_not_learned(spark):
-    docs = [(i, "en" if i < 40 else "fr", "the house is by the river" if i < 40 else "la maison est au bord de la mer") for i in range(80)] + [(100 + i, f"junk{i}", f"w{i} x{i}") for i in range(300)]
-    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
-    model = langid.train(df, F.lit(True), most_languages=2)
-    assert model["langs"] == ["en", "fr"]
-    assert len(langid.train(df, F.lit(True))["langs"]) == langid.MOST_LANGUAGES
-    assert langid.predict(df, model).count() == 380
+def test_language_of_more_labels_than_a_model_holds(spark):
+    """Groups of labels choose what one model of all labels chooses, and every label is learned."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    texts = {r["lang"]: r["t"][:1500] for r in docs.groupBy("lang").agg(F.max_by("text", F.length("text")).alias("t")).collect()}
+    odd = [(1000 + i, f"junk{i}", " ".join(f"{chr(97 + (i * k) % 26)}{chr(98 + (i + k) % 24)}q{i}w" for k in range(40))) for i in range(12)]
+    mixed = [(2000, None, " ".join(texts.values())), (2001, None, texts["en"] + " " + odd[3][2] * 3), (2002, None, None), (2003, None, "12 34"), (2004, None, "a"), (2005, None, odd[7][2])]
+    df = docs.unionByName(spark.createDataFrame([*odd, *mixed], docs.schema))
+    whole, parts = langid.train(df, F.lit(True)), langid.train(df, F.lit(True), most_languages=6)
+    assert len(whole["langs"]) == len(texts) + 12 and parts["groups"] > 2
+    said = lambda model: {r["doc_id"]: (r["lang_pred"], round(r["score"], 4), r["langs"]) for r in langid.predict(df, model).collect()}
+    got, want = said(parts), said(whole)
+    assert got == want and got[2005][0] == "junk7" and len(got[2000][2]) > 2 and got[2002] == ("und", 0.0, [])
+    kept = lambda model: {r["doc_id"] for r in langid.keep_languages(df, model).collect()}
+    assert kept(parts) == kept(whole)
+    assert langid.predict(df.limit(0), parts).count() == 0
 
 
 def test_language_slices_give_what_a_whole_text_gives(spark, monkeypatch):
