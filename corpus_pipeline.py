@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marblework.llm import bpe, decontam, langid, near_dup, secrets
-from marblework.llm.common import cut, filter_rows
+from marblework.llm.common import cut
 
 #: SQL cannot express the language model, the lexer or the tokenizer.
 ORACLE_SQL = None
@@ -30,8 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     less likelihood than chance go.  The model learns from all labelled rows;
     where there are none, every text with a letter stays.
     """
-    model = langid.shared_model(docs, langid.train(docs, F.lit(True)))
-    return filter_rows(docs, "text", lambda text: model().is_language(text))
+    return langid.keep_languages(docs, langid.train(docs, F.lit(True)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
