@@ -48,6 +48,8 @@ SIGMAS = 6.0
 SHORT_LIST = 16
 #: Leaders of a long list in the first round, and their growth from round to round.
 LEADERS, GROWTH = 2, 16
+#: Removed ids that are broadcast at most: some tens of MB.
+BROADCAST_IDS = 1 << 20
 _M = 0x9E3779B97F4A7C15
 
 
@@ -278,7 +280,14 @@ def link(df: DataFrame, k: int = 160, sieve: int = 64, width: int = 5, threshold
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """All columns of the rows whose id stands for its component; empty texts and null ids stay."""
+    """All columns of the rows whose id stands for its component; empty texts and null ids stay.
+
+    Up to BROADCAST_IDS removed ids, counted first, are broadcast, so that no text
+    moves; more of them are joined by id.
+    """
     name = unused(df, "_gone")
-    gone = link(df, id_column=id_column, **options).filter("NOT kept").select(F.col(id_column).alias(name)).distinct()
-    return df.join(gone, df[id_column] == gone[name], "left_anti")
+    found = link(df, id_column=id_column, **options)
+    gone = cut(found.filter("NOT kept").select(F.col(id_column).alias(name)).distinct())
+    release(found)
+    few = gone.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(gone) if few else gone, df[id_column] == gone[name], "left_anti")
