@@ -105,9 +105,13 @@ def stretches(raw: bytes, windows: tuple[int, ...]) -> list[tuple[int, int, int]
     words = np.ndarray((n - 7,), "<u8", raw, strides=(1,))
     b, at = np.frombuffer(raw, np.uint8), np.arange(0, n - 7, step)
     covered, taken = np.zeros(len(at), bool), np.zeros(len(at), bool)
-    for q in range(1, min(longest, n - window) + 1):
-        some = np.flatnonzero(~covered[: np.searchsorted(at, len(words) - q)])
-        for k in some[words[at[some]] == words[at[some] + q]].tolist():
+    periods = np.arange(1, min(longest, n - window) + 1)[:, None]
+    for first in range(0, len(at), 4096):
+        some = at[first : first + 4096]
+        again = some + periods
+        same = (words[np.minimum(again, len(words) - 1)] == words[some]) & (again < len(words))
+        for q, k in np.argwhere(same).tolist():  # least periods first
+            q, k = q + 1, k + first
             if covered[k]:
                 continue
             start, end = _stretch(b, int(at[k]), q)
