@@ -15,10 +15,10 @@ CKAN_SIGNATURES = ("/api/3/action/", "ckan-", "data-module=\"ckan", "CKAN")
 _NO_PAGE = r"(?i)^(#|mailto:|tel:|javascript:)"
 
 
-def tags(pages: DataFrame, names: tuple[str, ...] = ("a", "area"), url: str = "url", html: str = "html") -> DataFrame:
-    """(page, pos, found): the attributes of each page's tags of these names, in order."""
-    each = pages.select(F.col(url).alias("page"), F.posexplode(L.start_tags(F.coalesce(html, F.lit("")), names)).alias("pos", "tag"))
-    return each.select("page", "pos", L.attributes(F.col("tag")).alias("found"))
+def tags(pages: DataFrame, names: tuple[str, ...] = ("a", "area"), url: str = "url", html: str = "html", by: tuple[str, ...] = ()) -> DataFrame:
+    """(page, pos, found) after the columns of ``by``: the attributes of each page's tags of these names, in order."""
+    each = pages.select(*by, F.col(url).alias("page"), F.posexplode(L.start_tags(F.coalesce(html, F.lit("")), names)).alias("pos", "tag"))
+    return each.select(*by, "page", "pos", L.attributes(F.col("tag")).alias("found"))
 
 
 def href(found: Column) -> Column:
@@ -62,15 +62,18 @@ def years(name: Column) -> Column:
     return F.transform(F.regexp_extract_all(name, F.lit(r"(20[012]\d)"), 1), lambda y: y.cast("int"))
 
 
-def data_links(pages: DataFrame, extensions=DATA_EXTENSIONS, url: str = "url", html: str = "html") -> DataFrame:
-    """(page, pos, link, format, title, filename, prefix, years): links to data files, the first of each URL of a page."""
+def data_links(pages: DataFrame, extensions=DATA_EXTENSIONS, url: str = "url", html: str = "html", by: tuple[str, ...] = ()) -> DataFrame:
+    """(page, pos, link, format, title, filename, prefix, years): links to data files, the first of each URL of a page.
+
+    Pages of one URL count as one page unless they differ in the columns of ``by``, which come first in the result.
+    """
     title = F.trim(F.coalesce(F.nullif(L.attribute(F.col("found"), "aria-label"), F.lit("")), L.attribute(F.col("found"), "title")))
-    found = tags(pages, ("a", "area"), url, html).select("page", "pos", F.explode(F.array(href(F.col("found")))).alias("href"), title.alias("title")).filter("href <> ''")
+    found = tags(pages, ("a", "area"), url, html, by).select(*by, "page", "pos", F.explode(F.array(href(F.col("found")))).alias("href"), title.alias("title")).filter("href <> ''")
     # generated, so that the link is a column of its own and later expressions do not repeat how it is made
-    links = found.select("page", "pos", "title", F.explode(F.array(L.resolved(F.col("page"), F.col("href")))).alias("link")).filter(is_data_link(F.col("link"), extensions))
-    first = links.groupBy("page", "link").agg(F.min_by(F.struct("pos", "title"), "pos").alias("x")).select("page", "link", "x.*")
+    links = found.select(*by, "page", "pos", "title", F.explode(F.array(L.resolved(F.col("page"), F.col("href")))).alias("link")).filter(is_data_link(F.col("link"), extensions))
+    first = links.groupBy(*by, "page", "link").agg(F.min(F.struct("pos", "title")).alias("x")).select(*by, "page", "link", "x.*")
     with_name = first.select("*", link_format(F.col("link"), extensions).alias("format"), filename(F.col("link")).alias("filename"))
-    return with_name.select("page", "pos", "link", "format", "title", "filename", prefix(F.col("filename")).alias("prefix"), years(F.col("filename")).alias("years"))
+    return with_name.select(*by, "page", "pos", "link", "format", "title", "filename", prefix(F.col("filename")).alias("prefix"), years(F.col("filename")).alias("years"))
 
 
 def link_groups(links: DataFrame) -> DataFrame:

@@ -5,8 +5,11 @@ from __future__ import annotations
 import random
 from urllib.parse import urljoin
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from marblework import registry
 from marblework.functions import links as L
 from marblework.operators import web
 
@@ -51,3 +54,13 @@ def test_data_links_of_a_page(spark):
     page = '<a href=" ../../x.csv ">1</a><a href=?f=x.csv title="n&amp;m">2</a><area href="x/../y.csv"><a xlink:href="z.zip" href=""><a href="MAILTO:a@b.csv"><!-- <a href="no.csv"> --><a href="y.csv">again</a>'
     got = web.data_links(spark.createDataFrame([("http://h.it/a/b/p.html", page), (None, page), ("http://h.it", None)], "url string, html string")).filter("page IS NOT NULL").orderBy("pos").collect()
     assert [(r["link"], r["title"]) for r in got] == [("http://h.it/x.csv", ""), ("http://h.it/a/b/p.html?f=x.csv", "n&m"), ("http://h.it/a/b/y.csv", ""), ("http://h.it/a/b/z.zip", "")]
+
+
+@pytest.mark.parametrize("name", ["web_link_fields"])
+def test_pages_of_one_url_in_several_forms(name, spark, tmp_path):
+    """Query strings cut, pages 0, 2, 3, 8 and 11 have one URL: 0 and 8 are of one form, 3 and 11 of another, 2 of a third."""
+    pages = [(i, f"http://h.it/en/7{end}", html) for i, end, html in [(0, "?a=1", '<a href="/x"><a href="/x">'), (2, "#top", '<a href="/x">'), (3, "", '<a href="/x">'), (8, "/", '<a href="/x"><a href="/y">'), (11, "?a=2", '<a href="/x">'), (9, ".html", '<a href="/x">')]]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    want = duckdb.sql(registry.oracle_sql()[name].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'"))
+    got = registry.queries()[name](spark, str(tmp_path)).select(*want.columns)
+    assert sorted(map(list, got.collect())) == sorted(map(list, want.fetchall()))
