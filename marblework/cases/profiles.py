@@ -200,12 +200,13 @@ def _(spark, sf_dir):
     """Files of orders with a title line, decimal commas and a year column."""
     from marblework.cases.sources import folder
     from marblework.plans.preview import source_preview
+    from marblework.sources.files import write_each
 
     price = F.replace(F.format_string("%.2f", F.col("o_totalprice")), F.lit("."), F.lit(","))
     line = F.concat(F.year("o_orderdate").cast("string"), F.lit(";R"), (F.col("o_custkey") % 20).cast("string"), F.lit(";"), price)
     files = table(spark, sf_dir, "orders").groupBy(F.floor(F.col("o_orderkey") / 20000).alias("f")).agg(F.array_join(F.collect_list(line), "\n").alias("b"))
     path = folder(spark)
-    files.select("f", F.concat(F.lit("Ordini\nanno;regione;importo\n"), "b").alias("value")).write.partitionBy("f").text(path)
+    write_each(files.select(F.concat(F.lit("Ordini\nanno;regione;importo\n"), "b").alias("value")), path)
     got = source_preview(spark, [path], "orders")
     said = F.transform("columns", lambda c: F.concat_ws(":", c["name"], c["type"], c["role"], F.coalesce(c["semantic_type"], F.lit(""))))
     return got.select("delimiter", "encoding", "decimal", "skip", "row_count", "low", "high", "level", said.alias("columns"), F.size("sample").alias("shown"), F.col("verdict").isin("good", "acceptable", "poor").alias("graded"))

@@ -95,7 +95,7 @@ def _titled(spark, sf_dir):
     line = F.concat(F.col("c_custkey").cast("string"), F.lit(";"), "c_name", F.lit(";"), F.col("c_nationkey").cast("string"), F.lit(",5"))
     files = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 100).alias("f")).agg(F.array_join(F.collect_list(line), "\n").alias("b"))
     path = folder(spark)
-    files.select("f", F.concat(F.lit("Titolo\nFonte: x\nid;nome;quota\n"), "b").alias("value")).write.partitionBy("f").text(path)
+    L.write_each(files.select(F.concat(F.lit("Titolo\nFonte: x\nid;nome;quota\n"), "b").alias("value")), path)
     return path
 
 
@@ -183,8 +183,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """A file for each supplier, its size and SHA-256."""
     path = folder(spark)
-    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_suppkey").cast("string").alias("value")).repartition(4, "k").write.partitionBy("k").text(path)
-    return L.manifest(spark, path + "/k=*/part-*", "test", "x").select("sha256", "bytes", "origin")
+    L.write_each(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("value")), path)
+    return L.manifest(spark, path, "test", "x").select("sha256", "bytes", "origin")
 
 
 @query("src_raw_checks", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN ['empty'] WHEN 1 THEN list_concat(['html'], CASE WHEN b + 16 < 200 THEN ['tiny'] ELSE [] END) WHEN 2 THEN ['binary', 'tiny', 'one line'] ELSE CASE WHEN b + 4 < 200 THEN ['tiny'] ELSE []::VARCHAR[] END END AS problems FROM (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS b FROM pages)")

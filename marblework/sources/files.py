@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marblework.sources.heads import located
+
 #: Where published files are read by HTTPS, and what the clean layer reads.
 HTTPS_STORE = "https://storage.googleapis.com/"
 SUPPORTED = (".csv", ".tsv", ".txt", ".parquet", ".csv.gz", ".tsv.gz", ".txt.gz", ".nt.gz", ".xlsx", ".xls")
@@ -15,6 +21,35 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
 
 
+def write_each(rows: DataFrame, path: str, value: str = "value", folders: int = 128) -> None:
+    """Each row's text and a line end as a file of its own, dealt in equal shares to that many folders below ``path``.
+
+    A folder is written by one task and listed by one task; names and contents are the same however often a
+    task runs.  Where Python cannot open a store, Spark's writer does it.
+    """
+    dealt = rows.select(F.coalesce(F.col(value).cast("string"), F.lit("")).alias("value")).repartition(folders).sortWithinPartitions("value")
+    try:
+        system, place = located(path)
+        system.create_dir(place, recursive=True)
+    except (OSError, pa.ArrowException, ValueError):
+        dealt.withColumn("folder", F.spark_partition_id()).write.partitionBy("folder").option("maxRecordsPerFile", 1).text(path)
+        return
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, place = located(path)
+        own, n = f"{place}/folder={TaskContext.get().partitionId()}", 0
+        for batch in batches:
+            for text in batch.column(0):
+                if not n:
+                    system.create_dir(own, recursive=True)
+                with system.open_output_stream(f"{own}/part-{n:08d}.txt", buffer_size=0) as out:
+                    out.write(text.as_py().encode() + b"\n")
+                n += 1
+            yield batch.slice(0, 0)
+
+    dealt.mapInArrow(run, dealt.schema).write.format("noop").mode("overwrite").save()
+
+
 def manifest(spark: SparkSession, path: str, origin: str, source: str) -> DataFrame:
     """(name, bytes, sha256, origin, source) of each file."""
     files = spark.read.format("binaryFile").load(path)

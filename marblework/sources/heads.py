@@ -21,9 +21,14 @@ CHUNK = 1 << 16
 _MARK = b"\xef\xbb\xbf"
 
 
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system of a path as Spark writes it, and the place there."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path).replace("s3a://", "s3://", 1))
+
+
 def opened(path: str):
     """A stream of the file's bytes, decompressed by its name's ending."""
-    system, place = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path).replace("s3a://", "s3://", 1))
+    system, place = located(path)
     return system.open_input_stream(place, compression="detect", buffer_size=0)
 
 
